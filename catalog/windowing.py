@@ -134,7 +134,7 @@ def highest_installment(spark, folder):
 
 
 @query("""
-SELECT o_orderkey, n::INTEGER AS PARCELA, (o_orderdate::DATE + (n - 1) * 30)::DATE AS VENCIMENTO
+SELECT o_orderkey, n::INTEGER AS PARCELA, (o_orderdate::DATE + ((n - 1) * 30)::INTEGER)::DATE AS VENCIMENTO
 FROM (SELECT o_orderkey, o_orderdate, unnest(generate_series(1, o_orderkey % 7)) AS n FROM orders)""")
 def installment_schedule(spark, folder):
     orders = table(spark, folder, "orders").select(

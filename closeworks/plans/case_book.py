@@ -192,7 +192,8 @@ def case_book(
     """
     cases = enriched_cases(closings, managerial, units, areas, override, strategy_default=strategy_default)
     missing = {a: F.lit(None).cast("double") for a in AMOUNT_COLS if a not in cases.columns}
-    book = refresh_closed(cases.withColumns(missing), totals, AMOUNT_COLS)
+    current = totals.withColumnsRenamed({"PROCESSO_ID": "ID_PROCESSO"})
+    book = refresh_closed(cases.withColumns(missing), current, AMOUNT_COLS)
     book = with_labels(with_measures(book), splits, defence_first)
     key = ["MES_FECH", "ID_PROCESSO", "NOVOS", "ENCERRADOS", "ESTOQUE"]
     tie_breakers = existing(book, ["DATACADASTRO", "TOTAL_PAGAMENTOS", "PROVISAO_TOTAL_M", "STATUS", "FASE"])
