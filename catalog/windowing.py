@@ -9,6 +9,13 @@ from catalog.registry import query, table
 from closeworks.functions import dates
 from closeworks.operators import aggregates, filters, installments, windows
 
+
+def _order_blocks():
+    """Orders of a customer by day and range of ids: neither a block nor the blocks of a
+    customer grow too long, even if one customer has a third of all orders."""
+    return [F.col("day"), F.floor(F.col("o_orderkey") / 1_000_000_000)]
+
+
 _EVENTS_SQL = """e AS (
   SELECT user_id, ts, event_id, CASE WHEN event_type = 'error' THEN 'ENCERRADO' ELSE event_type END AS DP_FASE FROM events),
 p AS (SELECT *, lag(DP_FASE) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ant FROM e),
@@ -22,7 +29,7 @@ t AS (
 def _transitions(spark, folder):
     phase = F.when(F.col("event_type") == "error", "ENCERRADO").otherwise(F.col("event_type"))
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", phase.alias("DP_FASE"))
-    return windows.phase_transitions(events, "user_id", ["ts", "event_id"], "DP_FASE", [F.to_date("ts")])
+    return windows.phase_transitions(events, "user_id", ["ts", "event_id"], "DP_FASE", [F.date_trunc("minute", "ts")])
 
 
 @query(f"""
@@ -60,13 +67,10 @@ def ranks(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
     numbered = windows.per_key(
         events, ["user_id"], ["event_type", "event_id"],
-        [F.col("event_type"), F.floor(F.col("event_id") / 10000)], {"rn": windows.row_number()},
-    )
-    ranked = windows.per_key(
-        numbered, ["user_id"], ["event_type"], [F.col("event_type")],
-        {"r": windows.rank(), "dr": windows.dense_rank()},
+        [F.col("event_type"), F.floor(F.col("event_id") / 1000)],
+        {"rn": windows.row_number(), "r": windows.rank(depth=1), "dr": windows.dense_rank(depth=1)},
     )
-    return ranked.drop("user_id", "event_type")
+    return numbered.drop("user_id", "event_type")
 
 
 _PART_ORDER = ["day", "l_extendedprice", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -87,12 +91,11 @@ def installment_numbers(spark, folder):
     items = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", F.to_date("l_shipdate").alias("day")
     )
-    block = [F.trunc("day", "YEAR")]
-    ranked = windows.per_key(items, ["l_orderkey"], ["day"], block, {"DIA_PARCELA": windows.dense_rank()})
     numbered = windows.per_key(
-        ranked, ["l_orderkey"], _PART_ORDER, block,
+        items, ["l_orderkey"], _PART_ORDER, [F.col("day"), F.floor(F.col("l_extendedprice") / 1000)],
         {
             "PARCELA": windows.row_number(),
+            "DIA_PARCELA": windows.dense_rank(depth=1),
             "DATA_DO_ACORDO": windows.first("day"),
             "ENTRADA": windows.first("l_extendedprice"),
             "__paid": windows.total("l_extendedprice"),
@@ -107,7 +110,7 @@ SELECT o_orderkey, o_custkey, (row_number() OVER (PARTITION BY o_custkey ORDER B
 FROM orders""")
 def count_once(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    return windows.count_once(orders, ["o_custkey"], ["day", "o_orderkey"], [F.trunc("day", "YEAR")]).drop("day")
+    return windows.count_once(orders, ["o_custkey"], ["day", "o_orderkey"], _order_blocks()).drop("day")
 
 
 _HIGHEST_SQL = shapes.PAYMENTS + """, parts AS (
@@ -173,7 +176,7 @@ SELECT o_orderkey, rn::INTEGER AS rn, months::BIGINT AS gap FROM (
 def months_since_previous(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
     numbered = windows.per_key(
-        orders, ["o_custkey"], ["day", "o_orderkey"], [F.trunc("day", "YEAR")],
+        orders, ["o_custkey"], ["day", "o_orderkey"], _order_blocks(),
         {"rn": windows.row_number(), "before": windows.lag("day")},
     )
     return numbered.select("o_orderkey", "rn", dates.whole_months(F.col("before"), F.col("day")).alias("gap"))

@@ -99,27 +99,32 @@ def merge_update(
     """Update `source` from `new`, which holds each key once.
 
     A new value wins if it is not null; with `null_overwrites` it wins on every matched row.
-    `columns` limits the update to some columns. Rows that only `new` has (how = right or
-    outer) keep their keys.
+    `columns` limits the update to some columns. With `how` right or outer the rows that only
+    `new` has are added with their keys; they come from an anti join, because a full outer
+    join cannot split a hot key between tasks.
     """
-    left = source.withColumn("__in_source", F.lit(True)).alias("a")
+    left = source.alias("a")
     right = new.withColumn("__matched", F.lit(True)).alias("b")
     condition = reduce(Column.__and__, [F.col(f"a.`{k}`") == F.col(f"b.`{k}`") for k in keys])
-    joined = left.join(right, condition, how)
-    updated = set(new.columns if columns is None else columns) & set(new.columns)
+    joined = left.join(right, condition, "left" if how in ("left", "outer") else "inner")
+    updated = set(new.columns if columns is None else columns) & set(new.columns) - set(keys)
 
     def value(name: str) -> Column:
-        old, fresh = F.col(f"a.`{name}`"), F.col(f"b.`{name}`")
-        if name in keys:
-            return F.coalesce(old, fresh)
+        old = F.col(f"a.`{name}`")
         if name not in updated:
             return old
-        if null_overwrites:
-            return F.when(F.col("b.__matched"), fresh).otherwise(old)
-        return F.coalesce(fresh, old)
+        fresh = F.col(f"b.`{name}`")
+        return F.when(F.col("b.__matched"), fresh).otherwise(old) if null_overwrites else F.coalesce(fresh, old)
 
     ordered = list(keys) + [c for c in source.columns if c not in keys]
-    return joined.select(*[value(name).alias(name) for name in ordered])
+    merged = joined.select(*[value(name).alias(name) for name in ordered])
+    if how not in ("right", "outer"):
+        return merged
+    added = unknown_only(new, source, keys)
+    filled = [
+        quoted(n) if n in updated or n in keys else F.lit(None).cast(source.schema[n].dataType) for n in ordered
+    ]
+    return merged.unionAll(added.select(*[c.alias(n) for c, n in zip(filled, ordered)]))
 
 
 def refresh_closed(

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from closeworks.functions.rules import transition_code, transition_label
 from closeworks.operators.schema import quoted
@@ -29,43 +29,72 @@ class Windowed:
     final: object
 
 
+def _without_nulls(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
+    """Two columns without nulls per name: the value or a default, and whether it is null.
+
+    Joining on them by plain equality matches null with null and, unlike `<=>`, keeps the
+    partitioning that the window already has.
+    """
+    columns: dict[str, Column] = {}
+    for i, name in enumerate(names):
+        kind = df.schema[name].dataType
+        default = "1970-01-01" if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else 0
+        default = "" if isinstance(kind, T.StringType) else default
+        columns[f"__value_{i}"] = F.coalesce(quoted(name), F.lit(default).cast(kind))
+        columns[f"__null_{i}"] = F.isnull(quoted(name))
+    return columns
+
+
 def _order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[quoted(c) for c in order])
 
 
+def _across(keys: Sequence[str], blocks: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(*blocks)
+
+
 def row_number() -> Windowed:
     return Windowed(
-        local=lambda w, order: F.row_number().over(w),
+        local=lambda w: F.row_number().over(w),
         summary=lambda order: F.count(F.lit(1)),
-        carried=lambda s, w: F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        carried=lambda s, keys, blocks: F.sum(s).over(
+            _across(keys, blocks).rowsBetween(Window.unboundedPreceding, -1)
+        ),
         final=lambda local, carried, first: (F.coalesce(carried, F.lit(0)) + local).cast("int"),
     )
 
 
-def dense_rank() -> Windowed:
-    """Rank without gaps by the whole order; equal rows must share a block."""
+def dense_rank(depth: int | None = None) -> Windowed:
+    """Rank without gaps by the first `depth` block columns (all, if not given)."""
     return Windowed(
-        local=lambda w, order: F.dense_rank().over(w),
-        summary=lambda order: F.count_distinct(_order_struct(order)),
-        carried=lambda s, w: F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        final=lambda local, carried, first: (F.coalesce(carried, F.lit(0)) + local).cast("int"),
+        local=None,
+        summary=lambda order: F.lit(1),
+        carried=lambda s, keys, blocks: F.dense_rank().over(_across(keys, blocks[:depth])),
+        final=lambda local, carried, first: carried,
     )
 
 
-def rank() -> Windowed:
+def rank(depth: int | None = None) -> Windowed:
+    """Rank with gaps by the first `depth` block columns (all, if not given)."""
+
+    def carried(s, keys, blocks):
+        equal = Window.partitionBy(*keys, *blocks[:depth])
+        # The default frame of an ordered sum includes all equal rows.
+        return F.sum(s).over(_across(keys, blocks[:depth])) - F.sum(s).over(equal) + 1
+
     return Windowed(
-        local=lambda w, order: F.rank().over(w),
+        local=None,
         summary=lambda order: F.count(F.lit(1)),
-        carried=lambda s, w: F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        final=lambda local, carried, first: (F.coalesce(carried, F.lit(0)) + local).cast("int"),
+        carried=carried,
+        final=lambda local, carried, first: carried.cast("int"),
     )
 
 
 def lag(column: str) -> Windowed:
     return Windowed(
-        local=lambda w, order: F.lag(column).over(w),
+        local=lambda w: F.lag(column).over(w),
         summary=lambda order: F.max_by(F.struct(column), _order_struct(order)),
-        carried=lambda s, w: F.lag(s).over(w)[column],
+        carried=lambda s, keys, blocks: F.lag(s).over(_across(keys, blocks))[column],
         final=lambda local, carried, first: F.when(first, carried).otherwise(local),
     )
 
@@ -75,7 +104,7 @@ def first(column: str) -> Windowed:
     return Windowed(
         local=None,
         summary=lambda order: F.min_by(F.struct(column), _order_struct(order)),
-        carried=lambda s, w: F.first(s).over(w)[column],
+        carried=lambda s, keys, blocks: F.first(s).over(_across(keys, blocks))[column],
         final=lambda local, carried, first: carried,
     )
 
@@ -85,7 +114,7 @@ def total(column: str) -> Windowed:
     return Windowed(
         local=None,
         summary=lambda order: F.sum(column),
-        carried=lambda s, w: F.sum(s).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        carried=lambda s, keys, blocks: F.sum(s).over(Window.partitionBy(*keys)),
         final=lambda local, carried, first: carried,
     )
 
@@ -95,7 +124,7 @@ def highest(column: str) -> Windowed:
     return Windowed(
         local=None,
         summary=lambda order: F.max(column),
-        carried=lambda s, w: F.max(s).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        carried=lambda s, keys, blocks: F.max(s).over(Window.partitionBy(*keys)),
         final=lambda local, carried, first: carried,
     )
 
@@ -109,29 +138,34 @@ def per_key(
 ) -> DataFrame:
     """Add window values per key, ordered ascending by the columns of `order`.
 
-    `block` must never decrease along the order. One block of one key has to fit a task,
-    so choose it after the data: the month of the ordering date, the day, or the day and a
-    range of ids.
+    `block` must never decrease along the order. One block of one key has to fit a task, and so
+    have the summary rows of one key, so choose it after the data: the month of the ordering date,
+    the day, or the day and a range of ids. The input is read twice, once for the summaries;
+    after costly steps pass in a written table.
     """
     blocks = {f"__block_{i}": column for i, column in enumerate(block)}
-    keyed = df.withColumns(blocks)
+    blocked = df.withColumns(blocks)
     groups = [*keys, *blocks]
-    inside: WindowSpec = Window.partitionBy(*groups).orderBy(*order)
-    local = {f"__local_{n}": spec.local(inside, order) for n, spec in outputs.items() if spec.local}
-    if any(spec.local for spec in outputs.values()):
+    safe = _without_nulls(blocked, groups)
+    keyed = blocked.withColumns(safe)
+    inside: WindowSpec = Window.partitionBy(*safe).orderBy(*order)
+    local = {f"__local_{n}": spec.local(inside) for n, spec in outputs.items() if spec.local}
+    if local:
         local["__first"] = F.row_number().over(inside) == 1
     rows = keyed.withColumns(local) if local else keyed
 
-    summary = keyed.groupBy(*groups).agg(
+    # A block has one summary row, combined per task before the shuffle.
+    summary = blocked.groupBy(*groups).agg(
         *[spec.summary(order).alias(f"__summary_{n}") for n, spec in outputs.items()]
     )
-    across = Window.partitionBy(*keys).orderBy(*blocks)
     carried = summary.select(
-        *[quoted(g).alias(f"__of_{i}") for i, g in enumerate(groups)],
-        *[spec.carried(F.col(f"__summary_{n}"), across).alias(f"__carried_{n}") for n, spec in outputs.items()],
+        *[column.alias(name) for name, column in safe.items()],
+        *[
+            spec.carried(F.col(f"__summary_{n}"), list(keys), list(blocks)).alias(f"__carried_{n}")
+            for n, spec in outputs.items()
+        ],
     )
-    same_block = [quoted(g).eqNullSafe(F.col(f"__of_{i}")) for i, g in enumerate(groups)]
-    joined = rows.join(carried, reduce(Column.__and__, same_block), "left")
+    joined = rows.join(carried, list(safe), "left")
     is_first = F.col("__first") if "__first" in local else F.lit(None)
     values = {}
     for name, spec in outputs.items():

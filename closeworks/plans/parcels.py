@@ -12,6 +12,8 @@ from closeworks.operators.joins import inner_lookup, lookup
 from closeworks.operators.unions import union_all
 
 PAID_ON = "DATA_EFETIVA_DO_PAGAMENTO"
+# Payments of one case and day are cut into ranges of this size for numbering.
+VALUE_RANGE = 1000
 
 
 def cases_with_plan(closings: DataFrame) -> DataFrame:
@@ -33,7 +35,7 @@ def settlement_parts(payments: DataFrame, cases: DataFrame, settlements: DataFra
         rows,
         ["PROCESSO_ID"],
         [PAID_ON, "ACORDO", "SUB_TIPO", "PARCELAMENTO_ACORDO"],
-        [F.trunc(PAID_ON, "MM")],
+        [F.col(PAID_ON), F.floor(F.col("ACORDO") / VALUE_RANGE)],
         {"PARCELA": windows.row_number(), "DATA_DO_ACORDO": windows.first(PAID_ON)},
     )
     agreed = {
@@ -71,16 +73,13 @@ def conviction_parts(payments: DataFrame, since: str = "2022-01-01") -> DataFram
         ~F.col("PARCELAMENTO_CONDENACAO").isin(*V.NO_PLAN) & F.col("CONDENACAO").isNotNull()
     )
     rows = filters.in_period(rows, PAID_ON, start=since)
-    block = [F.trunc(PAID_ON, "MM")]
-    ranked = windows.per_key(
-        rows, ["PROCESSO_ID"], [PAID_ON], block, {"PARCELA": windows.dense_rank()}
-    )
     valued = windows.per_key(
-        ranked,
+        rows,
         ["PROCESSO_ID"],
         [PAID_ON, "CONDENACAO"],
-        block,
+        [F.col(PAID_ON), F.floor(F.col("CONDENACAO") / VALUE_RANGE)],
         {
+            "PARCELA": windows.dense_rank(depth=1),
             "DATA_DO_ACORDO": windows.first(PAID_ON),
             "__down_payment": windows.first("CONDENACAO"),
             "__paid": windows.total("CONDENACAO"),

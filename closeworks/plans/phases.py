@@ -33,7 +33,7 @@ def phase_history(snapshots: DataFrame, book: DataFrame, since: str) -> DataFram
 def roll_forward(history: DataFrame) -> DataFrame:
     """Transition code and label of each case and month against its previous snapshot."""
     return windows.phase_transitions(
-        history, "ID_PROCESSO", ["MES_FECH", "DP_FASE"], "DP_FASE", [F.trunc("MES_FECH", "MM")]
+        history, "ID_PROCESSO", ["MES_FECH", "DP_FASE"], "DP_FASE", [F.col("MES_FECH"), F.col("DP_FASE")]
     )
 
 

@@ -164,7 +164,7 @@ def termination_study(
         "NOVOS", F.coalesce("NOVOS", F.lit(0))
     )
     order = ["MES_FECH", "ID_PROCESSO", "DATA_DESLIGAMENTO"]
-    return windows.count_once(matched, ["MATRICULA"], order, [F.col("MES_FECH"), F.floor(F.col("ID_PROCESSO") / 1000)])
+    return windows.count_once(matched, ["MATRICULA"], order, [F.col("MES_FECH"), F.floor(F.col("ID_PROCESSO") / 1_000_000)])
 
 
 def active_headcount(
