@@ -126,6 +126,11 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     return df.select(*columns)
 
 
+def with_missing(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Add the columns that are not there as nulls of the given type."""
+    return df.withColumns({n: F.lit(None).cast(kind) for n, kind in types.items() if n not in df.columns})
+
+
 def insert_after(df: DataFrame, name: str, new: str, value: Column) -> DataFrame:
     position = df.columns.index(name) + 1
     columns = [quoted(c) for c in df.columns]

@@ -14,7 +14,7 @@ from closeworks.operators import filters
 from closeworks.operators.aggregates import keep_one
 from closeworks.operators.cleaning import nan_to_null
 from closeworks.operators.joins import lookup, org_lookup, refresh_closed
-from closeworks.operators.schema import existing
+from closeworks.operators.schema import existing, with_missing
 from closeworks.plans.payments import AMOUNT_COLS
 
 CONVICTION_COLS = [a for a in AMOUNT_COLS if a not in ("ACORDO", "PENSAO")]
@@ -87,8 +87,8 @@ def enriched_cases(
     taken = [c for c in MANAGERIAL_COLUMNS.values() if c in closings.columns and c != "DATA_REGISTRADO"]
     named = nan_to_null(closings.withColumnsRenamed(CLOSING_RENAMES)).drop(*taken)
     cases = org_lookup(filters.has_key(named, "ID_PROCESSO"), units, areas, "CENTRO_CUSTO_M", "EMPRESA", override)
-    cases = lookup(cases, managerial, {"ID_PROCESSO": "PROCESSO_ID"},
-                   {k: v for k, v in MANAGERIAL_COLUMNS.items() if k in managerial.columns})
+    types = {c: "date" if "DATA_" in c else "string" for c in MANAGERIAL_COLUMNS}
+    cases = lookup(cases, with_missing(managerial, types), {"ID_PROCESSO": "PROCESSO_ID"}, MANAGERIAL_COLUMNS)
     cases = cases.withColumns(
         {
             "NOVO_X_LEGADO": rules.new_or_legacy(F.col("DATACADASTRO"), cut),
@@ -191,9 +191,8 @@ def case_book(
     `managerial`, `totals` and the four dimensions hold each key once.
     """
     cases = enriched_cases(closings, managerial, units, areas, override, strategy_default=strategy_default)
-    missing = {a: F.lit(None).cast("double") for a in AMOUNT_COLS if a not in cases.columns}
     current = totals.withColumnsRenamed({"PROCESSO_ID": "ID_PROCESSO"})
-    book = refresh_closed(cases.withColumns(missing), current, AMOUNT_COLS)
+    book = refresh_closed(with_missing(cases, {a: "double" for a in AMOUNT_COLS}), current, AMOUNT_COLS)
     book = with_labels(with_measures(book), splits, defence_first)
     key = ["MES_FECH", "ID_PROCESSO", "NOVOS", "ENCERRADOS", "ESTOQUE"]
     tie_breakers = existing(book, ["DATACADASTRO", "TOTAL_PAGAMENTOS", "PROVISAO_TOTAL_M", "STATUS", "FASE"])

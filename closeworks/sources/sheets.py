@@ -151,8 +151,8 @@ def header_rows(grid: DataFrame, marker: str | None = None) -> DataFrame:
 
 def header_names(grid: DataFrame, marker: str | None = None) -> DataFrame:
     """Distinct column names of all tabs."""
-    names = F.explode(header_rows(grid, marker)["HEADER"])
-    return header_rows(grid, marker).select(names.alias("NAME")).filter("NAME is not null").distinct()
+    names = header_rows(grid, marker).select(F.explode("HEADER").alias("NAME"))
+    return names.filter("NAME is not null").distinct()
 
 
 def named_cell(name: str) -> Column:
