@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query, rounded, table
 from closeworks.functions import dates, text
+from closeworks.functions.fixed_values import NO_INFO
 from closeworks.operators import cleaning, schema
 
 # ---- text ---------------------------------------------------------------------
@@ -143,6 +144,22 @@ def first_non_null(spark, folder):
     )
 
 
+@query("""
+SELECT c_custkey, coalesce(n_name, 'Sem info') AS country FROM customer
+LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey <> 2""")
+def default_label(spark, folder):
+    nation = table(spark, folder, "nation").filter("n_regionkey <> 2").select("n_nationkey", "n_name")
+    joined = table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return joined.select("c_custkey", text.label_or(F.col("n_name"), NO_INFO).alias("country"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR text = '' OR text IS NULL THEN 0 ELSE 1 END AS has_text FROM documents""")
+def text_flag(spark, folder):
+    written = F.when(F.col("doc_id") % 3 != 0, F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", text.text_flag(written).alias("has_text"))
+
+
 @query("""
 SELECT lang, count(*) AS n, count(*) FILTER (text ILIKE '%LICENSE%') AS licensed
 FROM documents GROUP BY 1""")
@@ -346,6 +363,20 @@ def claim_period(spark, folder):
     )
 
 
+@query("""
+WITH c AS (SELECT c_custkey, o_orderdate::DATE AS hired, CASE WHEN o_orderkey % 4 <> 0 THEN (o_orderdate::DATE + (o_orderkey % 3000)::INTEGER)::DATE END AS left_on,
+             o_orderkey FROM customer JOIN orders ON c_custkey = o_custkey)
+SELECT o_orderkey, CASE WHEN left_on IS NULL THEN 'Sem info'
+    WHEN (year(left_on) * 12 + month(left_on)) - (year(hired) * 12 + month(hired)) - CASE WHEN day(left_on) < day(hired) THEN 1 ELSE 0 END <= 60
+    THEN year(left_on)::VARCHAR ELSE (year(left_on) - 5)::VARCHAR END AS vintage
+FROM c""")
+def claim_vintage(spark, folder):
+    key, hired = F.col("o_orderkey"), F.to_date("o_orderdate")
+    dismissed = F.when(key % 4 != 0, F.date_add(hired, (key % 3000).cast("int")))
+    vintage = dates.claim_vintage(dismissed, dates.whole_months(hired, dismissed))
+    return table(spark, folder, "orders").select("o_orderkey", vintage.alias("vintage"))
+
+
 # ---- names --------------------------------------------------------------------
 
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from catalog import dims, shapes
 from catalog.registry import query, rounded, table
 from closeworks.functions import fixed_values as V
-from closeworks.functions import rules
-from closeworks.operators import aggregates
+from closeworks.functions.text import format_brl
 from closeworks.plans import (
     agency,
     billing,
@@ -23,7 +22,8 @@ from closeworks.plans import (
     staff,
     tax_status,
 )
-from closeworks.plans.payments import AMOUNT_COLS, installment_forecast as forecast, payment_fact, payment_totals
+from closeworks.plans.payments import AMOUNT_COLS, classified_payments, payment_fact, payment_totals
+from closeworks.plans.payments import installment_forecast as forecast
 from closeworks.sources.dims import dim_from_rows
 
 
@@ -110,6 +110,17 @@ def _closing_inputs(spark, folder):
     return closing.clean_closing_sheet(sheet), managerial, fact, dims.calendar(spark)
 
 
+@query(f"""
+WITH {shapes.FACT}, {shapes.DAY_MONTHS}
+SELECT PROCESSO_ID, max(MES_CONTABIL) AS DT_ULT_PGTO, {", ".join(f"round(sum({a}), 2) AS {a}" for a in AMOUNT_COLS)},
+       round(sum(TOTAL), 2) AS TOTAL_PAGAMENTOS
+FROM fact JOIN day_months ON DIA = D WHERE MES_CONTABIL <= DATE '1998-12-01' GROUP BY 1""")
+def recognised_payments(spark, folder):
+    fact = payment_fact(shapes.payments(spark, folder), shapes.guarantees(spark, folder))
+    known = closing.recognised_payments(fact, dims.calendar(spark), "1998-12-01")
+    return rounded(known, *AMOUNT_COLS, "TOTAL_PAGAMENTOS")
+
+
 @query(f"WITH {_CLOSING_PARTS}, {_closing_sql('1999-06-01', 'a')} SELECT * FROM closing_a")
 def monthly_closing(spark, folder):
     book = closing.monthly_closing(*_closing_inputs(spark, folder), "1999-06-01")
@@ -593,8 +604,6 @@ SELECT r.PROCESSO_ID, SUB_TIPO, TIPO AS DP_SUB_TIPO, PARCELA::INTEGER AS PARCELA
        ELSE PROVISAO / QTD END AS PROVISAO_M_1_PARCELA
 FROM rows r LEFT JOIN plan ON r.PROCESSO_ID = plan.PROCESSO_ID AND date_trunc('month', PRIMEIRO) = MES_FECH""")
 def installment_control(spark, folder):
-    from closeworks.plans.payments import classified_payments
-
     line = F.col("LINHA")
     part = F.when(line % 3 == 0, "ÚLTIMA PARCELA DE ACORDO").otherwise("PARCELA DE ACORDO")
     paid = classified_payments(shapes.payments(spark, folder)).withColumn("PARCELAMENTO_ACORDO", F.when(line < 6, part))
@@ -815,8 +824,6 @@ SELECT o_orderkey AS ID_PROCESSO, o_totalprice AS VALOR_DO_ACORDO_FECHADO, CASE
        WHEN o_totalprice > 50000 THEN 'R$ 50 - 100 mil' WHEN o_totalprice > 1 THEN 'Até R$ 50 mil' END AS FAIXA
 FROM orders""")
 def weekly_settlements(spark, folder):
-    from closeworks.functions.text import format_brl
-
     status = F.col("o_orderstatus")
     sheet = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("ID."),
@@ -837,8 +844,6 @@ UNION ALL
 SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate::DATE END, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, o_orderpriority
 FROM orders WHERE o_orderstatus <> 'F'""")
 def normalised_table(spark, folder):
-    from closeworks.functions.text import format_brl
-
     key = F.col("o_orderkey")
     sheet = table(spark, folder, "orders").select(
         F.concat(key.cast("string"), F.lit("_x000D_")).alias("Processo - ID"),

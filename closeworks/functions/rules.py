@@ -70,10 +70,6 @@ def new_or_legacy(registered: Column, cut: str = "2020-01-01") -> Column:
     return F.when(registered >= F.lit(cut).cast("date"), "NOVO").otherwise("LEGADO")
 
 
-def company_override(company: Column, special: str, label: str, otherwise: Column) -> Column:
-    return F.when(company == special, label).otherwise(otherwise)
-
-
 def reporting_group(
     vp: Column,
     directorate: Column,

@@ -48,11 +48,11 @@ def has_key(df: DataFrame, *keys: str) -> DataFrame:
 def in_period(
     df: DataFrame, column: str, start: date | str | None = None, end: date | str | None = None
 ) -> DataFrame:
-    """Rows from `start` to `end`, both included; an open side is None."""
+    """Rows from `start` to the end of the day `end`; an open side is None."""
     if start is not None:
         df = df.filter(F.col(column) >= F.lit(start).cast("date"))
     if end is not None:
-        df = df.filter(F.col(column) <= F.lit(end).cast("date"))
+        df = df.filter(F.col(column) < F.date_add(F.lit(end).cast("date"), 1))
     return df
 
 

@@ -14,9 +14,18 @@ NAME_SEPARATORS = "()-._/|;?"
 LIST_SEPARATORS = "()-._/"
 
 
+# Signs of sheet headers that have a plain spelling but do not decompose into one.
+PLAIN_SIGNS = str.maketrans({"°": "deg", "–": "-", "—": "-", "’": "'", "‘": "'", "“": '"', "”": '"'})
+
+
+def without_marks(text: str) -> str:
+    """Text without accents, all other characters unchanged."""
+    return "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+
+
 def plain_letters(text: str) -> str:
-    """Text without accents; letters that have no plain form are dropped."""
-    decomposed = unicodedata.normalize("NFKD", text)
+    """ASCII spelling of a text; characters without one are dropped."""
+    decomposed = unicodedata.normalize("NFKD", text.translate(PLAIN_SIGNS))
     return decomposed.encode("ascii", "ignore").decode("ascii")
 
 

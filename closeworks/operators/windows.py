@@ -8,7 +8,7 @@ themselves are shuffled once, by key and block.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -21,12 +21,18 @@ from closeworks.operators.schema import quoted
 
 @dataclass(frozen=True)
 class Windowed:
-    """One output of `per_key`: local value, block summary, carried value, final value."""
+    """One output of `per_key`.
 
-    local: object
-    summary: object
-    carried: object
-    final: object
+    `local` is the value within the block, `summary` the aggregate of a block, `carried` what
+    the summaries of a key give for the block, and `final` combines local and carried values.
+    Instead of a summary, `edge` names a column of the first or last row of the block.
+    """
+
+    carried: Callable[[Column, list[str], list[str]], Column]
+    final: Callable[[Column, Column, Column], Column]
+    local: Callable[[WindowSpec], Column] | None = None
+    summary: Column | None = None
+    edge: tuple[str, str] | None = None
 
 
 def _without_nulls(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
@@ -45,10 +51,6 @@ def _without_nulls(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
     return columns
 
 
-def _order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*[quoted(c) for c in order])
-
-
 def _across(keys: Sequence[str], blocks: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*blocks)
 
@@ -56,7 +58,7 @@ def _across(keys: Sequence[str], blocks: Sequence[str]) -> WindowSpec:
 def row_number() -> Windowed:
     return Windowed(
         local=lambda w: F.row_number().over(w),
-        summary=lambda order: F.count(F.lit(1)),
+        summary=F.count(F.lit(1)),
         carried=lambda s, keys, blocks: F.sum(s).over(
             _across(keys, blocks).rowsBetween(Window.unboundedPreceding, -1)
         ),
@@ -67,8 +69,7 @@ def row_number() -> Windowed:
 def dense_rank(depth: int | None = None) -> Windowed:
     """Rank without gaps by the first `depth` block columns (all, if not given)."""
     return Windowed(
-        local=None,
-        summary=lambda order: F.lit(1),
+        summary=F.count(F.lit(1)),
         carried=lambda s, keys, blocks: F.dense_rank().over(_across(keys, blocks[:depth])),
         final=lambda local, carried, first: carried,
     )
@@ -83,18 +84,15 @@ def rank(depth: int | None = None) -> Windowed:
         return F.sum(s).over(_across(keys, blocks[:depth])) - F.sum(s).over(equal) + 1
 
     return Windowed(
-        local=None,
-        summary=lambda order: F.count(F.lit(1)),
-        carried=carried,
-        final=lambda local, carried, first: carried.cast("int"),
+        summary=F.count(F.lit(1)), carried=carried, final=lambda local, carried, first: carried.cast("int")
     )
 
 
 def lag(column: str) -> Windowed:
     return Windowed(
         local=lambda w: F.lag(column).over(w),
-        summary=lambda order: F.max_by(F.struct(column), _order_struct(order)),
-        carried=lambda s, keys, blocks: F.lag(s).over(_across(keys, blocks))[column],
+        edge=("last", column),
+        carried=lambda s, keys, blocks: F.lag(s).over(_across(keys, blocks)),
         final=lambda local, carried, first: F.when(first, carried).otherwise(local),
     )
 
@@ -102,9 +100,8 @@ def lag(column: str) -> Windowed:
 def first(column: str) -> Windowed:
     """Value of the first row of the key."""
     return Windowed(
-        local=None,
-        summary=lambda order: F.min_by(F.struct(column), _order_struct(order)),
-        carried=lambda s, keys, blocks: F.first(s).over(_across(keys, blocks))[column],
+        edge=("first", column),
+        carried=lambda s, keys, blocks: F.first(s).over(_across(keys, blocks)),
         final=lambda local, carried, first: carried,
     )
 
@@ -112,8 +109,7 @@ def first(column: str) -> Windowed:
 def total(column: str) -> Windowed:
     """Sum over the whole key."""
     return Windowed(
-        local=None,
-        summary=lambda order: F.sum(column),
+        summary=F.sum(column),
         carried=lambda s, keys, blocks: F.sum(s).over(Window.partitionBy(*keys)),
         final=lambda local, carried, first: carried,
     )
@@ -122,13 +118,33 @@ def total(column: str) -> Windowed:
 def highest(column: str) -> Windowed:
     """Maximum over the whole key."""
     return Windowed(
-        local=None,
-        summary=lambda order: F.max(column),
+        summary=F.max(column),
         carried=lambda s, keys, blocks: F.max(s).over(Window.partitionBy(*keys)),
         final=lambda local, carried, first: carried,
     )
 
 
+def _summaries(blocked: DataFrame, groups: list[str], order: Sequence[str], outputs: Mapping[str, Windowed]):
+    """One row per block, combined per task before the shuffle.
+
+    All columns wanted from the first or last row of a block come from one aggregate.
+    """
+    wanted: dict[str, list[str]] = {}
+    for spec in outputs.values():
+        if spec.edge:
+            wanted.setdefault(spec.edge[0], []).append(spec.edge[1])
+    pick = {"first": F.min_by, "last": F.max_by}
+    position = F.struct(*[quoted(c) for c in order])
+    edges = [
+        pick[edge](F.struct(*dict.fromkeys(columns)), position).alias(f"__{edge}")
+        for edge, columns in wanted.items()
+    ]
+    plain = [spec.summary.alias(f"__summary_{n}") for n, spec in outputs.items() if not spec.edge]
+    summary = blocked.groupBy(*groups).agg(*edges, *plain)
+    columns = {n: F.col(f"__{s.edge[0]}")[s.edge[1]] if s.edge else F.col(f"__summary_{n}") for n, s in outputs.items()}
+    return summary, columns
+
+
 def per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -154,14 +170,11 @@ def per_key(
         local["__first"] = F.row_number().over(inside) == 1
     rows = keyed.withColumns(local) if local else keyed
 
-    # A block has one summary row, combined per task before the shuffle.
-    summary = blocked.groupBy(*groups).agg(
-        *[spec.summary(order).alias(f"__summary_{n}") for n, spec in outputs.items()]
-    )
+    summary, columns = _summaries(blocked, groups, order, outputs)
     carried = summary.select(
         *[column.alias(name) for name, column in safe.items()],
         *[
-            spec.carried(F.col(f"__summary_{n}"), list(keys), list(blocks)).alias(f"__carried_{n}")
+            spec.carried(columns[n], list(keys), list(blocks)).alias(f"__carried_{n}")
             for n, spec in outputs.items()
         ],
     )

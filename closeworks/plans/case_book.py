@@ -70,11 +70,31 @@ CLOSING_RENAMES = {
     "VLR_CAUSA": "VALOR_DA_CAUSA",
     "CARTEIRA": "PROCESSO_ESTEIRA",
     "ACORDOS": "ACORDO",
+    "MEDIA_DE_PAGAMENTO": "MEDIA_PAGAMENTO",
+    "%_SOCIO_M": "PERC_SOCIO_M",
+    "%_EMPRESA_M": "PERC_EMPRESA_M",
+    "SOCIO:_PROVISAO_TOTAL_M": "SOCIO_PROVISAO_TOTAL_M",
+    "EMPRESA:_PROV_TOTAL_PASSIVO_M": "EMPRESA_PROV_TOTAL_PASSIVO_M",
+    "EMPRESA:_PROVISAO_MOV_M": "EMPRESA_PROVISAO_MOV_M",
 }
 
 
+def tidy_closings(closings: DataFrame) -> DataFrame:
+    """Closings with canonical names and real nulls, one row per case, month and flags.
+
+    Columns that the managerial base has too are dropped; its values count.
+    """
+    taken = [c for c in MANAGERIAL_COLUMNS.values() if c in closings.columns and c != "DATA_REGISTRADO"]
+    named = nan_to_null(closings.withColumnsRenamed(CLOSING_RENAMES)).drop(*taken)
+    named = with_missing(filters.has_key(named, "ID_PROCESSO"), {a: "double" for a in AMOUNT_COLS})
+    named = named.withColumn("NOVOS", F.coalesce("NOVOS", "REATIVADOS"))
+    key = ["MES_FECH", "ID_PROCESSO", "NOVOS", "ENCERRADOS", "ESTOQUE"]
+    tie_breakers = existing(named, ["DATACADASTRO", "TOTAL_PAGAMENTOS", "PROVISAO_TOTAL_M", "STATUS", "FASE"])
+    return keep_one(named, key, tie_breakers)
+
+
 def enriched_cases(
-    closings: DataFrame,
+    book: DataFrame,
     managerial: DataFrame,
     units: DataFrame,
     areas: DataFrame,
@@ -83,10 +103,7 @@ def enriched_cases(
     strategy_default: str | None = None,
 ) -> DataFrame:
     """Closings with organisation, managerial data, party rules and the claim period."""
-    # A closing may carry columns the managerial base has too; the managerial ones count.
-    taken = [c for c in MANAGERIAL_COLUMNS.values() if c in closings.columns and c != "DATA_REGISTRADO"]
-    named = nan_to_null(closings.withColumnsRenamed(CLOSING_RENAMES)).drop(*taken)
-    cases = org_lookup(filters.has_key(named, "ID_PROCESSO"), units, areas, "CENTRO_CUSTO_M", "EMPRESA", override)
+    cases = org_lookup(book, units, areas, "CENTRO_CUSTO_M", "EMPRESA", override)
     types = {c: "date" if "DATA_" in c else "string" for c in MANAGERIAL_COLUMNS}
     cases = lookup(cases, with_missing(managerial, types), {"ID_PROCESSO": "PROCESSO_ID"}, MANAGERIAL_COLUMNS)
     cases = cases.withColumns(
@@ -99,7 +116,6 @@ def enriched_cases(
             ),
             "TERCEIRO_AJUSTADO": F.coalesce("TERCEIRO_PRINCIPAL", "NOVO_TERCEIRO"),
             "PARTE_CONTRARIA_CARGO_GRUPO": text.strip_suffix(F.col("PARTE_CONTRARIA_CARGO_GRUPO"), " PARA"),
-            "NOVOS": F.coalesce("NOVOS", "REATIVADOS"),
             "FASE": rules.ministry_phase(F.col("PARTE_CONTRARIA_NOME"), F.col("FASE")),
             "PERIODO1": dates.claim_start(F.col("DISTRIBUICAO"), F.col("DATA_ADMISSAO")),
             "PERIODO2": dates.claim_end(F.col("DISTRIBUICAO"), F.col("DATA_DISPENSA")),
@@ -190,13 +206,11 @@ def case_book(
 
     `managerial`, `totals` and the four dimensions hold each key once.
     """
-    cases = enriched_cases(closings, managerial, units, areas, override, strategy_default=strategy_default)
+    # De-duplicate and refresh first, while the rows are still narrow.
     current = totals.withColumnsRenamed({"PROCESSO_ID": "ID_PROCESSO"})
-    book = refresh_closed(with_missing(cases, {a: "double" for a in AMOUNT_COLS}), current, AMOUNT_COLS)
-    book = with_labels(with_measures(book), splits, defence_first)
-    key = ["MES_FECH", "ID_PROCESSO", "NOVOS", "ENCERRADOS", "ESTOQUE"]
-    tie_breakers = existing(book, ["DATACADASTRO", "TOTAL_PAGAMENTOS", "PROVISAO_TOTAL_M", "STATUS", "FASE"])
-    book = keep_one(book, key, tie_breakers)
+    refreshed = refresh_closed(tidy_closings(closings), current, AMOUNT_COLS)
+    cases = enriched_cases(refreshed, managerial, units, areas, override, strategy_default=strategy_default)
+    book = with_labels(with_measures(cases), splits, defence_first)
     book = lookup(book, state_clusters, {"ESTADO": "DE"}, {"PARA": "CLUSTER_VALOR"})
     book = lookup(book, third_parties, {"TERCEIRO_AJUSTADO": "EMPRESA_TERCEIRIZADA"}, {"TERCEIRO_AJUSTADO": "__third"})
     return book.withColumn("ET", text.label_or(F.col("__third"), V.NO_INFO)).drop("__third")

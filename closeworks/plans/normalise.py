@@ -64,5 +64,5 @@ def cost_driver(sheet: DataFrame) -> DataFrame:
 def payments_control(sheet: DataFrame, renames: Mapping[str, str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
     """Fee payments: plain upper-case names, textual nulls removed."""
     kept = sheet.drop(*drop)
-    plain = kept.toDF(*[schema.plain_letters(n).replace(" ", "_").upper() for n in kept.columns])
+    plain = kept.toDF(*[schema.without_marks(n).replace(" ", "_").upper() for n in kept.columns])
     return cleaning.null_text(schema.rename(plain, renames or {}))

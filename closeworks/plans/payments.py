@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closeworks.functions import fixed_values as V
 from closeworks.operators import aggregates, filters, installments
 from closeworks.operators.joins import full_outer_coalesce
 
@@ -62,6 +61,3 @@ def installment_forecast(payments: DataFrame) -> DataFrame:
     counted = installments.remaining_parts(installments.highest_part(plans))
     return installments.expand_parts(counted)
 
-
-def payments_of_kind(payments: DataFrame, kind: str) -> DataFrame:
-    return payments.filter(F.col("SUB_TIPO").isin(*V.PAYMENT_CLASSES[kind]))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Runtime settings: adaptive plans, splitting of hot join keys even where that costs an
-# extra shuffle, and a join strategy chosen by measured sizes.
+# extra shuffle, and generated code also for the wide rows of the case book.
 SETTINGS = {
+    "spark.sql.codegen.maxFields": "300",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

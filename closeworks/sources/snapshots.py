@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from closeworks.functions.dates import name_date
+from closeworks.operators.filters import in_period
 from closeworks.operators.schema import quoted
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, merge_schema: bool = False
+) -> DataFrame:
+    """Parquet table. For snapshots with different columns name the full schema; merging the
+    schemas of all files instead opens every file and is for small tables."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -30,15 +36,11 @@ def read_snapshots(
     period: str = "MES_FECH",
     start: date | str | None = None,
     end: date | str | None = None,
-    merge_schema: bool = True,
+    schema: T.StructType | str | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Snapshots from `start` to `end`; only the directories of those periods are read."""
-    df = read_table(spark, path, merge_schema)
-    if start is not None:
-        df = df.filter(F.col(period) >= F.lit(start).cast("date"))
-    if end is not None:
-        df = df.filter(F.col(period) <= F.lit(end).cast("date"))
-    return df
+    return in_period(read_table(spark, path, schema, merge_schema), period, start, end)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

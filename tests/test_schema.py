@@ -23,6 +23,11 @@ def test_compress_accents_and_snake(spark):
     assert schema.snake_columns(df, upper=True).columns == ["CODIGO_DO_ITEM", "ACAO_NO"]
 
 
+def test_signs_in_names():
+    assert schema.plain_letters("N° – Situação ½º") == "Ndeg - Situacao 12o"
+    assert schema.without_marks("N° Requisição") == "N° Requisicao"
+
+
 def test_repeated_names(spark):
     df = spark.createDataFrame([(1, "a", 2, 3)], ["id", "name", "x", "y"]).toDF("id", "name", "id", "id")
     first = schema.dedupe_columns_first(df)

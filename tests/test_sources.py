@@ -103,12 +103,14 @@ def test_overwriting_replaces_only_the_written_periods(spark, tmp_path):
     snapshots.write_period(spark.createDataFrame([(3, day("2024-02-01"))], "v int, MES_FECH date"), path)
     drifted = spark.createDataFrame([(4, "x", day("2024-03-01"))], "v int, extra string, MES_FECH date")
     snapshots.write_period(drifted, path, mode="append")
-    found = snapshots.read_snapshots(spark, path)
+    found = snapshots.read_snapshots(spark, path, merge_schema=True)
     assert rows(found.select("v", "extra", "MES_FECH")) == [
         (1, None, day("2024-01-01")), (3, None, day("2024-02-01")), (4, "x", day("2024-03-01"))
     ]
     window = snapshots.read_snapshots(spark, path, start="2024-02-01", end="2024-02-01")
     assert rows(window.select("v")) == [(3,)]
+    named = snapshots.read_snapshots(spark, path, schema="v int, extra string, MES_FECH date")
+    assert rows(named.select("v", "extra")) == [(1, None), (3, None), (4, "x")]
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(MES_FECH" in plan
 
