@@ -62,7 +62,7 @@ _CLOSING_PARTS = shapes.FACT + ", " + shapes.DAY_MONTHS + """, sheet AS (
 ger AS (
   SELECT o_orderkey AS PROCESSO_ID, (o_orderdate::DATE - 1)::DATE AS DATA_REGISTRADO, lower(o_orderstatus) AS STATUS,
          CASE WHEN o_orderkey % 7 <> 0 THEN 'RECURSAL' END AS FASE, o_orderpriority AS CARTEIRA
-  FROM orders WHERE o_orderkey % 3 <> 0),
+  FROM orders WHERE o_orderpriority <> '3-MEDIUM'),
 joined AS (
   SELECT s.*, g.*, coalesce(g.FASE, s.FASE_M) AS FASE_NOVO FROM sheet s LEFT JOIN ger g ON s.ID_PROCESSO = g.PROCESSO_ID),
 dated AS (SELECT f.*, MES_CONTABIL FROM fact f LEFT JOIN day_months ON f.DIA = D)"""
@@ -98,7 +98,7 @@ def _closing_inputs(spark, folder):
         (status == "F").cast("int").alias("ENCERRADOS"),
         F.col("o_totalprice").alias("PROVISAO_MOV_M"),
     )
-    managerial = orders.filter(key % 3 != 0).select(
+    managerial = orders.filter("o_orderpriority <> '3-MEDIUM'").select(
         key.alias("PROCESSO_ID"),
         F.date_sub(day, 1).alias("DATA_REGISTRADO"),
         F.lower(status).alias("STATUS"),
@@ -146,7 +146,7 @@ def closing_history(spark, folder):
 _BOOK_SQL = shapes.FACT + """, case_totals AS (
   SELECT o_custkey AS P, max(DT_ULT_PGTO) AS D, sum(ACORDO) AS a, sum(CONDENACAO) AS c, sum(PENHORA) AS ph, sum(PENSAO) AS ps,
          sum(OUTROS_PAGAMENTOS) AS o, sum(IMPOSTO) AS i, sum(GARANTIA) AS g
-  FROM totals JOIN orders ON PROCESSO_ID = o_orderkey WHERE o_custkey % 10 <> 0 GROUP BY 1),
+  FROM totals JOIN orders ON PROCESSO_ID = o_orderkey WHERE o_orderstatus = 'F' GROUP BY 1),
 closings AS (
   SELECT o_custkey AS ID_PROCESSO, date_trunc('month', o_orderdate)::DATE AS MES_FECH,
          (o_orderdate::DATE - (o_orderkey % 3000)::INTEGER)::DATE AS DATACADASTRO, (o_orderdate::DATE - 30)::DATE AS DISTRIBUICAO,
@@ -162,7 +162,7 @@ person AS (
          CASE WHEN c_custkey % 40 = 0 THEN 'MINISTERIO PUBLICO DO TRABALHO' ELSE c_name END AS PARTE,
          CASE c_mktsegment WHEN 'BUILDING' THEN 'VENDEDOR' WHEN 'FURNITURE' THEN 'CAIXA' ELSE 'PINTOR' END AS CARGO_GRUPO,
          CASE WHEN c_custkey % 6 = 0 THEN 'TERCEIRO SOLVENTE' END AS NATUREZA
-  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 13 <> 0),
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment <> 'HOUSEHOLD'),
 latest AS (SELECT ID_PROCESSO AS P, max(MES_FECH) AS m FROM closings WHERE ENCERRADOS = 1 GROUP BY 1),
 fresh AS (
   SELECT c.*, coalesce(NOVOS_, REATIVADOS) AS NOVOS, (l.m IS NOT NULL AND ENCERRADOS = 1) AS renewed, t.*
@@ -231,7 +231,7 @@ def _customer_book(spark, folder):
         F.lit(None).cast("date").alias("DT_ULT_PGTO"),
         F.lit(0.0).alias("TOTAL_PAGAMENTOS"),
     )
-    people = customer.filter("c_custkey % 13 <> 0")
+    people = customer.filter("c_mktsegment <> 'HOUSEHOLD'")
     hired = F.date_add(F.lit("1988-01-15").cast("date"), (F.col("c_custkey") % 3000).cast("int"))
     segment = F.col("c_mktsegment")
     managerial = people.select(
@@ -253,7 +253,7 @@ def _customer_book(spark, folder):
         F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("PARTE_CONTRARIA_CPF"),
     )
     fact = payment_fact(shapes.payments(spark, folder), shapes.guarantees(spark, folder))
-    owners = orders.filter("o_custkey % 10 <> 0").select("o_orderkey", "o_custkey")
+    owners = orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
     totals = payment_totals(fact).join(owners, F.col("PROCESSO_ID") == F.col("o_orderkey"))
     totals = totals.groupBy(F.col("o_custkey").alias("PROCESSO_ID")).agg(
         F.max("DT_ULT_PGTO").alias("DT_ULT_PGTO"),
@@ -322,7 +322,7 @@ WITH c AS (
   SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS MES_FECH, o_orderdate::DATE AS CADASTRO, o_totalprice,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'COORD ADM LOJA' WHEN '2-HIGH' THEN 'VENDEDOR' ELSE 'CAIXA' END AS CARGO,
     CASE WHEN o_orderkey % 5 = 0 THEN 'TERCEIRO INSOLVENTE' WHEN o_orderkey % 5 = 1 THEN 'PRÓPRIO' END AS NATUREZA,
-    CASE WHEN o_orderkey % 4 <> 0 THEN (o_orderdate::DATE - 20)::DATE END AS FILED,
+    CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN (o_orderdate::DATE - 20)::DATE END AS FILED,
     CASE o_orderkey % 3 WHEN 0 THEN DATE '1900-01-01' WHEN 1 THEN (o_orderdate::DATE + 5)::DATE END AS PAGO
   FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= DATE '1998-07-01' AND o_orderdate < DATE '2000-07-01')
 SELECT o_orderkey AS ID_PROCESSO, CADASTRO, o_totalprice AS TOTAL_PAGAMENTOS, MES_FECH, (MES_FECH + 19)::DATE AS DIA_CORTE,
@@ -350,7 +350,8 @@ def modelling_base(spark, folder):
                                      "CLUSTER_AGING", "SAFRA_RECLAMACAO")],
         missing.cast("date").alias("DISTRIBUICAO"),
     )
-    managerial = orders.filter(key % 4 != 0).select(key.alias("PROCESSO_ID"), F.date_sub(day, 20).alias("DISTRIBUICAO"))
+    filed = orders.filter("o_orderpriority <> '4-NOT SPECIFIED'")
+    managerial = filed.select(key.alias("PROCESSO_ID"), F.date_sub(day, 20).alias("DISTRIBUICAO"))
     cuts = book.select("MES_FECH").distinct().withColumn("DIA_CORTE", F.date_add("MES_FECH", 19))
     base = modelling.modelling_base(book, managerial, cuts, "2000-06-01")
     return base.select(
@@ -412,7 +413,7 @@ def _organisation(spark, folder):
 @query("""
 WITH f AS (
   SELECT o_orderkey, o_custkey, o_orderdate::DATE AS DESLIGAMENTO, (o_orderdate::DATE - (o_orderkey % 3000)::INTEGER)::DATE AS ADMISSAO,
-         o_orderkey % 25 AS CENTRO, o_orderpriority AS FUNCAO, CASE o_orderkey % 3 WHEN 0 THEN '19980105' WHEN 1 THEN '19990104' ELSE '20000103' END AS f
+         o_orderkey % 25 AS CENTRO, o_orderpriority AS FUNCAO, CASE o_orderstatus WHEN 'F' THEN '19980105' WHEN 'O' THEN '19990104' ELSE '20000103' END AS f
   FROM orders),
 w(f, a, b) AS (VALUES ('19980105', DATE '1995-01-01', DATE '1997-12-31'), ('19990104', DATE '1998-01-01', DATE '1998-12-31'), ('20000103', DATE '1999-01-01', DATE '2001-12-31')),
 v AS (SELECT f.* FROM f JOIN w ON f.f = w.f WHERE DESLIGAMENTO BETWEEN a AND b),
@@ -432,7 +433,7 @@ def terminations_monthly(spark, folder):
     orders = table(spark, folder, "orders")
     key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
     files = []
-    for i, (name, _, _) in enumerate(_FILES):
+    for i, (status, (name, _, _)) in enumerate(zip("FOP", _FILES)):
         columns = [
             key.alias("MATRICULA"),
             F.col("o_custkey").alias("CPF"),
@@ -443,7 +444,7 @@ def terminations_monthly(spark, folder):
             F.col("o_orderpriority").alias("FUNCAO"),
             F.lit(f"HC por Status {name}.xlsx").alias("SOURCE"),
         ]
-        files.append(orders.filter(key % 3 == i).select(*columns))
+        files.append(orders.filter(F.col("o_orderstatus") == status).select(*columns))
     windows = dim_from_rows(spark, _FILES, "ARQUIVO string, DT_INICIO date, DT_FIM date")
     reported = staff.reported_terminations(files, windows)
     book = shapes.cases(spark, folder).select(
@@ -464,9 +465,9 @@ def terminations_monthly(spark, folder):
 
 @query("""
 WITH t AS (
-  SELECT * FROM (SELECT s_suppkey AS MATRICULA, c_custkey AS CPF, (DATE '1996-01-01' + (c_custkey % 2000)::INTEGER)::DATE AS DESL,
-      row_number() OVER (PARTITION BY s_suppkey ORDER BY c_custkey % 2000 DESC, c_custkey) AS rn
-    FROM customer JOIN supplier ON c_custkey % 200 = s_suppkey) WHERE rn = 1),
+  SELECT * FROM (SELECT c_custkey // 2 AS MATRICULA, c_custkey AS CPF, (DATE '1996-01-01' + (c_custkey % 2000)::INTEGER)::DATE AS DESL,
+      row_number() OVER (PARTITION BY c_custkey // 2 ORDER BY c_custkey % 2000 DESC, c_custkey) AS rn
+    FROM customer) WHERE rn = 1),
 m AS (
   SELECT MATRICULA, CPF, DESL, o_orderkey, date_trunc('month', o_orderdate)::DATE AS MES_FECH FROM t
   LEFT JOIN orders ON o_custkey = CPF)
@@ -475,17 +476,18 @@ SELECT lpad(MATRICULA::VARCHAR, 8, '0') AS MATRICULA, DESL AS DATA_DESLIGAMENTO,
   (row_number() OVER (PARTITION BY MATRICULA ORDER BY MES_FECH NULLS FIRST, o_orderkey, DESL) = 1)::INTEGER AS QTDE
 FROM m""")
 def termination_study(spark, folder):
-    # One employee per supplier; several customers stand for repeated terminations.
-    customer, supplier = table(spark, folder, "customer"), table(spark, folder, "supplier").select("s_suppkey")
+    # Two customers stand for two terminations of one employee.
+    customer = table(spark, folder, "customer")
     left = F.date_add(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") % 2000).cast("int"))
-    rows = customer.join(supplier, F.col("c_custkey") % 200 == F.col("s_suppkey")).select(
-        F.col("s_suppkey").cast("string").alias("MATRICULA"), F.col("c_custkey").alias("CPF"),
+    rows = customer.select(
+        F.floor(F.col("c_custkey") / 2).cast("string").alias("MATRICULA"), F.col("c_custkey").alias("CPF"), "c_mktsegment",
         F.when(F.col("c_custkey") % 2 == 0, "Desligado-R").otherwise("DESLIGADO").alias("STATUS_COLABORADOR"),
         # The hiring date separates terminations of one day by the person.
         F.date_sub(F.lit("1996-01-01").cast("date"), F.col("c_custkey").cast("int")).alias("DATA_ADMISSAO"),
         left.alias("DATA_DESLIGAMENTO"),
     )
-    history, previews = rows.filter("CPF % 3 <> 0"), rows.filter("CPF % 3 < 2").withColumn("EMAIL", F.lit("x"))
+    history = rows.filter("c_mktsegment <> 'BUILDING'").drop("c_mktsegment")
+    previews = rows.filter("c_mktsegment <> 'MACHINERY'").withColumnRenamed("c_mktsegment", "SETOR")
     everyone = staff.all_terminations(history, previews)
     book = shapes.cases(spark, folder).select(
         "ID_PROCESSO", "MES_FECH", F.lit(1).alias("NOVOS"), F.lpad(F.col("CUSTOMER").cast("string"), 11, "0").alias("cpf")
@@ -582,8 +584,8 @@ a AS (
   FROM classified WHERE ACORDO IS NOT NULL AND LINHA < 6),
 plan AS (
   SELECT PROCESSO_ID, MES_FECH, FASE_M, PROVISAO FROM (
-    SELECT o_orderkey AS PROCESSO_ID, DATE '1997-01-01' AS MES_FECH, 'INICIAL' AS FASE_M, o_totalprice AS PROVISAO FROM orders WHERE o_orderkey % 3 = 0
-    UNION ALL SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE, 'FINAL', o_totalprice FROM orders WHERE o_orderkey % 3 = 1)),
+    SELECT o_orderkey AS PROCESSO_ID, DATE '1997-01-01' AS MES_FECH, 'INICIAL' AS FASE_M, o_totalprice AS PROVISAO FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE, 'FINAL', o_totalprice FROM orders WHERE o_orderstatus = 'O')),
 an AS (
   SELECT a.*, row_number() OVER (PARTITION BY a.PROCESSO_ID ORDER BY DIA, ACORDO, SUB_TIPO, P) AS PARCELA, min(DIA) OVER (PARTITION BY a.PROCESSO_ID) AS PRIMEIRO
   FROM a JOIN plan ON a.PROCESSO_ID = plan.PROCESSO_ID),
@@ -591,8 +593,8 @@ rows AS (
   SELECT PROCESSO_ID, SUB_TIPO, 'CONDENAÇÃO' AS TIPO, PARCELA, 7 AS QTD, CASE WHEN PAGO >= ACORDADO THEN 'SIM' ELSE 'NÃO' END AS QUITADO, DIA, PRIMEIRO,
          CONDENACAO AS PAGA, ACORDADO, CASE WHEN PARCELA = 1 THEN CONDENACAO ELSE (CONDENACAO / 0.3 - CONDENACAO) / 6 END AS PARTE FROM cn
   UNION ALL
-  SELECT an.PROCESSO_ID, SUB_TIPO, 'ACORDO', PARCELA, CASE WHEN an.PROCESSO_ID % 2 = 0 THEN 4 END, NULL, DIA, PRIMEIRO, ACORDO,
-         CASE WHEN an.PROCESSO_ID % 2 = 0 THEN o_totalprice END, ACORDO FROM an JOIN orders ON PROCESSO_ID = o_orderkey)"""
+  SELECT an.PROCESSO_ID, SUB_TIPO, 'ACORDO', PARCELA, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 4 END, NULL, DIA, PRIMEIRO, ACORDO,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_totalprice END, ACORDO FROM an JOIN orders ON PROCESSO_ID = o_orderkey)"""
 
 
 @query(f"""
@@ -609,16 +611,17 @@ def installment_control(spark, folder):
     paid = classified_payments(shapes.payments(spark, folder)).withColumn("PARCELAMENTO_ACORDO", F.when(line < 6, part))
     orders = table(spark, folder, "orders")
     key = F.col("o_orderkey")
-    closings = orders.filter(key % 3 < 2).select(
+    closed = F.col("o_orderstatus") == "F"
+    closings = orders.filter("o_orderstatus <> 'P'").select(
         key.alias("ID_PROCESSO"),
         F.lit("PARCELA DE ACORDO").alias("PARCELAMENTO_ACORDO"),
         F.lit(None).cast("string").alias("PARCELAMENTO_CONDENACAO"),
-        F.when(key % 3 == 0, F.lit("1997-01-01").cast("date")).otherwise(F.trunc(F.to_date("o_orderdate"), "MM")).alias("MES_FECH"),
-        F.when(key % 3 == 0, "INICIAL").otherwise("FINAL").alias("FASE_M"),
+        F.when(closed, F.lit("1997-01-01").cast("date")).otherwise(F.trunc(F.to_date("o_orderdate"), "MM")).alias("MES_FECH"),
+        F.when(closed, "INICIAL").otherwise("FINAL").alias("FASE_M"),
         F.col("o_totalprice").alias("PROVISAO_M_1"),
         F.col("o_totalprice").alias("PROVISAO_TOTAL_M_1"),
     )
-    agreed = orders.filter(key % 2 == 0).select(
+    agreed = orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(
         key.alias("ID"), F.lit(4).alias("QUANTIDADE_DE_PARCELAS"), F.col("o_totalprice").alias("VALOR_DO_ACORDO_FECHADO"),
         *[F.lit(None).cast("double").alias(f"ALCADA_{i}") for i in (1, 2, 3)],
     )
@@ -674,7 +677,7 @@ WITH t AS (
     CASE WHEN l_linenumber = 1 THEN 'NÃO FATURADO' WHEN l_linenumber < 7 THEN 'FATURADO' END AS FATURAR, l_linestatus = 'F' AS LATE
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 prices AS (SELECT substr(o_orderpriority, 1, 1) AS SERVICE, max(o_totalprice) AS a, min(o_totalprice) AS r FROM orders GROUP BY 1),
-h AS (SELECT DISTINCT l_orderkey AS K, substr(o_orderpriority, 1, 1) AS S, l_shipdate::DATE AS D FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey % 10 = 0),
+h AS (SELECT DISTINCT l_orderkey AS K, substr(o_orderpriority, 1, 1) AS S, l_shipdate::DATE AS D FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 3),
 v AS (
   SELECT t.*, CASE WHEN FATURAR = 'NÃO FATURADO' THEN 0 WHEN OFFICE = 'A' THEN a WHEN OFFICE = 'R' THEN r END AS VALOR,
          CASE WHEN OFFICE = 'A' THEN 0.1::DOUBLE WHEN OFFICE = 'R' THEN 25.0::DOUBLE END AS DESCONTO, h.K IS NOT NULL AS paid
@@ -698,7 +701,7 @@ def calculator_billing(spark, folder):
         F.max("o_totalprice").alias("A"), F.min("o_totalprice").alias("R"), F.max(F.lit(None).cast("double")).alias("N")
     )
     penalties = prices.select("TIPO_DE_TAREFA", F.lit(0.1).alias("A"), F.lit(25.0).alias("R"))
-    history = tasks.filter("l_suppkey % 10 = 0").select(
+    history = tasks.filter("l_linenumber = 3").select(
         "PROCESSO_ID", F.substring("OBSERVACAO", -1, 1).alias("NATUREZA_DO_SERVICO"),
         F.to_date("DATA_DE_CONFIRMACAO", "dd/MM/yyyy").alias("DATA_DE_CONFIRMACAO"),
     )
@@ -714,17 +717,17 @@ def calculator_billing(spark, folder):
 WITH t AS (
   SELECT o_orderkey, c_nationkey::VARCHAR AS OFFICE, CASE o_orderpriority WHEN '1-URGENT' THEN 'MÉDICA' WHEN '2-HIGH' THEN 'CONTÁBIL' WHEN '3-MEDIUM' THEN 'AMBIENTAL' END AS REPORT,
     CASE o_orderstatus WHEN 'F' THEN 'ANEXAR QUESITO' WHEN 'O' THEN 'CÁLCULO' ELSE 'ACOMPANHAR' END AS TASK,
-    CASE WHEN o_orderkey % 10 = 0 THEN 'NÃO FATURADO' ELSE 'FATURADO' END AS BILL, o_totalprice
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 10 < 9),
+    CASE WHEN o_orderstatus = 'P' THEN 'NÃO FATURADO' ELSE 'FATURADO' END AS BILL, n_regionkey AS R
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderpriority <> '5-LOW'),
 n AS (SELECT OFFICE, REPORT, count(*) AS n FROM t GROUP BY 1, 2),
 v AS (
   SELECT t.*, CASE WHEN BILL = 'NÃO FATURADO' THEN 0
-      WHEN t.REPORT = 'MÉDICA' AND t.OFFICE::INTEGER < 10 THEN CASE WHEN n <= 10 THEN 100 WHEN n <= 30 THEN 90 WHEN n <= 50 THEN 80 ELSE 70 END + t.OFFICE::INTEGER
-      WHEN TASK = 'CÁLCULO' AND t.OFFICE::INTEGER >= 20 THEN 55
+      WHEN t.REPORT = 'MÉDICA' AND R < 2 THEN CASE WHEN n <= 10 THEN 100 WHEN n <= 30 THEN 90 WHEN n <= 50 THEN 80 ELSE 70 END + t.OFFICE::INTEGER
+      WHEN TASK = 'CÁLCULO' AND R = 4 THEN 55
       WHEN t.REPORT = 'CONTÁBIL' THEN 40 END::DOUBLE AS VALOR,
     CASE WHEN TASK = 'ANEXAR QUESITO' AND t.OFFICE <> '3' THEN 0.5::DOUBLE END AS DESCONTO
   FROM t JOIN n ON t.OFFICE = n.OFFICE AND t.REPORT IS NOT DISTINCT FROM n.REPORT),
-h AS (SELECT o_custkey AS K, count(*) AS n, sum(o_totalprice) AS paid FROM orders WHERE o_orderstatus = 'P' AND o_custkey < 5000 GROUP BY 1)
+h AS (SELECT o_custkey AS K, count(*) AS n, sum(o_totalprice) AS paid FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
 SELECT o_orderkey AS PROCESSO_ID, OFFICE AS ESCRITORIO, REPORT AS PERICIA_AJUSTADA, VALOR, DESCONTO,
   CASE WHEN h.n IS NOT NULL THEN 0 ELSE VALOR * coalesce(DESCONTO, 1) END AS VALOR_FINAL, coalesce(h.n, 0) AS QTD_OCORRENCIAS_NO_HISTORICO,
   round(coalesce(paid, 0), 2) AS VALOR_PAGAMENTOS_ANTERIORES, CASE WHEN h.n IS NOT NULL THEN 'NÃO FATURAR' ELSE BILL END AS FATURAR,
@@ -740,20 +743,20 @@ def expert_billing(spark, folder):
         "ESCRITORIO",
         priority.alias("TIPO_DE_PERICIA"),
         F.when(status == "F", "ANEXAR QUESITO").when(status == "O", "CÁLCULO").otherwise("ACOMPANHAR").alias("TIPO_DA_TAREFA"),
-        F.when(key % 10 == 0, "não faturar").when(key % 10 < 9, "Faturar").alias("ANALISE"),
+        F.when(priority == "5-LOW", "EM ANÁLISE").when(status == "P", "não faturar").otherwise("Faturar").alias("ANALISE"),
     )
     reference = dim_from_rows(
         spark, [("1-URGENT", "MÉDICA"), ("2-HIGH", "CONTÁBIL"), ("3-MEDIUM", "AMBIENTAL")], "DE string, PARA string"
     )
-    offices = table(spark, folder, "nation").select(F.col("n_nationkey").alias("n"), F.col("n_nationkey").cast("string").alias("ESCRITORIO"))
-    band_prices = offices.filter("n < 10").select(
+    offices = table(spark, folder, "nation").select(F.col("n_nationkey").alias("n"), "n_regionkey", F.col("n_nationkey").cast("string").alias("ESCRITORIO"))
+    band_prices = offices.filter("n_regionkey < 2").select(
         "ESCRITORIO", F.lit("MÉDICA").alias("TIPO_DE_PERICIA"), F.lit("X").alias("TIPO_ACAO"),
         *[(F.col("n") + 100.0 - 10 * i).alias(label) for i, (_, _, label) in enumerate(V.VOLUME_BANDS)],
     )
-    task_prices = offices.filter("n >= 20").select("ESCRITORIO", F.lit("CÁLCULO").alias("TIPO"), F.lit(55.0).alias("VALOR"))
+    task_prices = offices.filter("n_regionkey = 4").select("ESCRITORIO", F.lit("CÁLCULO").alias("TIPO"), F.lit(55.0).alias("VALOR"))
     report_prices = offices.select("ESCRITORIO", F.lit("CONTÁBIL").alias("TIPO_DE_PERICIA"), F.lit(40.0).alias("VALOR"))
     discounts = dim_from_rows(spark, [("ANEXAR QUESITO", 0.5), ("CÁLCULO", 0.1)], "QUESITO string, VALOR double")
-    history = orders.filter("o_orderstatus = 'P' AND o_custkey < 5000").select(
+    history = orders.filter("o_orderstatus = 'P'").select(
         F.col("o_custkey").cast("string").alias("PROCESSO_ID"), F.lit("MÉDICA").alias("TIPO_DE_PERICIA"), F.lit("FATURADO").alias("FATURAR"),
         F.lit("5").alias("FORNECEDOR"), F.lit("CÁLCULO").alias("TIPO_DA_TAREFA"), F.col("o_totalprice").alias("PRECO_FINAL"),
     )

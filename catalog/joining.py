@@ -20,9 +20,9 @@ SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'PRÓPRIA' ELSE n_na
   CASE WHEN c_mktsegment = 'MACHINERY' THEN 'PRÓPRIA' ELSE 'CHEFE ' || upper(r_name) END AS RESPONSAVEL_AREA,
   CASE WHEN c_mktsegment = 'MACHINERY' THEN 'PROP' ELSE 'AREA ' || r_regionkey::VARCHAR END AS AREA_FUNCIONAL,
   n_name AS DESCRICAO_CENTRO_CUSTO
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey <> 7 LEFT JOIN region ON n_regionkey = r_regionkey""")
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_name <> 'NATION_7' LEFT JOIN region ON n_regionkey = r_regionkey""")
 def org_lookup(spark, folder):
-    nation = table(spark, folder, "nation").filter("n_nationkey <> 7")
+    nation = table(spark, folder, "nation").filter("n_name <> 'NATION_7'")
     units = nation.select(F.col("n_nationkey").alias("CENTRO_DE_CUSTO"), F.col("n_name").alias("BU"))
     areas = nation.join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("CENTRO"),
@@ -150,9 +150,10 @@ def file_month(spark, folder):
 def _source_and_new(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     sums = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.sum("l_extendedprice").alias("o_totalprice"), F.min("l_returnflag").alias("o_orderstatus")
+        F.sum("l_extendedprice").alias("o_totalprice"), F.min("l_returnflag").alias("o_orderstatus"),
+        F.count(F.lit(1)).alias("n"),
     )
-    new = sums.filter("l_orderkey % 3 = 0").select(
+    new = sums.filter("n >= 4").select(
         # Every ninth key is one the orders do not have.
         F.when(F.col("l_orderkey") % 9 == 0, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("o_orderkey"),
         F.when(F.col("o_orderstatus") != "N", F.col("o_orderstatus")).alias("o_orderstatus"),
@@ -164,7 +165,7 @@ def _source_and_new(spark, folder):
 _NEW_SQL = """new AS (
   SELECT CASE WHEN l_orderkey % 9 = 0 THEN -1 - l_orderkey ELSE l_orderkey END AS o_orderkey,
          nullif(min(l_returnflag), 'N') AS o_orderstatus, round(sum(l_extendedprice), 2) AS o_totalprice
-  FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY l_orderkey)"""
+  FROM lineitem GROUP BY l_orderkey HAVING count(*) >= 4)"""
 
 
 @query(f"""
@@ -207,7 +208,7 @@ totals AS (
   SELECT o_custkey AS ID_PROCESSO, max(l_shipdate)::DATE AS DT_ULT_PGTO,
          round(sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END), 2) AS ACORDO,
          round(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END), 2) AS CONDENACAO
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 4 <> 0 GROUP BY 1),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O' GROUP BY 1),
 latest AS (SELECT ID_PROCESSO, max(MES_FECH) AS m FROM book WHERE ENCERRADOS = 1 GROUP BY 1),
 j AS (
   SELECT b.*, (l.m IS NOT NULL AND b.ENCERRADOS = 1) AS fresh, t.DT_ULT_PGTO AS d, coalesce(t.ACORDO, 0) AS a, coalesce(t.CONDENACAO, 0) AS c
@@ -234,7 +235,7 @@ def refresh_closed(spark, folder):
     by_order = items.groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("last"), F.sum(F.when(flag == "A", price)).alias("a"), F.sum(F.when(flag == "R", price)).alias("r")
     )
-    owners = orders.filter("o_custkey % 4 <> 0").select("o_orderkey", F.col("o_custkey").alias("ID_PROCESSO"))
+    owners = orders.filter("o_orderstatus = 'O'").select("o_orderkey", F.col("o_custkey").alias("ID_PROCESSO"))
     totals = by_order.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("ID_PROCESSO").agg(
         F.to_date(F.max("last")).alias("DT_ULT_PGTO"),
         F.round(F.sum("a"), 2).alias("ACORDO"),
