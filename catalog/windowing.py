@@ -16,6 +16,11 @@ def _order_blocks():
     return [F.col("day"), F.floor(F.col("o_orderkey") / 1_000_000_000)]
 
 
+def _minutes():
+    """Events by day and minute of the day."""
+    return [F.to_date("ts"), F.hour("ts") * 60 + F.minute("ts")]
+
+
 _EVENTS_SQL = """e AS (
   SELECT user_id, ts, event_id, CASE WHEN event_type = 'error' THEN 'ENCERRADO' ELSE event_type END AS DP_FASE FROM events),
 p AS (SELECT *, lag(DP_FASE) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ant FROM e),
@@ -29,7 +34,7 @@ t AS (
 def _transitions(spark, folder):
     phase = F.when(F.col("event_type") == "error", "ENCERRADO").otherwise(F.col("event_type"))
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", phase.alias("DP_FASE"))
-    return windows.phase_transitions(events, "user_id", ["ts", "event_id"], "DP_FASE", [F.date_trunc("minute", "ts")])
+    return windows.phase_transitions(events, "user_id", ["ts", "event_id"], "DP_FASE", _minutes())
 
 
 @query(f"""

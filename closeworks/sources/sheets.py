@@ -11,6 +11,7 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -34,16 +35,34 @@ def _column_index(reference: str) -> int:
     return index - 1
 
 
+def _elements(stream, parent: str, child: str) -> Iterator[ElementTree.Element]:
+    """Complete children of the parent, one at a time, freed after use."""
+    container = None
+    for event, element in ElementTree.iterparse(stream, events=("start", "end")):
+        tag = _tag(element)
+        if event == "start" and tag == parent:
+            container = element
+        elif event == "end" and tag == child:
+            yield element
+            container.clear()
+
+
+def _written(element) -> str:
+    """Text of a string item without its reading aids."""
+    texts = []
+    for part in element:
+        if _tag(part) == "t":
+            texts.append(part.text or "")
+        elif _tag(part) == "r":
+            texts.extend(t.text or "" for t in part if _tag(t) == "t")
+    return "".join(texts)
+
+
 def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
-    texts = []
     with book.open("xl/sharedStrings.xml") as stream:
-        for _, element in ElementTree.iterparse(stream):
-            if _tag(element) == "si":
-                texts.append("".join(t.text or "" for t in element.iter() if _tag(t) == "t"))
-                element.clear()
-    return texts
+        return [_written(item) for item in _elements(stream, "sst", "si")]
 
 
 def _date_styles(book: zipfile.ZipFile) -> set[int]:
@@ -76,9 +95,9 @@ def _tabs(book: zipfile.ZipFile) -> list[tuple[str, str]]:
 def _cell_text(cell, strings: list[str], date_styles: set[int]) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter() if _tag(t) == "t")
+        return "".join(_written(item) for item in cell if _tag(item) == "is")
     value = next((v.text for v in cell if _tag(v) == "v"), None)
-    if value is None:
+    if value is None or kind == "e":
         return None
     if kind == "s":
         return strings[int(value)]
@@ -89,23 +108,31 @@ def _cell_text(cell, strings: list[str], date_styles: set[int]) -> str | None:
 
 
 def _rows(book, path, strings, date_styles, first_row, first_column) -> Iterator[tuple[int, list]]:
+    number = 0
     with book.open(path) as stream:
-        number = 0
-        for _, row in ElementTree.iterparse(stream):
-            if _tag(row) != "row":
-                continue
+        for row in _elements(stream, "sheetData", "row"):
             number = int(row.get("r", number + 1))
-            if number >= first_row:
-                cells: list[str | None] = []
-                for cell in row:
-                    at = _column_index(cell.get("r")) if cell.get("r") else len(cells) + first_column
-                    if at >= first_column:
-                        cells.extend([None] * (at - first_column - len(cells)))
-                        text = (_cell_text(cell, strings, date_styles) or "").strip()
-                        cells.append(text or None)
-                if any(c is not None for c in cells):
-                    yield number, cells
-            row.clear()
+            if number < first_row:
+                continue
+            cells: list[str | None] = []
+            for cell in row:
+                at = _column_index(cell.get("r")) if cell.get("r") else len(cells) + first_column
+                if at >= first_column:
+                    cells.extend([None] * (at - first_column - len(cells)))
+                    text = (_cell_text(cell, strings, date_styles) or "").strip()
+                    cells.append(text or None)
+            if any(c is not None for c in cells):
+                yield number, cells
+
+
+def _grid(name: str, content: bytes, sheet_pattern: str, first_row: int, first_column: int) -> Iterator[tuple]:
+    """Rows of all matching tabs of one workbook."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        strings, date_styles = _shared_strings(book), _date_styles(book)
+        for sheet, part in _tabs(book):
+            if re.search(sheet_pattern, sheet):
+                for number, cells in _rows(book, part, strings, date_styles, first_row, first_column):
+                    yield name, sheet, number, cells
 
 
 def read_sheets(
@@ -121,21 +148,9 @@ def read_sheets(
     def unpack(batches):
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as book:
-                    strings, date_styles = _shared_strings(book), _date_styles(book)
-                    for sheet, part in _tabs(book):
-                        if not re.search(sheet_pattern, sheet):
-                            continue
-                        rows = []
-                        for number, cells in _rows(
-                            book, part, strings, date_styles, int(first_row), first_column
-                        ):
-                            rows.append((name, sheet, number, cells))
-                            if len(rows) == BATCH_ROWS:
-                                yield pd.DataFrame(rows, columns=["SOURCE_FILE", "SHEET", "ROW_NO", "CELLS"])
-                                rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=["SOURCE_FILE", "SHEET", "ROW_NO", "CELLS"])
+                rows = _grid(name, content, sheet_pattern, int(first_row), first_column)
+                while chunk := list(islice(rows, BATCH_ROWS)):
+                    yield pd.DataFrame(chunk, columns=["SOURCE_FILE", "SHEET", "ROW_NO", "CELLS"])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(unpack, GRID_SCHEMA)

@@ -68,6 +68,14 @@ def test_workbook_tabs_become_rows(spark, tmp_path):
     assert rows(named.select("ID", "Valor", "Outra")) == [("1", "x", None), ("2", "2.5", None)]
 
 
+def test_long_tabs_come_in_batches(spark, tmp_path):
+    write_workbook(tmp_path / "a.xlsx", {"T": [[i, f"texto {i % 7}"] for i in range(3 * sheets.BATCH_ROWS + 5)]})
+    grid = sheets.read_sheets(spark, str(tmp_path / "a.xlsx"))
+    assert grid.agg(F.count("ROW_NO"), F.max("ROW_NO"), F.countDistinct(F.col("CELLS")[1])).first() == (
+        3 * sheets.BATCH_ROWS + 5, 3 * sheets.BATCH_ROWS + 5, 7
+    )
+
+
 def test_books_of_several_files_and_layouts(spark, tmp_path):
     write_workbook(
         tmp_path / "05.03.2024 Fechamento.xlsx",
@@ -87,13 +95,14 @@ def test_books_of_several_files_and_layouts(spark, tmp_path):
 
 
 def test_inline_strings_and_wide_columns(spark, tmp_path):
-    sheet = f'<worksheet {NS}><sheetData><row r="1"><c r="AB1" t="inlineStr"><is><t>z</t></is></c></row></sheetData></worksheet>'
+    cells = '<c r="A1" t="e"><v>#N/A</v></c><c r="AB1" t="inlineStr"><is><r><t>z</t></r><r><t>w</t></r><rPh><t>no</t></rPh></is></c>'
+    sheet = f'<worksheet {NS}><sheetData><row r="1">{cells}</row></sheetData></worksheet>'
     write_workbook(tmp_path / "a.xlsx", {"T": [[1]]})
     with zipfile.ZipFile(tmp_path / "a.xlsx") as old, zipfile.ZipFile(tmp_path / "b.xlsx", "w") as new:
         for name in old.namelist():
             new.writestr(name, sheet if "sheet1" in name else old.read(name))
     cells = sheets.read_sheets(spark, str(tmp_path / "b.xlsx")).first()["CELLS"]
-    assert len(cells) == 28 and cells[27] == "z" and set(cells[:27]) == {None}
+    assert len(cells) == 28 and cells[27] == "zw" and set(cells[:27]) == {None}
 
 
 def test_overwriting_replaces_only_the_written_periods(spark, tmp_path):
