@@ -318,7 +318,7 @@ def termination_match(spark, folder):
         F.to_date("o_orderdate").alias("day"),
     )
     latest = aggregates.keep_one(filters.has_key(new, "CPF"), ["CPF"], [F.desc("day"), "ID_PROCESSO"])
-    found = joins.lookup(people, latest, "CPF", ["ID_PROCESSO", "day"])
+    found = joins.lookup(people, latest, "CPF", ["ID_PROCESSO", "day"], derived=True)
     cut = F.lit("1999-01-01").cast("date")
     agrees = dates_agree(F.col("ID_PROCESSO"), F.least("day", cut), cut)
     return found.withColumn("FLAG_DT_DISPENSA", agrees).drop("day")

@@ -67,7 +67,7 @@ def history_totals(
     totals = history.groupBy(*[quoted(k) for k in pairs.values()]).agg(
         F.count(F.lit(1)).alias("__count"), F.sum(value).alias("__sum")
     )
-    found = lookup(df, totals, pairs, {"__count": count_name, "__sum": sum_name}, null_safe)
+    found = lookup(df, totals, pairs, {"__count": count_name, "__sum": sum_name}, null_safe, derived=True)
     return found.fillna(0, subset=[count_name, sum_name])
 
 

@@ -33,7 +33,7 @@ def highest_part(df: DataFrame, case: str = "PROCESSO_ID") -> DataFrame:
     """Add NUMERO_PARCELA, the highest of the case as MAIOR_PARCELA, and a SIM/NÃO mark on it."""
     numbered = df.withColumn("NUMERO_PARCELA", part_number(F.col(PLAN)))
     highest = numbered.groupBy(case).agg(F.max("NUMERO_PARCELA").alias("__highest"))
-    found = lookup(numbered, highest, case, {"__highest": "MAIOR_PARCELA"})
+    found = lookup(numbered, highest, case, {"__highest": "MAIOR_PARCELA"}, derived=True)
     is_highest = F.col("MAIOR_PARCELA") == F.col("NUMERO_PARCELA")
     return found.withColumn("E_MAIOR_PARCELA", F.when(is_highest, "SIM").otherwise("NÃO"))
 

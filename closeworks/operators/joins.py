@@ -32,12 +32,18 @@ def lookup(
     columns: Mapping[str, str] | Sequence[str],
     null_safe: bool = False,
     how: str = "left",
+    derived: bool = False,
 ) -> DataFrame:
     """Add columns of `dim`, which holds each key once, without multiplying rows.
 
     `keys` names the key columns, or maps ours to those of `dim`; `columns` names the wanted
     columns, or maps those of `dim` to the names they get. With `null_safe` a missing
     key matches a missing key, as concatenated text keys would.
+
+    `derived` says that `dim` was grouped or de-duplicated by these keys just before. Spark would
+    reuse that partitioning, and adaptive execution splits a hot key only where both sides are
+    shuffled for the join itself. A null-safe comparison makes it shuffle the small side again;
+    null keys are taken out of it, so they still match nothing.
     """
     pairs = _pairs(keys)
     names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
@@ -48,16 +54,18 @@ def lookup(
     matches = []
     for i, (ours, _) in enumerate(pairs):
         left_key, right_key = quoted(ours), F.col(f"__key_{i}")
-        matches.append(left_key.eqNullSafe(right_key) if null_safe else left_key == right_key)
+        if derived and not null_safe:
+            right = right.filter(right_key.isNotNull())
+        matches.append(left_key.eqNullSafe(right_key) if null_safe or derived else left_key == right_key)
     joined = df.join(right, reduce(Column.__and__, matches), how)
     kept = [quoted(c) for c in df.columns if c not in names.values()]
     added = [F.col(f"__new_{i}").alias(new) for i, new in enumerate(names.values())]
     return joined.select(*kept, *added)
 
 
-def inner_lookup(df, dim, keys, columns=()) -> DataFrame:
+def inner_lookup(df, dim, keys, columns=(), derived: bool = False) -> DataFrame:
     """As `lookup`, for rows with a match only."""
-    return lookup(df, dim, keys, columns, how="inner")
+    return lookup(df, dim, keys, columns, how="inner", derived=derived)
 
 
 def full_outer_coalesce(
@@ -76,16 +84,26 @@ def flag_exists(
     pairs = _pairs(keys)
     known = history.select(*[quoted(theirs) for _, theirs in pairs]).distinct()
     known = known.withColumn("__known", F.lit(True))
-    found = lookup(df, known, keys, {"__known": flag}, null_safe)
+    # `known` has the names of the history.
+    found = lookup(df, known, dict(pairs), {"__known": flag}, null_safe, derived=True)
     return found.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def _by_membership(df: DataFrame, history: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on equal keys, written so that a hot key can be split (see `lookup`)."""
+    known = history.select(*[quoted(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).dropna().distinct()
+    same = [quoted(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)]
+    return df.join(known, reduce(Column.__and__, same), how)
+
+
 def known_only(df: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(history.select(*keys).distinct(), list(keys), "left_semi")
+    """Rows whose key occurs in the history."""
+    return _by_membership(df, history, keys, "left_semi")
 
 
 def unknown_only(df: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(history.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows whose key does not occur in the history, or is null."""
+    return _by_membership(df, history, keys, "left_anti")
 
 
 def merge_update(
@@ -101,11 +119,12 @@ def merge_update(
     A new value wins if it is not null; with `null_overwrites` it wins on every matched row.
     `columns` limits the update to some columns. With `how` right or outer the rows that only
     `new` has are added with their keys; they come from an anti join, because a full outer
-    join cannot split a hot key between tasks.
+    join cannot split a hot key between tasks. Null keys match nothing (see `lookup` for the
+    null-safe comparison).
     """
     left = source.alias("a")
-    right = new.withColumn("__matched", F.lit(True)).alias("b")
-    condition = reduce(Column.__and__, [F.col(f"a.`{k}`") == F.col(f"b.`{k}`") for k in keys])
+    right = new.dropna(subset=list(keys)).withColumn("__matched", F.lit(True)).alias("b")
+    condition = reduce(Column.__and__, [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys])
     joined = left.join(right, condition, "left" if how in ("left", "outer") else "inner")
     updated = set(new.columns if columns is None else columns) & set(new.columns) - set(keys)
 
@@ -223,5 +242,5 @@ def discount_for(
 def last_per_key(df: DataFrame, key: str, month: str) -> DataFrame:
     """Rows of the last month of each key (several if they share it)."""
     last = df.groupBy(key).agg(F.max(month).alias("__last"))
-    joined = lookup(df, last, key, {"__last": "__last"})
+    joined = lookup(df, last, key, {"__last": "__last"}, derived=True)
     return joined.filter(F.col(month) == F.col("__last")).drop("__last")

@@ -78,8 +78,8 @@ def agency_book(
 ) -> DataFrame:
     """Closings with payments, guarantees, the closing reason and managerial data."""
     case = {"ID_PROCESSO": "PROCESSO_ID"}
-    paid = lookup(closings, agency_payments(payments, calendar), case, [*V.AGENCY_PAYMENT_CLASSES, "MES_PAGAMENTO"])
-    paid = lookup(paid, agency_guarantees(guarantees, calendar), case, ["GARANTIA", "MES_GARANTIA"])
+    paid = lookup(closings, agency_payments(payments, calendar), case, [*V.AGENCY_PAYMENT_CLASSES, "MES_PAGAMENTO"], derived=True)
+    paid = lookup(paid, agency_guarantees(guarantees, calendar), case, ["GARANTIA", "MES_GARANTIA"], derived=True)
     settlement, conviction, seizure, guarantee = (
         F.coalesce(F.col(c), F.lit(0.0)) for c in ("ACORDO", "CONDENACAO", "PENHORA", "GARANTIA")
     )

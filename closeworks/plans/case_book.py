@@ -220,6 +220,7 @@ def tax_extract(book: DataFrame, totals: DataFrame, month: date | str) -> DataFr
     """Cases closed from the given month on, with what has been paid on them by now."""
     closed = filters.in_period(filters.flagged(book, "ENCERRADOS"), "MES_FECH", start=month)
     closed = closed.drop(*AMOUNT_COLS, "TOTAL_PAGAMENTOS", "DT_ULT_PGTO", "MOTIVO_ENC_AGRP")
-    found = lookup(closed, totals, {"ID_PROCESSO": "PROCESSO_ID"}, [*AMOUNT_COLS, "TOTAL_PAGAMENTOS", "DT_ULT_PGTO"])
+    amounts = [*AMOUNT_COLS, "TOTAL_PAGAMENTOS", "DT_ULT_PGTO"]
+    found = lookup(closed, totals, {"ID_PROCESSO": "PROCESSO_ID"}, amounts, derived=True)
     reason = rules.closing_reason(F.col("ENCERRADOS"), F.col("ACORDO"), [F.col(a) for a in CONVICTION_COLS])
     return found.withColumn("MOTIVO_ENC_AGRP", reason)

@@ -86,7 +86,7 @@ def monthly_closing(
     paid = recognised_payments(fact, calendar, closing_month)
     paid = paid.withColumn("__closed", F.lit(1))
     amounts = ["DT_ULT_PGTO", *AMOUNT_COLS, "TOTAL_PAGAMENTOS"]
-    return lookup(enriched, paid, {"ID_PROCESSO": "PROCESSO_ID", "ENCERRADOS": "__closed"}, amounts)
+    return lookup(enriched, paid, {"ID_PROCESSO": "PROCESSO_ID", "ENCERRADOS": "__closed"}, amounts, derived=True)
 
 
 def closing_history(closings: Sequence[DataFrame]) -> DataFrame:

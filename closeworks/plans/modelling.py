@@ -44,7 +44,7 @@ def modelling_base(
     closed = closed_in_window(book, base, months).drop("DISTRIBUICAO")
     closed = lookup(closed, cuts, "MES_FECH", ["DIA_CORTE"])
     filed = keep_one(managerial.select("PROCESSO_ID", "DISTRIBUICAO"), ["PROCESSO_ID"], [F.asc_nulls_last("DISTRIBUICAO")])
-    found = lookup(closed, filed, {"ID_PROCESSO": "PROCESSO_ID"}, ["DISTRIBUICAO"])
+    found = lookup(closed, filed, {"ID_PROCESSO": "PROCESSO_ID"}, ["DISTRIBUICAO"], derived=True)
     title, nature = F.col("PARTE_CONTRARIA_CARGO_GRUPO"), F.col("NATUREZA_OPERACIONAL")
     last_payment = F.when(F.col("DT_ULT_PGTO") != F.lit("1900-01-01").cast("date"), F.col("DT_ULT_PGTO"))
     filing = F.coalesce("DISTRIBUICAO", "DATACADASTRO")

@@ -30,7 +30,7 @@ def settlement_parts(payments: DataFrame, cases: DataFrame, settlements: DataFra
     rows = rows.filter(
         filters.is_settlement_part(F.col("PARCELAMENTO_ACORDO")) & F.col("ACORDO").isNotNull()
     )
-    rows = inner_lookup(rows, cases, {"PROCESSO_ID": "ID_PROCESSO"})
+    rows = inner_lookup(rows, cases, {"PROCESSO_ID": "ID_PROCESSO"}, derived=True)
     numbered = windows.per_key(
         rows,
         ["PROCESSO_ID"],

@@ -24,7 +24,7 @@ def phase_history(snapshots: DataFrame, book: DataFrame, since: str) -> DataFram
     )
     open_cases = filters.not_flagged(recent, "ENCERRADOS")
     grouped = snapshots.withColumn("DP_FASE", rules.group_phase(F.col("FASE"), null_label="DEMAIS"))
-    found = joins.lookup(grouped, closed, "ID_PROCESSO", ["MES_ENCERRADO"])
+    found = joins.lookup(grouped, closed, "ID_PROCESSO", ["MES_ENCERRADO"], derived=True)
     is_closed = F.col("MES_FECH") == F.col("MES_ENCERRADO")
     phases = found.withColumn("DP_FASE", F.when(is_closed, V.CLOSED_PHASE).otherwise(F.col("DP_FASE")))
     return joins.known_only(phases, open_cases, ["ID_PROCESSO"]).select("ID_PROCESSO", "MES_FECH", "DP_FASE")

@@ -83,7 +83,7 @@ def terminations_monthly(
         "NOVOS": "NOVOS",
         "MES_FECH": "MES_FECH",
     }
-    matched = lookup(staff, cases, "CPF", case_columns)
+    matched = lookup(staff, cases, "CPF", case_columns, derived=True)
     return matched.withColumns(
         {
             "MES_DATA_DISPENSA_PROCESSO": dates.month_start(F.col("DATA_DISPENSA_PROCESSO")),
@@ -115,7 +115,9 @@ def with_nature(terminations: DataFrame, managerial: DataFrame) -> DataFrame:
     ).filter(F.col("__registration").isNotNull())
     nature = nature.groupBy("__registration").agg(F.min("NATUREZA_OPERACIONAL").alias("NATUREZA_OPERACIONAL"))
     numbered = terminations.withColumn("__own", F.col("MATRICULA").try_cast("bigint"))
-    return lookup(numbered, nature, {"__own": "__registration"}, ["NATUREZA_OPERACIONAL"]).drop("__own")
+    return lookup(
+        numbered, nature, {"__own": "__registration"}, ["NATUREZA_OPERACIONAL"], derived=True
+    ).drop("__own")
 
 
 def all_terminations(history: DataFrame, previews: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def roll_status(previous: DataFrame, closing: DataFrame, month: date | str, orde
     """
     current = aggregates.keep_one(filters.has_key(closing, "ID_PROCESSO"), ["ID_PROCESSO"], order)
     columns = {"STATUS_M": "__status", "MOTIVO_MOVIMENTACAO": "__motive", "PROVISAO_TOTAL_M": "__provision"}
-    found = lookup(previous, current, "ID_PROCESSO", columns)
+    found = lookup(previous, current, "ID_PROCESSO", columns, derived=True)
     rolled = carried_status(F.col("__status"), F.col(STATUS), F.col("__motive"), F.col("__provision"))
     return found.withColumns({STATUS: rolled, "MES_FECH": F.lit(month).cast("date")}).drop(*columns.values())
 

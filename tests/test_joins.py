@@ -37,6 +37,15 @@ def test_merge_keeps_keys_for_every_kind_of_join(spark, how, ids):
     assert sorted(r["id"] for r in merged.collect()) == ids
 
 
+def test_null_keys_match_nothing_in_a_merge(spark):
+    source = spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string")
+    new = spark.createDataFrame([(None, "X"), (1, "B")], "id int, v string")
+    assert rows(joins.merge_update(source, new, ["id"])) == [(1, "B"), (None, "a")]
+    assert rows(joins.merge_update(source, new, ["id"], how="outer")) == [(1, "B"), (None, "X"), (None, "a")]
+    for derived in (False, True):
+        assert rows(joins.lookup(source, new, "id", {"v": "w"}, derived=derived)) == [(1, "b", "B"), (None, "a", None)]
+
+
 def test_lookup_never_multiplies_and_can_match_nulls(spark):
     df = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "id int, k string")
     dim = spark.createDataFrame([("x", 10), (None, 20)], "key string, v int")

@@ -160,3 +160,45 @@ def test_hot_key_in_lookup_and_merge(spark):
     merged = joins.merge_update(df, new, ["k"])
     assert merged.count() == df.count()
     assert merged.filter("k = 0 AND v <> 1").count() == 0
+
+
+SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "20",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def small_skew(spark):
+    before = {name: spark.conf.get(name, None) for name in SMALL_SKEW}
+    for name, value in SMALL_SKEW.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _split(result) -> bool:
+    """Whether the executed plan reads a skewed partition in several tasks."""
+    whole = result.agg(*[F.max(c) for c in result.columns])
+    whole.collect()
+    return "skew=true" in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_adaptive_execution_splits_a_hot_key(small_skew):
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.xxhash64("id") % 1000)
+    df = small_skew.range(400_000, numPartitions=8).select(key.alias("k"), "id", (F.col("id") % 97).alias("v"))
+    grouped = df.groupBy("k").agg(F.max("v").alias("m"))
+    assert _split(joins.lookup(df, grouped, "k", ["m"], derived=True))
+    assert _split(joins.inner_lookup(df, grouped, "k", ["m"], derived=True))
+    assert _split(joins.flag_exists(df, df.filter("v = 1"), ["k"], "known"))
+    assert _split(joins.known_only(df, df.filter("v = 1"), ["k"]))
+    assert _split(joins.unknown_only(df, df.filter("k = 5"), ["k"]))
+    assert _split(joins.merge_update(df, grouped.withColumnRenamed("m", "v"), ["k"], how="outer"))
+    assert _split(aggregates.repeated_keys(df, ["k"]))
+    assert _split(aggregates.history_totals(df, df, ["k"], "v", "n", "total"))
