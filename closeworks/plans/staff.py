@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from closeworks.functions import dates, rules, text
 from closeworks.functions import fixed_values as V
 from closeworks.operators import aggregates, filters, periods, windows
-from closeworks.operators.joins import lookup, org_lookup
-from closeworks.operators.unions import union_distinct, union_harmonized
+from closeworks.operators.joins import lookup, org_lookup, unknown_only
+from closeworks.operators.unions import union_all, union_distinct, union_harmonized
 
 Splits = Sequence[tuple[str, Sequence[str], str, str]]
 RUN_MODES = ("teste", "previa", "fechamento")
@@ -162,9 +162,11 @@ def termination_study(
     cases = cases.select(
         text.mask_tax_id(text.normalize_tax_id(tax_id)).alias("CPF"), "ID_PROCESSO", "MES_FECH", "NOVOS"
     )
-    matched = people.join(filters.has_key(cases, "CPF"), "CPF", "left").withColumn(
-        "NOVOS", F.coalesce("NOVOS", F.lit(0))
-    )
+    cases = filters.has_key(cases, "CPF")
+    # An inner join can split a hot tax id on either side, a left join only on one.
+    with_case = people.join(cases, "CPF")
+    without = unknown_only(people, cases, ["CPF"])
+    matched = union_all([with_case, without]).withColumn("NOVOS", F.coalesce("NOVOS", F.lit(0)))
     order = ["MES_FECH", "ID_PROCESSO", "DATA_DESLIGAMENTO"]
     return windows.count_once(matched, ["MATRICULA"], order, [F.col("MES_FECH"), F.floor(F.col("ID_PROCESSO") / 1_000_000)])
 
