@@ -192,12 +192,14 @@ def org_lookup(
     centre: str,
     company: str,
     override: tuple[str, str, str] | None = None,
+    area_name: str = "AREA_FUNCIONAL",
 ) -> DataFrame:
     """Business unit and functional area of a cost centre.
 
     `units` has CENTRO_DE_CUSTO, BU; `areas` has CENTRO, DESCRICAO, NOME2, NOME3,
     NOME_RESPONSAVEL, AREA_FUNCIONAL. `override` names a company that is its own unit, the
-    label it gets everywhere and the short label of its functional area.
+    label it gets everywhere and the short label of its functional area, which is called
+    `area_name`.
     """
     found = lookup(df, units, {centre: "CENTRO_DE_CUSTO"}, {"BU": "BU"})
     found = lookup(
@@ -209,7 +211,7 @@ def org_lookup(
             "NOME2": "VP",
             "NOME3": "DIRETORIA",
             "NOME_RESPONSAVEL": "RESPONSAVEL_AREA",
-            "AREA_FUNCIONAL": "AREA_FUNCIONAL",
+            "AREA_FUNCIONAL": area_name,
         },
     )
     found = found.withColumn("RESPONSAVEL_AREA", F.upper("RESPONSAVEL_AREA"))
@@ -218,7 +220,7 @@ def org_lookup(
     name, label, area_label = override
     special = F.col(company) == name
     labels = {c: label for c in ["BU", "VP", "DIRETORIA", "RESPONSAVEL_AREA"]}
-    labels["AREA_FUNCIONAL"] = area_label
+    labels[area_name] = area_label
     return found.withColumns({c: F.when(special, v).otherwise(F.col(c)) for c, v in labels.items()})
 
 

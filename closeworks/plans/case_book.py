@@ -103,7 +103,9 @@ def enriched_cases(
     strategy_default: str | None = None,
 ) -> DataFrame:
     """Closings with organisation, managerial data, party rules and the claim period."""
-    cases = org_lookup(book, units, areas, "CENTRO_CUSTO_M", "EMPRESA", override)
+    # The functional area of the closing itself, if it has one, is not replaced.
+    area_name = "AREA_FUNCIONAL_CENTRO" if "AREA_FUNCIONAL" in book.columns else "AREA_FUNCIONAL"
+    cases = org_lookup(book, units, areas, "CENTRO_CUSTO_M", "EMPRESA", override, area_name)
     types = {c: "date" if "DATA_" in c else "string" for c in MANAGERIAL_COLUMNS}
     cases = lookup(cases, with_missing(managerial, types), {"ID_PROCESSO": "PROCESSO_ID"}, MANAGERIAL_COLUMNS)
     cases = cases.withColumns(

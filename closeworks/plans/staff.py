@@ -108,16 +108,15 @@ def append_history(spark_write, result: DataFrame, mode: str) -> bool:
 def with_nature(terminations: DataFrame, managerial: DataFrame) -> DataFrame:
     """Operational nature by registration number, which may be written in several ways.
 
-    A number with several natures gets the first in alphabetical order.
+    A number with several natures gets a row for each of them.
     """
     nature = managerial.select(
         F.col("MATRICULA").try_cast("bigint").alias("__registration"), "NATUREZA_OPERACIONAL"
-    ).filter(F.col("__registration").isNotNull())
-    nature = nature.groupBy("__registration").agg(F.min("NATUREZA_OPERACIONAL").alias("NATUREZA_OPERACIONAL"))
+    ).filter(F.col("__registration").isNotNull()).distinct()
     numbered = terminations.withColumn("__own", F.col("MATRICULA").try_cast("bigint"))
-    return lookup(
-        numbered, nature, {"__own": "__registration"}, ["NATUREZA_OPERACIONAL"], derived=True
-    ).drop("__own")
+    # Null-safe, so that a hot number can be split (see `lookup`); no number on the right is null.
+    same = F.col("__own").eqNullSafe(F.col("__registration"))
+    return numbered.join(nature, same, "left").drop("__own", "__registration")
 
 
 def all_terminations(history: DataFrame, previews: DataFrame) -> DataFrame:

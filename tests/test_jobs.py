@@ -175,6 +175,11 @@ def test_case_book(spark, payments, guarantees):
     # Eleven whole months: the day of registration is later in the month.
     assert (stock["AGING_ESTOQ_MESES"], stock["FX_MES_AGING_ESTOQ"], stock["CLUSTER_AGING"]) == (11, "7 - 12 meses", "ATÉ 1 ANO")
 
+    own = case_book.enriched_cases(
+        case_book.tidy_closings(closings.withColumn("AREA_FUNCIONAL", F.lit("PRÓPRIA"))), managerial, units, areas
+    )
+    assert {(r["AREA_FUNCIONAL"], r["AREA_FUNCIONAL_CENTRO"]) for r in own.collect()} == {("PRÓPRIA", "AF"), ("PRÓPRIA", None)}
+
     extract = case_book.tax_extract(book, totals, "2024-03-01").collect()
     assert [(r["ID_PROCESSO"], r["TOTAL_PAGAMENTOS"], r["MOTIVO_ENC_AGRP"]) for r in extract] == [(1, 122.0, "ACORDO")]
     model = modelling.modelling_base(
@@ -231,7 +236,7 @@ def test_terminations_against_new_cases(spark):
         ],
         "ID_PROCESSO int, NOVOS int, MES_FECH date, DATA_DISPENSA date, FASE string, PARTE_CONTRARIA_CPF string",
     )
-    managerial = spark.createDataFrame([(100, "1 2", "PRÓPRIO"), (101, "3", "TERCEIRO")], "PROCESSO_ID int, MATRICULA string, NATUREZA_OPERACIONAL string")
+    managerial = spark.createDataFrame([(100, "1 2", "PRÓPRIO"), (101, "3", "TERCEIRO"), (102, "03", "OUTRA"), (103, "3", "OUTRA")], "PROCESSO_ID int, MATRICULA string, NATUREZA_OPERACIONAL string")
     cases = staff.new_cases_by_person(book, managerial)
     assert [(r["CPF"], r["ID_PROCESSO"], r["MATRICULA"], r["DP_FASE"]) for r in cases.collect()] == [(11, 100, "12", "RECURSAL_TRT")]
     units = spark.createDataFrame([(10, "LOJA")], "CENTRO_DE_CUSTO int, BU string")
@@ -252,7 +257,7 @@ def test_terminations_against_new_cases(spark):
     with pytest.raises(ValueError):
         staff.append_history(written.append, reported, "outro")
     nature = staff.with_nature(spark.createDataFrame([(3, "x"), (9, "y")], "MATRICULA int, v string"), managerial)
-    assert rows(nature) == [(3, "x", "TERCEIRO"), (9, "y", None)]
+    assert rows(nature) == [(3, "x", "OUTRA"), (3, "x", "TERCEIRO"), (9, "y", None)]
 
 
 def test_termination_study_counts_an_employee_once(spark):
