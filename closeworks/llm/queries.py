@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.llm.quality_rules import quality_report
+from closeworks.llm.secret_scan import secret_report
 from closeworks.llm.store import table
 from closeworks.session import configure
 
@@ -13,5 +14,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(configure(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules,)}
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(configure(spark), sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_secret_scan, op5_quality_rules)}
 SQL: dict[str, str] = {}
