@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from closeworks.llm.decontaminate import contamination_report
 from closeworks.llm.quality_rules import quality_report
 from closeworks.llm.secret_scan import secret_report
 from closeworks.llm.store import table
@@ -18,5 +19,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(configure(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_secret_scan, op5_quality_rules)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op4_secret_scan, op5_quality_rules, op9_decontamination)}
 SQL: dict[str, str] = {}
