@@ -5,24 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from closeworks.llm.decontaminate import contamination_report
+from closeworks.llm.jaccard_join import similar_groups
 from closeworks.llm.quality_rules import quality_report
 from closeworks.llm.secret_scan import secret_report
-from closeworks.llm.store import table
-from closeworks.session import configure
+from closeworks.llm.store import prepared, table
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(table(configure(spark), sf_dir, "documents"))
+    return quality_report(table(prepared(spark), sf_dir, "documents"))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_report(table(configure(spark), sf_dir, "documents"))
+    return secret_report(table(prepared(spark), sf_dir, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_secret_scan, op5_quality_rules, op9_decontamination)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(prepared(spark), sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_secret_scan, op5_quality_rules, op9_decontamination, op10_jaccard_join)}
 SQL: dict[str, str] = {}

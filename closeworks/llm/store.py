@@ -7,9 +7,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from closeworks.session import configure
+
+#: Rows and bytes that Python on the executors gets at once, as texts may be long.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+}
+
 FOLDER = "spark.checkpoint.dir"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings that these operators count on."""
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
+    return configure(spark)
+
+
 def folder(spark: SparkSession) -> str:
     """The shared folder that the cluster names; only a session without one, as in tests, gets its own."""
     named = spark.conf.get(FOLDER, None) or spark.sparkContext.getCheckpointDir()
