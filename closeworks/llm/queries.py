@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from closeworks.llm import warc
 from closeworks.llm.decontaminate import contamination_report
 from closeworks.llm.jaccard_join import similar_groups
 from closeworks.llm.quality_rules import quality_report
 from closeworks.llm.secret_scan import secret_report
-from closeworks.llm.store import prepared, table
+from closeworks.llm.store import new_path, prepared, table, written
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(prepared(spark), sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(prepared(spark), "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    records = written(warc.measured(warc.read(spark, path), payload=False), "records")
+    return warc.captures_report(warc.assemble(records))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(prepared(spark), sf_dir, "documents"))
 
@@ -28,5 +36,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(prepared(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_secret_scan, op5_quality_rules, op9_decontamination, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_warc, op4_secret_scan, op5_quality_rules, op9_decontamination, op10_jaccard_join)}
 SQL: dict[str, str] = {}
