@@ -10,12 +10,18 @@ from closeworks.llm.jaccard_join import similar_groups
 from closeworks.llm.quality_rules import quality_report
 from closeworks.llm.secret_scan import secret_report
 from closeworks.llm.store import new_path, prepared, table, written
+from closeworks.llm.url_filter import judge_urls
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(prepared(spark), sf_dir, "documents"))
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(prepared(spark), sf_dir, "pages").select("page_id", "url", "html")
+    return judge_urls(pages).drop("url", "html")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(prepared(spark), "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -36,5 +42,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(prepared(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op4_secret_scan, op5_quality_rules, op9_decontamination, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_warc, op4_secret_scan, op5_quality_rules, op9_decontamination, op10_jaccard_join)}
 SQL: dict[str, str] = {}
