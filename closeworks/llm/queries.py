@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from closeworks.llm import warc
 from closeworks.llm.decontaminate import contamination_report
 from closeworks.llm.jaccard_join import similar_groups
+from closeworks.llm.packing import pack_documents
+from closeworks.llm.perspectives import rotate
 from closeworks.llm.quality_rules import quality_report
 from closeworks.llm.secret_scan import secret_report
 from closeworks.llm.store import new_path, prepared, table, written
@@ -29,10 +31,18 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures_report(warc.assemble(records))
 
 
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(table(prepared(spark), sf_dir, "conversations"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(prepared(spark), sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(prepared(spark), sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared(spark)
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -42,5 +52,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(prepared(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_warc, op4_secret_scan, op5_quality_rules, op9_decontamination, op10_jaccard_join)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op2_warc,
+        op3_perspectives,
+        op4_secret_scan,
+        op5_quality_rules,
+        op8_packing,
+        op9_decontamination,
+        op10_jaccard_join,
+    )
+}
 SQL: dict[str, str] = {}
