@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from closeworks.llm import warc
 from closeworks.llm.decontaminate import contamination_report
 from closeworks.llm.jaccard_join import similar_groups
+from closeworks.llm.license_scan import find_licences
 from closeworks.llm.packing import pack_documents
 from closeworks.llm.perspectives import rotate
 from closeworks.llm.quality_rules import quality_report
@@ -39,6 +40,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(prepared(spark), sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licences(table(prepared(spark), sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(prepared(spark), sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES = {
         op3_perspectives,
         op4_secret_scan,
         op5_quality_rules,
+        op7_license_scan,
         op8_packing,
         op9_decontamination,
         op10_jaccard_join,
