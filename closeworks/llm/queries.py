@@ -13,6 +13,7 @@ from closeworks.llm.perspectives import rotate
 from closeworks.llm.quality_rules import quality_report
 from closeworks.llm.secret_scan import secret_report
 from closeworks.llm.store import new_path, prepared, table, written
+from closeworks.llm.suffix_dedup import repeats_report
 from closeworks.llm.url_filter import judge_urls
 
 
@@ -40,6 +41,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(prepared(spark), sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_report(table(prepared(spark), sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_licences(table(prepared(spark), sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
         op3_perspectives,
         op4_secret_scan,
         op5_quality_rules,
+        op6_suffix_dedup,
         op7_license_scan,
         op8_packing,
         op9_decontamination,
