@@ -43,6 +43,8 @@ SIGNED_SIZE = 1200
 LIST = 4096
 #: Sets of a block of a list.
 STRIDE = 256
+#: Lists of up to so many sets are probed for partners before signatures are joined.
+PROBED = 16
 #: Lists of up to so many sets hand on all their fitting pairs.
 SHORT = 8
 #: Rows of keys that may be broadcast (8 bytes each); more are shuffled.
@@ -183,29 +185,67 @@ def _prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.nd
     return docs.select(text).mapInArrow(run, "gram bigint, set bigint, n int, pos int")
 
 
-def _shared(entries: DataFrame) -> DataFrame:
-    """The entries whose n-gram another set has too; equal entries count once. Rows stream through, whatever the list."""
+def _partnered(rows: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which entries of whole lists (gram, set, n, pos) to keep: those that sizes and positions leave a partner.
+
+    Lists of more than PROBED entries are kept as they are.
+    """
+    gram, _, n, pos = (x.astype(np.int64) for x in rows)
+    first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+    size = np.diff(np.r_[first, len(gram)])
+    keep = np.repeat(size > PROBED, size)
+    left = np.repeat(first + size, size) - np.arange(len(gram))
+    left[keep] = 0
+    for d in range(1, PROBED):
+        i = np.flatnonzero(left > d)
+        if not len(i):
+            break
+        j = i + d
+        need = required(n[i], n[j], percent)
+        fits = 1 + np.minimum(n[i] - pos[i] - 1, n[j] - pos[j] - 1) >= need
+        keep[i[fits]] = keep[j[fits]] = True
+    return keep
+
+
+def _shared(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries whose n-gram a set has too that may be similar; equal entries count once.
+
+    Rows stream through. Of a list that goes on with the next batch either few rows are held, or all so far are kept.
+    """
     names = ["gram", "set", "n", "pos"]
 
+    def batch_of(rows: list[np.ndarray], keep: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in rows], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, and whether the one before it had the same n-gram
+        held = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32, np.int32)]
+        kept_whole = last_set = None  # the n-gram whose rows so far are kept, and the last set among them
         for batch in batches:
-            rows = [batch.column(i).to_numpy() for i in range(4)]
-            before = False
-            if held is not None:
-                rows = [np.r_[h, x] for h, x in zip(held[0], rows, strict=True)]
-                before = held[1]
+            rows = [np.r_[h, batch.column(k).to_numpy()] for k, h in enumerate(held)]
             gram, name = rows[0], rows[1]
             new = np.r_[True, (gram[1:] != gram[:-1]) | (name[1:] != name[:-1])]
+            if kept_whole is not None and len(gram):
+                new[0] = gram[0] != kept_whole or name[0] != last_set
             rows = [x[new] for x in rows]
             gram = rows[0]
-            same = np.r_[before, gram[1:] == gram[:-1]]
-            keep = same | np.r_[same[1:], False]
-            held = [x[-1:] for x in rows], bool(same[-1])
-            keep[-1] = False
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in rows], names)
-        if held is not None and held[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names)
+            if kept_whole is not None:
+                more = int(np.searchsorted(gram, kept_whole, "right"))
+                if more:
+                    last_set = rows[1][more - 1]
+                    yield batch_of(rows, np.arange(more))
+                    rows = [x[more:] for x in rows]
+                    gram = rows[0]
+            if not len(gram):
+                held = rows
+                continue
+            cut = int(np.searchsorted(gram, gram[-1]))
+            if len(gram) - cut > PROBED:
+                kept_whole, last_set, cut = gram[-1], rows[1][-1], len(gram)
+            whole = [x[:cut] for x in rows]
+            yield batch_of(whole, _partnered(whole, percent)) if cut else batch_of(whole, np.zeros(0, bool))
+            held = [x[cut:] for x in rows]
+        if len(held[0]):
+            yield batch_of(held, _partnered(held, percent))
 
     dealt = entries.repartition("gram").sortWithinPartitions("gram", "set")
     return dealt.mapInArrow(run, "gram bigint, set bigint, n int, pos int")
@@ -382,7 +422,7 @@ def _dealt(lists: DataFrame) -> DataFrame:
     """Lists with the parts (p, q) that are compared with each other: one for most, all pairs of parts for long ones."""
     long = lists.groupBy("gram").count().where(F.col("count") > LIST)
     parts = F.coalesce(F.ceil(F.col("count") / LIST), F.lit(1)).cast("int")
-    joined = lists.join(long, "gram", "left").withColumn("k", parts).drop("count")
+    joined = lists.join(_few(written(long, "long")), "gram", "left").withColumn("k", parts).drop("count")
     joined = joined.withColumn("c", F.pmod(F.xxhash64("set"), F.col("k")).cast("int"))
     joined = joined.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     return joined.withColumn("p", F.least("c", "o")).withColumn("q", F.greatest("c", "o")).drop("o", "k")
@@ -426,15 +466,16 @@ def _similar(percent: int) -> Column:
 
 def links(docs: DataFrame, found: DataFrame, text: str, size: int, percent: int) -> DataFrame:
     """Links (a, b) between sets that connect just the sets that similar pairs connect."""
-    entries = _shared(_prefixes(docs, text, size, percent, frequencies(docs, text, size)))
+    entries = _shared(_prefixes(docs, text, size, percent, frequencies(docs, text, size)), percent)
     signatures = found.where("n > 0").select("set", "bits").dropDuplicates(["set"])
     none = {"component": "bigint", "leader": "bigint", "common": "int", "leader_n": "int"}
     columns = [x.split()[0] for x in LISTED.split(", ")]
+    entries = written(entries, "entries")
     lists = _dealt(written(entries.join(signatures, "set"), "lists"))
     lists = lists.withColumns({k: F.lit(None).cast(v) for k, v in none.items()}).select(*columns)
     first = written(_candidates(lists, percent, "stars").distinct(), "pairs")
 
-    near = first.where("kept").select(F.col("a").alias("set")).distinct()
+    near = _few(written(first.where("kept").select(F.col("a").alias("set")).distinct(), "near"))
     wanted = found.join(near, "set", "left_semi").groupBy("set").agg(F.min("text_hash").alias("text_hash"))
     sets = written(_sets_of(docs, text, size, written(wanted, "wanted")), "sets")
     lists = written(lists.drop(*none).join(near, "set", "left_semi"), "lists")
@@ -512,4 +553,5 @@ def drop_similar(
     same = docs[key].eqNullSafe(marked[id_]) & (F.xxhash64(docs[text]) == marked[hash_])
     others = docs.join(marked, same, "left_anti")
     twice = docs.join(marked.where(repeated), same, "left_semi")
-    return others.unionByName(twice.dropDuplicates())
+    one = F.min(F.struct(*docs.columns)).alias("row")
+    return others.unionByName(twice.groupBy(F.col(key), F.xxhash64(text).alias(hash_)).agg(one).select("row.*"))
