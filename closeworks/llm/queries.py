@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from closeworks.llm import warc
 from closeworks.llm.decontaminate import contamination_report
@@ -12,6 +13,7 @@ from closeworks.llm.packing import pack_documents
 from closeworks.llm.perspectives import rotate
 from closeworks.llm.quality_rules import quality_report
 from closeworks.llm.secret_scan import secret_report
+from closeworks.llm.sql import SQL
 from closeworks.llm.store import new_path, prepared, table, written
 from closeworks.llm.suffix_dedup import repeats_report
 from closeworks.llm.url_filter import judge_urls
@@ -34,7 +36,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rotate(table(prepared(spark), sf_dir, "conversations"))
+    rows = rotate(table(prepared(spark), sf_dir, "conversations"))
+    mask = F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return rows.withColumn("mask", F.concat_ws(",", mask))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +66,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(prepared(spark), sf_dir, "documents"))
 
 
+__all__ = ["QUERIES", "SQL"]
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,4 +82,3 @@ QUERIES = {
         op10_jaccard_join,
     )
 }
-SQL: dict[str, str] = {}
