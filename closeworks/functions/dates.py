@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from closeworks.functions.fixed_values import NO_INFO
 
@@ -59,6 +60,12 @@ def coerce_date(text: Column, dayfirst: bool = True) -> Column:
     )
 
 
+def as_date(df: DataFrame, column: str) -> Column:
+    """A column as date: text in any written form, null where unreadable; dates and timestamps as they are."""
+    value = F.col("`" + column.replace("`", "``") + "`")
+    return coerce_date(value) if isinstance(df.schema[column].dataType, T.StringType) else F.to_date(value)
+
+
 def month_start(col: Column) -> Column:
     return F.trunc(col, "MM")
 

@@ -444,83 +444,134 @@ NO_INFO = "Sem info"
 
 # ---- calendars ----------------------------------------------------------------
 
-# Last day of each accounting month. A month starts the day after the
-# previous one ends; the first starts on 1900-01-01. `None` as last day marks months
-# without a closing, after which the next month starts on the given date.
-ACCOUNTING_MONTH_ENDS = [
-    ("2018-11", "2018-11-20"),
-    ("2018-12", "2018-12-17"),
-    ("2019-01", "2019-01-21"),
-    ("2019-02", "2019-02-18"),
-    ("2019-03", "2019-03-19"),
-    ("2019-04", "2019-04-21"),
-    ("2019-05", "2019-05-21"),
-    ("2019-06", "2019-06-17"),
-    ("2019-07", "2019-07-21"),
-    ("2019-08", "2019-08-20"),
-    ("2019-09", "2019-09-22"),
-    ("2019-10", "2019-10-23"),
-    ("2019-11", "2019-11-21"),
-    ("2019-12", "2019-12-19"),
-    ("2020-01", "2020-01-26"),
-    ("2020-02", "2020-02-28"),
-    ("2020-03", "2020-03-24"),
-    ("2020-04", "2020-04-20"),
-    ("2020-05", "2020-05-19"),
-    ("2020-06", "2020-06-23"),
-    ("2020-07", "2020-07-29"),
-    ("2020-08", "2020-08-21"),
-    ("2020-09", "2020-09-22"),
-    ("2020-10", "2020-10-22"),
-    ("2020-11", "2020-11-24"),
-    ("2020-12", "2020-12-18"),
-    ("2021-01", "2021-01-23"),
-    ("2021-02", "2021-02-22"),
-    ("2021-03", "2021-03-21"),
-    ("2021-04", "2021-04-21"),
-    ("2021-05", "2021-05-23"),
-    ("2021-06", "2021-06-21"),
-    ("2021-07", "2021-07-22"),
-    ("2021-08", "2021-08-22"),
-    (None, "2022-08-23"),
-    ("2022-09", "2022-09-21"),
-    ("2022-10", "2022-10-21"),
-    ("2022-11", "2022-11-18"),
-    ("2022-12", "2022-12-22"),
-    ("2023-01", "2023-01-20"),
-    ("2023-02", "2023-02-17"),
-    ("2023-03", "2023-03-21"),
-    ("2023-04", "2023-05-02"),
-    ("2023-05", "2023-05-22"),
-    ("2023-06", "2023-06-22"),
-    ("2023-07", "2023-07-23"),
-    ("2023-08", "2023-08-22"),
-    ("2023-09", "2023-09-22"),
-    ("2023-10", "2023-10-23"),
-    ("2023-11", "2023-11-22"),
-    ("2023-12", "2023-12-15"),
-    ("2024-01", "2024-01-22"),
-    ("2024-02", "2024-02-22"),
-    ("2024-03", "2024-03-22"),
-    ("2024-04", "2024-04-22"),
-    ("2024-05", "2024-05-22"),
-    ("2024-06", "2024-06-20"),
-    ("2024-07", "2024-07-23"),
-    ("2024-08", "2024-08-22"),
-    ("2024-09", "2024-09-20"),
-    ("2024-10", "2024-10-22"),
-    ("2024-11", "2024-11-22"),
-    ("2024-12", "2024-12-18"),
-    ("2025-01", "2025-01-22"),
-    ("2025-02", "2025-02-20"),
-    ("2025-03", "2025-03-20"),
-    ("2025-04", "2025-04-17"),
-    ("2025-05", "2025-05-21"),
+# Month, first and last day of each accounting month. Two days are set right: 2019-12 ends in
+# 2019 (written with 2020), and 2025-01 starts in 2024 (written with 2025).
+ACCOUNTING_MONTHS = [
+    ("2018-11-01", "1900-01-01", "2018-11-20"),
+    ("2018-12-01", "2018-11-21", "2018-12-17"),
+    ("2019-01-01", "2018-12-18", "2019-01-21"),
+    ("2019-02-01", "2019-01-22", "2019-02-18"),
+    ("2019-03-01", "2019-02-19", "2019-03-19"),
+    ("2019-04-01", "2019-03-20", "2019-04-21"),
+    ("2019-05-01", "2019-04-22", "2019-05-21"),
+    ("2019-06-01", "2019-05-22", "2019-06-17"),
+    ("2019-07-01", "2019-06-18", "2019-07-21"),
+    ("2019-08-01", "2019-07-22", "2019-08-20"),
+    ("2019-09-01", "2019-08-21", "2019-09-22"),
+    ("2019-10-01", "2019-09-23", "2019-10-23"),
+    ("2019-11-01", "2019-10-24", "2019-11-21"),
+    ("2019-12-01", "2019-11-22", "2019-12-19"),
+    ("2020-01-01", "2019-12-20", "2020-01-26"),
+    ("2020-02-01", "2020-01-27", "2020-02-28"),
+    ("2020-03-01", "2020-02-29", "2020-03-24"),
+    ("2020-04-01", "2020-03-25", "2020-04-20"),
+    ("2020-05-01", "2020-04-21", "2020-05-19"),
+    ("2020-06-01", "2020-05-20", "2020-06-23"),
+    ("2020-07-01", "2020-06-24", "2020-07-29"),
+    ("2020-08-01", "2020-07-30", "2020-08-21"),
+    ("2020-09-01", "2020-08-22", "2020-09-22"),
+    ("2020-10-01", "2020-09-23", "2020-10-22"),
+    ("2020-11-01", "2020-10-23", "2020-11-24"),
+    ("2020-12-01", "2020-11-25", "2020-12-18"),
+    ("2021-01-01", "2020-12-19", "2021-01-23"),
+    ("2021-02-01", "2021-01-24", "2021-02-22"),
+    ("2021-03-01", "2021-02-23", "2021-03-21"),
+    ("2021-04-01", "2021-03-22", "2021-04-21"),
+    ("2021-05-01", "2021-04-22", "2021-05-23"),
+    ("2021-06-01", "2021-05-24", "2021-06-21"),
+    ("2021-07-01", "2021-06-22", "2021-07-22"),
+    ("2021-08-01", "2021-07-23", "2021-08-22"),
+    ("2022-09-01", "2022-08-24", "2022-09-21"),
+    ("2022-10-01", "2022-09-22", "2022-10-21"),
+    ("2022-11-01", "2022-10-22", "2022-11-18"),
+    ("2022-12-01", "2022-11-19", "2022-12-22"),
+    ("2023-01-01", "2022-12-23", "2023-01-20"),
+    ("2023-02-01", "2023-01-21", "2023-02-17"),
+    ("2023-03-01", "2023-02-18", "2023-03-21"),
+    ("2023-04-01", "2023-03-22", "2023-05-02"),
+    ("2023-05-01", "2023-05-03", "2023-05-22"),
+    ("2023-06-01", "2023-05-23", "2023-06-22"),
+    ("2023-07-01", "2023-06-23", "2023-07-23"),
+    ("2023-08-01", "2023-07-24", "2023-08-22"),
+    ("2023-09-01", "2023-08-23", "2023-09-22"),
+    ("2023-10-01", "2023-09-23", "2023-10-23"),
+    ("2023-11-01", "2023-10-24", "2023-11-22"),
+    ("2023-12-01", "2023-11-23", "2023-12-15"),
+    ("2024-01-01", "2023-12-16", "2024-01-22"),
+    ("2024-02-01", "2024-01-23", "2024-02-22"),
+    ("2024-03-01", "2024-02-23", "2024-03-22"),
+    ("2024-04-01", "2024-03-23", "2024-04-22"),
+    ("2024-05-01", "2024-04-23", "2024-05-22"),
+    ("2024-06-01", "2024-05-23", "2024-06-20"),
+    ("2024-07-01", "2024-06-21", "2024-07-23"),
+    ("2024-08-01", "2024-07-24", "2024-08-22"),
+    ("2024-09-01", "2024-08-23", "2024-09-20"),
+    ("2024-10-01", "2024-09-21", "2024-10-22"),
+    ("2024-11-01", "2024-10-23", "2024-11-22"),
+    ("2024-12-01", "2024-11-23", "2024-12-18"),
+    ("2025-01-01", "2024-12-19", "2025-01-22"),
+    ("2025-02-01", "2025-01-23", "2025-02-20"),
+    ("2025-03-01", "2025-02-21", "2025-03-20"),
+    ("2025-04-01", "2025-03-21", "2025-04-17"),
+    ("2025-05-01", "2025-04-18", "2025-05-21"),
 ]
-FIRST_ACCOUNTING_DAY = "1900-01-01"
 
-# Managerial files whose closing month is not the month of their date.
-FILE_MONTH_EXCEPTIONS = [("20230201", "2023-01-01"), ("20230503", "2023-04-01")]
+# Date of each managerial file and its closing month.
+FILE_MONTHS = [
+    ("20201221", "2020-12-01"),
+    ("20210122", "2021-01-01"),
+    ("20210219", "2021-02-01"),
+    ("20210322", "2021-03-01"),
+    ("20210420", "2021-04-01"),
+    ("20210520", "2021-05-01"),
+    ("20210621", "2021-06-01"),
+    ("20210721", "2021-07-01"),
+    ("20210820", "2021-08-01"),
+    ("20210920", "2021-09-01"),
+    ("20211020", "2021-10-01"),
+    ("20211122", "2021-11-01"),
+    ("20211222", "2021-12-01"),
+    ("20220117", "2022-01-01"),
+    ("20220221", "2022-02-01"),
+    ("20220322", "2022-03-01"),
+    ("20220426", "2022-04-01"),
+    ("20220525", "2022-05-01"),
+    ("20220627", "2022-06-01"),
+    ("20220721", "2022-07-01"),
+    ("20220829", "2022-08-01"),
+    ("20220926", "2022-09-01"),
+    ("20221025", "2022-10-01"),
+    ("20221128", "2022-11-01"),
+    ("20221226", "2022-12-01"),
+    ("20230201", "2023-01-01"),
+    ("20230220", "2023-02-01"),
+    ("20230322", "2023-03-01"),
+    ("20230503", "2023-04-01"),
+    ("20230525", "2023-05-01"),
+    ("20230626", "2023-06-01"),
+    ("20230724", "2023-07-01"),
+    ("20230823", "2023-08-01"),
+    ("20230925", "2023-09-01"),
+    ("20231023", "2023-10-01"),
+    ("20231123", "2023-11-01"),
+    ("20231218", "2023-12-01"),
+    ("20240123", "2024-01-01"),
+    ("20240226", "2024-02-01"),
+    ("20240325", "2024-03-01"),
+    ("20240423", "2024-04-01"),
+    ("20240523", "2024-05-01"),
+    ("20240621", "2024-06-01"),
+    ("20240724", "2024-07-01"),
+    ("20240823", "2024-08-01"),
+    ("20240923", "2024-09-01"),
+    ("20241023", "2024-10-01"),
+    ("20241122", "2024-11-01"),
+    ("20241219", "2024-12-01"),
+    ("20250122", "2025-01-01"),
+    ("20250224", "2025-02-01"),
+    ("20250320", "2025-03-01"),
+    ("20250424", "2025-04-01"),
+]
 
 # Date of each HR file and the first and last termination it may report.
 HR_FILE_WINDOWS = [
@@ -551,14 +602,54 @@ HR_FILE_WINDOWS = [
 
 # Day on which the case system was cut for each closing month.
 CUT_DAYS = [
-    "2020-12-21", "2021-01-22", "2021-02-19", "2021-03-22", "2021-04-20", "2021-05-20",
-    "2021-06-21", "2021-07-21", "2021-08-20", "2021-09-20", "2021-10-20", "2021-11-22",
-    "2021-12-22", "2022-01-17", "2022-02-21", "2022-03-22", "2022-04-26", "2022-05-25",
-    "2022-06-27", "2022-07-21", "2022-08-29", "2022-09-26", "2022-10-25", "2022-11-28",
-    "2022-12-26", "2023-02-01", "2023-02-20", "2023-03-22", "2023-05-03", "2023-05-25",
-    "2023-06-26", "2023-07-24", "2023-08-23", "2023-09-25", "2023-10-23", "2023-11-23",
-    "2023-12-18", "2024-01-23", "2024-02-26", "2024-03-25", "2024-04-23", "2024-05-23",
-    "2024-06-21", "2024-07-24", "2024-08-21", "2024-09-19", "2024-10-22", "2024-11-21",
-    "2024-12-18", "2025-01-22",
+    ("2020-12-01", "2020-12-21"),
+    ("2021-01-01", "2021-01-22"),
+    ("2021-02-01", "2021-02-19"),
+    ("2021-03-01", "2021-03-22"),
+    ("2021-04-01", "2021-04-20"),
+    ("2021-05-01", "2021-05-20"),
+    ("2021-06-01", "2021-06-21"),
+    ("2021-07-01", "2021-07-21"),
+    ("2021-08-01", "2021-08-20"),
+    ("2021-09-01", "2021-09-20"),
+    ("2021-10-01", "2021-10-20"),
+    ("2021-11-01", "2021-11-22"),
+    ("2021-12-01", "2021-12-22"),
+    ("2022-01-01", "2022-01-17"),
+    ("2022-02-01", "2022-02-21"),
+    ("2022-03-01", "2022-03-22"),
+    ("2022-04-01", "2022-04-26"),
+    ("2022-05-01", "2022-05-25"),
+    ("2022-06-01", "2022-06-27"),
+    ("2022-07-01", "2022-07-21"),
+    ("2022-08-01", "2022-08-29"),
+    ("2022-09-01", "2022-09-26"),
+    ("2022-10-01", "2022-10-25"),
+    ("2022-11-01", "2022-11-28"),
+    ("2022-12-01", "2022-12-26"),
+    ("2023-01-01", "2023-02-01"),
+    ("2023-02-01", "2023-02-20"),
+    ("2023-03-01", "2023-03-22"),
+    ("2023-04-01", "2023-05-03"),
+    ("2023-05-01", "2023-05-25"),
+    ("2023-06-01", "2023-06-26"),
+    ("2023-07-01", "2023-07-24"),
+    ("2023-08-01", "2023-08-23"),
+    ("2023-09-01", "2023-09-25"),
+    ("2023-10-01", "2023-10-23"),
+    ("2023-11-01", "2023-11-23"),
+    ("2023-12-01", "2023-12-18"),
+    ("2024-01-01", "2024-01-23"),
+    ("2024-02-01", "2024-02-26"),
+    ("2024-03-01", "2024-03-25"),
+    ("2024-04-01", "2024-04-23"),
+    ("2024-05-01", "2024-05-23"),
+    ("2024-06-01", "2024-06-21"),
+    ("2024-07-01", "2024-07-24"),
+    ("2024-08-01", "2024-08-21"),
+    ("2024-09-01", "2024-09-19"),
+    ("2024-10-01", "2024-10-22"),
+    ("2024-11-01", "2024-11-21"),
+    ("2024-12-01", "2024-12-18"),
+    ("2025-01-01", "2025-01-22"),
 ]
-FIRST_CUT_MONTH = "2020-12-01"

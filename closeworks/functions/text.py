@@ -46,9 +46,15 @@ def format_brl(col: Column) -> Column:
 
 
 def coerce_id(col: Column) -> Column:
-    """Identifier text to bigint; workbook line-break residue and blanks are dropped."""
+    """Identifier text to bigint; workbook line-break residue and blanks are dropped.
+
+    A fraction of zeros is dropped too, and so is an exponent that leaves a whole number; all else is null.
+    """
     bare = F.trim(F.regexp_replace(col.cast("string"), "_x000D_", ""))
-    return F.coalesce(bare.try_cast("bigint"), bare.try_cast("double").try_cast("bigint"))
+    whole = F.regexp_replace(bare, r"\.0*$", "")
+    scientific = F.when(bare.rlike("[eE]"), bare.try_cast("decimal(38,10)"))
+    exact = F.when(scientific == F.floor(scientific), scientific.try_cast("bigint"))
+    return F.coalesce(F.when(whole.rlike(r"^[+-]?[0-9]+$"), whole).try_cast("bigint"), exact)
 
 
 def null_tokens(col: Column, tokens: Iterable[str] = TEXTUAL_NULLS) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from closeworks.functions import fixed_values as V
 from closeworks.functions.rules import bin_label
@@ -98,13 +99,23 @@ def sum_where(df: DataFrame, keys: Sequence[str], condition: Column, value: str,
     return df.groupBy(*keys).agg(F.sum(F.when(condition, F.col(value))).alias(name))
 
 
+def _orderable(kind: T.DataType) -> bool:
+    """Whether rows can be sorted by a column of this type."""
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """First row of each key in the given order, which should be total.
+    """First row of each key in the given order; of rows that are equal there the smallest in all columns.
 
     Spark limits each task to one row per key before the shuffle (WindowGroupLimit), so a
     key with very many rows does not end up in one task.
     """
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    rest = F.struct(*[quoted(f.name) for f in df.schema.fields if _orderable(f.dataType)])
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, rest))
     return df.withColumn("__position", position).filter("__position = 1").drop("__position")
 
 
@@ -129,13 +140,18 @@ def volume_price(
     price: str,
     name: str,
     bands=V.VOLUME_BANDS,
+    also: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Price of each task from the band its office and type reach by their number of tasks.
 
     `keys` maps the grouping columns of the tasks to those of the price list, which is in long
-    form with one row per key and band.
+    form with one row per key and band. `also` maps further columns that the price depends on, but not the band.
     """
     volumes = tasks.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
     volumes = volumes.withColumn("__band", bin_label(F.col("__n"), bands))
+    if also:
+        banded = lookup(tasks, volumes, list(keys), ["__band"], null_safe=True, derived=True)
+        on = {**keys, **also, "__band": band_column}
+        return lookup(banded, prices, on, {price: name}, null_safe=True).drop("__band")
     priced = lookup(volumes, prices, {**keys, "__band": band_column}, {price: "__price"}, null_safe=True)
     return lookup(tasks, priced, list(keys), {"__price": name}, null_safe=True)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from closeworks.functions.dates import as_date
 from closeworks.operators.joins import lookup
 
+
 def check_calendar(calendar: DataFrame) -> DataFrame:
     """Faulty rows of a calendar with their PROBLEMA: INVERTIDO, SOBREPOSTO or LACUNA.
 
@@ -17,7 +19,7 @@ def check_calendar(calendar: DataFrame) -> DataFrame:
         .orderBy("MES_CONTABIL", "DT_INICIO")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    start, end = F.to_date("DT_INICIO"), F.to_date("DT_FIM")
+    start, end = as_date(calendar, "DT_INICIO"), as_date(calendar, "DT_FIM")
     previous = F.max(end).over(earlier)
     problem = (
         F.when(start > end, "INVERTIDO")
@@ -32,7 +34,7 @@ def calendar_days(calendar: DataFrame) -> DataFrame:
 
     The size depends on the span of the calendar only, not on the data it is joined to.
     """
-    start, end = F.to_date("DT_INICIO"), F.to_date("DT_FIM")
+    start, end = as_date(calendar, "DT_INICIO"), as_date(calendar, "DT_FIM")
     days = calendar.filter(start <= end).select(
         F.col("MES_CONTABIL").alias("__month"), F.explode(F.sequence(start, end)).alias("__day")
     )
@@ -47,15 +49,20 @@ def assign_period(
     The interval test becomes a lookup by day, so each row costs one hash probe and never
     matches twice.
     """
-    dated = df.withColumn("__date", F.to_date(column))
+    dated = df.withColumn("__date", as_date(df, column))
     found = lookup(dated, calendar_days(calendar), {"__date": "__day"}, {"__month": name})
     return found.drop("__date")
 
 
-def file_month(df: DataFrame, column: str, exceptions: DataFrame, name: str = "MES_FECH") -> DataFrame:
-    """Closing month of a file date `yyyyMMdd`: its calendar month, but for listed files."""
-    found = lookup(df, exceptions, {column: "ARQUIVO"}, {"MES_FECH": "__listed"})
-    month = F.trunc(F.try_to_date(F.col(column), "yyyyMMdd"), "MM")
+def file_month(
+    df: DataFrame, column: str, months: DataFrame, name: str = "MES_FECH", unlisted_by_date: bool = True
+) -> DataFrame:
+    """Closing month of a file date `yyyyMMdd`, as listed in `months` (ARQUIVO, MES_FECH).
+
+    A file that is not listed gets the calendar month of its date, or null if `unlisted_by_date` is off.
+    """
+    found = lookup(df, months, {column: "ARQUIVO"}, {"MES_FECH": "__listed"})
+    month = F.trunc(F.try_to_date(F.col(column), "yyyyMMdd"), "MM") if unlisted_by_date else F.lit(None)
     return found.withColumn(name, F.coalesce("__listed", month)).drop("__listed")
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from closeworks.operators.schema import (
     adjust_column_names,
+    common_columns,
     conform,
     dedupe_columns_first,
-    existing,
     strip_accents_columns,
 )
 
@@ -20,18 +20,18 @@ NUMERIC_WIDTH = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 
 
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
-    """Union by name; a column missing from a table is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+    """Union by name; a column missing from a table is null there, and one of several types gets the widest."""
+    schema = common_schema(dfs)
+    return reduce(DataFrame.unionAll, [conform(df, schema) for df in dfs])
 
 
 def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     """Union of two frames over their common columns, without repeated rows."""
-    shared = existing(right, left.columns)
-    return left.select(*shared).union(right.select(*shared)).distinct()
+    return union_all(common_columns(left, right)).distinct()
 
 
 def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """Narrowest type that holds both: integer, double, timestamp, else text."""
+    """Narrowest type that holds all values of both: integer, double, timestamp, else text."""
     if a == b:
         return a
     if isinstance(a, T.NullType) or isinstance(b, T.NullType):
@@ -39,7 +39,9 @@ def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
     if a in NUMERIC_WIDTH and b in NUMERIC_WIDTH:
         return max(a, b, key=NUMERIC_WIDTH.index)
     if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
-        return T.DoubleType()
+        # A double holds every int, but not every bigint or decimal: as text both keep all their digits.
+        exact = (*NUMERIC_WIDTH[:3], T.FloatType(), T.DoubleType())
+        return T.DoubleType() if a in exact and b in exact else T.StringType()
     moments = (T.DateType, T.TimestampType, T.TimestampNTZType)
     if isinstance(a, moments) and isinstance(b, moments):
         zoned = isinstance(a, T.TimestampType) or isinstance(b, T.TimestampType)

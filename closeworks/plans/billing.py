@@ -57,6 +57,24 @@ def calculator_billing(
     ).drop("__paid")
 
 
+def _long_prices(band_prices: DataFrame) -> DataFrame:
+    return aggregates.to_long(band_prices, ["ESCRITORIO", "TIPO_DE_PERICIA", "TIPO_ACAO"], "FAIXA", "VALOR")
+
+
+def unambiguous_prices(band_prices: DataFrame, action: Sequence[str] = ()) -> DataFrame:
+    """One price per office, report type and band, and per action type if listed; none where prices differ."""
+    only = F.when(F.min("VALOR") == F.max("VALOR"), F.min("VALOR"))
+    keys = ["ESCRITORIO", "TIPO_DE_PERICIA", *action, "FAIXA"]
+    return _long_prices(band_prices).groupBy(*keys).agg(only.alias("VALOR"))
+
+
+def ambiguous_prices(band_prices: DataFrame, action: Sequence[str] = ()) -> DataFrame:
+    """Price rows that contradict each other, with the lowest and highest price: to be settled by the supplier."""
+    keys = ["ESCRITORIO", "TIPO_DE_PERICIA", *action, "FAIXA"]
+    found = _long_prices(band_prices).groupBy(*keys).agg(F.min("VALOR").alias("MENOR"), F.max("VALOR").alias("MAIOR"))
+    return found.filter(F.col("MENOR") < F.col("MAIOR"))
+
+
 def expert_billing(
     tasks: DataFrame,
     reference: DataFrame,
@@ -70,18 +88,20 @@ def expert_billing(
 ) -> DataFrame:
     """Price of each expert report: by volume band, by task or by report type of the office.
 
-    `reference` maps DE to PARA report types; `band_prices` is a matrix with ESCRITORIO,
+    Tasks that have a TIPO_ACAO are priced by it. Where price rows contradict each other (`ambiguous_prices`)
+    the band gives no price. `reference` maps DE to PARA report types; `band_prices` is a matrix with ESCRITORIO,
     TIPO_DE_PERICIA, TIPO_ACAO and one column per volume band; `task_prices` has ESCRITORIO,
     TIPO, VALOR and `report_prices` ESCRITORIO, TIPO_DE_PERICIA, VALOR.
     """
     candidates = tasks.filter(text.contains_word(F.col("ANALISE"), "FATURAR"))
     candidates = candidates.withColumn("FATURAR", rules.billable(F.col("ANALISE")))
     candidates = lookup(candidates, reference, {"TIPO_DE_PERICIA": "DE"}, {"PARA": "PERICIA_AJUSTADA"})
-    long_prices = aggregates.to_long(
-        band_prices, ["ESCRITORIO", "TIPO_DE_PERICIA", "TIPO_ACAO"], "FAIXA", "VALOR"
-    ).groupBy("ESCRITORIO", "TIPO_DE_PERICIA", "FAIXA").agg(F.min("VALOR").alias("VALOR"))
     by_report: Mapping[str, str] = {"ESCRITORIO": "ESCRITORIO", "PERICIA_AJUSTADA": "TIPO_DE_PERICIA"}
-    priced = aggregates.volume_price(candidates, long_prices, by_report, "FAIXA", "VALOR", "__by_volume")
+    action = [c for c in ("TIPO_ACAO",) if c in candidates.columns]
+    prices = unambiguous_prices(band_prices, action)
+    priced = aggregates.volume_price(
+        candidates, prices, by_report, "FAIXA", "VALOR", "__by_volume", also={c: c for c in action}
+    )
     priced = lookup(
         priced, task_prices, {"ESCRITORIO": "ESCRITORIO", "TIPO_DA_TAREFA": "TIPO"}, {"VALOR": "__by_task"},
         null_safe=True,

@@ -23,6 +23,12 @@ def managerial_base(
     return schema.strip_accents_columns(schema.adjust_column_names(typed))
 
 
+def _named(sheet: DataFrame, renames: Mapping[str, str]) -> DataFrame:
+    """A sheet with canonical names, whatever spelling it came with; repeated ones are numbered."""
+    renamed = schema.rename(schema.dedupe_columns_suffix(sheet), renames)
+    return schema.dedupe_columns_suffix(schema.snake_columns(renamed, upper=True))
+
+
 def normalised_table(
     sheets: Sequence[DataFrame],
     renames: Mapping[str, str] | None = None,
@@ -35,14 +41,12 @@ def normalised_table(
 ) -> DataFrame:
     """Canonical table from one or more sheets of the same base.
 
-    Names become UPPER_SNAKE with repeated ones numbered; ids bigint, money double, and dates
+    Names become UPPER_SNAKE in each sheet, with repeated ones numbered, before the sheets meet; ids bigint, money double, and dates
     (all columns with DATA in their name unless listed) dates. Textual nulls become real ones, or
     with `blanks="text"` nulls of text columns become empty text. `as_text` turns every other
     column into text.
     """
-    table = union_all([schema.dedupe_columns_suffix(s.drop(*drop)) for s in sheets])
-    table = schema.rename(table, renames or {})
-    table = schema.dedupe_columns_suffix(schema.snake_columns(table, upper=True))
+    table = union_all([_named(s.drop(*drop), renames or {}) for s in sheets])
     date_names = schema.find_columns(table, "DATA") if dates is None else schema.existing(table, dates)
     id_names, money_names = schema.existing(table, ids), schema.existing(table, money)
     typed = set(date_names) | set(id_names) | set(money_names)

@@ -26,8 +26,8 @@ def reported_terminations(files: Sequence[DataFrame], windows_: DataFrame) -> Da
     rows = rows.withColumns(
         {
             "DATA_ARQUIVO": F.regexp_extract("SOURCE", r"(\d{8})\.xlsx$", 1),
-            "DESLIGAMENTO": F.to_date("DESLIGAMENTO"),
-            "ADMISSAO": F.to_date("ADMISSAO"),
+            "DESLIGAMENTO": dates.as_date(rows, "DESLIGAMENTO"),
+            "ADMISSAO": dates.as_date(rows, "ADMISSAO"),
         }
     )
     return periods.in_source_window(filters.has_key(rows, "CPF"), "DATA_ARQUIVO", "DESLIGAMENTO", windows_)

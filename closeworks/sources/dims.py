@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,27 +39,13 @@ def dim_from_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataF
     return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df
 
 
-def calendar_rows(
-    ends: Sequence[tuple[str | None, str]] = V.ACCOUNTING_MONTH_ENDS, first_day: str = V.FIRST_ACCOUNTING_DAY
-) -> list[tuple[date, date, date]]:
-    """Month, first and last day; each month starts the day after the previous one ended."""
-    rows, start = [], date.fromisoformat(first_day)
-    for month, end in ends:
-        last = date.fromisoformat(end)
-        if month is not None:
-            rows.append((date.fromisoformat(f"{month}-01"), start, last))
-        start = last + timedelta(days=1)
-    return rows
-
-
 def accounting_calendar(spark: SparkSession, rows: Sequence[tuple] | None = None) -> DataFrame:
     """MES_CONTABIL, DT_INICIO, DT_FIM."""
-    rows = calendar_rows() if rows is None else rows
-    return dim_from_rows(spark, rows, "MES_CONTABIL date, DT_INICIO date, DT_FIM date")
+    return dim_from_rows(spark, V.ACCOUNTING_MONTHS if rows is None else rows, "MES_CONTABIL date, DT_INICIO date, DT_FIM date")
 
 
-def file_month_exceptions(spark: SparkSession) -> DataFrame:
-    return dim_from_rows(spark, V.FILE_MONTH_EXCEPTIONS, "ARQUIVO string, MES_FECH date")
+def file_months(spark: SparkSession) -> DataFrame:
+    return dim_from_rows(spark, V.FILE_MONTHS, "ARQUIVO string, MES_FECH date")
 
 
 def hr_file_windows(spark: SparkSession) -> DataFrame:
@@ -68,9 +54,4 @@ def hr_file_windows(spark: SparkSession) -> DataFrame:
 
 def cut_calendar(spark: SparkSession) -> DataFrame:
     """Closing month and the day the case system was cut for it."""
-    first = date.fromisoformat(V.FIRST_CUT_MONTH)
-    rows = []
-    for i, day in enumerate(V.CUT_DAYS):
-        month = first.month - 1 + i
-        rows.append((date(first.year + month // 12, month % 12 + 1, 1), date.fromisoformat(day)))
-    return dim_from_rows(spark, rows, "MES_FECH date, DIA_CORTE date")
+    return dim_from_rows(spark, V.CUT_DAYS, "MES_FECH date, DIA_CORTE date")

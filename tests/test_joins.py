@@ -7,8 +7,8 @@ from closeworks.operators import joins, periods
 from closeworks.sources import dims
 from tests.helpers import day, rows
 
-SOURCE = [(1, "Alice", "202403", 100, 1), (1, "Alice", "202404", 100, 1), (2, "Bob", "202404", 200, 1), (3, "Carl", "202404", 300, 0)]
-NEW = [(1, "Alice", "202403", 150, 1), (2, "Bob", "202404", 200, 1)]
+SOURCE = [(41, "Ines", "198806", 70, 0), (41, "Ines", "198807", 71, 0), (52, "Otto", "198807", 15, 1), (63, "Uma", "198809", 9, 0)]
+NEW = [(41, "Ines", "198806", 88, 0), (52, "Otto", "198807", 15, 1)]
 FIELDS = "id bigint, nome string, mes string, valor bigint, encerrado bigint"
 
 
@@ -16,17 +16,17 @@ def test_coalescing_merge_updates_matched_rows(spark):
     source, new = spark.createDataFrame(SOURCE, FIELDS), spark.createDataFrame(NEW, FIELDS)
     merged = joins.merge_update(source, new, ["id", "mes"])
     assert {(r["id"], r["mes"]): r["valor"] for r in merged.collect()} == {
-        (1, "202403"): 150, (1, "202404"): 100, (2, "202404"): 200, (3, "202404"): 300
+        (41, "198806"): 88, (41, "198807"): 71, (52, "198807"): 15, (63, "198809"): 9
     }
     assert merged.count() == source.count()
 
 
 def test_merge_of_listed_columns_lets_null_win(spark):
     source = spark.createDataFrame(SOURCE, FIELDS)
-    new = spark.createDataFrame([(1, "Zoe", "202403", None, 0)], FIELDS)
+    new = spark.createDataFrame([(41, "Zoe", "198806", None, 1)], FIELDS)
     merged = joins.merge_update(source, new, ["id", "mes"], columns=["valor", "encerrado"], null_overwrites=True)
-    changed = merged.filter("id = 1 AND mes = '202403'").first()
-    assert (changed["nome"], changed["valor"], changed["encerrado"]) == ("Alice", None, 0)
+    changed = merged.filter("id = 41 AND mes = '198806'").first()
+    assert (changed["nome"], changed["valor"], changed["encerrado"]) == ("Ines", None, 1)
 
 
 @pytest.mark.parametrize("how, ids", [("left", [1, 2]), ("inner", [2]), ("right", [2, 3]), ("outer", [1, 2, 3])])
@@ -166,9 +166,12 @@ def test_last_second_of_a_month_belongs_to_it(spark):
 
 
 def test_file_months_and_windows(spark):
-    files = spark.createDataFrame([("20230201",), ("20230220",), ("x",)], "f string")
-    months = periods.file_month(files, "f", dims.file_month_exceptions(spark))
-    assert rows(months) == [("20230201", day("2023-01-01")), ("20230220", day("2023-02-01")), ("x", None)]
+    files = spark.createDataFrame([("20230201",), ("20230220",), ("20230221",), ("x",)], "f string")
+    months = periods.file_month(files, "f", dims.file_months(spark))
+    listed = [("20230201", day("2023-01-01")), ("20230220", day("2023-02-01"))]
+    assert rows(months) == [*listed, ("20230221", day("2023-02-01")), ("x", None)]
+    strict = periods.file_month(files, "f", dims.file_months(spark), unlisted_by_date=False)
+    assert rows(strict) == [*listed, ("20230221", None), ("x", None)]
     events = spark.createDataFrame(
         [(1, "20230202", day("2023-01-31")), (1, "20230202", day("2023-01-31")), (2, "20230202", day("2023-02-01")), (3, "20990101", day("2023-01-01"))],
         "id int, f string, d date",
