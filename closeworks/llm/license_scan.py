@@ -129,8 +129,10 @@ def _notices(spark: SparkSession) -> DataFrame:
 
 def _unknown(docs: DataFrame, text: str) -> DataFrame:
     """(line, held): a bounded sample of paragraphs without licence words; held ones calibrate."""
-    some = docs.select(F.col(text).alias("text")).where("text is not null").orderBy(F.xxhash64("text"), "text").limit(SAMPLE)
-    lines = paragraphs(some.withColumn("key", F.xxhash64("text")), "key", "text")
+    texts = docs.select(F.col(text).alias("text")).where("text is not null").withColumn("key", F.xxhash64("text"))
+    some = texts.join(F.broadcast(texts.select("key").distinct().orderBy("key").limit(SAMPLE)), "key", "left_semi")
+    some = some.dropDuplicates(["key"])
+    lines = paragraphs(some, "key", "text")
     lines = lines.where(~F.col("line").rlike(LICENCE_WORDS)).select("line").distinct()
     lines = lines.orderBy(F.xxhash64("line"), "line").limit(PARAGRAPHS)
     return lines.select("line", (F.pmod(F.xxhash64("line", F.lit("held")), F.lit(2)) == 1).alias("held"))
