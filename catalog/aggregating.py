@@ -101,7 +101,8 @@ _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 @query("""
-SELECT p_brand, p_type, round(sum(p_retailprice), 2) AS price FROM part GROUP BY ALL""")
+SELECT p_brand, CASE WHEN p_type IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD') THEN p_type ELSE 'OUTROS' END AS p_type,
+  round(sum(p_retailprice), 2) AS price FROM part GROUP BY ALL""")
 def price_unpivot(spark, folder):
     part = table(spark, folder, "part")
     matrix = aggregates.pivot_sum(part, ["p_brand"], "p_type", _TYPES, "p_retailprice")
@@ -109,13 +110,13 @@ def price_unpivot(spark, folder):
 
 
 @query("SELECT l_orderkey, " + ", ".join(
-    f"round(sum(CASE WHEN l_linenumber = {i} THEN l_extendedprice END), 2) AS \"{i}\"" for i in range(1, 8)
-) + " FROM lineitem GROUP BY 1")
+    f"round(sum(CASE WHEN l_linenumber = {i} THEN l_extendedprice END), 2) AS \"{i}\"" for i in range(1, 6)
+) + ", round(sum(CASE WHEN l_linenumber NOT BETWEEN 1 AND 5 THEN l_extendedprice END), 2) AS \"OUTROS\" FROM lineitem GROUP BY 1")
 def installment_pivot(spark, folder):
     items = table(spark, folder, "lineitem")
-    numbers = list(range(1, 8))
+    numbers = list(range(1, 6))
     wide = aggregates.pivot_sum(items, ["l_orderkey"], "l_linenumber", numbers, "l_extendedprice")
-    return rounded(wide, *[str(n) for n in numbers])
+    return rounded(wide, *[str(n) for n in numbers], aggregates.OTHERS)
 
 
 _BANDS_SQL = """CASE WHEN n > 0 AND n <= 10 THEN 0 WHEN n > 10 AND n <= 30 THEN 1 WHEN n > 30 AND n <= 50 THEN 2 ELSE 3 END"""

@@ -470,7 +470,7 @@ WITH t AS (
     FROM customer) WHERE rn = 1),
 m AS (
   SELECT MATRICULA, CPF, DESL, o_orderkey, date_trunc('month', o_orderdate)::DATE AS MES_FECH FROM t
-  LEFT JOIN orders ON o_custkey = CPF)
+  LEFT JOIN orders ON o_custkey = CPF AND CPF % 10 <> 0)
 SELECT lpad(MATRICULA::VARCHAR, 8, '0') AS MATRICULA, DESL AS DATA_DESLIGAMENTO, o_orderkey AS ID_PROCESSO, MES_FECH,
   CASE WHEN o_orderkey IS NULL THEN 0 ELSE 1 END AS NOVOS,
   (row_number() OVER (PARTITION BY MATRICULA ORDER BY MES_FECH NULLS FIRST, o_orderkey, DESL) = 1)::INTEGER AS QTDE
@@ -480,20 +480,23 @@ def termination_study(spark, folder):
     customer = table(spark, folder, "customer")
     left = F.date_add(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") % 2000).cast("int"))
     rows = customer.select(
-        F.floor(F.col("c_custkey") / 2).cast("string").alias("MATRICULA"), F.col("c_custkey").alias("CPF"), "c_mktsegment",
+        F.floor(F.col("c_custkey") / 2).cast("string").alias("MATRICULA"), "c_mktsegment",
+        # Every tenth person has no tax id but a placeholder, here and in the lawsuits.
+        F.when(F.col("c_custkey") % 10 == 0, "000.000.000-00").otherwise(F.col("c_custkey").cast("string")).alias("CPF"),
         F.when(F.col("c_custkey") % 2 == 0, "Desligado-R").otherwise("DESLIGADO").alias("STATUS_COLABORADOR"),
         # The hiring date separates terminations of one day by the person.
-        F.date_sub(F.lit("1996-01-01").cast("date"), F.col("c_custkey").cast("int")).alias("DATA_ADMISSAO"),
+        F.date_sub(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") % 3000).cast("int")).alias("DATA_ADMISSAO"),
         left.alias("DATA_DESLIGAMENTO"),
     )
     history = rows.filter("c_mktsegment <> 'BUILDING'").drop("c_mktsegment")
     previews = rows.filter("c_mktsegment <> 'MACHINERY'").withColumnRenamed("c_mktsegment", "SETOR")
     everyone = staff.all_terminations(history, previews)
     book = shapes.cases(spark, folder).select(
-        "ID_PROCESSO", "MES_FECH", F.lit(1).alias("NOVOS"), F.lpad(F.col("CUSTOMER").cast("string"), 11, "0").alias("cpf")
+        "ID_PROCESSO", "MES_FECH", F.lit(1).alias("NOVOS"), F.when(F.col("CUSTOMER") % 10 == 0, "00000000000").otherwise(F.lpad(F.col("CUSTOMER").cast("string"), 11, "0")).alias("cpf"),
     ).select("ID_PROCESSO", "MES_FECH", "NOVOS", F.when(F.col("ID_PROCESSO") % 2 == 0, F.col("cpf")).alias("PARTE_CONTRARIA_CPF"))
     managerial = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("PROCESSO_ID"), F.col("o_custkey").cast("string").alias("PARTE_CONTRARIA_CPF"),
+        F.col("o_orderkey").alias("PROCESSO_ID"),
+        F.when(F.col("o_custkey") % 10 == 0, "0").otherwise(F.col("o_custkey").cast("string")).alias("PARTE_CONTRARIA_CPF"),
         F.lit(None).cast("string").alias("MATRICULA"),
     )
     study = staff.termination_study(everyone, book, managerial, last_only=True)
@@ -565,7 +568,8 @@ _MONTHS = [f"1998{m:02d}" for m in range(1, 13)]
 @query(f"WITH {_ROLL_SQL} SELECT ID AS ID_PROCESSO, " + ", ".join(
     f"min(CASE WHEN strftime(MES, '%Y%m') = '{m}' THEN code END) AS MUDOU_FASE_{m},"
     f" min(CASE WHEN strftime(MES, '%Y%m') = '{m}' THEN label END) AS DP_FASE_{m}" for m in _MONTHS
-) + " FROM r GROUP BY 1")
+) + """, min(CASE WHEN MES IS NULL OR year(MES) <> 1998 THEN code END) AS "MUDOU_FASE_OUTROS",
+  min(CASE WHEN MES IS NULL OR year(MES) <> 1998 THEN label END) AS "DP_FASE_OUTROS" FROM r GROUP BY 1""")
 def phase_roll_wide(spark, folder):
     return phases.transition_pivot(_rolled(spark, folder), _MONTHS)
 
@@ -599,7 +603,7 @@ rows AS (
 
 @query(f"""
 WITH {_CONTROL_SQL}
-SELECT r.PROCESSO_ID, SUB_TIPO, TIPO AS DP_SUB_TIPO, PARCELA::INTEGER AS PARCELA, QTD AS QTD_PARCELAS_ACORDO, QUITADO, DIA AS DATA_PAGTO,
+SELECT r.PROCESSO_ID, SUB_TIPO, TIPO AS DP_SUB_TIPO, PARCELA::BIGINT AS PARCELA, QTD AS QTD_PARCELAS_ACORDO, QUITADO, DIA AS DATA_PAGTO,
   PRIMEIRO AS DATA_DO_ACORDO, (DIA + ((PARCELA - 1) * 30)::INTEGER)::DATE AS DT_VENCIMENTO_PARCELA, PAGA AS VALOR_PARCELA_PAGA, ACORDADO AS VALOR_DO_ACORDO,
   PARTE AS VALOR_PARCELA, FASE_M AS FASE,
   CASE WHEN TIPO = 'CONDENAÇÃO' AND PARCELA = 1 THEN PROVISAO * 0.3 WHEN TIPO = 'CONDENAÇÃO' THEN (PROVISAO * (1 - 0.3::DOUBLE)) / 6
@@ -776,7 +780,7 @@ current AS (
   SELECT * FROM (SELECT o_custkey, CASE o_orderstatus WHEN 'F' THEN 'ENCERRADO' WHEN 'O' THEN 'ATIVO' END AS st,
       CASE WHEN o_orderpriority = '1-URGENT' THEN '4. Acordo/Vazio para Defesa' END AS motive, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_totalprice END AS prov,
       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn
-    FROM orders WHERE o_orderdate >= DATE '2001-01-01') WHERE rn = 1),
+    FROM orders) WHERE rn = 1),
 k AS (
   SELECT c_custkey, c_acctbal, prov, CASE WHEN motive IS NOT NULL THEN motive WHEN st IS NULL OR st = 'ATIVO' THEN prev ELSE st END AS kept
   FROM previous LEFT JOIN current ON c_custkey = o_custkey),
@@ -792,7 +796,7 @@ def _rolled_status(spark, folder):
         F.col("c_acctbal").alias("INSS_DECAIDO"),
     )
     orders = table(spark, folder, "orders")
-    closing_sheet = orders.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")).select(
+    closing_sheet = orders.select(
         F.col("o_custkey").alias("ID_PROCESSO"),
         F.when(status == "F", "ENCERRADO").when(status == "O", "ATIVO").alias("STATUS_M"),
         F.when(F.col("o_orderpriority") == "1-URGENT", V.SETTLEMENT_MOTIVE).alias("MOTIVO_MOVIMENTACAO"),

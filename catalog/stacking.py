@@ -2,38 +2,41 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from catalog.registry import query, table
-from closeworks.operators import filters, unions
-from closeworks.operators.schema import common_columns
+from closeworks.operators import unions
 from closeworks.plans.entries import entries_base, entries_per_month
+from closeworks.sources.snapshots import read_snapshots
 
 _YEARS = list(range(1995, 2002))
 
 
 def _slices(spark, folder):
-    """One table per year of orders, as if each had been written by another version of a job."""
+    """One table per year of orders, as if each had been written by another version of a job.
+
+    The first also holds all earlier orders and those without a date, the last all later ones.
+    """
     orders = table(spark, folder, "orders")
+    day = F.col("o_orderdate")
     for year in _YEARS:
         start = F.lit(f"{year}-01-01").cast("timestamp_ntz")
         end = F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
-        yield year, orders.filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
+        within = day >= start if year == _YEARS[-1] else (day >= start) & (day < end)
+        yield year, orders.filter(within if year > _YEARS[0] else day.isNull() | (day < end))
 
 
 @query("""
-SELECT o_orderkey AS "ID_PROCESSO", o_custkey::VARCHAR AS "CODIGO", o_totalprice AS "VALOR_R$",
+SELECT o_orderkey::VARCHAR AS "ID_PROCESSO", o_custkey::VARCHAR AS "CODIGO", o_totalprice AS "VALOR_R$",
        CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS "PRIORIDADE",
-       CASE WHEN year(o_orderdate) = 2001 THEN o_orderdate::DATE END AS "DATA_DE_ENTRADA"
+       CASE WHEN year(o_orderdate) >= 2001 THEN o_orderdate::DATE END AS "DATA_DE_ENTRADA"
 FROM orders""")
 def union_harmonized(spark, folder):
     slices = []
     for year, rows in _slices(spark, folder):
         key, code, value = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
         columns = [
-            key.cast("int").alias("id processo") if year % 2 else key.alias("ID_PROCESSO"),
+            key.cast("string").alias("id processo") if year % 2 else key.alias("ID_PROCESSO"),
             code.cast("string").alias("Código") if year == 1996 else code.alias("CODIGO"),
             value.alias("Valor R$"),
             F.lit("repetido").alias("valor_r$") if year == 1997 else F.lit(None).cast("double").alias("VALOR_R$"),
@@ -47,8 +50,8 @@ def union_harmonized(spark, folder):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN year(o_orderdate) < 1999 THEN o_custkey END AS customer,
-       CASE WHEN year(o_orderdate) >= 1999 THEN o_orderstatus END AS status, year(o_orderdate)::INTEGER AS year
+SELECT o_orderkey, CASE WHEN coalesce(year(o_orderdate), 1995) < 1999 THEN o_custkey END AS customer,
+       CASE WHEN year(o_orderdate) >= 1999 THEN o_orderstatus END AS status, least(greatest(coalesce(year(o_orderdate), 1995), 1995), 2001)::INTEGER AS year
 FROM orders""")
 def union_missing(spark, folder):
     slices = []
@@ -59,12 +62,14 @@ def union_missing(spark, folder):
 
 
 @query("""
-SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE year(o_orderdate) IN (1997, 1998)""")
+SELECT DISTINCT o_custkey::VARCHAR AS o_custkey, o_orderstatus FROM orders""")
 def union_distinct(spark, folder):
-    by_year = dict(_slices(spark, folder))
-    left = by_year[1997].select("o_custkey", "o_orderstatus", "o_totalprice")
-    right = by_year[1998].select("o_orderstatus", "o_custkey", "o_orderpriority")
-    return unions.union_distinct(*common_columns(left, right))
+    orders = table(spark, folder, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    left = orders.filter(odd).select("o_custkey", "o_orderstatus", "o_totalprice")
+    # The key is text in one of the two, as after a change of the export.
+    right = orders.filter(~odd).select("o_orderstatus", F.col("o_custkey").cast("string").alias("o_custkey"), "o_orderpriority")
+    return unions.union_distinct(left, right)
 
 
 @query("""
@@ -81,12 +86,8 @@ def entries_by_era(spark, folder):
 
 @query("""
 SELECT date_trunc('year', o_orderdate)::DATE AS "MES_FECH", o_orderstatus, count(*) AS n FROM orders
-WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '2000-01-01' GROUP BY ALL""")
+WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate <= DATE '1999-12-31' GROUP BY ALL""")
 def snapshots_by_period(spark, folder):
-    slices = [
-        rows.select("o_orderstatus", F.lit(f"{year}-01-01").cast("date").alias("MES_FECH"))
-        for year, rows in _slices(spark, folder)
-    ]
-    history = reduce(lambda a, b: a.unionAll(b), slices)
-    recent = filters.in_period(history, "MES_FECH", "1997-01-01", "1999-12-31")
-    return recent.groupBy("MES_FECH", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    recent = read_snapshots(spark, f"{folder}/orders.parquet", "o_orderdate", "1997-01-01", "1999-12-31")
+    year = F.trunc(F.to_date("o_orderdate"), "year").alias("MES_FECH")
+    return recent.groupBy(year, "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))

@@ -52,28 +52,29 @@ def transition_matrix(spark, folder):
     return aggregates.counts(rolled, ["DIA", "MUDOU_FASE", "DP_FASE_MES"])
 
 
-_DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]
+_DAYS = [f"2024-01-{d:02d}" for d in range(1, 29)]
 
 
 @query(f"WITH {_EVENTS_SQL} SELECT user_id, " + ", ".join(
     f"min(CASE WHEN ts::DATE = DATE '{d}' THEN MUDOU_FASE END) AS \"{d}_code\","
     f" min(CASE WHEN ts::DATE = DATE '{d}' THEN DP_FASE_MES END) AS \"{d}_label\"" for d in _DAYS
-) + " FROM t GROUP BY 1")
+) + """, min(CASE WHEN ts < DATE '2024-01-01' OR ts >= DATE '2024-01-29' OR ts IS NULL THEN MUDOU_FASE END) AS "OUTROS_code",
+  min(CASE WHEN ts < DATE '2024-01-01' OR ts >= DATE '2024-01-29' OR ts IS NULL THEN DP_FASE_MES END) AS "OUTROS_label" FROM t GROUP BY 1""")
 def phase_pivot(spark, folder):
     rolled = _transitions(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     return aggregates.pivot_first(rolled, ["user_id"], "day", _DAYS, code="MUDOU_FASE", label="DP_FASE_MES")
 
 
 @query("""
-SELECT event_id, row_number() OVER (w ORDER BY event_type, event_id)::INTEGER AS rn,
-  rank() OVER (w ORDER BY event_type)::INTEGER AS r, dense_rank() OVER (w ORDER BY event_type)::INTEGER AS dr
+SELECT event_id, row_number() OVER (w ORDER BY event_type, event_id)::BIGINT AS rn,
+  rank() OVER (w ORDER BY event_type)::BIGINT AS r, dense_rank() OVER (w ORDER BY event_type)::BIGINT AS dr
 FROM events WINDOW w AS (PARTITION BY user_id)""")
 def ranks(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
     numbered = windows.per_key(
         events, ["user_id"], ["event_type", "event_id"],
-        [F.col("event_type"), F.floor(F.col("event_id") / 1000)],
-        {"rn": windows.row_number(), "r": windows.rank(depth=1), "dr": windows.dense_rank(depth=1)},
+        [F.col("event_type"), F.floor(F.col("event_id") / 1_000_000), F.floor(F.col("event_id") / 1000)],
+        {"rn": windows.row_number(), "r": windows.rank(1), "dr": windows.dense_rank(1)},
     )
     return numbered.drop("user_id", "event_type")
 
@@ -84,8 +85,8 @@ _PART_ORDER = ["day", "l_extendedprice", "l_partkey", "l_suppkey", "l_linenumber
 @query("""
 WITH i AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_shipdate::DATE AS day FROM lineitem)
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-  row_number() OVER (PARTITION BY l_orderkey ORDER BY day, l_extendedprice, l_partkey, l_suppkey, l_linenumber)::INTEGER AS PARCELA,
-  dense_rank() OVER (PARTITION BY l_orderkey ORDER BY day)::INTEGER AS DIA_PARCELA,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY day, l_extendedprice, l_partkey, l_suppkey, l_linenumber)::BIGINT AS PARCELA,
+  dense_rank() OVER (PARTITION BY l_orderkey ORDER BY day)::BIGINT AS DIA_PARCELA,
   min(day) OVER (PARTITION BY l_orderkey) AS DATA_DO_ACORDO,
   first_value(l_extendedprice) OVER (PARTITION BY l_orderkey ORDER BY day, l_extendedprice, l_partkey, l_suppkey, l_linenumber) AS ENTRADA,
   CASE WHEN sum(l_extendedprice) OVER (PARTITION BY l_orderkey) >=
@@ -97,10 +98,10 @@ def installment_numbers(spark, folder):
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", F.to_date("l_shipdate").alias("day")
     )
     numbered = windows.per_key(
-        items, ["l_orderkey"], _PART_ORDER, [F.col("day"), F.floor(F.col("l_extendedprice") / 1000)],
+        items, ["l_orderkey"], _PART_ORDER, [F.year("day"), F.col("day")],
         {
             "PARCELA": windows.row_number(),
-            "DIA_PARCELA": windows.dense_rank(depth=1),
+            "DIA_PARCELA": windows.dense_rank(),
             "DATA_DO_ACORDO": windows.first("day"),
             "ENTRADA": windows.first("l_extendedprice"),
             "__paid": windows.total("l_extendedprice"),
@@ -115,7 +116,7 @@ SELECT o_orderkey, o_custkey, (row_number() OVER (PARTITION BY o_custkey ORDER B
 FROM orders""")
 def count_once(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    return windows.count_once(orders, ["o_custkey"], ["day", "o_orderkey"], _order_blocks()).drop("day")
+    return windows.count_once(orders, ["o_custkey"], ["day", "o_orderkey"]).drop("day")
 
 
 _HIGHEST_SQL = shapes.PAYMENTS + """, parts AS (
@@ -173,7 +174,7 @@ def provision_per_installment(spark, folder):
 
 
 @query("""
-SELECT o_orderkey, rn::INTEGER AS rn, months::BIGINT AS gap FROM (
+SELECT o_orderkey, rn::BIGINT AS rn, months::BIGINT AS gap FROM (
   SELECT o_orderkey, row_number() OVER w AS rn,
     (year(o_orderdate) * 12 + month(o_orderdate)) - (year(lag(o_orderdate) OVER w) * 12 + month(lag(o_orderdate) OVER w))
       - CASE WHEN day(o_orderdate) < day(lag(o_orderdate) OVER w) THEN 1 ELSE 0 END AS months

@@ -72,18 +72,31 @@ def history_totals(
     return found.fillna(0, subset=[count_name, sum_name])
 
 
+#: Pivot column of all values that are not listed.
+OTHERS = "OUTROS"
+
+
+def _listed(df: DataFrame, column: str, values: Sequence) -> tuple[DataFrame, list[str]]:
+    """The pivot column as text, with one value for all that is not listed, null included."""
+    known = F.when(F.col(column).isin(*values), F.col(column).cast("string")).otherwise(F.lit(OTHERS))
+    return df.withColumn(column, known), [*map(str, values), OTHERS]
+
+
 def pivot_first(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, **cells: str) -> DataFrame:
-    """One column per listed value and cell, holding the cell's first value that is not null.
+    """One column per listed value and cell, and OUTROS for all other values, holding the cell's first value.
 
-    The smallest value is taken where a cell has several, so that the result does not depend
+    The smallest value that is not null is taken where a cell has several, so that the result does not depend
     on the order of rows. The values are given, which saves a job to find them.
     """
     aggregates = [F.min(old).alias(new) for new, old in cells.items()]
-    return df.groupBy(*keys).pivot(column, list(values)).agg(*aggregates)
+    named, listed = _listed(df, column, values)
+    return named.groupBy(*keys).pivot(column, listed).agg(*aggregates)
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, value: str) -> DataFrame:
-    return df.groupBy(*keys).pivot(column, list(values)).agg(F.sum(value))
+    """Sums per listed value, and OUTROS for all other values."""
+    named, listed = _listed(df, column, values)
+    return named.groupBy(*keys).pivot(column, listed).agg(F.sum(value))
 
 
 def to_long(

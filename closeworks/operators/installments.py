@@ -62,8 +62,8 @@ def expand_parts(df: DataFrame, remaining: str = "PARCELAS_FALTANTES", number: s
 
 
 def due_date(paid_on: Column, part: Column) -> Column:
-    """Thirty days after the previous part; a later part counts from its payment date."""
-    return F.date_add(paid_on, (part - 1) * 30)
+    """Thirty days after the previous part; a later part counts from its payment date. Null for numbers beyond all dates."""
+    return F.date_add(paid_on, ((part - 1) * 30).try_cast("int"))
 
 
 def provision_part(kind: Column, part: Column, provision: Column, parts: Column) -> Column:

@@ -1,9 +1,10 @@
 """Ordered windows per key that survive a key with a large share of all rows.
 
-A plain window sends all rows of a key to one task. Here a key is cut into blocks, for
-instance months, that follow the order of the window. Rows are numbered within their block;
-one small summary row per block carries the rest over to the next blocks. The rows
-themselves are shuffled once, by key and block.
+A plain window sends all rows of a key to one task. Values of a whole key (first, total, highest) need no window:
+they are aggregates, combined per task, that are looked up. For numbers, ranks and previous values a key is
+cut into blocks, for instance months, that follow the order of the window. Rows are numbered within their block;
+one small summary row per block carries the rest over to the next blocks. Blocks may be nested, coarse ones first:
+then each level is carried within the level above, and no task holds all blocks of a key.
 """
 
 from __future__ import annotations
@@ -16,23 +17,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from closeworks.functions.rules import transition_code, transition_label
+from closeworks.operators.joins import lookup
 from closeworks.operators.schema import quoted
 
 
 @dataclass(frozen=True)
 class Windowed:
-    """One output of `per_key`.
+    """One output of `per_key`: numbers of rows or values so far, or a value of the previous row.
 
-    `local` is the value within the block, `summary` the aggregate of a block, `carried` what
-    the summaries of a key give for the block, and `final` combines local and carried values.
-    Instead of a summary, `edge` names a column of the first or last row of the block.
+    `local` is the value within the block; a number adds the sum of `size` over earlier blocks, at the level of the first
+    `depth` block columns. `previous` names the column whose value in the last row before the block is carried instead.
     """
 
-    carried: Callable[[Column, list[str], list[str]], Column]
-    final: Callable[[Column, Column, Column], Column]
     local: Callable[[WindowSpec], Column] | None = None
-    summary: Column | None = None
-    edge: tuple[str, str] | None = None
+    size: Column | None = None
+    depth: int | None = None
+    previous: str | None = None
+
+
+@dataclass(frozen=True)
+class Overall:
+    """One output of `per_key` that is the same for all rows of a key, from an aggregate given the order."""
+
+    aggregate: Callable[[Column], Column]
 
 
 def _without_nulls(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
@@ -51,98 +58,37 @@ def _without_nulls(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
     return columns
 
 
-def _across(keys: Sequence[str], blocks: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*blocks)
-
-
 def row_number() -> Windowed:
-    return Windowed(
-        local=lambda w: F.row_number().over(w),
-        summary=F.count(F.lit(1)),
-        carried=lambda s, keys, blocks: F.sum(s).over(
-            _across(keys, blocks).rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        final=lambda local, carried, first: (F.coalesce(carried, F.lit(0)) + local).cast("int"),
-    )
+    return Windowed(local=lambda w: F.row_number().over(w), size=F.count(F.lit(1)))
 
 
 def dense_rank(depth: int | None = None) -> Windowed:
     """Rank without gaps by the first `depth` block columns (all, if not given)."""
-    return Windowed(
-        summary=F.count(F.lit(1)),
-        carried=lambda s, keys, blocks: F.dense_rank().over(_across(keys, blocks[:depth])),
-        final=lambda local, carried, first: carried,
-    )
+    return Windowed(size=F.max(F.lit(1)), depth=depth)
 
 
 def rank(depth: int | None = None) -> Windowed:
     """Rank with gaps by the first `depth` block columns (all, if not given)."""
-
-    def carried(s, keys, blocks):
-        equal = Window.partitionBy(*keys, *blocks[:depth])
-        # The default frame of an ordered sum includes all equal rows.
-        return F.sum(s).over(_across(keys, blocks[:depth])) - F.sum(s).over(equal) + 1
-
-    return Windowed(
-        summary=F.count(F.lit(1)), carried=carried, final=lambda local, carried, first: carried.cast("int")
-    )
+    return Windowed(size=F.count(F.lit(1)), depth=depth)
 
 
 def lag(column: str) -> Windowed:
-    return Windowed(
-        local=lambda w: F.lag(column).over(w),
-        edge=("last", column),
-        carried=lambda s, keys, blocks: F.lag(s).over(_across(keys, blocks)),
-        final=lambda local, carried, first: F.when(first, carried).otherwise(local),
-    )
+    return Windowed(local=lambda w: F.lag(column).over(w), previous=column)
 
 
-def first(column: str) -> Windowed:
+def first(column: str) -> Overall:
     """Value of the first row of the key."""
-    return Windowed(
-        edge=("first", column),
-        carried=lambda s, keys, blocks: F.first(s).over(_across(keys, blocks)),
-        final=lambda local, carried, first: carried,
-    )
+    return Overall(lambda order: F.min_by(F.struct(quoted(column).alias("v")), order)["v"])
 
 
-def total(column: str) -> Windowed:
+def total(column: str) -> Overall:
     """Sum over the whole key."""
-    return Windowed(
-        summary=F.sum(column),
-        carried=lambda s, keys, blocks: F.sum(s).over(Window.partitionBy(*keys)),
-        final=lambda local, carried, first: carried,
-    )
+    return Overall(lambda order: F.sum(column))
 
 
-def highest(column: str) -> Windowed:
+def highest(column: str) -> Overall:
     """Maximum over the whole key."""
-    return Windowed(
-        summary=F.max(column),
-        carried=lambda s, keys, blocks: F.max(s).over(Window.partitionBy(*keys)),
-        final=lambda local, carried, first: carried,
-    )
-
-
-def _summaries(blocked: DataFrame, groups: list[str], order: Sequence[str], outputs: Mapping[str, Windowed]):
-    """One row per block, combined per task before the shuffle.
-
-    All columns wanted from the first or last row of a block come from one aggregate.
-    """
-    wanted: dict[str, list[str]] = {}
-    for spec in outputs.values():
-        if spec.edge:
-            wanted.setdefault(spec.edge[0], []).append(spec.edge[1])
-    pick = {"first": F.min_by, "last": F.max_by}
-    position = F.struct(*[quoted(c) for c in order])
-    edges = [
-        pick[edge](F.struct(*dict.fromkeys(columns)), position).alias(f"__{edge}")
-        for edge, columns in wanted.items()
-    ]
-    plain = [spec.summary.alias(f"__summary_{n}") for n, spec in outputs.items() if not spec.edge]
-    summary = blocked.groupBy(*groups).agg(*edges, *plain)
-    columns = {n: F.col(f"__{s.edge[0]}")[s.edge[1]] if s.edge else F.col(f"__summary_{n}") for n, s in outputs.items()}
-    return summary, columns
+    return Overall(lambda order: F.max(column))
 
 
 def per_key(
@@ -150,42 +96,96 @@ def per_key(
     keys: Sequence[str],
     order: Sequence[str],
     block: Sequence[Column],
-    outputs: Mapping[str, Windowed],
+    outputs: Mapping[str, Windowed | Overall],
 ) -> DataFrame:
     """Add window values per key, ordered ascending by the columns of `order`.
 
-    `block` must never decrease along the order. One block of one key has to fit a task, and so
-    have the summary rows of one key, so choose it after the data: the month of the ordering date,
-    the day, or the day and a range of ids. The input is read twice, once for the summaries;
-    after costly steps pass in a written table.
+    `block` must never decrease along the order. One block of one key has to fit a task, and so have the
+    blocks of a level within one of the level above, so choose them after the data: the year and month of the ordering
+    date, or the day and two ranges of ids. Numbers are bigint. The input is read again for the summaries and for the
+    values of whole keys; after costly steps pass in a written table.
     """
+    windowed = {n: spec for n, spec in outputs.items() if isinstance(spec, Windowed)}
+    overall = {n: spec for n, spec in outputs.items() if isinstance(spec, Overall)}
+    base = df.drop(*[n for n in outputs if n in df.columns])
+    result = _numbered(base, keys, order, block, windowed) if windowed else base
+    if overall:
+        position = F.struct(*map(quoted, order))
+        values = base.groupBy(*map(quoted, keys)).agg(*[spec.aggregate(position).alias(n) for n, spec in overall.items()])
+        result = lookup(result, values, list(keys), list(overall), null_safe=True, derived=True)
+    return result.select(*[quoted(c) for c in base.columns], *[quoted(n) for n in outputs])
+
+
+def _numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Sequence[Column], outputs: Mapping[str, Windowed]
+) -> DataFrame:
     blocks = {f"__block_{i}": column for i, column in enumerate(block)}
     blocked = df.withColumns(blocks)
-    groups = [*keys, *blocks]
-    safe = _without_nulls(blocked, groups)
+    safe = _without_nulls(blocked, [*keys, *blocks])
     keyed = blocked.withColumns(safe)
-    inside: WindowSpec = Window.partitionBy(*safe).orderBy(*order)
+    inside = Window.partitionBy(*safe).orderBy(*map(quoted, order))
     local = {f"__local_{n}": spec.local(inside) for n, spec in outputs.items() if spec.local}
-    if local:
+    if any(spec.previous for spec in outputs.values()):
         local["__first"] = F.row_number().over(inside) == 1
-    rows = keyed.withColumns(local) if local else keyed
-
-    summary, columns = _summaries(blocked, groups, order, outputs)
-    carried = summary.select(
-        *[column.alias(name) for name, column in safe.items()],
-        *[
-            spec.carried(columns[n], list(keys), list(blocks)).alias(f"__carried_{n}")
-            for n, spec in outputs.items()
-        ],
-    )
-    joined = rows.join(carried, list(safe), "left")
-    is_first = F.col("__first") if "__first" in local else F.lit(None)
+    joined = keyed.withColumns(local) if local else keyed
+    depths = {n: spec.depth or len(block) for n, spec in outputs.items()}
+    for depth in sorted(set(depths.values()), reverse=True):
+        some = {n: spec for n, spec in outputs.items() if depths[n] == depth}
+        on = list(safe)[: 2 * (len(keys) + depth)]
+        joined = joined.join(_carried(keyed, len(keys), depth, order, some), on, "left")
     values = {}
     for name, spec in outputs.items():
-        own = F.col(f"__local_{name}") if spec.local else F.lit(None)
-        values[name] = spec.final(own, F.col(f"__carried_{name}"), is_first)
-    kept = [quoted(c) for c in df.columns if c not in values]
-    return joined.select(*kept, *[value.alias(name) for name, value in values.items()])
+        carried = F.col(f"__carried_{name}")
+        if spec.previous:
+            values[name] = F.when(F.col("__first"), carried["v"]).otherwise(F.col(f"__local_{name}"))
+        else:
+            own = F.col(f"__local_{name}") if spec.local else F.lit(1)
+            values[name] = own.cast("bigint") + F.coalesce(carried, F.lit(0).cast("bigint"))
+    return joined.select(*[quoted(c) for c in df.columns], *[value.alias(name) for name, value in values.items()])
+
+
+def _carried(
+    keyed: DataFrame, keys: int, depth: int, order: Sequence[str], outputs: Mapping[str, Windowed]
+) -> DataFrame:
+    """For each block what the blocks before it give: sums of sizes, and the last row before it.
+
+    From the finest level up, the blocks of each level are combined to one row, and what comes before it within the
+    level above is added.
+    """
+
+    def names(n: int) -> list[str]:
+        return [f"{kind}_{i}" for i in range(n) for kind in ("__value", "__null")]
+
+    numbers = [n for n, spec in outputs.items() if not spec.previous]
+    previous = {n: spec.previous for n, spec in outputs.items() if spec.previous}
+    position = F.struct(*map(quoted, order))
+    sizes = [outputs[n].size.cast("bigint").alias(f"__size_{n}") for n in numbers]
+    last = [F.max_by(F.struct(quoted(c).alias("v")), position).alias(f"__last_{n}") for n, c in previous.items()]
+    level = keyed.groupBy(*names(keys + depth)).agg(*sizes, *last)
+    found = None
+    for k in range(depth, 0, -1):
+        at = keys + k - 1
+        # nulls come first, as in the order of the rows
+        by = [F.col(f"__null_{at}").desc(), F.col(f"__value_{at}")]
+        above = Window.partitionBy(*names(at)).orderBy(*by)
+        before = above.rowsBetween(Window.unboundedPreceding, -1)
+        now = {f"__carried_{n}": F.sum(f"__size_{n}").over(before) for n in numbers}
+        now |= {f"__carried_{n}": F.lag(f"__last_{n}").over(above) for n in previous}
+        carried = level.select(*names(at + 1), *[c.alias(n) for n, c in now.items()])
+        if found is None:
+            found = carried
+        else:
+            more = carried.withColumnsRenamed({n: f"{n}_above" for n in now})
+            both = found.join(more, names(at + 1), "left")
+            merged = {f"__carried_{n}": F.coalesce(f"__carried_{n}", F.lit(0)) + F.coalesce(f"__carried_{n}_above", F.lit(0)) for n in numbers}
+            merged |= {f"__carried_{n}": F.coalesce(f"__carried_{n}", f"__carried_{n}_above") for n in previous}
+            found = both.withColumns(merged).drop(*more.columns[len(names(at + 1)) :])
+        if k > 1:
+            latest = F.struct(*[x for i in range(at, keys + k) for x in (~F.col(f"__null_{i}"), F.col(f"__value_{i}"))])
+            sums = [F.sum(f"__size_{n}").alias(f"__size_{n}") for n in numbers]
+            ends = [F.max_by(f"__last_{n}", latest).alias(f"__last_{n}") for n in previous]
+            level = level.groupBy(*names(at)).agg(*sums, *ends)
+    return found
 
 
 def phase_transitions(
@@ -203,7 +203,14 @@ def phase_transitions(
     )
 
 
-def count_once(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Sequence[Column], name="QTDE"):
-    """1 on the first row of each key, 0 on the others."""
-    numbered = per_key(df, keys, order, block, {"__rn": row_number()})
-    return numbered.withColumn(name, (F.col("__rn") == 1).cast("int")).drop("__rn")
+def count_once(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "QTDE") -> DataFrame:
+    """1 on the first row of each key, 0 on the others; of equal first rows one counts.
+
+    The first place of a key is an aggregate that is looked up; only rows of one place are numbered together.
+    """
+    place = F.struct(*map(quoted, order))
+    first_ = df.groupBy(*map(quoted, keys)).agg(F.min(place).alias("__first"))
+    same = Window.partitionBy(*map(quoted, keys), *map(quoted, order)).orderBy(*map(quoted, order))
+    found = lookup(df.withColumn("__rn", F.row_number().over(same)), first_, list(keys), ["__first"], null_safe=True, derived=True)
+    counts = (F.col("__rn") == 1) & F.col("__first").eqNullSafe(place)
+    return found.withColumn(name, counts.cast("int")).drop("__rn", "__first")

@@ -12,8 +12,6 @@ from closeworks.operators.joins import inner_lookup, lookup
 from closeworks.operators.unions import union_all
 
 PAID_ON = "DATA_EFETIVA_DO_PAGAMENTO"
-# Payments of one case and day are cut into ranges of this size for numbering.
-VALUE_RANGE = 1000
 
 
 def cases_with_plan(closings: DataFrame) -> DataFrame:
@@ -35,7 +33,7 @@ def settlement_parts(payments: DataFrame, cases: DataFrame, settlements: DataFra
         rows,
         ["PROCESSO_ID"],
         [PAID_ON, "ACORDO", "SUB_TIPO", "PARCELAMENTO_ACORDO"],
-        [F.col(PAID_ON), F.floor(F.col("ACORDO") / VALUE_RANGE)],
+        [F.year(PAID_ON), F.col(PAID_ON)],
         {"PARCELA": windows.row_number(), "DATA_DO_ACORDO": windows.first(PAID_ON)},
     )
     agreed = {
@@ -77,9 +75,9 @@ def conviction_parts(payments: DataFrame, since: str = "2022-01-01") -> DataFram
         rows,
         ["PROCESSO_ID"],
         [PAID_ON, "CONDENACAO"],
-        [F.col(PAID_ON), F.floor(F.col("CONDENACAO") / VALUE_RANGE)],
+        [F.year(PAID_ON), F.col(PAID_ON)],
         {
-            "PARCELA": windows.dense_rank(depth=1),
+            "PARCELA": windows.dense_rank(2),
             "DATA_DO_ACORDO": windows.first(PAID_ON),
             "__down_payment": windows.first("CONDENACAO"),
             "__paid": windows.total("CONDENACAO"),

@@ -50,10 +50,10 @@ def transition_matrix(rolled: DataFrame, provisions: DataFrame) -> DataFrame:
 
 
 def transition_pivot(rolled: DataFrame, months: Sequence[str]) -> DataFrame:
-    """One row per case with code and label columns for each listed month (`yyyyMM`)."""
+    """One row per case with code and label columns for each listed month (`yyyyMM`), OUTROS for all others."""
     labelled = rolled.withColumn("__month", F.date_format("MES_FECH", "yyyyMM"))
     wide = aggregates.pivot_first(
         labelled, ["ID_PROCESSO"], "__month", months, MUDOU_FASE="MUDOU_FASE", DP_FASE="DP_FASE_MES"
     )
-    names = {f"{m}_{c}": f"{c}_{m}" for m in months for c in ("MUDOU_FASE", "DP_FASE")}
+    names = {f"{m}_{c}": f"{c}_{m}" for m in (*months, aggregates.OTHERS) for c in ("MUDOU_FASE", "DP_FASE")}
     return wide.withColumnsRenamed(names)

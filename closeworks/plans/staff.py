@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeworks.functions import dates, rules, text
 from closeworks.functions import fixed_values as V
 from closeworks.operators import aggregates, filters, periods, windows
-from closeworks.operators.joins import lookup, org_lookup, unknown_only
-from closeworks.operators.unions import union_all, union_distinct, union_harmonized
+from closeworks.operators.joins import lookup, org_lookup
+from closeworks.operators.unions import union_distinct, union_harmonized
 
 Splits = Sequence[tuple[str, Sequence[str], str, str]]
 RUN_MODES = ("teste", "previa", "fechamento")
@@ -140,18 +140,24 @@ def last_terminations(rows: DataFrame) -> DataFrame:
     return aggregates.keep_one(rows, ["MATRICULA"], order)
 
 
+def _person(tax_id: Column) -> Column:
+    """Masked tax id; one that repeats a single digit stands for no person and is null."""
+    digits = text.normalize_tax_id(tax_id)
+    return F.when(~digits.rlike(r"^(\d)\1*$"), text.mask_tax_id(digits))
+
+
 def termination_study(
     terminations: DataFrame, book: DataFrame, managerial: DataFrame, last_only: bool = False
 ) -> DataFrame:
     """Terminations with every lawsuit of the person, counted once per employee (QTDE).
 
-    The lawsuits of a person are matched on the masked tax id. With `last_only` an employee
+    The lawsuits of a person are matched on the masked tax id; ids of one repeated digit match nothing. With `last_only` an employee
     has one termination, otherwise each of them is matched.
     """
     rows = last_terminations(terminations) if last_only else terminations
     people = rows.withColumns(
         {
-            "CPF": text.mask_tax_id(text.normalize_tax_id(F.col("CPF"))),
+            "CPF": _person(F.col("CPF")),
             "MATRICULA": text.normalize_registration(F.col("MATRICULA")),
         }
     )
@@ -159,15 +165,12 @@ def termination_study(
     cases = lookup(book, managerial, {"ID_PROCESSO": "PROCESSO_ID"}, extra)
     tax_id = F.coalesce(F.col("PARTE_CONTRARIA_CPF"), F.col("__cpf"))
     cases = cases.select(
-        text.mask_tax_id(text.normalize_tax_id(tax_id)).alias("CPF"), "ID_PROCESSO", "MES_FECH", "NOVOS"
+        _person(tax_id).alias("CPF"), "ID_PROCESSO", "MES_FECH", "NOVOS"
     )
     cases = filters.has_key(cases, "CPF")
-    # An inner join can split a hot tax id on either side, a left join only on one.
-    with_case = people.join(cases, "CPF")
-    without = unknown_only(people, cases, ["CPF"])
-    matched = union_all([with_case, without]).withColumn("NOVOS", F.coalesce("NOVOS", F.lit(0)))
+    matched = people.join(cases, "CPF", "left").withColumn("NOVOS", F.coalesce("NOVOS", F.lit(0)))
     order = ["MES_FECH", "ID_PROCESSO", "DATA_DESLIGAMENTO"]
-    return windows.count_once(matched, ["MATRICULA"], order, [F.col("MES_FECH"), F.floor(F.col("ID_PROCESSO") / 1_000_000)])
+    return windows.count_once(matched, ["MATRICULA"], order)
 
 
 def active_headcount(

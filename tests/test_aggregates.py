@@ -80,14 +80,15 @@ def test_flags_and_text(spark):
 
 def test_pivots(spark):
     df = spark.createDataFrame(
-        [("A", 1, 1000), ("A", 2, 1000), ("A", 3, 1000), ("B", 1, 1500), ("B", 2, 2000), ("B", 3, 3000)], "id string, part int, v int"
+        [("A", 1, 7), ("A", 2, 9), ("A", 3, 4), ("B", 1, 12), ("B", 2, 5), ("B", 9, 30), ("B", None, 2)], "id string, part int, v int"
     )
     wide = aggregates.pivot_sum(df, ["id"], "part", [1, 2, 3], "v")
-    assert rows(wide) == [("A", 1000, 1000, 1000), ("B", 1500, 2000, 3000)]
+    assert wide.columns == ["id", "1", "2", "3", aggregates.OTHERS]
+    assert rows(wide) == [("A", 7, 9, 4, None), ("B", 12, 5, None, 32)]
     long = aggregates.to_long(wide.withColumn("4", F.lit(None).cast("bigint")), ["id"], "part", "v")
-    assert long.count() == 6
+    assert long.count() == 6 and long.agg(F.sum("v")).first()[0] == df.agg(F.sum("v")).first()[0]
     two = aggregates.pivot_first(df, ["id"], "part", [1, 2], x="v", y="part")
-    assert two.columns == ["id", "1_x", "1_y", "2_x", "2_y"]
+    assert two.columns == ["id", "1_x", "1_y", "2_x", "2_y", "OUTROS_x", "OUTROS_y"]
 
 
 def test_keep_one_is_deterministic(spark):
@@ -98,6 +99,16 @@ def test_keep_one_is_deterministic(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_keep_one_does_not_depend_on_the_order_of_rows(spark):
+    data = [(k, m, v, {"x": v}, [v, None]) for k in (1, 2) for m in (None, 5) for v in ("q", "b", None, "b")]
+    fields = "k int, m int, v string, p map<string, string>, a array<string>"
+    found = {
+        tuple(map(str, rows(aggregates.keep_one(spark.createDataFrame(data[i:] + data[:i], fields).repartition(3), ["k"], [F.desc("m")]))))
+        for i in range(0, len(data), 3)
+    }
+    assert len(found) == 1
+
+
 def test_repeated_keys_shows_all_copies(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
     assert [r["v"] for r in aggregates.repeated_keys(df, ["k"]).orderBy("v").collect()] == ["a", "b", "d", "e"]

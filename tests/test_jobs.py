@@ -297,8 +297,10 @@ def test_phase_roll(spark):
     matrix = phases.transition_matrix(rolled, provisions)
     assert matrix.agg(F.sum("QTDE"), F.sum("PROVISAO_MOV_M")).first() == (4, 5.0)
     wide = phases.transition_pivot(rolled, ["202401", "202402"])
-    assert wide.columns == ["ID_PROCESSO", "MUDOU_FASE_202401", "DP_FASE_202401", "MUDOU_FASE_202402", "DP_FASE_202402"]
-    assert rows(wide)[0][3:] == (2, "RECURSAL_TRT - RECURSAL_TST")
+    assert wide.columns == [
+        "ID_PROCESSO", "MUDOU_FASE_202401", "DP_FASE_202401", "MUDOU_FASE_202402", "DP_FASE_202402", "MUDOU_FASE_OUTROS", "DP_FASE_OUTROS"
+    ]
+    assert rows(wide)[0][3:5] == (2, "RECURSAL_TRT - RECURSAL_TST")
 
 
 def test_installment_control(spark):

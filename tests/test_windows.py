@@ -136,7 +136,7 @@ def test_transitions_total(spark):
 
 def test_each_key_is_counted_once(spark):
     df = spark.createDataFrame(_skewed(), FIELDS)
-    once = windows.count_once(df, ["k"], ["t", "i"], [F.col("t")])
+    once = windows.count_once(df, ["k"], ["t", "i"])
     assert once.agg(F.sum("QTDE")).first()[0] == df.select("k").distinct().count()
 
 
