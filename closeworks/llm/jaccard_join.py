@@ -453,7 +453,10 @@ def _sets_of(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFr
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with the number of their common n-grams."""
+    """The pairs with the number of their common n-grams; only the sets of pairs are shuffled."""
+    pairs = written(pairs, "pairs")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    sets = sets.join(_few(written(named, "named")), "set", "left_semi")
     a = sets.select(F.col("set").alias("a"), F.col("grams").alias("grams_a"))
     b = sets.select(F.col("set").alias("b"), F.col("grams").alias("grams_b"))
     common = F.size(F.array_intersect("grams_a", "grams_b"))
