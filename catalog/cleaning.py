@@ -28,7 +28,9 @@ def compress_text(spark, folder):
     return squeezed.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("size"))
 
 
-@query(f"SELECT doc_id, md5(translate(text, '{text.ACCENTED}', '{text.PLAIN}')) AS digest FROM documents")
+@query("""
+SELECT doc_id, md5(translate(text, 'ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑáàâãäéèêëíìîïóòôõöúùûüçñ', 'AAAAAEEEEIIIIOOOOOUUUUCNaaaaaeeeeiiiiooooouuuucn')) AS digest
+FROM documents""")
 def plain_text(spark, folder):
     documents = table(spark, folder, "documents")
     return documents.select("doc_id", F.md5(text.strip_accents(F.col("text"))).alias("digest"))

@@ -257,21 +257,23 @@ _MONTHS = """((2001 * 12 + 12) - (year(o_orderdate) * 12 + month(o_orderdate))
   - CASE WHEN 1 < day(o_orderdate) THEN 1 ELSE 0 END)"""
 
 
-def _bins_sql(value, bins):
-    parts = []
-    for start, end, label in bins:
-        low = f"{value} > {start}" if start is not None else "TRUE"
-        high = f"{value} <= {end}" if end is not None else "TRUE"
-        parts.append(f"WHEN {low} AND {high} THEN '{label}'")
-    return "CASE " + " ".join(parts) + " END"
-
-
+# Edges and labels are written out, apart from the lists the operator uses.
 @query(f"""
-SELECT o_orderkey, {_DAYS}::INTEGER AS days, {_MONTHS}::BIGINT AS months, {_bins_sql(_DAYS, V.CASE_DAY_BINS)} AS case_age,
-  {_bins_sql(_DAYS, V.MODEL_DAY_BINS)} AS model_age, {_bins_sql(_DAYS, V.TENURE_DAY_BINS)} AS tenure,
-  {_bins_sql(_DAYS, V.STAFF_TENURE_BINS)} AS staff_tenure, {_bins_sql(_MONTHS, V.STOCK_MONTH_BINS)} AS stock_age,
-  CASE WHEN o_orderstatus = 'P' THEN 'Sem info' ELSE {_bins_sql(_MONTHS, V.CLUSTER_MONTH_BINS)} END AS cluster
-FROM orders""")
+WITH o AS (SELECT o_orderkey, o_orderstatus, {_DAYS} AS d, {_MONTHS} AS m FROM orders)
+SELECT o_orderkey, d::INTEGER AS days, m::BIGINT AS months,
+  CASE WHEN d <= 360 THEN 'até 1 ano' WHEN d <= 1080 THEN '1 - 3 anos' WHEN d <= 2160 THEN '3 - 6 anos' WHEN d <= 3240 THEN '6 - 9 anos'
+    ELSE '+9 anos' END AS case_age,
+  CASE WHEN d <= 360 THEN 'até 1 ano' WHEN d <= 720 THEN '1 - 2 anos' WHEN d <= 1080 THEN '2 - 3 anos' WHEN d <= 1440 THEN '3 - 4 anos'
+    WHEN d <= 1800 THEN '4 - 5 anos' WHEN d <= 2160 THEN '5 - 6 anos' WHEN d <= 2520 THEN '6 - 7 anos' ELSE '+7 anos' END AS model_age,
+  CASE WHEN d <= 360 THEN 'até 1 ano' WHEN d <= 720 THEN '1 - 2 anos' WHEN d <= 1080 THEN '2 - 3 anos' WHEN d <= 1440 THEN '3 - 4 anos'
+    WHEN d <= 1800 THEN '4 - 5 anos' WHEN d <= 2160 THEN '5 - 6 anos' WHEN d <= 3600 THEN '6 - 10 anos' ELSE 'Acima de 10 anos' END AS tenure,
+  CASE WHEN d <= 360 THEN 'até 1 ano' WHEN d <= 1080 THEN '1 - 3 anos' WHEN d <= 2160 THEN '3 - 5 anos' ELSE '+5 anos' END AS staff_tenure,
+  CASE WHEN m <= 6 THEN 'até 6 meses' WHEN m <= 12 THEN '7 - 12 meses' WHEN m <= 18 THEN '13 - 18 meses' WHEN m <= 24 THEN '19 - 24 meses'
+    ELSE '+24 meses' END AS stock_age,
+  CASE WHEN o_orderstatus = 'P' THEN 'Sem info' WHEN m <= 12 THEN 'ATÉ 1 ANO' WHEN m <= 24 THEN '1 - 2 ANOS' WHEN m <= 36 THEN '2 - 3 ANOS'
+    WHEN m <= 48 THEN '3 - 4 ANOS' WHEN m <= 60 THEN '4 - 5 ANOS' WHEN m <= 72 THEN '5 - 6 ANOS' WHEN m <= 84 THEN '6 - 7 ANOS'
+    ELSE '+7 ANOS' END AS cluster
+FROM o""")
 def aging_bins(spark, folder):
     today = F.lit("2001-12-01").cast("date")
     ordered, status = F.to_date("o_orderdate"), F.col("o_orderstatus")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closeworks.functions import fixed_values as V
@@ -24,6 +24,19 @@ MEASURES = {
 }
 
 
+def _file_month(corrections: dict[str, str] | None) -> Column:
+    """Month of the date in the file name, null without a readable date."""
+    written = F.regexp_extract("SOURCE_FILE", FILE_DATE, 1)
+    for wrong, right in (corrections or {}).items():
+        written = F.when(written == wrong, right).otherwise(written)
+    return month_start(name_date(written, r"(.*)", "dd.MM.yyyy"))
+
+
+def undated_workbooks(grid: DataFrame, corrections: dict[str, str] | None = None) -> DataFrame:
+    """Workbooks that `closing_workbooks` leaves out as their name has no readable date, with their number of rows."""
+    return grid.filter(_file_month(corrections).isNull()).groupBy("SOURCE_FILE").agg(F.count(F.lit(1)).alias("LINHAS"))
+
+
 def closing_workbooks(grid: DataFrame, columns: dict[str, str], corrections: dict[str, str] | None = None) -> DataFrame:
     """Rows of all closing tabs, stamped with the month of the date in the file name.
 
@@ -31,10 +44,7 @@ def closing_workbooks(grid: DataFrame, columns: dict[str, str], corrections: dic
     date part) to the right date part.
     """
     named = promote_header(grid, list(columns), HEADER_MARKER)
-    written = F.regexp_extract("SOURCE_FILE", FILE_DATE, 1)
-    for wrong, right in (corrections or {}).items():
-        written = F.when(written == wrong, right).otherwise(written)
-    month = month_start(name_date(written, r"(.*)", "dd.MM.yyyy"))
+    month = _file_month(corrections)
     return named.filter(month.isNotNull()).select(
         month.alias("MES_FECH"), *[F.col(f"`{old}`").alias(new) for old, new in columns.items()]
     )

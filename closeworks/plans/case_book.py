@@ -19,6 +19,7 @@ from closeworks.plans.payments import AMOUNT_COLS
 
 CONVICTION_COLS = [a for a in AMOUNT_COLS if a not in ("ACORDO", "PENSAO")]
 
+# Columns of the managerial base and their names in the book.
 MANAGERIAL_COLUMNS = {
     "ADVOGADO_RESPONSAVEL": "ADVOGADO_RESPONSAVEL",
     "ESCRITORIO": "ESCRITORIO_RESPONSAVEL",
@@ -46,6 +47,9 @@ MANAGERIAL_COLUMNS = {
     "DATA_REGISTRADO": "DATA_REGISTRADO",
     "DIRETORIA": "DIRETORIA_DP_LOJA",
 }
+#: Columns that `case_book` adds to the managerial data.
+DIMENSION_COLUMNS = ("CLUSTER_VALOR", "ET")
+# Names of the book's measures, and of the columns of closing sheets.
 MEASURES = [
     "PERC_SOCIO_M",
     "PERC_EMPRESA_M",
@@ -107,7 +111,8 @@ def enriched_cases(
     area_name = "AREA_FUNCIONAL_CENTRO" if "AREA_FUNCIONAL" in book.columns else "AREA_FUNCIONAL"
     cases = org_lookup(book, units, areas, "CENTRO_CUSTO_M", "EMPRESA", override, area_name)
     types = {c: "date" if "DATA_" in c else "string" for c in MANAGERIAL_COLUMNS}
-    cases = lookup(cases, with_missing(managerial, types), {"ID_PROCESSO": "PROCESSO_ID"}, MANAGERIAL_COLUMNS)
+    wanted = MANAGERIAL_COLUMNS | {c: c for c in DIMENSION_COLUMNS if c in managerial.columns}
+    cases = lookup(cases, with_missing(managerial, types), {"ID_PROCESSO": "PROCESSO_ID"}, wanted)
     cases = cases.withColumns(
         {
             "NOVO_X_LEGADO": rules.new_or_legacy(F.col("DATACADASTRO"), cut),
@@ -211,11 +216,21 @@ def case_book(
     # De-duplicate and refresh first, while the rows are still narrow.
     current = totals.withColumnsRenamed({"PROCESSO_ID": "ID_PROCESSO"})
     refreshed = refresh_closed(tidy_closings(closings), current, AMOUNT_COLS)
-    cases = enriched_cases(refreshed, managerial, units, areas, override, strategy_default=strategy_default)
+    people = _with_dimensions(managerial, state_clusters, third_parties)
+    cases = enriched_cases(refreshed, people, units, areas, override, strategy_default=strategy_default)
     book = with_labels(with_measures(cases), splits, defence_first)
-    book = lookup(book, state_clusters, {"ESTADO": "DE"}, {"PARA": "CLUSTER_VALOR"})
-    book = lookup(book, third_parties, {"TERCEIRO_AJUSTADO": "EMPRESA_TERCEIRIZADA"}, {"TERCEIRO_AJUSTADO": "__third"})
-    return book.withColumn("ET", text.label_or(F.col("__third"), V.NO_INFO)).drop("__third")
+    return book.withColumn("ET", text.label_or(F.col("ET"), V.NO_INFO))
+
+
+def _with_dimensions(managerial: DataFrame, state_clusters: DataFrame, third_parties: DataFrame) -> DataFrame:
+    """Managerial data, one row per case, with what hangs on its state and its third party.
+
+    Both have few values. Looked up here the wide rows of the book are not shuffled for them.
+    """
+    known = with_missing(managerial, {"PROCESSO_ESTADO": "string", "TERCEIRO_PRINCIPAL": "string", "NOVO_TERCEIRO": "string"})
+    known = lookup(known, state_clusters, {"PROCESSO_ESTADO": "DE"}, {"PARA": "CLUSTER_VALOR"})
+    known = known.withColumn("__third", F.coalesce("TERCEIRO_PRINCIPAL", "NOVO_TERCEIRO"))
+    return lookup(known, third_parties, {"__third": "EMPRESA_TERCEIRIZADA"}, {"TERCEIRO_AJUSTADO": "ET"}).drop("__third")
 
 
 def tax_extract(book: DataFrame, totals: DataFrame, month: date | str) -> DataFrame:

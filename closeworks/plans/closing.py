@@ -42,7 +42,7 @@ def clean_closing_sheet(sheet: DataFrame, dates: Sequence[str] = ("DATACADASTRO"
 def recognised_payments(
     fact: DataFrame, calendar: DataFrame, closing_month: date | str, amounts: Sequence[str] = AMOUNT_COLS
 ) -> DataFrame:
-    """What was paid per case in accounting months up to the closing month."""
+    """What was paid per case in accounting months up to the closing month; `unassigned_payments` are in none."""
     dated = periods.assign_period(fact, "DATA_EFETIVA_DO_PAGAMENTO", calendar)
     counted = filters.in_period(dated, "MES_CONTABIL", end=closing_month)
     return counted.groupBy("PROCESSO_ID").agg(
@@ -52,6 +52,12 @@ def recognised_payments(
     )
 
 
+def unassigned_payments(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Payments that no closing recognises, as their date is missing or in no accounting month."""
+    dated = periods.assign_period(fact, "DATA_EFETIVA_DO_PAGAMENTO", calendar)
+    return dated.filter(F.col("MES_CONTABIL").isNull()).drop("MES_CONTABIL")
+
+
 def monthly_closing(
     sheet: DataFrame,
     managerial: DataFrame,

@@ -14,6 +14,7 @@ from closeworks.operators.aggregates import counts, keep_one
 from closeworks.operators.joins import lookup
 from closeworks.operators.schema import existing
 
+# Columns of the modelling table, in their order.
 FEATURES = [
     "ID_PROCESSO", "CADASTRO", "MES_CADASTRO", "AREA_DO_DIREITO", "SUB_AREA_DO_DIREITO", "VALOR_DA_CAUSA",
     "ESCRITORIO_RESPONSAVEL", "PARTE_CONTRARIA_CPF", "PARTE_CONTRARIA_NOME", "MATRICULA", "CARTEIRA", "ESTADO",

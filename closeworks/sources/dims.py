@@ -16,10 +16,10 @@ from closeworks.functions import fixed_values as V
 MAX_BROADCAST_ROWS = 100_000
 
 
-def dim_from_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+def dim_from_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str, size: int | None = None) -> DataFrame:
     """Typed table from rows in code; broadcast in joins if it has few rows.
 
-    ISO text is accepted for dates.
+    `size` is the number of rows it is expanded to where it is joined. ISO text is accepted for dates.
     """
     schema = T.StructType.fromDDL(ddl)
 
@@ -36,12 +36,18 @@ def dim_from_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataF
     arrow = to_arrow_schema(schema)
     table = pa.table([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
     df = spark.createDataFrame(table)
-    return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df) if (len(rows) if size is None else size) <= MAX_BROADCAST_ROWS else df
+
+
+def _day(value: str | date) -> date:
+    return date.fromisoformat(value) if isinstance(value, str) else value
 
 
 def accounting_calendar(spark: SparkSession, rows: Sequence[tuple] | None = None) -> DataFrame:
     """MES_CONTABIL, DT_INICIO, DT_FIM."""
-    return dim_from_rows(spark, V.ACCOUNTING_MONTHS if rows is None else rows, "MES_CONTABIL date, DT_INICIO date, DT_FIM date")
+    rows = V.ACCOUNTING_MONTHS if rows is None else rows
+    days = sum((_day(end) - _day(start)).days + 1 for _, start, end in rows)  # it is joined day by day
+    return dim_from_rows(spark, rows, "MES_CONTABIL date, DT_INICIO date, DT_FIM date", days)
 
 
 def file_months(spark: SparkSession) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 GRID_SCHEMA = "SOURCE_FILE string, SHEET string, ROW_NO int, CELLS array<string>"
 BATCH_ROWS = 4096
+#: Marker that takes the first row of a tab as its header.
+FIRST_ROW = "*"
 DAY_ZERO = datetime(1899, 12, 30)
 BUILT_IN_DATE_FORMATS = set(range(14, 23)) | {45, 46, 47}
 
@@ -125,35 +127,42 @@ def _rows(book, path, strings, date_styles, first_row, first_column) -> Iterator
                 yield number, cells
 
 
-def _grid(name: str, content: bytes, sheet_pattern: str, first_row: int, first_column: int) -> Iterator[tuple]:
-    """Rows of all matching tabs of one workbook."""
+def _grid(
+    name: str, content: bytes, sheet_pattern: str, first_row: int, first_column: int, marker: str | None = None
+) -> Iterator[tuple]:
+    """Rows of all matching tabs of one workbook, each with the header above it: the first row that holds the marker."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         strings, date_styles = _shared_strings(book), _date_styles(book)
         for sheet, part in _tabs(book):
             if re.search(sheet_pattern, sheet):
+                header = None
                 for number, cells in _rows(book, part, strings, date_styles, first_row, first_column):
-                    yield name, sheet, number, cells
+                    yield name, sheet, number, cells, header
+                    if header is None and (marker == FIRST_ROW or marker in cells):
+                        header = cells
 
 
 def read_sheets(
-    spark: SparkSession, path: str, sheet_pattern: str = ".*", start_cell: str = "A1"
+    spark: SparkSession, path: str, sheet_pattern: str = ".*", start_cell: str = "A1", marker: str | None = None
 ) -> DataFrame:
     """Cells of all tabs that match, as text, from the start cell on; empty cells are null.
 
-    Columns: SOURCE_FILE, SHEET, ROW_NO, CELLS.
+    Columns: SOURCE_FILE, SHEET, ROW_NO, CELLS. With a marker, a cell text or FIRST_ROW, also HEADER: the cells of the
+    header of the tab in the rows below it, found while the rows stream by, and null in those above.
     """
+    names = ["SOURCE_FILE", "SHEET", "ROW_NO", "CELLS", *(["HEADER"] if marker else [])]
     column_letters, first_row = re.match(r"([A-Z]+)(\d+)$", start_cell).groups()
     first_column = _column_index(column_letters)
 
     def unpack(batches):
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
-                rows = _grid(name, content, sheet_pattern, int(first_row), first_column)
-                while chunk := list(islice(rows, BATCH_ROWS)):
-                    yield pd.DataFrame(chunk, columns=["SOURCE_FILE", "SHEET", "ROW_NO", "CELLS"])
+                rows = _grid(name, content, sheet_pattern, int(first_row), first_column, marker)
+                while chunk := [row[: len(names)] for row in islice(rows, BATCH_ROWS)]:
+                    yield pd.DataFrame(chunk, columns=names)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(unpack, GRID_SCHEMA)
+    return files.mapInPandas(unpack, GRID_SCHEMA + (", HEADER array<string>" if marker else ""))
 
 
 def header_rows(grid: DataFrame, marker: str | None = None) -> DataFrame:
@@ -170,6 +179,13 @@ def header_names(grid: DataFrame, marker: str | None = None) -> DataFrame:
     return names.filter("NAME is not null").distinct()
 
 
+def tabs_without_header(grid: DataFrame, marker: str) -> DataFrame:
+    """Tabs that `promote_header` leaves out as no row holds the marker, with their number of rows."""
+    marked = F.max(F.array_contains("CELLS", marker).cast("int"))
+    tabs = grid.groupBy("SOURCE_FILE", "SHEET").agg(marked.alias("__marked"), F.count(F.lit(1)).alias("LINHAS"))
+    return tabs.filter(F.coalesce("__marked", F.lit(0)) == 0).drop("__marked")
+
+
 def named_cell(name: str) -> Column:
     """Cell under the first header with that name, null where the tab has none."""
     position = F.array_position(F.col("HEADER"), name)
@@ -181,9 +197,13 @@ def promote_header(
 ) -> DataFrame:
     """Rows below the header as named text columns, with SOURCE_FILE and SHEET.
 
-    Tabs without the marker drop out. A column that a tab does not have is null, so tabs
-    with different layouts end up in one table.
+    Tabs without the marker drop out (see `tabs_without_header`). A column that a tab does not have is null, so tabs
+    with different layouts end up in one table. Where the grid was read with its headers nothing is joined, and
+    the workbooks are read once.
     """
+    if "HEADER" in grid.columns:
+        below = grid.filter(F.col("HEADER").isNotNull())
+        return below.select("SOURCE_FILE", "SHEET", *[named_cell(c).alias(c) for c in columns])
     headers = header_rows(grid, marker)
     rows = grid.join(headers, ["SOURCE_FILE", "SHEET"]).filter(F.col("ROW_NO") > F.col("HEADER_ROW"))
     return rows.select("SOURCE_FILE", "SHEET", *[named_cell(c).alias(c) for c in columns])

@@ -5,8 +5,8 @@ from xml.sax.saxutils import escape
 
 from pyspark.sql import functions as F
 
-from closeworks.plans import agency
-from closeworks.sources import sheets, snapshots
+from closeworks.plans import agency, closing
+from closeworks.sources import dims, sheets, snapshots
 from tests.helpers import day, rows
 
 NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -148,3 +148,40 @@ def test_period_in_the_file_name(spark):
         ("HC por Status 20240531.xlsx", day("2024-05-31"), day("2024-05-01")), ("x.xlsx", None, None)
     ]
     assert snapshots.named_like(df, "f", "^HC por Status").count() == 1
+
+
+def test_headers_are_found_while_rows_stream(spark, tmp_path):
+    write_workbook(
+        tmp_path / "05.03.2024 Fechamento.xlsx",
+        {"Base": [["x"], ["LINHA", "NOVOS"], [1, 2], ["LINHA", 9]], "Base sem": [["a"], ["b"]]},
+    )
+    write_workbook(tmp_path / "sem data.xlsx", {"Base": [["NOVOS", "LINHA"], [5, 1]]})
+    grid = sheets.read_sheets(spark, str(tmp_path / "*.xlsx"), marker="LINHA")
+    named = sheets.promote_header(grid, ["LINHA", "NOVOS"], "LINHA")
+    assert rows(named.select("LINHA", "NOVOS")) == [("1", "2"), ("1", "5"), ("LINHA", "9")]
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "Exchange" not in plan and "Join" not in plan
+    slow = sheets.promote_header(sheets.read_sheets(spark, str(tmp_path / "*.xlsx")), ["LINHA", "NOVOS"], "LINHA")
+    assert rows(slow) == rows(named)
+    first = sheets.promote_header(sheets.read_sheets(spark, str(tmp_path / "sem data.xlsx"), marker=sheets.FIRST_ROW), ["NOVOS"])
+    assert rows(first.select("NOVOS")) == [("5",)]
+
+
+def test_left_out_workbooks_and_tabs_are_told(spark, tmp_path):
+    write_workbook(tmp_path / "05.03.2024 F.xlsx", {"Base": [["LINHA"], [1]], "Base sem": [["a"], ["b"]]})
+    write_workbook(tmp_path / "sem data.xlsx", {"Base": [["LINHA"], [5], [6]]})
+    grid = sheets.read_sheets(spark, str(tmp_path / "*.xlsx"))
+    assert rows(sheets.tabs_without_header(grid, "LINHA").select("SHEET", "LINHAS")) == [("Base sem", 2)]
+    left = agency.undated_workbooks(grid).collect()
+    assert [(r["SOURCE_FILE"].rsplit("/", 1)[-1].replace("%20", " "), r["LINHAS"]) for r in left] == [("sem data.xlsx", 3)]
+    kept = agency.closing_workbooks(grid, {"LINHA": "LINHA"})
+    assert kept.count() == 1
+
+
+def test_payments_are_recognised_or_told(spark):
+    days = ["2021-08-22", "2021-08-23", "2022-08-24", "2030-01-01", None]
+    fact = spark.createDataFrame([(i, d and day(d), 1.0) for i, d in enumerate(days)], "PROCESSO_ID int, DATA_EFETIVA_DO_PAGAMENTO date, TOTAL_PAGAMENTOS double")
+    calendar = dims.accounting_calendar(spark)
+    told = closing.unassigned_payments(fact, calendar)
+    kept = closing.recognised_payments(fact, calendar, "2025-05-01", [])
+    assert rows(told.select("PROCESSO_ID")) == [(1,), (3,), (4,)] and rows(kept.select("PROCESSO_ID")) == [(0,), (2,)]
