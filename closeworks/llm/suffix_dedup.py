@@ -38,7 +38,7 @@ RUN = 32
 BUCKET_BYTES = 8_000_000
 STEP = 1 << 20
 #: Symbols of a collection that is built at once, if its hashes allow.
-COLLECTION = 1_000_000
+COLLECTION = 400_000
 NO_ID = np.iinfo(np.int64).max
 
 REPLY = "bucket int, range int, kind int, data binary"
@@ -77,12 +77,17 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> Runs:
         np.cumsum(letters[part] * up[:-1], out=sums[1:])
         grams = W.mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(part) - GRAM + 1])
         least = _least(grams, LENGTH - GRAM + 1)
-        place = np.arange(len(least)) + first
-        row = np.searchsorted(bounds, place, "right") - 1
-        inside = np.flatnonzero(place + LENGTH <= bounds[row + 1])
-        if not len(inside):
+        # where strings of each row of this part start
+        low = int(np.searchsorted(bounds, first, "right")) - 1
+        high = int(np.searchsorted(bounds, first + len(least), "left"))
+        begin = np.clip(bounds[low:high] - first, 0, len(least))
+        after = np.clip(bounds[low + 1 : high + 1] - LENGTH + 1 - first, begin, len(least))
+        size = after - begin
+        if not size.sum():
             continue
-        h, r = least[inside], row[inside]
+        r = np.repeat(np.arange(low, high), size)
+        inside = np.arange(len(r)) + np.repeat(begin - (np.cumsum(size) - size), size)
+        h = least[inside]
         new = np.r_[True, (h[1:] != h[:-1]) | (r[1:] != r[:-1])]
         head = np.flatnonzero(new)
         since = np.arange(len(h)) - np.repeat(head, np.diff(np.r_[head, len(h)]))
@@ -109,27 +114,24 @@ class Bucket:
         parts = list(W.chunks(t["text"], limit=1 << 62))
         self.data, self.bounds = parts[0].data, parts[0].bounds
         self.runs = runs(self.data, self.bounds)
-
-    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct hashes, sorted, and whether several ids have them."""
-        ids = self.order[self.runs.rows]
-        at = np.lexsort((ids, self.runs.hashes))
-        h, ids = self.runs.hashes[at], ids[at]
-        head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-        last = np.r_[head[1:], len(h)] - 1
-        return h[head], ids[head] != ids[last] if len(h) else np.zeros(0, bool)
+        # rows go by id, and a stable sort keeps that: the first and last of a hash have its smallest and largest id
+        h = self.runs.hashes
+        at = np.argsort(h, kind="stable")
+        new = np.r_[True, h[at][1:] != h[at][:-1]] if len(h) else np.zeros(0, bool)
+        head = np.flatnonzero(new)
+        ids = self.order[self.runs.rows[at]]
+        self.hashes = h[at[head]]
+        self.several = ids[head] != ids[np.r_[head[1:], len(h)] - 1] if len(h) else new
+        self.hash_of = np.empty(len(h), np.int64)
+        self.hash_of[at] = np.cumsum(new) - 1
 
     def texts(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the runs with a shared hash: their indices, for each its distinct text, and of each text the first run.
-
-        The first run of a text is one of the smallest id, as rows are sorted by it. Texts go by hash and content.
-        """
-        some = np.flatnonzero(np.isin(self.runs.hashes, shared))
-        r = self.runs
-        at = np.lexsort((some, r.contents[some], r.hashes[some]))
-        some = some[at]
-        h, c = r.hashes[some], r.contents[some]
-        new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])] if len(some) else np.zeros(0, bool)
+        """The runs with a shared hash, the distinct text of each, and of each text the first run, of its smallest id."""
+        some = np.flatnonzero(shared[self.hash_of])
+        content = self.runs.contents[some]
+        at = np.argsort(content, kind="stable")
+        some, content = some[at], content[at]
+        new = np.r_[True, content[1:] != content[:-1]] if len(some) else np.zeros(0, bool)
         return some, np.cumsum(new) - 1, some[new]
 
 
@@ -137,7 +139,7 @@ def _range(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return (W.mixed(hashes) % np.uint64(ranges)).astype(np.int64)
 
 
-def _by_range(number: np.ndarray, ranges: int) -> list[tuple[int, np.ndarray]]:
+def _by_range(number: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """The places of each range that occurs, in their order."""
     at = np.argsort(number, kind="stable")
     cuts = np.flatnonzero(np.diff(number[at])) + 1
@@ -151,10 +153,9 @@ def _bits(values: np.ndarray) -> bytes:
 def _names(ranges: int):
     def run(t: pa.Table) -> pa.Table:
         bucket = Bucket(t)
-        hashes, several = bucket.hashes()
         rows = [
-            {"range": k, "bucket": bucket.number, "hashes": hashes[x].tobytes(), "several": _bits(several[x])}
-            for k, x in _by_range(_range(hashes, ranges), ranges)
+            {"range": k, "bucket": bucket.number, "hashes": bucket.hashes[x].tobytes(), "several": _bits(bucket.several[x])}
+            for k, x in _by_range(_range(bucket.hashes, ranges))
         ]
         kinds = [("range", pa.int32()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary())]
         return pa.Table.from_pylist(rows, pa.schema(kinds))
@@ -171,8 +172,9 @@ def _shared(t: pa.Table) -> pa.Table:
     ]
     every = np.sort(np.concatenate(found))
     twice = every[1:][every[1:] == every[:-1]]
-    both = np.unique(np.r_[twice, np.concatenate([h[s] for h, s in zip(found, several, strict=True)])])
-    data = [_bits(np.isin(h, both)) for h in found]
+    both = np.sort(np.concatenate([twice, *(h[s] for h, s in zip(found, several, strict=True))]))
+    both = np.r_[both, np.uint64(0)]  # for what lies beyond the last
+    data = [_bits(both[np.searchsorted(both[:-1], h)] == h) for h in found]
     return _replies(t["bucket"].to_pylist(), t["range"][0].as_py(), SHARED, data)
 
 
@@ -193,14 +195,13 @@ def _read(replies: pa.Table, kind: int) -> dict[int, bytes]:
     return {r: d for r, k, d in rows if k == kind}
 
 
-def _shared_hashes(bucket: Bucket, replies: pa.Table, ranges: int) -> np.ndarray:
-    hashes, _ = bucket.hashes()
+def _is_shared(bucket: Bucket, replies: pa.Table, ranges: int) -> np.ndarray:
+    """Whether another document has each hash of a bucket."""
     told = _read(replies, SHARED)
-    out = [
-        hashes[x][np.unpackbits(np.frombuffer(told[k], np.uint8), count=len(x)).astype(bool)]
-        for k, x in _by_range(_range(hashes, ranges), ranges)
-    ]
-    return np.concatenate(out) if out else hashes
+    out = np.zeros(len(bucket.hashes), bool)
+    for k, x in _by_range(_range(bucket.hashes, ranges)):
+        out[x] = np.unpackbits(np.frombuffer(told[k], np.uint8), count=len(x)).astype(bool)
+    return out
 
 
 def _sent(ranges: int):
@@ -211,8 +212,8 @@ def _sent(ranges: int):
         if len(docs):
             bucket = Bucket(docs)
             r = bucket.runs
-            _, _, first = bucket.texts(_shared_hashes(bucket, replies, ranges))
-            for k, x in _by_range(_range(r.hashes[first], ranges), ranges):
+            _, _, first = bucket.texts(_is_shared(bucket, replies, ranges))
+            for k, x in _by_range(_range(r.hashes[first], ranges)):
                 one = first[x]
                 sizes = r.counts[one] + LENGTH - 1
                 place = np.repeat(r.starts[one] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
@@ -264,56 +265,104 @@ def _masks(t: pa.Table) -> pa.Table:
     codes = np.cumsum(np.bincount(data, minlength=256) > 0).astype(np.uint8)[data]  # 0 marks the ends of strings
 
     # equal texts are one, with their smallest id
-    content = _contents(data, starts, sizes)
-    at = np.lexsort((ids, content, hashes))
-    new = np.r_[True, (hashes[at][1:] != hashes[at][:-1]) | (content[at][1:] != content[at][:-1])]
+    content, both_sides = _contents(data, starts, sizes, hashes)
+    at = np.lexsort((ids, content))
+    new = np.r_[True, content[at][1:] != content[at][:-1]]
     text = np.empty(len(at), np.int64)
     text[at] = np.cumsum(new) - 1
     first = at[new]
 
-    # texts go by hash, so a collection takes all texts of its hashes
-    total = np.cumsum(sizes[first])
-    last = np.r_[hashes[first][1:] != hashes[first][:-1], True]
-    group = np.r_[0, np.cumsum(last)[:-1]]
-    piece = total[last][group] // COLLECTION
-    smallest = np.concatenate(
-        [
-            _smallest(codes, starts[first[x]], sizes[first[x]], ids[first[x]])
-            for x in np.split(np.arange(len(first)), np.flatnonzero(np.diff(piece)) + 1)
-        ]
-    )
+    # a string of a text alone has the smallest id of that text; others go to collections, by hash
+    smallest = np.where(np.arange(RUN) < counts[first][:, None], ids[first][:, None], NO_ID)
+    some = np.flatnonzero(_met(both_sides[first]))
+    some = some[np.argsort(hashes[first[some]], kind="stable")]
+    one = first[some]
+    total = np.cumsum(sizes[one])
+    last = np.flatnonzero(np.r_[hashes[one][1:] != hashes[one][:-1], True]) if len(one) else some
+    piece = np.repeat(total[last] // COLLECTION, np.diff(np.r_[-1, last]))
+    for x in np.split(np.arange(len(one)), np.flatnonzero(np.diff(piece)) + 1):
+        smallest[some[x]] = _smallest(codes, starts[one[x]], sizes[one[x]], ids[one[x]])
     bit = np.uint64(1) << np.arange(RUN, dtype=np.uint64)
     masks = ((smallest[text] < ids[:, None]) * bit).sum(axis=1, dtype=np.uint64)
     parts = np.split(masks, np.cumsum(own)[:-1])
     return _replies(t["bucket"].to_pylist(), t["range"][0].as_py(), MASKS, [x.tobytes() for x in parts])
 
 
-def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A hash of each text, of bytes in a row; the texts are followed by one another."""
+#: Bytes on one side of the smallest gram that a string has at least, on its longer side.
+SIDE = (LENGTH - GRAM + 1) // 2
+
+
+def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each text, and hashes of its smallest gram with SIDE bytes before and after.
+
+    Texts lie one after the other. A side that is not in the text, or whose gram occurs several times, is told by 0 or 1.
+    """
     letters = W.mixed(np.arange(1, 257, dtype=np.uint64))
-    up, _ = W._Powers.of(RUN + LENGTH)
-    inner = np.arange(len(data)) - np.repeat(starts, sizes)
-    return W.mixed(np.add.reduceat(letters[data] * up[inner], starts) + sizes.astype(np.uint64))
+    content = np.empty(len(starts), np.uint64)
+    sides = np.zeros((len(starts), 2), np.uint64)
+    step = max(1, STEP // (RUN + LENGTH))
+    for k in range(0, len(starts), step):
+        start, size, own = starts[k : k + step], sizes[k : k + step], hashes[k : k + step]
+        base = start[0]
+        part = data[base : start[-1] + size[-1]]
+        start = start - base
+        up, down = W._Powers.of(len(part) + 1)
+        sums = np.r_[np.uint64(0), np.cumsum(letters[part] * up[:-1])]
+
+        def hashed(a: np.ndarray, b: np.ndarray, sums=sums, down=down) -> np.ndarray:
+            return W.mixed((sums[b] - sums[a]) * down[a])
+
+        content[k : k + step] = W.mixed((sums[start + size] - sums[start]) * down[start] + size.astype(np.uint64))
+        grams = hashed(np.arange(len(part) - GRAM + 1), np.arange(GRAM, len(part) + 1))
+        text = np.repeat(np.arange(len(start)), size)[: len(grams)]
+        places = np.flatnonzero(grams == own[text])
+        places = places[places + GRAM <= (start + size)[text[places]]]
+        text = text[places]
+        times = np.bincount(text, minlength=len(start))
+        place = np.zeros(len(start), np.int64)
+        place[text] = places
+        before, after = place - SIDE, place + GRAM + SIDE
+        for side, there, a, b in (
+            (0, before >= start, np.maximum(before, 0), place + GRAM),
+            (1, after <= start + size, place, np.minimum(after, len(part))),
+        ):
+            value = np.where(there, hashed(a, b) | np.uint64(2), np.uint64(0))
+            sides[k : k + step, side] = np.where(times == 1, value, np.uint64(1))
+    return content, sides
+
+
+def _met(sides: np.ndarray) -> np.ndarray:
+    """Which distinct texts may share a string: they have a side in common, or can't tell."""
+    met = (sides == 1).any(axis=1)
+    for k in (0, 1):
+        side = sides[:, k]
+        at = np.argsort(side, kind="stable")
+        same = side[at][1:] == side[at][:-1]
+        found = np.zeros(len(side), bool)
+        found[at[1:]] |= same
+        found[at[:-1]] |= same
+        met |= found & (side > 1)
+    return met
 
 
 def _removed(bucket: Bucket, replies: pa.Table, ranges: int) -> np.ndarray:
     """Whether each byte of a bucket is removed."""
     r = bucket.runs
-    some, text, first = bucket.texts(_shared_hashes(bucket, replies, ranges))
-    change = np.zeros(len(bucket.data) + LENGTH + 1, np.int32)
+    some, text, first = bucket.texts(_is_shared(bucket, replies, ranges))
+    covered = np.zeros(len(bucket.data) + LENGTH, bool)  # whether the string that starts here is repeated
     if len(first):
         told = _read(replies, MASKS)
         mask = np.zeros(len(first), np.uint64)
-        for k, x in _by_range(_range(r.hashes[first], ranges), ranges):
+        for k, x in _by_range(_range(r.hashes[first], ranges)):
             mask[x] = np.frombuffer(told[k], np.uint64)
         later = bucket.order[r.rows[some]] > bucket.order[r.rows[first]][text]
         every = (np.uint64(1) << r.counts[some].astype(np.uint64)) - np.uint64(1)
         found = np.where(later, every, mask[text])
         for k in range(RUN):
-            place = r.starts[some[(found >> np.uint64(k)) & np.uint64(1) > 0]] + k
-            np.add.at(change, place, 1)
-            np.add.at(change, place + LENGTH, -1)
-    return np.cumsum(change[: len(bucket.data)]) > 0
+            covered[r.starts[some[(found >> np.uint64(k)) & np.uint64(1) > 0]] + k] = True
+    upto = np.cumsum(covered, dtype=np.int32)
+    before = np.r_[np.zeros(LENGTH, np.int32), upto[: len(bucket.data)]][: len(bucket.data)]
+    return upto[: len(bucket.data)] > before
 
 
 def _kept(ranges: int):
