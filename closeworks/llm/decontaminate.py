@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from closeworks.llm import words as W
 from closeworks.llm.names import fresh
+from closeworks.operators.schema import quoted
 
 WINDOW = 10
 #: Words of a block of the shift tables.
@@ -272,4 +273,4 @@ def contamination_report(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id") -> DataFrame:
     """The rows without a hit word, with their own columns."""
     out, name = hits(docs, benchmark, text, item)
-    return out.where(F.length(F.col(name)["places"]) == 0).select(*docs.columns)
+    return out.where(F.length(F.col(name)["places"]) == 0).select(*map(quoted, docs.columns))

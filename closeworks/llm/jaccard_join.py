@@ -32,6 +32,7 @@ from closeworks.llm import words as W
 from closeworks.llm.components import components
 from closeworks.llm.names import fresh
 from closeworks.llm.store import written
+from closeworks.operators.schema import quoted
 
 #: Counters of the frequency sketch, and how many travel in a row.
 CELLS = 1 << 20
@@ -556,5 +557,5 @@ def drop_similar(
     same = docs[key].eqNullSafe(marked[id_]) & (F.xxhash64(docs[text]) == marked[hash_])
     others = docs.join(marked, same, "left_anti")
     twice = docs.join(marked.where(repeated), same, "left_semi")
-    one = F.min(F.struct(*docs.columns)).alias("row")
+    one = F.min(F.struct(*map(quoted, docs.columns))).alias("row")
     return others.unionByName(twice.groupBy(F.col(key), F.xxhash64(text).alias(hash_)).agg(one).select("row.*"))

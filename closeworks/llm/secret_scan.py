@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from closeworks.llm import native
 from closeworks.llm.names import fresh
 from closeworks.llm.store import written
+from closeworks.operators.schema import quoted
 
 SEPARATOR = r"[\"']?\x20*[:=]\x20*[\"']?"
 LABEL = "(?i:password|passwd|secret|token|api_?key)"
@@ -204,4 +205,4 @@ def mask_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     joined = docs.withColumn(row, _row(docs, key, text)).join(hits, row, "left")
     return joined.withColumn(
         text, F.when(F.col(spans).isNotNull(), masked(F.col(text), F.col(spans))).otherwise(F.col(text))
-    ).select(*docs.columns)
+    ).select(*map(quoted, docs.columns))

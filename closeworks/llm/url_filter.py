@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from closeworks.llm import native
 from closeworks.llm.names import fresh
 from closeworks.llm.store import written
+from closeworks.operators.schema import quoted
 
 
 class Rule(NamedTuple):
@@ -172,15 +173,16 @@ def judge_urls(pages: DataFrame, url: str = "url", html: str = "html", rules: tu
     tokens, found = fresh(own, "tokens_"), fresh(own, "found_")
     own = own.withColumn(tokens, F.sort_array(_path_tokens(F.col(names["path"]))))
     own = own.withColumn(found, rule_of(F.col(names["host"]), F.col(names["path"]), rules))
+    host_key, tokens_key = fresh(own, "host_key"), fresh(own, "tokens_key")
     scored = scored.select(
-        F.col("host").alias(names["host"] + "_"), F.col("tokens").alias(tokens + "_"), F.col("score").alias(names["block_probability"])
+        F.col("host").alias(host_key), F.col("tokens").alias(tokens_key), F.col("score").alias(names["block_probability"])
     )
-    on = (own[names["host"]] == scored[names["host"] + "_"]) & (own[tokens] == scored[tokens + "_"])
+    on = (F.col(names["host"]) == F.col(host_key)) & (F.col(tokens) == F.col(tokens_key))
     judged = own.join(scored, on, "left")
     probability = F.round(1 / (1 + F.exp(-(F.coalesce(names["block_probability"], F.lit(0.0)) + F.lit(prior)))), 6)
     blocks = F.coalesce(F.col(found)["blocks"], probability > 0.5)
     return judged.select(
-        *pages.columns,
+        *map(quoted, pages.columns),
         names["host"],
         names["path"],
         F.col(found)["rule"].alias(names["rule"]),
