@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from closeworks.llm import native
 from closeworks.llm.names import fresh
 from closeworks.llm.store import written
+from closeworks.operators.schema import quoted
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -220,10 +221,14 @@ def judge(measured: DataFrame, name: str, model: Model) -> tuple[Column, Column]
 
 
 def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows whose text is kept, with their own columns."""
+    """The rows whose text is kept, with their own columns.
+
+    The measures are written with the rows, so that texts are measured once and the filter reads plain columns.
+    """
     measured, name = measures(docs, text)
-    _, kept = judge(measured, name, fit(*measures(docs.select(text), text)))
-    return measured.where(kept).drop(name)
+    measured = written(measured, "measured")
+    _, kept = judge(measured, name, fit(measured, name))
+    return measured.where(kept).select(*map(quoted, docs.columns))
 
 
 def quality_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
