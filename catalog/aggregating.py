@@ -9,7 +9,6 @@ from catalog.registry import query, rounded, table
 from closeworks.functions import fixed_values as V
 from closeworks.functions.rules import bin_label
 from closeworks.operators import aggregates
-from closeworks.operators.schema import empty_frame
 from closeworks.plans.payments import cost_totals, guarantees_by_date, payment_fact, payment_totals
 
 
@@ -53,8 +52,7 @@ SELECT l_returnflag, l_linestatus, l_suppkey, count(l_orderkey) AS QTD, round(su
 FROM lineitem GROUP BY ALL""")
 def attribute_counts(spark, folder):
     items, keys = table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus", "l_suppkey"]
-    counted = items.groupBy(*keys).agg(F.count("l_orderkey").alias("QTD"), F.sum("l_extendedprice").alias("VALOR"))
-    return rounded(counted, "VALOR")
+    return rounded(aggregates.counts(items, keys, "QTD", "l_orderkey", {"VALOR": "l_extendedprice"}), "VALOR")
 
 
 @query("SELECT o_orderpriority, count(*) AS QTD FROM orders GROUP BY 1")
@@ -167,8 +165,7 @@ def highest_values(spark, folder):
 SELECT o_custkey, o_orderstatus, count(*) AS QTD FROM orders GROUP BY 1, 2 ORDER BY 1, 3 DESC, 2""")
 def multi_key_sort(spark, folder):
     counted = aggregates.counts(table(spark, folder, "orders"), ["o_custkey", "o_orderstatus"])
-    template = empty_frame(counted, counted.schema)
-    return template.unionByName(counted).orderBy("o_custkey", F.desc("QTD"), "o_orderstatus")
+    return counted.orderBy("o_custkey", F.desc("QTD"), "o_orderstatus")
 
 
 @query(f"""

@@ -200,7 +200,7 @@ _REASON = """CASE WHEN ENCERRADOS = 1 THEN CASE WHEN ACORDO > 1 THEN 'ACORDO'
     WHEN ACORDO + CONDENACAO + PENHORA + OUTROS + IMPOSTO + GARANTIA <= 1 THEN 'SEM ONUS' END END"""
 
 
-def _customer_book(spark, folder):
+def _customer_book(spark, folder, **options):
     orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
     key, day, status = F.col("o_orderkey"), F.to_date("o_orderdate"), F.col("o_orderstatus")
     priority = F.col("o_orderpriority")
@@ -222,7 +222,7 @@ def _customer_book(spark, folder):
         (status == "O").cast("int").alias("ESTOQUE"),
         F.col("o_totalprice").alias("PROVISAO_TOTAL_M"),
         (F.col("o_totalprice") - 400000).alias("PROVISAO_TOTAL_PASSIVO_M"),
-        F.lit("EMPRESA").alias("EMPRESA_M"),
+        F.when(status == "P", "FILIAL SA").otherwise("EMPRESA").alias("EMPRESA_M"),
         # One cost centre per customer, so that the organisation follows the nation.
         (F.col("o_custkey") % 1_000_000_007).alias("CENTRO_DE_CUSTO_M"),
         status.alias("STATUS_M"),
@@ -271,7 +271,7 @@ def _customer_book(spark, folder):
         "EMPRESA_TERCEIRIZADA <> 'MACHINERY'"
     ).withColumn("TERCEIRO_AJUSTADO", F.lower("EMPRESA_TERCEIRIZADA"))
     splits = [("ASIA", ["NATION_2"], "LOGISTICA", "TECNOLOGIA")]
-    book = book_plan.case_book(closings, managerial, totals, units, areas, clusters, third, splits=splits)
+    book = book_plan.case_book(closings, managerial, totals, units, areas, clusters, third, splits=splits, **options)
     return book, managerial, totals
 
 
@@ -306,15 +306,81 @@ def case_book(spark, folder):
     )
 
 
+def _ages(value: str, *bands: tuple[int, str], last: str) -> str:
+    parts = " ".join(f"WHEN {value} <= {most} THEN '{label}'" for most, label in bands)
+    return f"CASE WHEN {value} IS NULL THEN NULL {parts} ELSE '{last}' END"
+
+
+_BOOK_MORE = {
+    "ID_PROCESSO": "ID_PROCESSO", "MES_FECH": "MES_FECH", "NOVOS": "NOVOS", "ENCERRADOS": "ENCERRADOS", "ESTOQUE": "ESTOQUE",
+    "DATACADASTRO": "DATACADASTRO", "PROVISAO_TOTAL_M": "PROVISAO_TOTAL_M", "PROVISAO_TOTAL_PASSIVO_M": "PROVISAO_TOTAL_PASSIVO_M",
+    "PROVISAO_MOV_M": "0::DOUBLE", "CORRECAO_M": "0::DOUBLE", "PERC_SOCIO_M": "0::DOUBLE",
+    "CONDENACAO": "round(CONDENACAO, 2)", "PENHORA": "round(PENHORA, 2)", "OUTROS_PAGAMENTOS": "round(OUTROS, 2)", "IMPOSTO": "round(IMPOSTO, 2)",
+    "STATUS": "CASE WHEN NOVOS_ = 1 THEN 'P' WHEN ENCERRADOS = 1 THEN 'F' ELSE 'O' END",
+    "EMPRESA": "CASE WHEN NOVOS_ = 1 THEN 'FILIAL SA' ELSE 'EMPRESA' END",
+    "BU": "CASE WHEN NOVOS_ = 1 THEN 'FILIAL' ELSE n_name END", "VP": "CASE WHEN NOVOS_ = 1 THEN 'FILIAL' ELSE r_name END",
+    "DIRETORIA": "CASE WHEN NOVOS_ = 1 THEN 'FILIAL' ELSE n_name END", "RESPONSAVEL_AREA": "CASE WHEN NOVOS_ = 1 THEN 'FILIAL' ELSE upper(r_name) END",
+    "AREA_FUNCIONAL": "CASE WHEN NOVOS_ = 1 THEN 'FIL' ELSE r_name END",
+    "DP_VP_DIRETORIA": """CASE WHEN NOVOS_ = 1 THEN 'FILIAL' WHEN r_name = 'ASIA' THEN CASE WHEN n_name = 'NATION_2' THEN 'LOGISTICA' ELSE 'TECNOLOGIA' END
+        ELSE r_name END""",
+    "ESTRATEGIA": "'DEFESA'", "INDICACAO_PROCESSO_ESTRATEGICO": "CASE WHEN IS_LOW THEN 'DEFESA' ELSE 'ACORDO' END", "NOVO_X_LEGADO": "'LEGADO'",
+    "DP_NATUREZA": """CASE WHEN PROVISAO_TOTAL_PASSIVO_M > 0 THEN 'PASSÍVEL PROVISÃO' WHEN IS_LOW THEN 'DEFESA' WHEN NATUREZA IS NOT NULL THEN NATUREZA
+        WHEN SUB_AREA IS NOT NULL THEN 'ESTRATEGICO' ELSE 'PASSÍVEL PROVISÃO' END""",
+    "ESTADO": "c_nationkey::VARCHAR", "PARTE_CONTRARIA_NOME": "PARTE", "PARTE_CONTRARIA_CARGO_GRUPO": "CARGO_GRUPO",
+    "MATRICULA": "c_custkey::VARCHAR", "PARTE_CONTRARIA_CPF": "lpad(c_custkey::VARCHAR, 11, '0')", "NOVO_TERCEIRO": "c_mktsegment",
+    "TERCEIRO_AJUSTADO": "c_mktsegment", "NATUREZA_OPERACIONAL": "NATUREZA", "AREA_DO_DIREITO": "'TRABALHISTA'", "SUB_AREA_DO_DIREITO": "SUB_AREA",
+    "DISTRIBUICAO": "DISTRIBUICAO", "DATA_ADMISSAO": "HIRED", "DATA_DISPENSA": "LEFT_ON",
+    "MES_DATA_ADMISSAO": "date_trunc('month', HIRED)::DATE", "MES_DATA_DISPENSA": "date_trunc('month', LEFT_ON)::DATE",
+    "PERIODO1": "START_", "PERIODO2": "coalesce(LEFT_ON, DISTRIBUICAO)", "PERIODO_RECLAMADO": "(DISTRIBUICAO - 1800)::DATE",
+    "PERIODO_RECL_GRUPO": "CASE WHEN START_ IS NOT NULL THEN strftime(START_, '%m-%Y') || ' a ' || strftime(coalesce(LEFT_ON, DISTRIBUICAO), '%m-%Y') END",
+    "TEMPO_EMPRESA_MESES": "TENURE::BIGINT",
+    "TEMPO_AJUIZAR_ACAO": """(CASE WHEN DISTRIBUICAO >= LEFT_ON THEN FILED - CASE WHEN day(DISTRIBUICAO) < day(LEFT_ON) THEN 1 ELSE 0 END
+        ELSE FILED + CASE WHEN day(LEFT_ON) < day(DISTRIBUICAO) THEN 1 ELSE 0 END END)::BIGINT""",
+    "MESES_AGING_ENCERR": "CASE WHEN ENCERRADOS = 1 THEN BOUNDARIES END::BIGINT", "ANO_AGING_ENCERR": "CASE WHEN ENCERRADOS = 1 THEN MES_DAYS END",
+    "MESES_AGING_ESTOQ": "CASE WHEN ESTOQUE = 1 THEN BOUNDARIES END::BIGINT", "ANO_AGING_ESTOQ": "CASE WHEN ESTOQUE = 1 THEN MES_DAYS END",
+    "AGING_ESTOQ_MESES": "CASE WHEN ESTOQUE = 1 THEN MONTHS END::BIGINT",
+    "FX_MES_AGING_ESTOQ": _ages(
+        "STOCK_MONTHS", (6, "até 6 meses"), (12, "7 - 12 meses"), (18, "13 - 18 meses"), (24, "19 - 24 meses"), last="+24 meses"
+    ),
+    "FX_ANO_AGING_ESTOQ": _ages(
+        "STOCK_DAYS", (360, "até 1 ano"), (720, "1 - 2 anos"), (1080, "2 - 3 anos"), (1440, "3 - 4 anos"), (1800, "4 - 5 anos"),
+        (2160, "5 - 6 anos"), (2520, "6 - 7 anos"), last="+7 anos",
+    ),
+    "FX_ANO_AGING_ESTOQ_2": _ages(
+        "STOCK_DAYS", (360, "até 1 ano"), (1080, "1 - 3 anos"), (2160, "3 - 6 anos"), (3240, "6 - 9 anos"), last="+9 anos"
+    ),
+    "FX_TEMPO_EMPRESA": _ages(
+        "(LEFT_ON - HIRED)", (360, "até 1 ano"), (720, "1 - 2 anos"), (1080, "2 - 3 anos"), (1440, "3 - 4 anos"), (1800, "4 - 5 anos"),
+        (2160, "5 - 6 anos"), (3600, "6 - 10 anos"), last="Acima de 10 anos",
+    ),
+}
+
+
+@query(f"""
+WITH {_BOOK_SQL}, more AS (
+  SELECT *, CASE WHEN DISTRIBUICAO - 1800 >= HIRED THEN (DISTRIBUICAO - 1800)::DATE ELSE HIRED END AS START_,
+    (year(DISTRIBUICAO) * 12 + month(DISTRIBUICAO)) - (year(LEFT_ON) * 12 + month(LEFT_ON)) AS FILED,
+    CASE WHEN ESTOQUE = 1 THEN MONTHS END AS STOCK_MONTHS, CASE WHEN ESTOQUE = 1 THEN DAYS END AS STOCK_DAYS FROM aged)
+SELECT {", ".join(f'{sql} AS "{name}"' for name, sql in _BOOK_MORE.items())} FROM more""")
+def case_book_more(spark, folder):
+    """The other columns of the book, with a company of its own, a default strategy and the defence first."""
+    override = ("FILIAL SA", "FILIAL", "FIL")
+    book, _, _ = _customer_book(spark, folder, override=override, strategy_default="ACORDO", defence_first=True)
+    return rounded(book, "CONDENACAO", "PENHORA", "OUTROS_PAGAMENTOS", "IMPOSTO").select(*_BOOK_MORE)
+
+
 @query(f"""
 WITH {_BOOK_SQL}
 SELECT ID_PROCESSO, MES_FECH, DATACADASTRO, round(a, 2) AS ACORDO, round(g, 2) AS GARANTIA, D AS DT_ULT_PGTO,
+  round(c, 2) AS CONDENACAO, round(ph, 2) AS PENHORA, round(ps, 2) AS PENSAO, round(o, 2) AS OUTROS_PAGAMENTOS, round(i, 2) AS IMPOSTO,
+  round(a + c + ph + ps + o + i + g, 2) AS TOTAL_PAGAMENTOS,
   CASE WHEN a > 1 THEN 'ACORDO' WHEN c + ph + o + i + g > 1 THEN 'CONDENACAO' WHEN a + c + ph + o + i + g <= 1 THEN 'SEM ONUS' END AS MOTIVO_ENC_AGRP
 FROM book WHERE ENCERRADOS = 1 AND MES_FECH >= DATE '2000-01-01'""")
 def tax_extract(spark, folder):
     book, _, totals = _customer_book(spark, folder)
-    extract = rounded(book_plan.tax_extract(book, totals, "2000-01-01"), "ACORDO", "GARANTIA")
-    return extract.select("ID_PROCESSO", "MES_FECH", "DATACADASTRO", "ACORDO", "GARANTIA", "DT_ULT_PGTO", "MOTIVO_ENC_AGRP")
+    amounts = [*AMOUNT_COLS, "TOTAL_PAGAMENTOS"]
+    extract = rounded(book_plan.tax_extract(book, totals, "2000-01-01"), *amounts)
+    return extract.select("ID_PROCESSO", "MES_FECH", "DATACADASTRO", *amounts, "DT_ULT_PGTO", "MOTIVO_ENC_AGRP")
 
 
 @query("""

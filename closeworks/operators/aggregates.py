@@ -55,9 +55,12 @@ def monthly_indicators(
     return df.groupBy(month).agg(*[F.sum(old).alias(new) for old, new in names.items()])
 
 
-def counts(df: DataFrame, keys: Sequence[str], name: str = "QTD", counted: str | None = None) -> DataFrame:
-    """Rows per combination of attributes, or values of `counted` that are not null."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1) if counted is None else quoted(counted)).alias(name))
+def counts(
+    df: DataFrame, keys: Sequence[str], name: str = "QTD", counted: str | None = None, sums: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Rows per combination of attributes, or values of `counted` that are not null, and sums by their new names."""
+    number = F.count(F.lit(1) if counted is None else quoted(counted)).alias(name)
+    return df.groupBy(*keys).agg(number, *[F.sum(quoted(old)).alias(new) for new, old in (sums or {}).items()])
 
 
 def history_totals(
