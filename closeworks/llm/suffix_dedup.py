@@ -32,8 +32,8 @@ from closeworks.llm import words as W
 
 LENGTH = 50
 GRAM = 16
-#: Strings of one text; a bit each.
-RUN = 32
+#: Most strings of one text, a bit each: so many hold one gram.
+RUN = LENGTH - GRAM + 1
 #: Bytes of the documents of a bucket, and bytes that are hashed at once.
 BUCKET_BYTES = 8_000_000
 STEP = 1 << 20
@@ -71,7 +71,7 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> Runs:
     out: list[Runs] = []
     for first in range(0, len(data) - LENGTH + 1, STEP):
         part = data[first : first + STEP + LENGTH - 1]
-        up, down = W._Powers.of(len(part) + 1)
+        up, down = W.Powers.of(len(part) + 1)
         sums = np.empty(len(part) + 1, np.uint64)
         sums[0] = 0
         np.cumsum(letters[part] * up[:-1], out=sums[1:])
@@ -265,7 +265,7 @@ def _masks(t: pa.Table) -> pa.Table:
     codes = np.cumsum(np.bincount(data, minlength=256) > 0).astype(np.uint8)[data]  # 0 marks the ends of strings
 
     # equal texts are one, with their smallest id
-    content, both_sides = _contents(data, starts, sizes, hashes)
+    content, around = _contents(data, starts, sizes, hashes)
     at = np.lexsort((ids, content))
     new = np.r_[True, content[at][1:] != content[at][:-1]]
     text = np.empty(len(at), np.int64)
@@ -274,7 +274,7 @@ def _masks(t: pa.Table) -> pa.Table:
 
     # a string of a text alone has the smallest id of that text; others go to collections, by hash
     smallest = np.where(np.arange(RUN) < counts[first][:, None], ids[first][:, None], NO_ID)
-    some = np.flatnonzero(_met(both_sides[first]))
+    some = np.flatnonzero(_met(around[first], hashes[first]))
     some = some[np.argsort(hashes[first[some]], kind="stable")]
     one = first[some]
     total = np.cumsum(sizes[one])
@@ -288,25 +288,26 @@ def _masks(t: pa.Table) -> pa.Table:
     return _replies(t["bucket"].to_pylist(), t["range"][0].as_py(), MASKS, [x.tobytes() for x in parts])
 
 
-#: Bytes on one side of the smallest gram that a string has at least, on its longer side.
-SIDE = (LENGTH - GRAM + 1) // 2
+#: Places that the smallest gram can have in a string, in groups; a string with it in a group holds the gram with as many
+#: bytes before it as the group's first place, and as many after it as follow at its last place.
+PLACES = [(k * (LENGTH - GRAM + 1) // 4, (k + 1) * (LENGTH - GRAM + 1) // 4 - 1) for k in range(4)]
 
 
 def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each text, and hashes of its smallest gram with SIDE bytes before and after.
+    """A hash of each text, and for each group of PLACES a hash of its smallest gram with the bytes around it.
 
-    Texts lie one after the other. A side that is not in the text, or whose gram occurs several times, is told by 0 or 1.
+    Texts lie one after the other. 0 tells that the bytes are not all in the text, 1 that the gram is several times in it.
     """
     letters = W.mixed(np.arange(1, 257, dtype=np.uint64))
     content = np.empty(len(starts), np.uint64)
-    sides = np.zeros((len(starts), 2), np.uint64)
+    around = np.zeros((len(starts), len(PLACES)), np.uint64)
     step = max(1, STEP // (RUN + LENGTH))
     for k in range(0, len(starts), step):
         start, size, own = starts[k : k + step], sizes[k : k + step], hashes[k : k + step]
         base = start[0]
         part = data[base : start[-1] + size[-1]]
         start = start - base
-        up, down = W._Powers.of(len(part) + 1)
+        up, down = W.Powers.of(len(part) + 1)
         sums = np.r_[np.uint64(0), np.cumsum(letters[part] * up[:-1])]
 
         def hashed(a: np.ndarray, b: np.ndarray, sums=sums, down=down) -> np.ndarray:
@@ -321,27 +322,24 @@ def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: n
         times = np.bincount(text, minlength=len(start))
         place = np.zeros(len(start), np.int64)
         place[text] = places
-        before, after = place - SIDE, place + GRAM + SIDE
-        for side, there, a, b in (
-            (0, before >= start, np.maximum(before, 0), place + GRAM),
-            (1, after <= start + size, place, np.minimum(after, len(part))),
-        ):
-            value = np.where(there, hashed(a, b) | np.uint64(2), np.uint64(0))
-            sides[k : k + step, side] = np.where(times == 1, value, np.uint64(1))
-    return content, sides
-
-
-def _met(sides: np.ndarray) -> np.ndarray:
-    """Which distinct texts may share a string: they have a side in common, or can't tell."""
-    met = (sides == 1).any(axis=1)
-    for k in (0, 1):
-        side = sides[:, k]
-        at = np.argsort(side, kind="stable")
-        same = side[at][1:] == side[at][:-1]
-        found = np.zeros(len(side), bool)
+        for group, (least, most) in enumerate(PLACES):
+            a, b = place - least, place + LENGTH - most
+            there = (a >= start) & (b <= start + size)
+            value = np.where(there, hashed(np.maximum(a, 0), np.minimum(b, len(part))) | np.uint64(2), np.uint64(0))
+            around[k : k + step, group] = np.where(times == 1, value, np.uint64(1))
+    return content, around
+
+
+def _met(around: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which distinct texts may share a string: those with equal bytes around their gram, or of a hash that can't tell."""
+    met = np.isin(hashes, hashes[(around == 1).any(axis=1)])
+    for value in around.T:
+        at = np.argsort(value, kind="stable")
+        same = value[at][1:] == value[at][:-1]
+        found = np.zeros(len(value), bool)
         found[at[1:]] |= same
         found[at[:-1]] |= same
-        met |= found & (side > 1)
+        met |= found & (value > 1)
     return met
 
 

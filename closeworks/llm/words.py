@@ -16,6 +16,8 @@ import pyarrow as pa
 
 #: Bytes of text that are handled at once; a longer text is handled alone.
 CHUNK_BYTES = 2_000_000
+#: Bytes that are summed at once, also of a longer text.
+PIECE_BYTES = 4_000_000
 
 #: Odd, so that it has an inverse modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
@@ -77,7 +79,7 @@ def _letters() -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=np.uint64))[LOWER]
 
 
-class _Powers:
+class Powers:
     """Powers of BASE and of its inverse, as far as they were asked for."""
 
     up = down = np.ones(1, np.uint64)
@@ -103,6 +105,17 @@ def chained(first: np.ndarray, then: np.ndarray) -> np.ndarray:
     return mixed(first * np.uint64(BASE) + then)
 
 
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of some words, by sums over the bytes from the first to the last."""
+    base = starts[0]
+    part = data[base : ends[-1]]
+    up, down = Powers.of(len(part) + 1)
+    sums = np.empty(len(part) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_letters()[part] * up[:-1], out=sums[1:])
+    return mixed((sums[ends - base] - sums[starts - base]) * down[starts - base] + (ends - starts).astype(np.uint64))
+
+
 def words(texts: Texts, kind: np.ndarray = VISIBLE) -> Words:
     """The words of some texts."""
     data, bounds = texts.data, texts.bounds
@@ -113,11 +126,12 @@ def words(texts: Texts, kind: np.ndarray = VISIBLE) -> Words:
     starts = np.flatnonzero(inside & (~before | edge[:-1]))
     after = np.r_[inside[1:], False] if len(data) else inside
     ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    up, down = _Powers.of(len(data) + 1)
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_letters()[data] * up[:-1], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):  # one word at least, and as many as end within a piece
+        upto = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE_BYTES, "right")))
+        hashes[at:upto] = _hashes(data, starts[at:upto], ends[at:upto])
+        at = upto
     first = np.searchsorted(starts, bounds)
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(first))
     return Words(hashes, starts, ends, rows, first)
