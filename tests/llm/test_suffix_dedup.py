@@ -53,6 +53,17 @@ def test_against_brute_force(spark, monkeypatch, sizes):
     assert found(spark.createDataFrame(docs, SCHEMA)) == brute(docs)
 
 
+def test_a_gram_that_one_text_has_several_times(spark):
+    r = random.Random(3)
+    docs = []
+    for i in range(120):
+        words = []
+        for _ in range(r.randrange(1, 5)):
+            words += [r.choice(["the", "that", "thestionti", "chheit", "erü", "Of"])] * r.randrange(1, 12)
+        docs.append((i, " ".join(words)))
+    assert found(spark.createDataFrame(docs, SCHEMA)) == brute(docs)
+
+
 def test_no_rows_and_other_columns(spark):
     assert found(spark.createDataFrame([], SCHEMA)) == []
     docs = [(2, "y" * 60, "b", 1), (1, "y" * 55, "a", 1)]

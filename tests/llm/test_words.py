@@ -57,6 +57,14 @@ def test_shingles_of_rows(texts, size):
     assert len(set(names.values())) == len(names)
 
 
+def test_pieces_of_a_long_text_give_the_same_hashes(monkeypatch):
+    text = pa.array(["ab cde f " * 50 + "long" * 40 + " end"])
+    whole = W.words(next(W.chunks(text)))
+    monkeypatch.setattr(W, "PIECE_BYTES", 7)
+    cut = W.words(next(W.chunks(text)))
+    assert (whole.hashes == cut.hashes).all() and len(set(cut.hashes.tolist())) == 5
+
+
 def test_a_long_text_is_a_chunk_of_its_own():
     parts = list(W.chunks(pa.array(["a b", "c " * 5000, None, "d"]), limit=100))
     assert [len(p.bounds) - 1 for p in parts] == [1, 1, 2]
