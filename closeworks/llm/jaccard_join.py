@@ -32,6 +32,7 @@ from closeworks.llm import words as W
 from closeworks.llm.components import components
 from closeworks.llm.names import fresh
 from closeworks.llm.store import written
+from closeworks.operators.joins import lookup
 from closeworks.operators.schema import quoted
 
 #: Counters of the frequency sketch, and how many travel in a row.
@@ -49,7 +50,7 @@ PROBED = 16
 #: Lists of up to so many sets hand on all their fitting pairs.
 SHORT = 8
 #: Rows of keys that may be broadcast (8 bytes each); more are shuffled.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 
 def required(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -530,7 +531,8 @@ def similar_groups(
     """Per row: id, size of its set, and the smallest id that links reach, itself included."""
     rows = _grouped(docs, key, text, size, percent)
     smallest = rows.where("group is not null").groupBy("group").agg(F.min("id").alias("smallest"))
-    return rows.join(smallest, "group", "left").select(
+    # looked up so that adaptive execution can split a group of very many rows
+    return lookup(rows, smallest, "group", ["smallest"], derived=True).select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component_id"),
@@ -547,7 +549,8 @@ def drop_similar(
     rows = written(_grouped(docs, key, text, size, percent), "groups").where("group is not null")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash"))
     best = rows.groupBy("group").agg(first.alias("best"))
-    counted = rows.groupBy("group", "id", "text_hash").count().join(best, "group")
+    counted = rows.groupBy("group", "id", "text_hash").count()
+    counted = lookup(counted, best, "group", ["best"], derived=True)
     stays = F.col("best.id").eqNullSafe(F.col("id")) & (F.col("best.text_hash") == F.col("text_hash"))
     id_, hash_, repeated = (fresh(docs, x) for x in ("id_", "text_hash_", "repeated_"))
     # rows that go, and rows that are found several times, of which one stays

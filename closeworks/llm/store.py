@@ -11,8 +11,8 @@ from closeworks.session import configure
 
 #: Rows and bytes that Python on the executors gets at once, as texts may be long.
 BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 FOLDER = "spark.checkpoint.dir"

@@ -177,7 +177,8 @@ def judge_urls(pages: DataFrame, url: str = "url", html: str = "html", rules: tu
     scored = scored.select(
         F.col("host").alias(host_key), F.col("tokens").alias(tokens_key), F.col("score").alias(names["block_probability"])
     )
-    on = (F.col(names["host"]) == F.col(host_key)) & (F.col(tokens) == F.col(tokens_key))
+    # null-safe, so that the small side is shuffled for the join and a host of very many pages can be split
+    on = F.col(names["host"]).eqNullSafe(F.col(host_key)) & F.col(tokens).eqNullSafe(F.col(tokens_key))
     judged = own.join(scored, on, "left")
     probability = F.round(1 / (1 + F.exp(-(F.coalesce(names["block_probability"], F.lit(0.0)) + F.lit(prior)))), 6)
     blocks = F.coalesce(F.col(found)["blocks"], probability > 0.5)

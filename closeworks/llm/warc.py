@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from closeworks.operators.joins import lookup
+
 END = "\r\n"
 ALPHABET_IN = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 ALPHABET_OUT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -65,7 +67,7 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     ).withColumn("digest", base32_sha1(F.col("html").cast("binary")))
     long = F.octet_length("html") >= min_bytes
     first = rows.where(long).groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("first"))
-    known = rows.join(first, "digest", "left")
+    known = lookup(rows, first, "digest", ["first"], derived=True)
     own = F.struct("page_id", "url")
     is_first = F.col("first").isNull() | ~long | F.col("first").eqNullSafe(own)
     known = known.withColumn("is_first", is_first)
