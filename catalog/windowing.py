@@ -98,10 +98,10 @@ def installment_numbers(spark, folder):
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", F.to_date("l_shipdate").alias("day")
     )
     numbered = windows.per_key(
-        items, ["l_orderkey"], _PART_ORDER, [F.year("day"), F.col("day")],
+        items, ["l_orderkey"], _PART_ORDER, [F.year("day")],
         {
             "PARCELA": windows.row_number(),
-            "DIA_PARCELA": windows.dense_rank(),
+            "DIA_PARCELA": windows.dense_rank_by("day"),
             "DATA_DO_ACORDO": windows.first("day"),
             "ENTRADA": windows.first("l_extendedprice"),
             "__paid": windows.total("l_extendedprice"),

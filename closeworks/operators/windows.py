@@ -25,11 +25,12 @@ from closeworks.operators.schema import quoted
 class Windowed:
     """One output of `per_key`: numbers of rows or values so far, or a value of the previous row.
 
-    `local` is the value within the block; a number adds the sum of `size` over earlier blocks, at the level of the first
+    `local` is the value within the block, ordered by the columns `by` or by the whole order; a number adds the sum of `size` over earlier blocks, at the level of the first
     `depth` block columns. `previous` names the column whose value in the last row before the block is carried instead.
     """
 
     local: Callable[[WindowSpec], Column] | None = None
+    by: tuple[str, ...] = ()
     size: Column | None = None
     depth: int | None = None
     previous: str | None = None
@@ -37,9 +38,13 @@ class Windowed:
 
 @dataclass(frozen=True)
 class Overall:
-    """One output of `per_key` that is the same for all rows of a key, from an aggregate given the order."""
+    """One output of `per_key` that is the same for all rows of a key.
+
+    `aggregate` is given the order of rows; `combine` makes one value of those of the blocks, given their order.
+    """
 
     aggregate: Callable[[Column], Column]
+    combine: Callable[[Column, Column], Column]
 
 
 def _without_nulls(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
@@ -67,6 +72,12 @@ def dense_rank(depth: int | None = None) -> Windowed:
     return Windowed(size=F.max(F.lit(1)), depth=depth)
 
 
+def dense_rank_by(*columns: str) -> Windowed:
+    """Rank without gaps by the first columns of the order. Rows that are equal there must share a block."""
+    values = F.size(F.collect_set(F.struct(*map(quoted, columns))))
+    return Windowed(local=lambda w: F.dense_rank().over(w), by=columns, size=values)
+
+
 def rank(depth: int | None = None) -> Windowed:
     """Rank with gaps by the first `depth` block columns (all, if not given)."""
     return Windowed(size=F.count(F.lit(1)), depth=depth)
@@ -78,17 +89,18 @@ def lag(column: str) -> Windowed:
 
 def first(column: str) -> Overall:
     """Value of the first row of the key."""
-    return Overall(lambda order: F.min_by(F.struct(quoted(column).alias("v")), order)["v"])
+    one = F.struct(quoted(column).alias("v"))
+    return Overall(lambda order: F.min_by(one, order)["v"], lambda value, order: F.min_by(F.struct(value.alias("v")), order)["v"])
 
 
 def total(column: str) -> Overall:
     """Sum over the whole key."""
-    return Overall(lambda order: F.sum(column))
+    return Overall(lambda order: F.sum(column), lambda value, order: F.sum(value))
 
 
 def highest(column: str) -> Overall:
     """Maximum over the whole key."""
-    return Overall(lambda order: F.max(column))
+    return Overall(lambda order: F.max(column), lambda value, order: F.max(value))
 
 
 def per_key(
@@ -108,32 +120,42 @@ def per_key(
     windowed = {n: spec for n, spec in outputs.items() if isinstance(spec, Windowed)}
     overall = {n: spec for n, spec in outputs.items() if isinstance(spec, Overall)}
     base = df.drop(*[n for n in outputs if n in df.columns])
-    result = _numbered(base, keys, order, block, windowed) if windowed else base
-    if overall:
+    if windowed:
+        result = _numbered(base, keys, order, block, windowed, overall)
+    else:
         position = F.struct(*map(quoted, order))
         values = base.groupBy(*map(quoted, keys)).agg(*[spec.aggregate(position).alias(n) for n, spec in overall.items()])
-        result = lookup(result, values, list(keys), list(overall), null_safe=True, derived=True)
+        result = lookup(base, values, list(keys), list(overall), null_safe=True, derived=True)
     return result.select(*[quoted(c) for c in base.columns], *[quoted(n) for n in outputs])
 
 
 def _numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Sequence[Column], outputs: Mapping[str, Windowed]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    block: Sequence[Column],
+    outputs: Mapping[str, Windowed],
+    overall: Mapping[str, Overall],
 ) -> DataFrame:
     blocks = {f"__block_{i}": column for i, column in enumerate(block)}
     blocked = df.withColumns(blocks)
     safe = _without_nulls(blocked, [*keys, *blocks])
     keyed = blocked.withColumns(safe)
-    inside = Window.partitionBy(*safe).orderBy(*map(quoted, order))
-    local = {f"__local_{n}": spec.local(inside) for n, spec in outputs.items() if spec.local}
+    inside = Window.partitionBy(*safe)
+    local = {
+        f"__local_{n}": spec.local(inside.orderBy(*map(quoted, spec.by or order))) for n, spec in outputs.items() if spec.local
+    }
     if any(spec.previous for spec in outputs.values()):
-        local["__first"] = F.row_number().over(inside) == 1
+        local["__first"] = F.row_number().over(inside.orderBy(*map(quoted, order))) == 1
     joined = keyed.withColumns(local) if local else keyed
     depths = {n: spec.depth or len(block) for n, spec in outputs.items()}
+    values = {}
     for depth in sorted(set(depths.values()), reverse=True):
         some = {n: spec for n, spec in outputs.items() if depths[n] == depth}
         on = list(safe)[: 2 * (len(keys) + depth)]
-        joined = joined.join(_carried(keyed, len(keys), depth, order, some), on, "left")
-    values = {}
+        joined = joined.join(_carried(keyed, len(keys), depth, order, some, overall), on, "left")
+        overall, taken = {}, [*overall]
+        values |= {n: F.col(f"__overall_{n}") for n in taken}
     for name, spec in outputs.items():
         carried = F.col(f"__carried_{name}")
         if spec.previous:
@@ -145,9 +167,14 @@ def _numbered(
 
 
 def _carried(
-    keyed: DataFrame, keys: int, depth: int, order: Sequence[str], outputs: Mapping[str, Windowed]
+    keyed: DataFrame,
+    keys: int,
+    depth: int,
+    order: Sequence[str],
+    outputs: Mapping[str, Windowed],
+    overall: Mapping[str, Overall],
 ) -> DataFrame:
-    """For each block what the blocks before it give: sums of sizes, and the last row before it.
+    """For each block what the blocks before it give: sums of sizes, and the last row before it; and values of the key.
 
     From the finest level up, the blocks of each level are combined to one row, and what comes before it within the
     level above is added.
@@ -161,8 +188,9 @@ def _carried(
     position = F.struct(*map(quoted, order))
     sizes = [outputs[n].size.cast("bigint").alias(f"__size_{n}") for n in numbers]
     last = [F.max_by(F.struct(quoted(c).alias("v")), position).alias(f"__last_{n}") for n, c in previous.items()]
-    level = keyed.groupBy(*names(keys + depth)).agg(*sizes, *last)
-    found = None
+    whole = [spec.aggregate(position).alias(f"__overall_{n}") for n, spec in overall.items()]
+    level = keyed.groupBy(*names(keys + depth)).agg(*sizes, *last, *whole)
+    finest, found = level, None
     for k in range(depth, 0, -1):
         at = keys + k - 1
         # nulls come first, as in the order of the rows
@@ -185,6 +213,10 @@ def _carried(
             sums = [F.sum(f"__size_{n}").alias(f"__size_{n}") for n in numbers]
             ends = [F.max_by(f"__last_{n}", latest).alias(f"__last_{n}") for n in previous]
             level = level.groupBy(*names(at)).agg(*sums, *ends)
+    if overall:
+        place = F.struct(*[x for i in range(keys, keys + depth) for x in (~F.col(f"__null_{i}"), F.col(f"__value_{i}"))])
+        values = [spec.combine(F.col(f"__overall_{n}"), place).alias(f"__overall_{n}") for n, spec in overall.items()]
+        found = found.join(finest.groupBy(*names(keys)).agg(*values), names(keys), "left")
     return found
 
 

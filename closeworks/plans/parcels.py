@@ -33,7 +33,7 @@ def settlement_parts(payments: DataFrame, cases: DataFrame, settlements: DataFra
         rows,
         ["PROCESSO_ID"],
         [PAID_ON, "ACORDO", "SUB_TIPO", "PARCELAMENTO_ACORDO"],
-        [F.year(PAID_ON), F.col(PAID_ON)],
+        [F.trunc(PAID_ON, "MM")],
         {"PARCELA": windows.row_number(), "DATA_DO_ACORDO": windows.first(PAID_ON)},
     )
     agreed = {
@@ -75,9 +75,9 @@ def conviction_parts(payments: DataFrame, since: str = "2022-01-01") -> DataFram
         rows,
         ["PROCESSO_ID"],
         [PAID_ON, "CONDENACAO"],
-        [F.year(PAID_ON), F.col(PAID_ON)],
+        [F.trunc(PAID_ON, "MM")],
         {
-            "PARCELA": windows.dense_rank(2),
+            "PARCELA": windows.dense_rank_by(PAID_ON),
             "DATA_DO_ACORDO": windows.first(PAID_ON),
             "__down_payment": windows.first("CONDENACAO"),
             "__paid": windows.total("CONDENACAO"),

@@ -112,6 +112,17 @@ def test_rows_are_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("width", [1, 2, 50])
+def test_ranks_within_blocks(spark, width):
+    df = spark.createDataFrame(_skewed(), FIELDS)
+    found = windows.per_key(
+        df, ["k"], ["t", "i"], [F.floor(F.col("t") / width)], {"dr": windows.dense_rank_by("t"), "rn": windows.row_number(), "sum": windows.total("i")}
+    )
+    expected = {i: (v[1], v[0]) for i, v in _brute(_skewed()).items()}
+    assert {r["i"]: (r["dr"], r["rn"]) for r in found.collect()} == expected
+    assert found.agg(F.max("sum")).first()[0] == df.groupBy("k").agg(F.sum("i").alias("s")).agg(F.max("s")).first()[0]
+
+
 def test_ranks_on_ties(spark):
     df = spark.createDataFrame([("A1", 2, 1), ("A1", 1, 2), ("A2", 3, 3), ("A1", 1, 4)], "a string, b int, id int")
     found = windows.per_key(
