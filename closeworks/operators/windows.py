@@ -26,7 +26,7 @@ class Windowed:
     """One output of `per_key`: numbers of rows or values so far, or a value of the previous row.
 
     `local` is the value within the block, ordered by the columns `by` or by the whole order; a number adds the sum of `size` over earlier blocks, at the level of the first
-    `depth` block columns. `previous` names the column whose value in the last row before the block is carried instead.
+    `depth` block columns; without a size the highest local value counts. `previous` names the column whose value in the last row before the block is carried instead.
     """
 
     local: Callable[[WindowSpec], Column] | None = None
@@ -74,8 +74,7 @@ def dense_rank(depth: int | None = None) -> Windowed:
 
 def dense_rank_by(*columns: str) -> Windowed:
     """Rank without gaps by the first columns of the order. Rows that are equal there must share a block."""
-    values = F.size(F.collect_set(F.struct(*map(quoted, columns))))
-    return Windowed(local=lambda w: F.dense_rank().over(w), by=columns, size=values)
+    return Windowed(local=lambda w: F.dense_rank().over(w), by=columns)
 
 
 def rank(depth: int | None = None) -> Windowed:
@@ -147,13 +146,15 @@ def _numbered(
     }
     if any(spec.previous for spec in outputs.values()):
         local["__first"] = F.row_number().over(inside.orderBy(*map(quoted, order))) == 1
-    joined = keyed.withColumns(local) if local else keyed
+    # The summaries are made of these same rows, so that both share one shuffle.
+    rows = keyed.withColumns(local) if local else keyed
+    joined = rows
     depths = {n: spec.depth or len(block) for n, spec in outputs.items()}
     values = {}
     for depth in sorted(set(depths.values()), reverse=True):
         some = {n: spec for n, spec in outputs.items() if depths[n] == depth}
         on = list(safe)[: 2 * (len(keys) + depth)]
-        joined = joined.join(_carried(keyed, len(keys), depth, order, some, overall), on, "left")
+        joined = joined.join(_carried(rows, len(keys), depth, order, some, overall), on, "left")
         overall, taken = {}, [*overall]
         values |= {n: F.col(f"__overall_{n}") for n in taken}
     for name, spec in outputs.items():
@@ -186,7 +187,8 @@ def _carried(
     numbers = [n for n, spec in outputs.items() if not spec.previous]
     previous = {n: spec.previous for n, spec in outputs.items() if spec.previous}
     position = F.struct(*map(quoted, order))
-    sizes = [outputs[n].size.cast("bigint").alias(f"__size_{n}") for n in numbers]
+    size = {n: F.max(f"__local_{n}") if outputs[n].size is None else outputs[n].size for n in numbers}
+    sizes = [size[n].cast("bigint").alias(f"__size_{n}") for n in numbers]
     last = [F.max_by(F.struct(quoted(c).alias("v")), position).alias(f"__last_{n}") for n, c in previous.items()]
     whole = [spec.aggregate(position).alias(f"__overall_{n}") for n, spec in overall.items()]
     level = keyed.groupBy(*names(keys + depth)).agg(*sizes, *last, *whole)
