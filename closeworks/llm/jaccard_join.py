@@ -187,6 +187,16 @@ def _prefixes(docs: DataFrame, text: str, size: int, percent: int, counts: np.nd
     return docs.select(text).mapInArrow(run, "gram bigint, set bigint, n int, pos int")
 
 
+def _together(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt out by some keys, and sorted by them and the set.
+
+    They are dealt by a hash of their own: a repartition by keys that a join has just used would be left out, and adaptive
+    execution may then read the join's shuffle in another way that takes the rows of a key apart.
+    """
+    dealt = rows.withColumn("dealt", F.xxhash64(*keys)).repartition("dealt")
+    return dealt.sortWithinPartitions(*keys, "set")
+
+
 def _partnered(rows: list[np.ndarray], percent: int) -> np.ndarray:
     """Which entries of whole lists (gram, set, n, pos) to keep: those that sizes and positions leave a partner.
 
@@ -249,8 +259,7 @@ def _shared(entries: DataFrame, percent: int) -> DataFrame:
         if len(held[0]):
             yield batch_of(held, _partnered(held, percent))
 
-    dealt = entries.repartition("gram").sortWithinPartitions("gram", "set")
-    return dealt.mapInArrow(run, "gram bigint, set bigint, n int, pos int")
+    return _together(entries, "gram").mapInArrow(run, "gram bigint, set bigint, n int, pos int")
 
 
 LISTED = "gram bigint, p int, q int, c int, set bigint, n int, pos int, bits binary, component bigint, leader bigint, common int, leader_n int"
@@ -416,8 +425,7 @@ def _candidates(lists: DataFrame, percent: int, mode: str) -> DataFrame:
         if held is not None:
             yield from _pairs(_List.of(held), percent, mode)
 
-    dealt = lists.repartition("gram", "p", "q").sortWithinPartitions("gram", "p", "q", "set")
-    return dealt.mapInArrow(run, PAIRS)
+    return _together(lists, "gram", "p", "q").mapInArrow(run, PAIRS)
 
 
 def _dealt(lists: DataFrame) -> DataFrame:

@@ -82,6 +82,19 @@ def test_shuffled_keys_give_the_same(spark, monkeypatch):
     assert found(spark.createDataFrame(docs, SCHEMA)) == brute(docs, 4, 85)
 
 
+def test_lists_stay_together_under_adaptive_plans(spark):
+    docs = corpus(11, 500)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "9"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert found(spark.createDataFrame(docs, SCHEMA).repartition(7)) == brute(docs, 4, 85)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
 def test_a_chain_of_links_is_one_component(spark):
     words = [f"v{i}" for i in range(200)]
     docs = [(100 - k, " ".join(words[3 * k : 3 * k + 100])) for k in range(20)]
