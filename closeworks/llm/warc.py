@@ -277,12 +277,14 @@ def page_id(metadata: Column, kind: str = "bigint") -> Column:
 def captures_report(captures: DataFrame) -> DataFrame:
     """Per capture: page_id, payload_bytes, payload_digest, record_type and the page whose response it revisits."""
     named = captures.select("record_id", "refers_to", "response", page_id(F.col("metadata")).alias("page_id"))
-    held = named.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("first_page"))
-    return named.join(held, "refers_to", "left").select(
+    # a response looks itself up, so that responses don't all meet under a null key
+    named = named.withColumn("first_id", F.coalesce("refers_to", "record_id"))
+    held = named.select(F.col("record_id").alias("first_id"), F.col("page_id").alias("first_page"))
+    return named.join(held, "first_id", "left").select(
         "page_id",
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.col("first_page").alias("refers_to"),
+        F.when(F.col("refers_to").isNotNull(), F.col("first_page")).alias("refers_to"),
         F.col("response.target_uri").alias("target_uri"),
     )
