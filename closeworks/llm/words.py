@@ -15,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are handled at once; a longer text is handled alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 #: Bytes that are summed at once, also of a longer text.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 
 #: Odd, so that it has an inverse modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15
