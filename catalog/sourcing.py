@@ -36,10 +36,11 @@ SELECT o_orderkey, 'base ' || strftime(o_orderdate, '%Y%m%d') || CASE WHEN o_ord
   CASE WHEN o_orderstatus <> 'P' THEN date_trunc('month', o_orderdate)::DATE END AS MES_REF
 FROM orders WHERE o_orderkey % 7 <> 3""")
 def source_period(spark, folder):
+    """Every order has a file; `named_like` rejects the .tmp ones. The SQL also leaves out P orders with key % 7 = 3, which have a .csv file."""
     orders = table(spark, folder, "orders")
     ending = F.when(F.col("o_orderstatus") == "P", ".csv").when(F.col("o_orderkey") % 7 != 3, ".xlsx").otherwise(".tmp")
     name = F.concat(F.lit("base "), F.date_format("o_orderdate", "yyyyMMdd"), ending)
-    tagged = snapshots.tag_source_period(orders.filter("o_orderkey % 7 <> 3").select("o_orderkey", "o_orderdate", "o_orderstatus"), name)
+    tagged = snapshots.tag_source_period(orders.select("o_orderkey", "o_orderdate", "o_orderstatus"), name)
     return snapshots.named_like(tagged, "SOURCE", r"\.(csv|xlsx)$").drop("o_orderdate", "o_orderstatus")
 
 

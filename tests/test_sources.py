@@ -5,6 +5,7 @@ from xml.sax.saxutils import escape
 
 from pyspark.sql import functions as F
 
+from catalog import all_queries
 from closeworks.plans import agency, closing
 from closeworks.sources import dims, sheets, snapshots
 from tests.helpers import day, rows
@@ -150,6 +151,16 @@ def test_period_in_the_file_name(spark):
     assert snapshots.named_like(df, "f", "^HC por Status").count() == 1
 
 
+def test_orders_of_every_key_have_a_file_and_tmp_is_rejected(spark, tmp_path):
+    orders = [(1, "F"), (3, "P"), (4, "P"), (10, "O"), (17, None), (18, None)]
+    df = spark.createDataFrame([(k, day("2024-05-31"), s) for k, s in orders], "o_orderkey long, o_orderdate date, o_orderstatus string")
+    df.write.parquet(str(tmp_path / "orders.parquet"))
+    found = all_queries()["source_period"](spark, str(tmp_path))
+    assert rows(found.select("o_orderkey", "SOURCE")) == [
+        (1, "base 20240531.xlsx"), (18, "base 20240531.xlsx"), (3, "base 20240531.csv"), (4, "base 20240531.csv")
+    ]
+
+
 def test_headers_are_found_while_rows_stream(spark, tmp_path):
     write_workbook(
         tmp_path / "05.03.2024 Fechamento.xlsx",
