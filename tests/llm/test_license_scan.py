@@ -58,6 +58,33 @@ def test_held_out_notices(spark, model):
     assert sum(found.get(i) == f for i, f in enumerate(expected)) >= 7
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at"""
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+SAID = [
+    ("mit", MIT.replace("\n", " ")),
+    ("apache-2.0", APACHE.replace("\n#", "")),
+    ("gpl", GPL),
+    ("mit", "Copyright 2021 Some Body. Released under the MIT License. See LICENSE in the root of the project for details."),
+    ("reserved", "Copyright (c) 1998-2024 The Very Long Name of Some Company and its Subsidiaries Ltd. All rights reserved."),
+    ("mit", MIT),
+    ("apache-2.0", "# " + APACHE),
+    ("mit", "the river and the stone\nReleased under the\nMIT License.\nthe window and the letter"),
+]
+
+
+def test_notices_in_long_lines_and_over_several_lines_are_confirmed(spark, model):
+    rows = L.find_licences(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(SAID)], SCHEMA), classifier=model).collect()
+    assert {i for i, (family, _) in enumerate(SAID) if (i, family, True) in {(r["doc_id"], r["family"], r["confirmed"]) for r in rows}} == set(range(len(SAID))), rows
+
+
 def test_plain_paragraphs_are_unknown(spark, model):
     others = [(i, t.replace("river", "bridge")) for i, t in plain_texts()]
     assert L.find_licences(spark.createDataFrame(others, SCHEMA), classifier=model).count() == 0
