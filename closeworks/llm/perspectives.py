@@ -3,7 +3,7 @@
 For every participant all turns are rendered: that speaker's turns as the assistant's, which are trained on,
 those of others as named users, system turns as they are. The mask lists the trained spans of a text in code
 points. A long dialogue is rendered in parts of TURNS turn numbers, so that no task holds a dialogue as a whole;
-parts of many turns with few numbers are cut further by a hash. Turns within a part follow
+parts of many turns with few numbers are cut further, every MOST turns of their order. Turns within a part, and its cuts, follow
 the turn number, then speaker and text.
 
 Defined cases: a null role is a speaker called "unknown", a null text is empty; null turns come last, in a part of
@@ -13,14 +13,17 @@ has no participants, and so no rows, as does an empty table; further columns are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closeworks.llm import native
+from closeworks.operators.windows import Windowed, per_key
 
 TURNS = 64
 #: Turns of a part that are rendered together.
 MOST = 1024
+#: Letters of a text that block it while a big part is numbered, coarse to fine.
+FIRST = (2, 8)
 SYSTEM = "system"
 UNKNOWN = "unknown"
 END = "<|end|>\n"
@@ -31,6 +34,24 @@ def _escaped(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
+def _cut(rows: DataFrame) -> DataFrame:
+    """The rows with `cut`: the turns of big parts in order, MOST by MOST.
+
+    Equal turns are one row with a count while they are numbered. Blocks are the turn number and, within it, the
+    role and then the first letters of the text, so that no task holds a part as a whole.
+    """
+    small = rows.where("big is null").drop("big").withColumn("cut", F.lit(0).cast("long"))
+    keys, order = ["conv_id", "part"], ["last", "turn", "role", "text"]
+    big = rows.where("big").drop("big").withColumn("last", F.col("turn").isNull())
+    once = big.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("copies"))
+    block = [F.col("turn"), F.col("role"), *(F.substring("text", 1, n) for n in FIRST)]
+    before = Windowed(local=lambda w: F.sum("copies").over(w.rowsBetween(Window.unboundedPreceding, 0)), size=F.sum("copies"))
+    placed = per_key(once, keys, order, block, {"upto": before})
+    copy = F.explode(F.sequence(F.col("upto") - F.col("copies"), F.col("upto") - 1))
+    each = placed.select(*rows.drop("big").columns, copy.alias("place"))
+    return small.unionByName(each.withColumn("cut", F.floor(F.col("place") / MOST)).drop("place"))
+
+
 def parts(turns: DataFrame) -> DataFrame:
     """(conv_id, part, cut, turns): the sorted turns of each part, from (conv_id, turn, role, text)."""
     rows = turns.select(
@@ -41,10 +62,9 @@ def parts(turns: DataFrame) -> DataFrame:
         native.whole("text").alias("text"),
     )
     many = rows.groupBy("conv_id", "part").count().where(F.col("count") > MOST)
-    many = many.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("count") / MOST).alias("cuts"))
+    many = many.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.lit(True).alias("big"))
     same = rows["conv_id"].eqNullSafe(many["c"]) & rows["part"].eqNullSafe(many["p"])
-    number = F.pmod(F.xxhash64("turn", "role", "text"), F.coalesce("cuts", F.lit(1)))
-    cut = rows.join(many, same, "left").withColumn("cut", number)
+    cut = _cut(rows.join(many, same, "left").drop("c", "p"))
     one = F.struct(F.col("turn").isNull().alias("last"), "turn", "role", "text")
     return cut.groupBy("conv_id", "part", "cut").agg(F.array_sort(F.collect_list(one)).alias("turns"))
 

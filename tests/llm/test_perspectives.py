@@ -60,6 +60,19 @@ def test_full_parts_are_cut_and_no_turn_is_lost(spark, monkeypatch, most):
     assert sum(len(r["mask"]) for r in rows) == sum(r["n_own"] for r in rows)
 
 
+@pytest.mark.parametrize("most", [1, 7])
+def test_cuts_follow_the_order_of_the_dialogue(spark, monkeypatch, most):
+    monkeypatch.setattr(P, "MOST", most)
+    same = [(5, 3, "ann", "again")] * 20 + [(None, None, r, t) for r in ("ann", "bob") for t in ("x" * 9 + "b", "x" * 9 + "a", "", "é") * 3]
+    views = {}
+    for r in sorted(P.rotate(spark.createDataFrame(ROWS + same, SCHEMA)).collect(), key=lambda r: r["cut"]):
+        assert r["n_turns"] <= most
+        view = views.setdefault((r["conv_id"], r["part"], r["speaker"]), [])
+        assert r["cut"] == len(view)
+        view.append(r["text"])
+    assert {k: "".join(v) for k, v in views.items()} == {k: text for k, (text, _) in brute(ROWS + same).items()}
+
+
 def test_no_rows_and_other_columns(spark):
     assert P.rotate(spark.createDataFrame([], SCHEMA)).collect() == []
     df = spark.createDataFrame([(1, 0, "a", "x", 5, "y")], SCHEMA + ", part int, speaker string")
