@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from closeworks.llm import warc
 from closeworks.llm.decontaminate import contamination_report
+from closeworks.llm.fill_middle import fill_middle_report
 from closeworks.llm.jaccard_join import similar_groups
 from closeworks.llm.license_scan import find_licences
 from closeworks.llm.packing import pack_documents
@@ -66,6 +67,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(prepared(spark), sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle_report(table(prepared(spark), sf_dir, "documents"))
+
+
 __all__ = ["QUERIES", "SQL"]
 QUERIES = {
     f.__name__: f
@@ -80,5 +85,6 @@ QUERIES = {
         op8_packing,
         op9_decontamination,
         op10_jaccard_join,
+        op11_fill_middle,
     )
 }

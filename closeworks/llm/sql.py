@@ -105,10 +105,37 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(b, d
 FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_ ON a = doc_id
 """
 
+FILL_MIDDLE = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS s, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), dice AS (
+  SELECT doc_id, s, u, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS x,
+    ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS y,
+    CASE WHEN s = '' OR contains(s, '<P>') OR contains(s, '<S>') OR contains(s, '<M>')
+      OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM docs
+), pieces AS (
+  SELECT doc_id, s, n, form, array_to_string(u[1:least(x, y)], '') AS p,
+    array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(u[greatest(x, y) + 1:], '') AS z
+  FROM dice
+)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN s WHEN 'psm' THEN '<P>' || p || '<S>' || z || '<M>' || m
+    ELSE '<S>' || z || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(s) AS restored_sha256
+FROM pieces
+"""
+
 SQL = {
     "op2_warc": WARC,
     "op3_perspectives": PERSPECTIVES,
     "op6_suffix_dedup": REPEATS,
     "op9_decontamination": CONTAMINATION,
     "op10_jaccard_join": SIMILAR,
+    "op11_fill_middle": FILL_MIDDLE,
 }
