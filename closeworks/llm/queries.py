@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from closeworks.llm import warc
 from closeworks.llm.decontaminate import contamination_report
 from closeworks.llm.fill_middle import fill_middle_report
+from closeworks.llm.hard_negatives import hard_negatives
 from closeworks.llm.jaccard_join import similar_groups
 from closeworks.llm.license_scan import find_licences
 from closeworks.llm.packing import pack_documents
@@ -71,6 +72,13 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle_report(table(prepared(spark), sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    id_, label = F.col("vec_id"), F.col("label").cast("bigint")
+    rows = table(prepared(spark), sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(rows, id_ % 100 == 0)
+
+
 __all__ = ["QUERIES", "SQL"]
 QUERIES = {
     f.__name__: f
@@ -86,5 +94,6 @@ QUERIES = {
         op9_decontamination,
         op10_jaccard_join,
         op11_fill_middle,
+        op12_hard_negatives,
     )
 }

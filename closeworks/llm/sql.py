@@ -131,6 +131,29 @@ SELECT doc_id, n::BIGINT AS n, form,
 FROM pieces
 """
 
+NEGATIVES = """
+WITH valid AS MATERIALIZED (
+  SELECT vec_id, label, embedding FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and([coalesce(isfinite(x), false) for x in embedding]), true)
+), scaled AS MATERIALIZED (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) for x in embedding] AS v
+  FROM valid
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM scaled a JOIN scaled b ON a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same AND other_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INT AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 SQL = {
     "op2_warc": WARC,
     "op3_perspectives": PERSPECTIVES,
@@ -138,4 +161,5 @@ SQL = {
     "op9_decontamination": CONTAMINATION,
     "op10_jaccard_join": SIMILAR,
     "op11_fill_middle": FILL_MIDDLE,
+    "op12_hard_negatives": NEGATIVES,
 }
