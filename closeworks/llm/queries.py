@@ -11,6 +11,7 @@ from closeworks.llm.fill_middle import fill_middle_report
 from closeworks.llm.hard_negatives import hard_negatives
 from closeworks.llm.jaccard_join import similar_groups
 from closeworks.llm.license_scan import find_licences
+from closeworks.llm.lsh_forest import near_duplicates
 from closeworks.llm.packing import pack_documents
 from closeworks.llm.perspectives import rotate
 from closeworks.llm.quality_rules import quality_report
@@ -79,6 +80,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows, id_ % 100 == 0)
 
 
+def op13_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(prepared(spark), sf_dir, "documents"))
+
+
 __all__ = ["QUERIES", "SQL"]
 QUERIES = {
     f.__name__: f
@@ -95,5 +100,6 @@ QUERIES = {
         op10_jaccard_join,
         op11_fill_middle,
         op12_hard_negatives,
+        op13_lsh_forest,
     )
 }

@@ -154,6 +154,26 @@ WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * po
 QUALIFY rank <= 10
 """
 
+NEAR = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, hash(w[k + 1:k + 2]) AS g FROM docs, unnest(range(greatest(len(w) - 1, least(len(w), 1)))) u(k)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a, b FROM both UNION SELECT r.a, l.b FROM reach r JOIN both l ON l.a = r.b
+), least_ AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+  coalesce(doc_id <= b, true) AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_ ON a = doc_id
+"""
+
 SQL = {
     "op2_warc": WARC,
     "op3_perspectives": PERSPECTIVES,
@@ -162,4 +182,5 @@ SQL = {
     "op10_jaccard_join": SIMILAR,
     "op11_fill_middle": FILL_MIDDLE,
     "op12_hard_negatives": NEGATIVES,
+    "op13_lsh_forest": NEAR,
 }

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables
 
 
 def test_all_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 13))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
