@@ -165,9 +165,9 @@ WITH RECURSIVE docs AS (
   GROUP BY a.doc_id, b.doc_id
 ), links AS (
   SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
-), both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
 ), reach AS (
-  SELECT a, b FROM both UNION SELECT r.a, l.b FROM reach r JOIN both l ON l.a = r.b
+  SELECT a, b FROM edges UNION SELECT r.a, l.b FROM reach r JOIN edges l ON l.a = r.b
 ), least_ AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
   coalesce(doc_id <= b, true) AS kept
