@@ -2,17 +2,20 @@
 
 A signature is the least hash of a set of word n-grams under each of MINHASHES functions. Each tree of the forest orders the
 signatures by positions of its own; sets that agree in the first DEPTH of them are a region of the tree. Sets of 80 %
-similarity miss each other in all 32 trees once in 2e7 such pairs, more similar ones far more rarely. Candidates come in rounds, and
-after each round sets that confirmed links connect need not meet again:
+similarity miss each other in all 32 trees once in 2e7 such pairs, more similar ones far more rarely. Dense regions go deeper: two of
+the next four positions must agree as well, in any of their six pairs, which keeps 97 of 100 such pairs of a tree together.
 
-1. every set with the first set of its regions,
-2. neighbours in the sorted orders, which have the longest common prefixes,
-3. all sets of a region that are still in different components. Dense regions go deeper: two of the next four positions must
-   agree as well, in any of their six pairs, which keeps 97 of 100 such pairs of a tree together. What is still dense is dealt out in
-   cells, each with a bounded number of sets of the region, so that nothing is left out.
+Each region has a leader, that of its sets which has most company in all trees, so that the sets around one text share few
+leaders. Sets are compared with the leaders of their regions. What these links don't connect is compared further:
 
-A sketch of one bit per function travels with each set and drops candidates that are far from similar, by more than six
-standard deviations. The others are confirmed by the n-grams themselves.
+- sets far from a region's leader with their neighbours in its sorted order, which have the longest common prefixes, and with all
+  sets of the region;
+- sets near the same leader with each other. By how each of them differs from the leader, bounds and then exact
+  overlaps follow without the sets themselves.
+
+Sets are dealt to cells for that, each with a bounded number of them, so that nothing is left out. A sketch of one bit per
+function travels with each set and tells near from far, with a margin of more than six standard deviations. Near pairs are
+confirmed by the n-grams themselves.
 
 n-grams and sets are known by 64-bit hashes. Defined cases: a text without words, or null, has the empty set, which links
 with nothing; fewer words than an n-gram's are one n-gram; rows with equal sets are linked, also with equal ids; null ids keep their
@@ -41,10 +44,10 @@ TREES = MINHASHES // DEPTH
 FAR = 38
 #: Neighbours on each side in a sorted order.
 NEIGHBOURS = 4
-#: Sets of a region from which it goes deeper, and sets of each side of a cell.
-DENSE = CELL = 512
-#: Pairs that are looked at together.
-PAIRS = 1 << 20
+#: Sets of a region beyond which it goes deeper, and sets of each side of a cell.
+DENSE = CELL = 2048
+#: Pairs that are looked at together, those whose differences are compared, and 64-bit words of such a comparison.
+PAIRS, COMPARED, WORDS = 1 << 18, 1 << 13, 256
 #: Rows of keys that may be broadcast (8 bytes each); more are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Distinct sets that a task remembers so as to sign a set once.
@@ -138,27 +141,47 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-class _Entries:
-    """Some entries as arrays."""
+def regions(forest: DataFrame) -> DataFrame:
+    """The entries that share a region with another set, in deeper regions where there are too many."""
+    ends = [F.min("set").alias("first"), F.max("set").alias("last")]
+    shared = forest.groupBy("region").agg(*ends, F.count("*").alias("sets")).where("first <> last")
+    listed = written(inner_lookup(forest, shared, "region", ["sets"], derived=True), "listed")
+    field = [F.shiftrightunsigned("rest", 48 - 16 * k).bitwiseAND(0xFFFF) for k in range(DEPTH)]
+    both = [(j, k) for j in range(DEPTH) for k in range(j + 1, DEPTH)]
+    six = F.array(*[F.xxhash64("region", F.lit(j), F.lit(k), field[j], field[k]) for j, k in both])
+    dense = listed.where(F.col("sets") > DENSE).withColumn("region", F.explode(six)).drop("sets")
+    deeper = dense.groupBy("region").agg(*ends, F.count("*").alias("sets")).where("first <> last")
+    deeper = inner_lookup(dense, deeper, "region", ["sets"], derived=True)
+    return listed.where(F.col("sets") <= DENSE).unionByName(deeper)
+
+
+def led(listed: DataFrame) -> DataFrame:
+    """The entries with their region's leader, and whether they are near it."""
+    company = listed.groupBy("set").agg(F.sum("sets").alias("company"))
+    known = lookup(listed, company, "set", ["company"], derived=True)
+    best = known.groupBy("region").agg(F.max(F.struct("company", "set", "s1", "s2")).alias("best"))
+    known = lookup(known, best, "region", ["best"], derived=True)
+    differ = sum(F.bit_count(F.col(k).bitwiseXOR(F.col(f"best.{k}"))) for k in ("s1", "s2"))
+    kept = ["region", "rest", "set", "s1", "s2"]
+    return known.select(*kept, F.col("best.set").alias("leader"), (differ <= FAR).alias("near"))
+
 
-    def __init__(self, t: pa.Table, key: str):
-        self.t = t
-        self.key, self.set, self.component, s1, s2 = (t[k].to_numpy() for k in (key, "set", "component", "s1", "s2"))
-        self.sketch = np.stack([s1, s2], axis=1).view(np.uint64)
+def _arrays(t: pa.Table, *names: str) -> list[np.ndarray]:
+    return [t[k].combine_chunks().to_numpy(zero_copy_only=False) for k in names]
 
-    def candidates(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which pairs (i, j) are of different components and may be similar."""
-        at = np.flatnonzero(self.component[i] != self.component[j])
-        differ = np.bitwise_count(self.sketch[i[at]] ^ self.sketch[j[at]]).sum(axis=1, dtype=np.int64)
-        return at[differ <= FAR]
 
-    def pairs(self, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-        at = self.candidates(i, j)
-        return _pair_batch(self.set[i[at]], self.set[j[at]])
+def _apart(t: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    """Those pairs (i, j) of entries which are of different components, not both near their leader, and near each other."""
+    sets, component, near, s1, s2 = _arrays(t, "set", "component", "near", "s1", "s2")
+    at = np.flatnonzero((component[i] != component[j]) & ~(near[i] & near[j]))
+    i, j = i[at], j[at]
+    one, two = (np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64) for x in (s1, s2))
+    i, j = i[one + two <= FAR], j[one + two <= FAR]
+    return _pair_batch(sets[i], sets[j])
 
 
 def neighbours(mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of a region that are close in its tree's order, where their prefixes are longest."""
+    """Pairs (a, b) of sets that are close in a region's order, where their prefixes are longest, and not both near its leader."""
     order = ["region", "rest", "set"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,36 +190,20 @@ def neighbours(mixed: DataFrame) -> DataFrame:
             t = pa.Table.from_batches([batch])
             before = held.num_rows if held is not None else 0
             t = pa.concat_tables([held, t]) if held is not None else t
-            rows = _Entries(t, "region")
+            (region,) = _arrays(t, "region")
             for step in range(1, NEIGHBOURS + 1):
-                j = np.arange(max(before, step), len(rows.set))
-                j = j[rows.key[j] == rows.key[j - step]]
-                yield rows.pairs(j - step, j)
+                j = np.arange(max(before, step), len(region))
+                j = j[region[j] == region[j - step]]
+                yield _apart(t, j - step, j)
             held = t.slice(max(0, t.num_rows - NEIGHBOURS))
 
     ordered = mixed.repartitionByRange(*order).sortWithinPartitions(*order)
-    return ordered.select("region", "set", "component", "s1", "s2").mapInArrow(run, "a bigint, b bigint").distinct()
+    return ordered.select("region", "set", "component", "near", "s1", "s2").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _deeper(mixed: DataFrame) -> DataFrame:
-    """The entries with the regions they are compared in: their own, or six deeper ones if it is dense."""
-    dense = mixed.groupBy("region").count().where(F.col("count") > DENSE)
-    field = [F.shiftrightunsigned("rest", 48 - 16 * k).bitwiseAND(0xFFFF) for k in range(DEPTH)]
-    both = [(j, k) for j in range(DEPTH) for k in range(j + 1, DEPTH)]
-    six = [F.xxhash64("region", F.lit(j), F.lit(k), field[j], field[k]) for j, k in both]
-    known = lookup(mixed, dense, "region", ["count"], derived=True)
-    inner = F.when(F.col("count").isNull(), F.array("region")).otherwise(F.array(*six))
-    return known.withColumn("region", F.explode(inner)).drop("count", "rest")
-
-
-def _cells(entries_: DataFrame) -> DataFrame:
-    """Entries dealt to cells, where each visitor meets each entry at home. The region's largest component only stays at home."""
-    tally = entries_.groupBy("region", "component").count()
-    largest = F.max(F.struct("count", "component"))
-    sizes = tally.groupBy("region").agg(F.sum("count").alias("all_"), largest.alias("most"))
-    sizes = sizes.select("region", "all_", (F.col("all_") - F.col("most.count")).alias("others"), "most.component")
-    sizes = sizes.where("others > 0").withColumnRenamed("component", "main")
-    known = inner_lookup(entries_, sizes, "region", ["all_", "others", "main"], derived=True)
+def _cells(rows: DataFrame, key: str, visits: Column, sizes: DataFrame) -> DataFrame:
+    """Rows dealt to cells, where each visitor meets each row of its key at home. sizes: rows and visitors of each key."""
+    known = inner_lookup(rows.withColumn("visits", visits), sizes, key, ["all_", "others"], derived=True)
 
     def blocks(count: str) -> Column:
         return F.ceil(F.col(count) / CELL)
@@ -207,50 +214,106 @@ def _cells(entries_: DataFrame) -> DataFrame:
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), blocks(count) - 1))
 
-    home = known.withColumn("x", own("all_", 1)).withColumn("y", each("others")).withColumn("visits", F.lit(0))
-    away = known.where("component <> main").withColumn("y", own("others", 2)).withColumn("x", each("all_"))
-    dealt = home.unionByName(away.withColumn("visits", F.lit(1)))
-    return dealt.select(F.xxhash64("region", "x", "y").alias("cell"), "visits", "set", "component", "s1", "s2")
-
-
-def _met(t: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Pairs of some whole cells, a bounded number at a time."""
-    rows = _Entries(t, "cell")
-    visits = t["visits"].to_numpy()
-    starts = np.flatnonzero(np.r_[True, rows.key[1:] != rows.key[:-1]])
-    cell = np.cumsum(np.r_[False, rows.key[1:] != rows.key[:-1]])
-    at_home = np.add.reduceat((visits == 0).astype(np.int64), starts)
-    visitor = np.flatnonzero(visits)
-    first, many = starts[cell[visitor]], at_home[cell[visitor]]
-    upto = np.cumsum(many)
-    at = 0
-    while at < len(visitor):
-        after = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
-        n = many[at:after]
-        i = np.repeat(visitor[at:after], n)
-        j = np.repeat(first[at:after], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        yield rows.pairs(i, j)
-        at = after
-
-
-def all_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of a region, deeper where it is dense, that are of different components and may be similar."""
+    home = known.withColumn("x", own("all_", 1)).withColumn("y", each("others")).withColumn("visits", F.lit(False))
+    away = known.where("visits").withColumn("y", own("others", 2)).withColumn("x", each("all_"))
+    dealt = home.unionByName(away).withColumn("cell", F.xxhash64(key, "x", "y"))
+    return dealt.drop("x", "y", "all_", "others").repartition("cell").sortWithinPartitions("cell", "visits")
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """(rows, i, j): visitors i and rows at home j of whole cells, a bounded number of pairs at a time."""
+
+    def met(t: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+        cell, visits = _arrays(t, "cell", "visits")
+        new = np.r_[True, cell[1:] != cell[:-1]]
+        starts, number = np.flatnonzero(new), np.cumsum(new) - 1
+        at_home = np.add.reduceat((~visits).astype(np.int64), starts)
+        visitor = np.flatnonzero(visits)
+        first, many = starts[number[visitor]], at_home[number[visitor]]
+        upto = np.cumsum(many)
+        at = 0
+        while at < len(visitor):
+            after = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+            n = many[at:after]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield t, np.repeat(visitor[at:after], n), np.repeat(first[at:after], n) + place
+            at = after
+
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([held, t]) if held is not None else t
+        (cell,) = _arrays(t, "cell")
+        whole = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0  # cells come in their order
+        held = t.slice(whole)
+        if whole:
+            yield from met(t.slice(0, whole))
+    if held is not None and held.num_rows:
+        yield from met(held)
+
+
+def far_pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of near sets of a region, of different components, that are not both near its leader."""
+    sizes = mixed.groupBy("region").agg(F.count("*").alias("all_"), F.count_if(~F.col("near")).alias("others"))
+    dealt = _cells(mixed.drop("rest", "leader"), "region", ~F.col("near"), sizes.where("others > 0"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([held, t]) if held is not None else t
-            key = t["cell"].to_numpy()
-            whole = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            held = t.slice(whole)
-            if whole:
-                yield from _met(t.slice(0, whole))
-        if held is not None and held.num_rows:
-            yield from _met(held)
+        for t, i, j in _meetings(batches):
+            yield _apart(t, i, j)
+
+    return dealt.select("cell", "visits", "set", "component", "near", "s1", "s2").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _common(lists: pa.ListArray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Common elements of the lists i and j, by bits for those elements that several lists have."""
+    used, places = np.unique(np.r_[i, j], return_inverse=True)
+    some = lists.take(pa.array(used))
+    owner = np.repeat(np.arange(len(used)), some.value_lengths().to_numpy(zero_copy_only=False))
+    _, element, times = np.unique(some.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+    repeated = times > 1
+    bit = (np.cumsum(repeated) - 1)[element]
+    owner, bit = owner[repeated[element]], bit[repeated[element]]
+    out = np.zeros(len(i), np.int64)
+    left, right = places[: len(i)], places[len(i) :]
+    for at in range(0, int(repeated.sum()), 64 * WORDS):
+        inside = (bit >= at) & (bit < at + 64 * WORDS)
+        bits = np.zeros((len(used), WORDS), np.uint64)
+        word, within = np.divmod(bit[inside] - at, 64)
+        np.bitwise_or.at(bits, (owner[inside], word), np.uint64(1) << within.astype(np.uint64))
+        for k in range(0, len(i), COMPARED):
+            both = bits[left[k : k + COMPARED]] & bits[right[k : k + COMPARED]]
+            out[k : k + COMPARED] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+    return out
 
-    dealt = _cells(_deeper(mixed)).repartition("cell").sortWithinPartitions("cell", "visits")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+def around_leaders(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between sets near the same leader (leader, set, component, all, n, common, differ), one for two components.
+
+    all, n, common: sizes of the leader and the set, and of what they have in common. differ: what only one of them has.
+    """
+    tally = rows.groupBy("leader", "component").count()
+    most = F.max(F.struct("count", "component")).alias("most")
+    sizes = tally.groupBy("leader").agg(F.sum("count").alias("all_"), most)
+    sizes = sizes.select("leader", "all_", (F.col("all_") - F.col("most.count")).alias("others"), F.col("most.component").alias("main"))
+    sizes = sizes.where("others > 0")
+    known = inner_lookup(rows, sizes, "leader", ["main"], derived=True)
+    dealt = _cells(known, "leader", F.col("component") != F.col("main"), sizes).drop("main")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, i, j in _meetings(batches):
+            sets, component, all_, n, common = _arrays(t, "set", "component", "all", "n", "common")
+            need = -(-percent * (n[i] + n[j]) // (100 + percent))
+            most = np.minimum(common[i], common[j]) + np.minimum(n[i] - common[i], n[j] - common[j])
+            at = np.flatnonzero((component[i] != component[j]) & (most >= need))
+            i, j, need = i[at], j[at], need[at]
+            overlap = common[i] + common[j] - all_[i] + _common(t["differ"].combine_chunks(), i, j)
+            i, j = i[overlap >= need], j[overlap >= need]
+            between = np.sort(np.stack([component[i], component[j]], axis=1), axis=1)
+            _, one = np.unique(between, axis=0, return_index=True) if len(i) else (None, np.zeros(0, np.int64))
+            yield _pair_batch(sets[i[one]], sets[j[one]])
+
+    columns = ["cell", "visits", "set", "component", "all", "n", "common", "differ"]
+    return dealt.select(*columns).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _sets_of(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFrame:
@@ -269,44 +332,57 @@ def _sets_of(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> DataFr
     return found.join(wanted.select("set"), "set", "left_semi").dropDuplicates(["set"])
 
 
-def similar(docs: DataFrame, found: DataFrame, text: str, size: int, percent: int, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs whose sets are similar."""
-    named = written(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "named")
-    first = found.where("n > 0").join(_few(named), "set", "left_semi").groupBy("set").agg(F.min("text_hash").alias("text_hash"))
-    sets = written(_sets_of(docs, text, size, written(first, "wanted")), "sets")
-    a = sets.select(F.col("set").alias("a"), F.col("grams").alias("grams_a"))
-    b = sets.select(F.col("set").alias("b"), F.col("grams").alias("grams_b"))
-    common, both = F.size(F.array_intersect("grams_a", "grams_b")), F.size("grams_a") + F.size("grams_b")
-    return pairs.join(a, "a").join(b, "b").where(100 * common >= percent * (both - common)).select("a", "b")
+class Overlaps:
+    """Common n-grams of pairs of sets, whose n-grams are kept in a table."""
+
+    def __init__(self, docs: DataFrame, found: DataFrame, text: str, size: int, pairs: DataFrame):
+        named = written(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "named")
+        known = found.where("n > 0").join(_few(named), "set", "left_semi")
+        wanted = written(known.groupBy("set").agg(F.min("text_hash").alias("text_hash")), "wanted")
+        self.sets = written(_sets_of(docs, text, size, wanted), "sets")
+        common = F.size(F.array_intersect("grams_a", "grams_b"))
+        sizes = [F.size("grams_a").alias("na"), F.size("grams_b").alias("nb")]
+        self.pairs = written(self.joined(pairs).select("a", "b", *sizes, common.alias("common")), "overlaps")
+
+    def joined(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the n-grams of both sets."""
+        a, b = (self.sets.select(F.col("set").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab")
+        return pairs.join(a, "a").join(b, "b")
 
+    def links(self, percent: int) -> DataFrame:
+        return self.pairs.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
-def _mixed(listed: DataFrame, linked: DataFrame) -> DataFrame:
-    """Entries of the regions whose sets are of different components."""
+
+def _labelled(rows: DataFrame, linked: DataFrame, key: str, column: str) -> DataFrame:
+    """The rows whose key's rows are of different components, with the component of the set in the column."""
     labels = components(linked).withColumnRenamed("id", "set")
-    now = lookup(listed, labels, "set", ["component"], derived=True)
-    now = now.withColumn("component", F.coalesce("component", "set"))
-    apart = now.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    return inner_lookup(now, apart, "region", derived=True).dropDuplicates(["region", "set"])
+    now = lookup(rows, labels, {column: "set"}, ["component"], derived=True)
+    now = now.withColumn("component", F.coalesce("component", column))
+    apart = now.groupBy(key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return inner_lookup(now, apart, key, derived=True)
 
 
 def links(docs: DataFrame, found: DataFrame, text: str, size: int, percent: int) -> DataFrame:
     """Links (a, b) between similar sets that connect those that all similar pairs connect."""
-    forest = entries(found.where("signature is not null"))
-    regions = forest.groupBy("region").agg(
-        F.min("set").alias("a"), F.min_by("s1", "set").alias("a1"), F.min_by("s2", "set").alias("a2"), F.max("set").alias("z")
-    )
-    shared = inner_lookup(forest, regions.where("a <> z"), "region", ["a", "a1", "a2"], derived=True)
-    listed = written(shared, "listed")
-    differ = sum(F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"a{k}"))) for k in (1, 2))
-    pairs = written(listed.where((F.col("a") != F.col("set")) & (differ <= FAR)).select("a", F.col("set").alias("b")).distinct(), "pairs")
-    listed = listed.drop("a", "a1", "a2")
-    tried, linked = pairs, written(similar(docs, found, text, size, percent, pairs), "links")
-    for more in (neighbours, all_pairs):
-        mixed = written(_mixed(listed, linked), "mixed")
-        pairs = written(more(mixed).join(tried, ["a", "b"], "left_anti"), "pairs")
-        linked = linked.union(written(similar(docs, found, text, size, percent, pairs), "links"))
-        tried, listed = tried.union(pairs), mixed.drop("component")
-    return linked
+    forest = written(led(written(regions(entries(found.where("signature is not null"))), "regions")), "forest")
+    pairs = forest.where(F.col("near") & (F.col("leader") != F.col("set")))
+    pairs = written(pairs.select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
+    stars = Overlaps(docs, found, text, size, pairs)
+    linked = stars.links(percent)
+
+    mixed = written(_labelled(forest, linked, "region", "set").dropDuplicates(["region", "set"]), "mixed")
+    far = neighbours(mixed).union(far_pairs(mixed)).distinct()
+    for a, b in ("ab", "ba"):
+        far = far.join(pairs.toDF(a, b), ["a", "b"], "left_anti")
+    linked = linked.union(Overlaps(docs, found, text, size, written(far, "pairs")).links(percent))
+
+    around = written(_labelled(stars.pairs, linked, "a", "b"), "around")
+    only = [F.array_except(f"grams_{x}", f"grams_{y}") for x, y in ("ab", "ba")]
+    around = stars.joined(around).select(
+        F.col("a").alias("leader"), F.col("b").alias("set"), "component", F.col("na").cast("bigint").alias("all"),
+        F.col("nb").cast("bigint").alias("n"), F.col("common").cast("bigint").alias("common"), F.concat(*only).alias("differ"),
+    )
+    return linked.union(written(around_leaders(around, percent), "links"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
