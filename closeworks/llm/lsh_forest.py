@@ -8,13 +8,13 @@ the next four positions must agree as well, in any of their six pairs, which kee
 Each region has a leader, that of its sets which has most company in all trees, so that the sets around one text share few
 leaders. Sets are compared with the leaders of their regions. What these links don't connect is compared further:
 
-- sets far from a region's leader with their neighbours in its sorted order, which have the longest common prefixes, and with all
-  sets of the region;
+- sets far from a region's leader with their neighbours in its sorted order, which have the longest common prefixes, and in a region
+  with more sets than such neighbours with all of them;
 - sets near the same leader with each other. By how each of them differs from the leader, bounds and then exact
   overlaps follow without the sets themselves.
 
 Sets are dealt to cells for that, each with a bounded number of them, so that nothing is left out. A sketch of one bit per
-function travels with each set and tells near from far, with a margin of more than six standard deviations. Near pairs are
+function travels with each set and tells near from far, with a margin of six standard deviations. Near pairs are
 confirmed by the n-grams themselves.
 
 n-grams and sets are known by 64-bit hashes. Defined cases: a text without words, or null, has the empty set, which links
@@ -41,7 +41,9 @@ from closeworks.operators.joins import inner_lookup, lookup
 MINHASHES, DEPTH = 128, 4
 TREES = MINHASHES // DEPTH
 #: Bits of two sketches that may differ. Sets of 80 % similarity differ in 13 of 128, with a standard deviation of 3.4.
-FAR = 38
+FAR = 34
+#: Bits in which a set near its leader may differ; unrelated sets differ in 64, with a standard deviation of 5.7.
+NEAR = 50
 #: Neighbours on each side in a sorted order.
 NEIGHBOURS = 4
 #: Sets of a region beyond which it goes deeper, and sets of each side of a cell.
@@ -163,7 +165,7 @@ def led(listed: DataFrame) -> DataFrame:
     known = lookup(known, best, "region", ["best"], derived=True)
     differ = sum(F.bit_count(F.col(k).bitwiseXOR(F.col(f"best.{k}"))) for k in ("s1", "s2"))
     kept = ["region", "rest", "set", "s1", "s2"]
-    return known.select(*kept, F.col("best.set").alias("leader"), (differ <= FAR).alias("near"))
+    return known.select(*kept, F.col("best.set").alias("leader"), (differ <= NEAR).alias("near"))
 
 
 def _arrays(t: pa.Table, *names: str) -> list[np.ndarray]:
@@ -253,9 +255,13 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.
 
 
 def far_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of near sets of a region, of different components, that are not both near its leader."""
+    """Pairs (a, b) of sets of a region, of different components, that are not both near its leader but near each other.
+
+    Only of regions with more sets than neighbours() compares with each other.
+    """
     sizes = mixed.groupBy("region").agg(F.count("*").alias("all_"), F.count_if(~F.col("near")).alias("others"))
-    dealt = _cells(mixed.drop("rest", "leader"), "region", ~F.col("near"), sizes.where("others > 0"))
+    sizes = sizes.where((F.col("others") > 0) & (F.col("all_") > NEIGHBOURS + 1))
+    dealt = _cells(mixed.drop("rest", "leader"), "region", ~F.col("near"), sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, i, j in _meetings(batches):
@@ -353,10 +359,9 @@ class Overlaps:
         return self.pairs.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def _labelled(rows: DataFrame, linked: DataFrame, key: str, column: str) -> DataFrame:
+def _labelled(rows: DataFrame, labels: DataFrame, key: str, column: str) -> DataFrame:
     """The rows whose key's rows are of different components, with the component of the set in the column."""
-    labels = components(linked).withColumnRenamed("id", "set")
-    now = lookup(rows, labels, {column: "set"}, ["component"], derived=True)
+    now = lookup(rows, labels, {column: "id"}, ["component"], derived=True)
     now = now.withColumn("component", F.coalesce("component", column))
     apart = now.groupBy(key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     return inner_lookup(now, apart, key, derived=True)
@@ -370,13 +375,12 @@ def links(docs: DataFrame, found: DataFrame, text: str, size: int, percent: int)
     stars = Overlaps(docs, found, text, size, pairs)
     linked = stars.links(percent)
 
-    mixed = written(_labelled(forest, linked, "region", "set").dropDuplicates(["region", "set"]), "mixed")
-    far = neighbours(mixed).union(far_pairs(mixed)).distinct()
-    for a, b in ("ab", "ba"):
-        far = far.join(pairs.toDF(a, b), ["a", "b"], "left_anti")
-    linked = linked.union(Overlaps(docs, found, text, size, written(far, "pairs")).links(percent))
+    labels = components(linked)
+    mixed = written(_labelled(forest, labels, "region", "set"), "mixed")
+    far = written(neighbours(mixed).union(far_pairs(mixed)).distinct(), "pairs")
+    linked = linked.union(Overlaps(docs, found, text, size, far).links(percent))
 
-    around = written(_labelled(stars.pairs, linked, "a", "b"), "around")
+    around = written(_labelled(stars.pairs, labels, "a", "b"), "around")
     only = [F.array_except(f"grams_{x}", f"grams_{y}") for x, y in ("ab", "ba")]
     around = stars.joined(around).select(
         F.col("a").alias("leader"), F.col("b").alias("set"), "component", F.col("na").cast("bigint").alias("all"),

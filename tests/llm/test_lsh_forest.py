@@ -77,7 +77,8 @@ def sketches(r, n, components):
 
 def apart(rows):
     out = set()
-    for x, y in combinations(rows, 2):
+    small = {a for a in {x[0] for x in rows} if sum(x[0] == a for x in rows) <= L.NEIGHBOURS + 1}
+    for x, y in combinations([x for x in rows if x[0] not in small], 2):
         differ = sum(bin((x[k] ^ y[k]) & (2**64 - 1)).count("1") for k in (6, 7))
         if x[0] == y[0] and x[5] != y[5] and not (x[4] and y[4]) and differ <= L.FAR:
             out.add((min(x[2], y[2]), max(x[2], y[2])))
