@@ -34,9 +34,9 @@ def promoted_header(spark, folder):
 SELECT o_orderkey, 'base ' || strftime(o_orderdate, '%Y%m%d') || CASE WHEN o_orderstatus = 'P' THEN '.csv' ELSE '.xlsx' END AS SOURCE,
   CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE END AS DATA_ARQUIVO,
   CASE WHEN o_orderstatus <> 'P' THEN date_trunc('month', o_orderdate)::DATE END AS MES_REF
-FROM orders WHERE o_orderkey % 7 <> 3""")
+FROM orders WHERE o_orderstatus = 'P' OR o_orderkey % 7 <> 3""")
 def source_period(spark, folder):
-    """Every order has a file; `named_like` rejects the .tmp ones. The SQL also leaves out P orders with key % 7 = 3, which have a .csv file."""
+    """Every order has a file; `named_like` rejects the .tmp ones."""
     orders = table(spark, folder, "orders")
     ending = F.when(F.col("o_orderstatus") == "P", ".csv").when(F.col("o_orderkey") % 7 != 3, ".xlsx").otherwise(".tmp")
     name = F.concat(F.lit("base "), F.date_format("o_orderdate", "yyyyMMdd"), ending)

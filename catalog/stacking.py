@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query, table
-from closeworks.operators import unions
+from closeworks.operators import schema, unions
 from closeworks.plans.entries import entries_base, entries_per_month
 from closeworks.sources.snapshots import read_snapshots
 
@@ -72,6 +72,39 @@ def union_distinct(spark, folder):
     return unions.union_distinct(left, right)
 
 
+@query("""
+WITH sheets AS (SELECT least(greatest(coalesce(year(o_orderdate), 1995), 1995), 2001) AS sheet, * FROM orders)
+SELECT o_orderkey AS "Id", CASE WHEN sheet % 2 = 0 THEN o_totalprice ELSE o_custkey::DOUBLE END AS "Valor",
+  CASE WHEN sheet < 1998 THEN o_orderstatus END AS "situacao"
+FROM sheets""")
+def union_letter_case(spark, folder):
+    """Sheets that spell a column Id, ID or id are one table; amounts are whole numbers in every other sheet."""
+    sheets = []
+    for year, rows in _slices(spark, folder):
+        key = F.col("o_orderkey").alias(("Id", "ID", "id")[(year - 1995) % 3])
+        value = F.col("o_custkey").cast("int").alias("Valor") if year % 2 else F.col("o_totalprice").alias("VALOR")
+        status = [F.col("o_orderstatus").alias("situacao" if year < 1997 else "Situacao")]
+        sheets.append(rows.select(key, value, *(status if year < 1998 else [])))
+    return unions.union_all(sheets)
+
+
+@query("""
+WITH sheets AS (SELECT least(greatest(coalesce(year(o_orderdate), 1995), 1995), 2001) - 1995 AS "ENTRADA", * FROM orders
+), places AS (SELECT unnest(range(7)) AS "ENTRADA")
+SELECT p."ENTRADA"::INTEGER AS "ENTRADA", c."COLUNA", count(*) FILTER (
+    s."ENTRADA" IS NOT NULL AND CASE c."COLUNA" WHEN 'CODIGO' THEN o_custkey % 5 = 0 AND p."ENTRADA" % 2 = 1 WHEN 'VALOR' THEN o_orderstatus = 'P' END) AS "PERDIDOS"
+FROM places p CROSS JOIN (VALUES ('CODIGO'), ('VALOR')) c("COLUNA") LEFT JOIN sheets s ON s."ENTRADA" = p."ENTRADA" GROUP BY ALL""")
+def lost_values(spark, folder):
+    """Values that sheets lose when they are brought to one schema: codes with a letter in every other year, and amounts in words."""
+    sheets = []
+    for year, rows in _slices(spark, folder):
+        code = F.col("o_custkey").cast("string")
+        coded = F.when(F.col("o_custkey") % 5 == 0, F.concat(F.lit("A"), code)).otherwise(code) if year % 2 == 0 else F.col("o_custkey")
+        value = F.when(F.col("o_orderstatus") == "P", "a combinar").otherwise(F.col("o_totalprice").cast("string"))
+        sheets.append(rows.select(coded.alias("Codigo"), value.alias("valor"), "o_orderkey"))
+    return schema.lost_values(sheets, "CODIGO bigint, VALOR double, OUTRO string")
+
+
 @query("""
 SELECT date_trunc('month', o_orderdate)::DATE AS "MES_FECH", count(*) AS "QTD" FROM orders
 WHERE o_orderdate >= DATE '1998-01-01' GROUP BY 1""")

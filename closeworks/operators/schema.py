@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,27 +113,78 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
+def resolved(df: DataFrame) -> dict[str, T.StructField]:
+    """The columns by their names in lower case. Letter case alone does not tell columns apart, as Spark could not read them."""
+    found: dict[str, T.StructField] = {}
+    for field in df.schema.fields:
+        known = found.setdefault(field.name.lower(), field)
+        if known is not field:
+            raise ValueError(f"columns {known.name!r} and {field.name!r} differ in letter case only, or not at all")
+    return found
+
+
+def spellings(dfs: Sequence[DataFrame]) -> dict[str, list[str | None]]:
+    """For each column, by its first spelling, how each of the frames spells it; None where it is missing."""
+    names = [resolved(df) for df in dfs]
+    first: dict[str, str] = {}
+    for columns in names:
+        for lower, field in columns.items():
+            first.setdefault(lower, field.name)
+    return {name: [c[lower].name if lower in c else None for c in names] for lower, name in first.items()}
+
+
 def common_columns(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both frames cut to the columns they share, in the order of the left one."""
-    shared = existing(right, left.columns)
-    return left.select(*map(quoted, shared)), right.select(*map(quoted, shared))
+    """Both frames cut to the columns they share, in the order and spelling of the left one."""
+    shared = [(name, *own) for name, own in spellings([left, right]).items() if None not in own]
+    return left.select(*[quoted(a) for _, a, _ in shared]), right.select(*[quoted(b).alias(name) for name, _, b in shared])
 
 
-def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """The columns of `schema` in its order and types; what is missing or unreadable is null."""
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    types = {field.name: field.dataType for field in df.schema.fields}
-    columns = []
+def _conformed(df: DataFrame, schema: T.StructType | str) -> list[tuple[str, Column | None, Column]]:
+    """Name, own column (None if missing) and wanted column for each field of `schema`."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields, out = resolved(df), []
     for field in schema.fields:
-        if field.name not in types:
-            column = F.lit(None).cast(field.dataType)
-        elif types[field.name] == field.dataType:
-            column = quoted(field.name)
-        else:
-            column = quoted(field.name).try_cast(field.dataType)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+        own = fields.get(field.name.lower())
+        if own is None:
+            out.append((field.name, None, F.lit(None).cast(field.dataType)))
+            continue
+        column = quoted(own.name)
+        out.append((field.name, column, column if own.dataType == field.dataType else column.try_cast(field.dataType)))
+    return out
+
+
+def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The columns of `schema` in its order, types and letter case; what is missing or unreadable is null."""
+    return df.select(*[wanted.alias(name) for name, _, wanted in _conformed(df, schema)])
+
+
+def _lost(df: DataFrame, schema: T.StructType | str) -> list[Column]:
+    columns = [(name, own, wanted) for name, own, wanted in _conformed(df, schema) if own is not None]
+    return [F.count_if(own.isNotNull() & wanted.isNull()).alias(name) for name, own, wanted in columns]
+
+
+def conform_observed(df: DataFrame, schema: T.StructType | str, observation: Observation) -> DataFrame:
+    """As `conform`; once the result has been computed, the observation has the number of values each cast made null.
+
+    They are counted while the rows pass, so that no row is read twice.
+    """
+    lost = _lost(df, schema)
+    return conform(df.observe(observation, *lost) if lost else df, schema)
+
+
+def lost_values(dfs: Sequence[DataFrame], schema: T.StructType | str) -> DataFrame:
+    """(ENTRADA, COLUNA, PERDIDOS): for each frame, by its place, and column that it has, the values that its cast makes null."""
+    counted = []
+    for place, df in enumerate(dfs):
+        lost = _lost(df, schema)
+        if lost:
+            names = [name for name, own, _ in _conformed(df, schema) if own is not None]
+            row = df.agg(*lost)
+            cells = [F.struct(F.lit(name).alias("COLUNA"), quoted(name).alias("PERDIDOS")) for name in names]
+            counted.append(row.select(F.lit(place).alias("ENTRADA"), F.explode(F.array(*cells)).alias("cell")).select("ENTRADA", "cell.*"))
+    if not counted:
+        raise ValueError("no frame has a column of the schema")
+    return reduce(DataFrame.unionAll, counted)
 
 
 def with_missing(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

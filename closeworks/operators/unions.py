@@ -13,6 +13,8 @@ from closeworks.operators.schema import (
     common_columns,
     conform,
     dedupe_columns_first,
+    resolved,
+    spellings,
     strip_accents_columns,
 )
 
@@ -20,7 +22,8 @@ NUMERIC_WIDTH = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 
 
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
-    """Union by name; a column missing from a table is null there, and one of several types gets the widest."""
+    """Union by name, whose letter case does not count; a column missing from a table is null there, and one of
+    several types gets the widest."""
     schema = common_schema(dfs)
     return reduce(DataFrame.unionAll, [conform(df, schema) for df in dfs])
 
@@ -55,23 +58,21 @@ def clean_snapshot(df: DataFrame) -> DataFrame:
 
 
 def common_schema(dfs: Sequence[DataFrame]) -> T.StructType:
-    """All columns in the order of first sight, each with the widest type it occurs in."""
-    types: dict[str, T.DataType] = {}
-    for df in dfs:
-        for field in df.schema.fields:
-            known = types.get(field.name)
-            types[field.name] = field.dataType if known is None else wider_type(known, field.dataType)
-    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+    """All columns in the order and spelling of first sight, each with the widest type it occurs in."""
+    fields = [resolved(df) for df in dfs]
+    wide = []
+    for name in spellings(dfs):
+        kinds = [columns[name.lower()].dataType for columns in fields if name.lower() in columns]
+        wide.append(T.StructField(name, reduce(wider_type, kinds)))
+    return T.StructType(wide)
 
 
 def type_conflicts(dfs: Sequence[DataFrame]) -> dict[str, list[str]]:
     """Columns that occur with several types, with those types in order of first sight."""
-    seen: dict[str, list[str]] = {}
-    for df in dfs:
-        for field in df.schema.fields:
-            kinds = seen.setdefault(field.name, [])
-            if field.dataType.simpleString() not in kinds:
-                kinds.append(field.dataType.simpleString())
+    fields = [resolved(df) for df in dfs]
+    seen = {
+        name: list(dict.fromkeys(c[name.lower()].dataType.simpleString() for c in fields if name.lower() in c)) for name in spellings(dfs)
+    }
     return {name: kinds for name, kinds in seen.items() if len(kinds) > 1}
 
 

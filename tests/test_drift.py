@@ -1,11 +1,12 @@
 """Sheets whose types, names and dates change from month to month."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from closeworks.functions import dates, text
-from closeworks.operators import periods, unions
+from closeworks.operators import periods, schema, unions
 from closeworks.plans import billing, entries, normalise, staff
 from closeworks.sources import dims
 from tests.helpers import apply, day, rows
@@ -90,3 +91,31 @@ def test_prices_that_differ_by_action(spark):
         ("E", "X", 100.0), ("E", "Y", 300.0), ("F", "X", 50.0)
     ]
     assert rows(billing.ambiguous_prices(prices).select("ESCRITORIO", "MENOR", "MAIOR")) == [("E", 100.0, 300.0)]
+
+
+def test_letter_case_does_not_tell_columns_apart(spark):
+    a, b = spark.sql("SELECT 1 AS Id, 'x' AS nome"), spark.sql("SELECT 2L AS ID, 'y' AS Nome, true AS novo")
+    both = unions.union_all([a, b])
+    assert both.columns == ["Id", "nome", "novo"] and both.schema["Id"].dataType == T.LongType()
+    assert rows(both.select("ID", "nome")) == [(1, "x"), (2, "y")]
+    assert rows(unions.union_distinct(a, b.drop("novo"))) == [(1, "x"), (2, "y")]
+    assert rows(unions.union_distinct(a, a.toDF("ID", "NOME"))) == [(1, "x")]
+    assert rows(entries.entries_base(a.toDF("Id_Processo", "x"), b.select("ID", "Nome").toDF("ID_PROCESSO", "X")).select("id_processo")) == [(1,), (2,)]
+    assert schema.spellings([a, b]) == {"Id": ["Id", "ID"], "nome": ["nome", "Nome"], "novo": [None, "novo"]}
+    assert unions.type_conflicts([a, b]) == {"Id": ["int", "bigint"]}
+
+
+def test_two_spellings_in_one_sheet_are_an_error(spark):
+    with pytest.raises(ValueError, match="'Id' and 'ID'"):
+        unions.union_all([spark.sql("SELECT 1 AS Id, 2 AS ID"), spark.sql("SELECT 3 AS id")])
+
+
+def test_lost_values_are_counted(spark):
+    a = spark.createDataFrame([("1", 1), ("x", None), (None, 3), ("y", 4)], "Codigo string, valor int")
+    b = spark.createDataFrame([(1.5,), (None,)], "CODIGO double")
+    wanted = "CODIGO bigint, VALOR string, OUTRO date"
+    assert sorted(rows(schema.lost_values([a, b], wanted))) == [(0, "CODIGO", 2), (0, "VALOR", 0), (1, "CODIGO", 0)]
+    seen = Observation("perdidos")
+    assert [r[0] for r in schema.conform_observed(a, wanted, seen).select("CODIGO").collect()] == [1, None, None, None]
+    assert seen.get == {"CODIGO": 2, "VALOR": 0}
+    assert schema.conform_observed(a.select("valor"), "OUTRO date", Observation()).columns == ["OUTRO"]
