@@ -7,18 +7,7 @@ from pyspark.sql import functions as F
 from catalog import shapes
 from catalog.registry import query, table
 from closeworks.functions import dates
-from closeworks.operators import aggregates, filters, installments, windows
-
-
-def _order_blocks():
-    """Orders of a customer by day and range of ids: neither a block nor the blocks of a
-    customer grow too long, even if one customer has a third of all orders."""
-    return [F.col("day"), F.floor(F.col("o_orderkey") / 1_000_000_000)]
-
-
-def _minutes():
-    """Events by day and minute of the day."""
-    return [F.to_date("ts"), F.hour("ts") * 60 + F.minute("ts")]
+from closeworks.operators import aggregates, filters, installments, ordered, windows
 
 
 _EVENTS_SQL = """e AS (
@@ -34,7 +23,7 @@ t AS (
 def _transitions(spark, folder):
     phase = F.when(F.col("event_type") == "error", "ENCERRADO").otherwise(F.col("event_type"))
     events = table(spark, folder, "events").select("user_id", "ts", "event_id", phase.alias("DP_FASE"))
-    return windows.phase_transitions(events, "user_id", ["ts", "event_id"], "DP_FASE", _minutes())
+    return windows.phase_transitions(events, "user_id", ["ts", "event_id"], "DP_FASE")
 
 
 @query(f"""
@@ -71,11 +60,8 @@ SELECT event_id, row_number() OVER (w ORDER BY event_type, event_id)::BIGINT AS
 FROM events WINDOW w AS (PARTITION BY user_id)""")
 def ranks(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type")
-    numbered = windows.per_key(
-        events, ["user_id"], ["event_type", "event_id"],
-        [F.col("event_type"), F.floor(F.col("event_id") / 1_000_000), F.floor(F.col("event_id") / 1000)],
-        {"rn": windows.row_number(), "r": windows.rank(1), "dr": windows.dense_rank(1)},
-    )
+    outputs = {"rn": ordered.row_number(), "r": ordered.rank("event_type"), "dr": ordered.dense_rank("event_type")}
+    numbered = ordered.ordered(events, ["user_id"], ["event_type", "event_id"], outputs)
     return numbered.drop("user_id", "event_type")
 
 
@@ -97,14 +83,14 @@ def installment_numbers(spark, folder):
     items = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", F.to_date("l_shipdate").alias("day")
     )
-    numbered = windows.per_key(
-        items, ["l_orderkey"], _PART_ORDER, [F.year("day")],
+    numbered = ordered.ordered(
+        items, ["l_orderkey"], _PART_ORDER,
         {
-            "PARCELA": windows.row_number(),
-            "DIA_PARCELA": windows.dense_rank_by("day"),
-            "DATA_DO_ACORDO": windows.first("day"),
-            "ENTRADA": windows.first("l_extendedprice"),
-            "__paid": windows.total("l_extendedprice"),
+            "PARCELA": ordered.row_number(),
+            "DIA_PARCELA": ordered.dense_rank("day"),
+            "DATA_DO_ACORDO": ordered.first("day"),
+            "ENTRADA": ordered.first("l_extendedprice"),
+            "__paid": ordered.total("l_extendedprice"),
         },
     )
     settled = F.when(F.col("__paid") >= F.col("ENTRADA") / 0.30, "SIM").otherwise("NÃO")
@@ -181,8 +167,7 @@ SELECT o_orderkey, rn::BIGINT AS rn, months::BIGINT AS gap FROM (
   FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))""")
 def months_since_previous(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
-    numbered = windows.per_key(
-        orders, ["o_custkey"], ["day", "o_orderkey"], _order_blocks(),
-        {"rn": windows.row_number(), "before": windows.lag("day")},
+    numbered = ordered.ordered(
+        orders, ["o_custkey"], ["day", "o_orderkey"], {"rn": ordered.row_number(), "before": ordered.lag("day")}
     )
     return numbered.select("o_orderkey", "rn", dates.whole_months(F.col("before"), F.col("day")).alias("gap"))

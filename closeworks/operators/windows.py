@@ -1,4 +1,6 @@
-"""Ordered windows per key that survive a key with a large share of all rows.
+"""Sums so far and other windows per key in blocks that the caller names.
+
+Numbers, ranks and previous values need no blocks: see `ordered`.
 
 A plain window sends all rows of a key to one task. Values of a whole key (first, total, highest) need no window:
 they are aggregates, combined per task, that are looked up. For numbers, ranks and previous values a key is
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from closeworks.functions.rules import transition_code, transition_label
+from closeworks.operators import ordered
 from closeworks.operators.joins import lookup
 from closeworks.operators.schema import quoted
 
@@ -222,15 +225,9 @@ def _carried(
     return found
 
 
-def phase_transitions(
-    df: DataFrame,
-    case: str,
-    order: Sequence[str],
-    phase: str,
-    block: Sequence[Column],
-) -> DataFrame:
-    """Add FASE_DO_MES_ANTERIOR, MUDOU_FASE (code 0 to 4) and DP_FASE_MES (`old - new`)."""
-    previous = per_key(df, [case], order, block, {"FASE_DO_MES_ANTERIOR": lag(phase)})
+def phase_transitions(df: DataFrame, case: str, order: Sequence[str], phase: str, counted: DataFrame | None = None) -> DataFrame:
+    """Add FASE_DO_MES_ANTERIOR, MUDOU_FASE (code 0 to 4) and DP_FASE_MES (`old - new`). For `counted` see `ordered`."""
+    previous = ordered.ordered(df, [case], order, {"FASE_DO_MES_ANTERIOR": ordered.lag(phase)}, counted)
     now, before = F.col(phase), F.col("FASE_DO_MES_ANTERIOR")
     return previous.withColumns(
         {"MUDOU_FASE": transition_code(now, before), "DP_FASE_MES": transition_label(now, before)}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from closeworks.functions import dates
 from closeworks.functions import fixed_values as V
-from closeworks.operators import aggregates, filters, installments, windows
+from closeworks.operators import aggregates, filters, installments, ordered
 from closeworks.operators.joins import inner_lookup, lookup
 from closeworks.operators.unions import union_all
 
@@ -29,12 +29,12 @@ def settlement_parts(payments: DataFrame, cases: DataFrame, settlements: DataFra
         filters.is_settlement_part(F.col("PARCELAMENTO_ACORDO")) & F.col("ACORDO").isNotNull()
     )
     rows = inner_lookup(rows, cases, {"PROCESSO_ID": "ID_PROCESSO"}, derived=True)
-    numbered = windows.per_key(
+    numbered = ordered.ordered(
         rows,
         ["PROCESSO_ID"],
         [PAID_ON, "ACORDO", "SUB_TIPO", "PARCELAMENTO_ACORDO"],
-        [F.trunc(PAID_ON, "MM")],
-        {"PARCELA": windows.row_number(), "DATA_DO_ACORDO": windows.first(PAID_ON)},
+        {"PARCELA": ordered.row_number(), "DATA_DO_ACORDO": ordered.first(PAID_ON)},
+        counted=payments,
     )
     agreed = {
         "QUANTIDADE_DE_PARCELAS": "QTD_PARCELAS_ACORDO",
@@ -71,17 +71,17 @@ def conviction_parts(payments: DataFrame, since: str = "2022-01-01") -> DataFram
         ~F.col("PARCELAMENTO_CONDENACAO").isin(*V.NO_PLAN) & F.col("CONDENACAO").isNotNull()
     )
     rows = filters.in_period(rows, PAID_ON, start=since)
-    valued = windows.per_key(
+    valued = ordered.ordered(
         rows,
         ["PROCESSO_ID"],
         [PAID_ON, "CONDENACAO"],
-        [F.trunc(PAID_ON, "MM")],
         {
-            "PARCELA": windows.dense_rank_by(PAID_ON),
-            "DATA_DO_ACORDO": windows.first(PAID_ON),
-            "__down_payment": windows.first("CONDENACAO"),
-            "__paid": windows.total("CONDENACAO"),
+            "PARCELA": ordered.dense_rank(PAID_ON),
+            "DATA_DO_ACORDO": ordered.first(PAID_ON),
+            "__down_payment": ordered.first("CONDENACAO"),
+            "__paid": ordered.total("CONDENACAO"),
         },
+        counted=payments,
     )
     agreed = F.col("__down_payment") / V.COURT_PLAN_DOWN_PAYMENT
     return valued.select(

@@ -30,11 +30,12 @@ def phase_history(snapshots: DataFrame, book: DataFrame, since: str) -> DataFram
     return joins.known_only(phases, open_cases, ["ID_PROCESSO"]).select("ID_PROCESSO", "MES_FECH", "DP_FASE")
 
 
-def roll_forward(history: DataFrame) -> DataFrame:
-    """Transition code and label of each case and month against its previous snapshot."""
-    return windows.phase_transitions(
-        history, "ID_PROCESSO", ["MES_FECH", "DP_FASE"], "DP_FASE", [F.col("MES_FECH"), F.col("DP_FASE")]
-    )
+def roll_forward(history: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Transition code and label of each case and month against its previous snapshot.
+
+    `counted` may be a cheaper table in which to look for hot cases, with ID_PROCESSO, MES_FECH and DP_FASE (see `ordered`).
+    """
+    return windows.phase_transitions(history, "ID_PROCESSO", ["MES_FECH", "DP_FASE"], "DP_FASE", counted)
 
 
 def transition_matrix(rolled: DataFrame, provisions: DataFrame) -> DataFrame:

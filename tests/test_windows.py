@@ -140,7 +140,7 @@ def test_first_date_of_each_id(spark):
 
 def test_transitions_total(spark):
     df = spark.createDataFrame(_skewed(), FIELDS).select("k", "t", "i", F.col("s").alias("DP_FASE"))
-    rolled = windows.phase_transitions(df, "k", ["t", "i"], "DP_FASE", [F.col("t")])
+    rolled = windows.phase_transitions(df, "k", ["t", "i"], "DP_FASE")
     codes = {r["MUDOU_FASE"]: r["count"] for r in rolled.groupBy("MUDOU_FASE").count().collect()}
     assert set(codes) == {0, 1, 2, 3, 4} and sum(codes.values()) == df.count()
 
