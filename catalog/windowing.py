@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import shapes
 from catalog.registry import query, table
 from closeworks.functions import dates
-from closeworks.operators import aggregates, filters, installments, ordered, windows
+from closeworks.operators import aggregates, filters, installments, intervals, ordered, windows
 
 
 _EVENTS_SQL = """e AS (
@@ -171,3 +171,52 @@ def months_since_previous(spark, folder):
         orders, ["o_custkey"], ["day", "o_orderkey"], {"rn": ordered.row_number(), "before": ordered.lag("day")}
     )
     return numbered.select("o_orderkey", "rn", dates.whole_months(F.col("before"), F.col("day")).alias("gap"))
+
+
+@query("""
+SELECT event_id, (SELECT min(p.event_id) FROM events p WHERE p.event_type = 'purchase' AND p.user_id = e.user_id
+    AND e.ts BETWEEN p.ts AND p.ts + INTERVAL 150 MINUTE) AS COMPRA
+FROM events e""")
+def events_after_purchases(spark, folder):
+    """The first purchase of the user in whose 150 minutes an event lies; windows of one user overlap."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
+    held = events.where("event_type = 'purchase'").select(
+        "user_id", F.col("ts").alias("DT_INICIO"), (F.col("ts") + F.expr("INTERVAL 150 MINUTES")).alias("DT_FIM"), F.col("event_id").alias("COMPRA")
+    )
+    return intervals.assign_interval(events, "ts", held, "COMPRA", "COMPRA", ["user_id"]).select("event_id", "COMPRA")
+
+
+@query("""
+SELECT e.event_id, min(p.event_id) AS FALHA FROM events e
+LEFT JOIN (SELECT event_id, ts FROM events WHERE event_type = 'error') p ON e.ts BETWEEN p.ts AND p.ts + INTERVAL 10 MINUTE
+GROUP BY e.event_id""")
+def events_during_failures(spark, folder):
+    """The earliest listed failure of any user that lasts while an event happens: one timeline for all rows."""
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type")
+    held = events.where("event_type = 'error'").select(
+        F.col("ts").alias("DT_INICIO"), (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("DT_FIM"), F.col("event_id").alias("FALHA")
+    )
+    return intervals.assign_interval(events, "ts", held, "FALHA", "FALHA").select("event_id", "FALHA")
+
+
+@query("""
+WITH held AS (SELECT user_id % 20 AS file, ts::DATE AS a, ts::DATE + 2 AS b FROM events WHERE event_type = 'signup' AND event_id % 50 = 0)
+SELECT event_id, user_id % 20 AS file, ts::DATE AS day FROM events e
+WHERE EXISTS (SELECT 1 FROM held h WHERE h.file = e.user_id % 20 AND e.ts::DATE BETWEEN h.a AND h.b)""")
+def events_in_file_windows(spark, folder):
+    """Rows whose day lies in one of the windows of their file, which has several."""
+    events = table(spark, folder, "events")
+    file, day = (F.col("user_id") % 20).alias("file"), F.to_date("ts")
+    held = events.where("event_type = 'signup' AND event_id % 50 = 0").select(file, day.alias("DT_INICIO"), F.date_add(day, 2).alias("DT_FIM"))
+    return intervals.in_intervals(events.select("event_id", file, day.alias("day")), "day", held, ["file"])
+
+
+@query("""
+SELECT event_id, last_value(CASE WHEN event_type IN ('purchase', 'error') THEN event_type END IGNORE NULLS)
+  OVER (PARTITION BY user_id ORDER BY ts, event_id) AS SITUACAO
+FROM events""")
+def last_known_status(spark, folder):
+    """The last status of a user that is known, carried over any number of rows without one."""
+    status = F.when(F.col("event_type").isin("purchase", "error"), F.col("event_type"))
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", status.alias("status"))
+    return ordered.ordered(events, ["user_id"], ["ts", "event_id"], {"SITUACAO": ordered.known("status")}).select("event_id", "SITUACAO")

@@ -55,6 +55,11 @@ def lag(column: str) -> Ordered:
     return Ordered("lag", column)
 
 
+def known(column: str) -> Ordered:
+    """Last value so far that is not null, the row's own included."""
+    return Ordered("known", column)
+
+
 def first(column: str) -> Ordered:
     """Value of the first row of the key."""
     return Ordered("first", column)
@@ -150,6 +155,8 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs:
             return F.lag(quoted(spec.column)).over(rows)
         if spec.kind == "first":
             return F.first(quoted(spec.column)).over(so_far)
+        if spec.kind == "known":
+            return F.last(quoted(spec.column), ignorenulls=True).over(so_far)
         return (F.sum if spec.kind == "total" else F.max)(quoted(spec.column)).over(group)
 
     values = {f"__out_{n}": value(spec) for n, spec in outputs.items()}
@@ -170,6 +177,9 @@ def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], outputs
         if spec.kind in ("lag", "first"):
             pick = F.max_by if spec.kind == "lag" else F.min_by
             return pick(F.struct(quoted(spec.column).alias("v")), place)
+        if spec.kind == "known":
+            filled = quoted(spec.column).isNotNull()
+            return F.max_by(F.when(filled, quoted(spec.column)), F.when(filled, place))
         return F.max(f"__out_{name}")
 
     every = Window.partitionBy(*map(quoted, keys))
@@ -182,6 +192,8 @@ def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], outputs
             return F.coalesce(F.sum(one).over(before), F.lit(0).cast("bigint"))
         if spec.kind == "lag":
             return F.lag(one).over(upto)
+        if spec.kind == "known":
+            return F.last(one, ignorenulls=True).over(before)
         if spec.kind == "first":
             return F.first(one).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return (F.sum if spec.kind == "total" else F.max)(one).over(every)
@@ -196,4 +208,6 @@ def _joined(name: str, spec: Ordered) -> Column:
         return own + F.coalesce(carried, F.lit(0).cast("bigint"))
     if spec.kind == "lag":
         return F.when(F.col("__hot") & F.col("__begins"), carried["v"]).otherwise(own)
+    if spec.kind == "known":
+        return F.coalesce(own, carried)
     return F.when(F.col("__hot"), carried["v"] if spec.kind == "first" else carried).otherwise(own)

@@ -12,6 +12,7 @@ from tests.helpers import rows
 OUTPUTS = {
     "n": O.row_number(), "r": O.rank("day"), "d": O.dense_rank("day"), "d2": O.dense_rank("day", "kind"),
     "before": O.lag("value"), "start": O.first("value"), "paid": O.total("amount"), "top": O.highest("value"),
+    "known": O.known("value"),
 }
 SCHEMA = "`the key` string, day date, kind string, id int, value string, amount bigint, d string"
 
@@ -34,6 +35,7 @@ def plain(df):
         "n": F.row_number().over(w), "r": F.rank().over(key.orderBy("day")), "d": F.dense_rank().over(key.orderBy("day")),
         "d2": F.dense_rank().over(key.orderBy("day", "kind")), "before": F.lag("value").over(w),
         "start": F.first("value").over(w), "paid": F.sum("amount").over(key), "top": F.max("value").over(key),
+        "known": F.last("value", ignorenulls=True).over(w),
     })
 
 
