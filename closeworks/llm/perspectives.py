@@ -3,8 +3,8 @@
 For every participant all turns are rendered: that speaker's turns as the assistant's, which are trained on,
 those of others as named users, system turns as they are. The mask lists the trained spans of a text in code
 points. A long dialogue is rendered in parts of TURNS turn numbers, so that no task holds a dialogue as a whole;
-parts of many turns with few numbers are cut further, every MOST turns of their order. Turns within a part, and its cuts, follow
-the turn number, then speaker and text.
+every part is cut further after each MOST turns of its order, which most parts don't reach. Turns within a part, and its cuts,
+follow the turn number, then speaker and text. A system turn is in the first part that has it, and not repeated in later ones.
 
 Defined cases: a null role is a speaker called "unknown", a null text is empty; null turns come last, in a part of
 their own; a null conversation id is one conversation; repeated rows are repeated turns; a dialogue of system turns only

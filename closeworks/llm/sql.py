@@ -26,22 +26,24 @@ PERSPECTIVES = """
 WITH turns AS (
   SELECT conv_id, turn // 64 AS part, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
 ), speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> 'system'
+), cuts AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) - 1) // 1024 AS cut FROM turns
 ), pieces AS (
-  SELECT t.conv_id, part, turn, role, text, speaker, role = speaker AS own,
+  SELECT t.conv_id, part, cut, turn, role, text, speaker, role = speaker AS own,
     CASE role WHEN 'system' THEN '<|system|>' WHEN speaker THEN '<|assistant|>'
       ELSE '<|user name=' || replace(replace(role, '<|', '< |'), chr(10), ' ') || '|>' END || chr(10) AS header,
     replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
-  FROM turns t JOIN speakers s USING (conv_id)
+  FROM cuts t JOIN speakers s USING (conv_id)
 ), placed AS (
   SELECT *, coalesce(sum(length(header) + length(body)) OVER (
-    PARTITION BY conv_id, part, speaker ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+    PARTITION BY conv_id, part, cut, speaker ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM pieces
 )
-SELECT conv_id, part, 0::BIGINT AS cut, speaker, count(*)::INT AS n_turns, count(*) FILTER (own)::INT AS n_own,
+SELECT conv_id, part, cut, speaker, count(*)::INT AS n_turns, count(*) FILTER (own)::INT AS n_own,
   string_agg(header || body, '' ORDER BY turn, role, text) AS text,
   coalesce(string_agg((place + length(header))::BIGINT || ':' || (place + length(header) + length(body))::BIGINT, ','
     ORDER BY turn, role, text) FILTER (own), '') AS mask
-FROM placed GROUP BY conv_id, part, speaker
+FROM placed GROUP BY conv_id, part, cut, speaker
 """
 
 REPEATS = """

@@ -1,8 +1,12 @@
 """Rendered dialogues against plain Python."""
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from closeworks.llm import perspectives as P
+from closeworks.llm.sql import PERSPECTIVES
+from tools.check_queries import difference
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 ROWS = [
@@ -77,3 +81,14 @@ def test_no_rows_and_other_columns(spark):
     assert P.rotate(spark.createDataFrame([], SCHEMA)).collect() == []
     df = spark.createDataFrame([(1, 0, "a", "x", 5, "y")], SCHEMA + ", part int, speaker string")
     assert P.rotate(df).first()["text"] == "<|assistant|>\nx<|end|>\n"
+
+
+def test_the_sql_cuts_alike(spark):
+    rows = ROWS[:-300] + [(9, i // 50, f"p{i % 3}", f"t{i % 700}") for i in range(2600)] + [(10, 5, "x", "same")] * 1500
+    rows = [r for r in rows if r[0] is not None and r[1] is not None]
+    df = P.rotate(spark.createDataFrame(rows, SCHEMA))
+    ours = df.withColumn("mask", F.concat_ws(",", F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"])))).toArrow()
+    connection = duckdb.connect()
+    connection.register("conversations", spark.createDataFrame(rows, SCHEMA).toArrow())
+    assert difference(ours, connection.sql(PERSPECTIVES).to_arrow_table()) is None
+    assert {r["cut"] for r in ours.to_pylist()} == {0, 1, 2}
