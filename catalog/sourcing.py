@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query, table
-from closeworks.sources import sheets, snapshots
+from closeworks.sources import merges, sheets, snapshots
 
 
 @query("""
@@ -51,3 +51,23 @@ def file_safe_names(spark, folder):
     part = table(spark, folder, "part")
     name = F.concat("p_type", F.lit(" / "), "p_brand")
     return part.select("p_partkey", snapshots.file_safe(name).alias("ARQUIVO"))
+
+
+@query("""
+WITH book AS (SELECT o_orderkey AS "ID", o_totalprice AS "VALOR", o_orderstatus AS "FASE", date_trunc('month', o_orderdate)::DATE AS "MES_FECH"
+  FROM orders WHERE o_orderdate IS NOT NULL
+), corrected AS (SELECT * FROM book WHERE "MES_FECH" BETWEEN DATE '1997-03-01' AND DATE '1997-08-01' AND "ID" % 3 = 0)
+SELECT "ID", CASE WHEN "ID" IN (SELECT "ID" FROM corrected) THEN "VALOR" * 2 ELSE "VALOR" END AS "VALOR", "FASE", "MES_FECH" FROM book
+UNION ALL SELECT -"ID", "VALOR", 'N', "MES_FECH" FROM corrected""")
+def merged_history(spark, folder):
+    """A history by month, into which corrected and new rows of some months are merged."""
+    month = F.trunc(F.to_date("o_orderdate"), "MM").alias("MES_FECH")
+    orders = table(spark, folder, "orders").where("o_orderdate is not null")
+    book = orders.select(F.col("o_orderkey").alias("ID"), F.col("o_totalprice").alias("VALOR"), F.col("o_orderstatus").alias("FASE"), month)
+    path = merges.shared_folder(spark)
+    snapshots.write_period(book, path)
+    some = book.where("MES_FECH BETWEEN DATE'1997-03-01' AND DATE'1997-08-01' AND ID % 3 = 0")
+    corrected = some.select("ID", (F.col("VALOR") * 2).alias("VALOR"), F.lit(None).cast("string").alias("FASE"), "MES_FECH")
+    added = some.select((-F.col("ID")).alias("ID"), "VALOR", F.lit("N").alias("FASE"), "MES_FECH")
+    merges.merge_periods(corrected.union(added), path, ["ID"])
+    return snapshots.read_snapshots(spark, path)
