@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query, table
-from closeworks.sources import merges, sheets, snapshots
+from closeworks.sources import contracts, merges, sheets, snapshots
 
 
 @query("""
@@ -71,3 +71,41 @@ def merged_history(spark, folder):
     added = some.select((-F.col("ID")).alias("ID"), "VALOR", F.lit("N").alias("FASE"), "MES_FECH")
     merges.merge_periods(corrected.union(added), path, ["ID"])
     return snapshots.read_snapshots(spark, path)
+
+
+_DRIFT_SQL = """
+WITH rows_ AS (SELECT *, date_trunc('month', o_orderdate)::DATE AS "MES_FECH" FROM orders WHERE o_orderdate IS NOT NULL),
+kind AS (SELECT *, CASE WHEN "MES_FECH" < DATE '1996-01-01' OR "MES_FECH" = DATE '1997-05-01' THEN 1 WHEN "MES_FECH" < DATE '1997-01-01' THEN 2 ELSE 3 END AS k
+  FROM rows_)"""
+
+
+def _drifting(spark, folder):
+    """A history whose months came in three shapes, one of its months again in the first shape."""
+    month = F.trunc(F.to_date("o_orderdate"), "MM").alias("MES_FECH")
+    rows = table(spark, folder, "orders").where("o_orderdate is not null").select("*", month)
+    again, second, third = "MES_FECH = DATE'1997-05-01'", "MES_FECH >= DATE'1996-01-01'", "MES_FECH >= DATE'1997-01-01'"
+    key, note = F.col("o_orderkey"), F.col("o_orderpriority").alias("NOTA")
+    path = merges.shared_folder(spark)
+    first = [key.alias("ID"), F.col("o_custkey").cast("int").alias("CLIENTE"), "MES_FECH"]
+    contracts.write_drifting(rows.where(f"NOT {second}").select(*first), path)
+    contracts.write_drifting(rows.where(f"{second} AND NOT {third}").select("MES_FECH", note, F.col("o_custkey").cast("bigint").alias("Cliente"), key.alias("id")), path)
+    named = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    contracts.write_drifting(rows.where(third).select(key.alias("ID"), named.alias("CLIENTE"), note, "MES_FECH"), path)
+    contracts.write_drifting(rows.where(again).select(*first), path)
+    return path
+
+
+@query(_DRIFT_SQL + """
+SELECT o_orderkey AS "ID", CASE WHEN k = 3 THEN 'C' ELSE '' END || o_custkey AS "CLIENTE", "MES_FECH", CASE WHEN k > 1 THEN o_orderpriority END AS "NOTA" FROM kind""")
+def drifted_history(spark, folder):
+    """Months with different columns and types, read in the widest without merging the schemas of files."""
+    return contracts.read_drifting(spark, _drifting(spark, folder))
+
+
+@query(_DRIFT_SQL + """
+SELECT 'CLIENTE' AS "COLUNA", CASE k WHEN 1 THEN 'int' ELSE 'bigint' END AS "TIPO", 'string' AS "TIPO_LIDO", "MES_FECH"::VARCHAR AS "PERIODO"
+FROM kind WHERE k < 3 GROUP BY k, "MES_FECH"
+UNION ALL SELECT 'NOTA', NULL, 'string', "MES_FECH"::VARCHAR FROM kind WHERE k = 1 GROUP BY "MES_FECH" """)
+def drift_report(spark, folder):
+    """Which months have a column in another type than it is read in, or not at all."""
+    return contracts.widened(spark, _drifting(spark, folder))

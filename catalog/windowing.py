@@ -220,3 +220,45 @@ def last_known_status(spark, folder):
     status = F.when(F.col("event_type").isin("purchase", "error"), F.col("event_type"))
     events = table(spark, folder, "events").select("event_id", "user_id", "ts", status.alias("status"))
     return ordered.ordered(events, ["user_id"], ["ts", "event_id"], {"SITUACAO": ordered.known("status")}).select("event_id", "SITUACAO")
+
+
+@query("""
+WITH held AS (SELECT o_custkey, o_orderdate::DATE AS a, (o_orderdate::DATE + (o_orderkey % 200)::INTEGER - 3)::DATE AS b FROM orders),
+changes AS (
+  SELECT o_custkey, moment, sum(d) AS d FROM (
+    SELECT o_custkey, a AS moment, 1 AS d FROM held WHERE a <= b UNION ALL SELECT o_custkey, b + 1, -1 FROM held WHERE a <= b)
+  GROUP BY o_custkey, moment HAVING sum(d) <> 0),
+stretches AS (
+  SELECT o_custkey, lag(moment) OVER w AS a, moment, sum(d) OVER w - d AS depth FROM changes WINDOW w AS (PARTITION BY o_custkey ORDER BY moment))
+SELECT o_custkey, a::DATE AS DT_INICIO, (moment - 1)::DATE AS DT_FIM, depth::BIGINT AS PROFUNDIDADE, CASE depth WHEN 0 THEN 'LACUNA' ELSE 'SOBREPOSTO' END AS PROBLEMA
+FROM stretches WHERE a IS NOT NULL AND depth <> 1
+UNION ALL SELECT o_custkey, a, b, NULL, CASE WHEN a > b THEN 'INVERTIDO' ELSE 'ABERTO' END FROM held WHERE a > b OR a IS NULL OR b IS NULL""")
+def customer_periods(spark, folder):
+    """Gaps and overlaps of any depth in the periods of each customer."""
+    day = F.to_date("o_orderdate")
+    held = table(spark, folder, "orders").select(
+        "o_custkey", day.alias("DT_INICIO"), F.date_add(day, (F.col("o_orderkey") % 200 - 3).cast("int")).alias("DT_FIM")
+    )
+    return intervals.check_intervals(held, ["o_custkey"])
+
+
+@query("""
+WITH held AS (SELECT l_suppkey, l_shipdate::TIMESTAMP AS a, l_shipdate::TIMESTAMP + (l_partkey % 9) * INTERVAL 1 DAY + INTERVAL 6 HOUR AS b FROM lineitem),
+changes AS (
+  SELECT l_suppkey, moment, sum(d) AS d FROM (
+    SELECT l_suppkey, a AS moment, 1 AS d FROM held WHERE a <= b UNION ALL SELECT l_suppkey, b + INTERVAL 1 MICROSECOND, -1 FROM held WHERE a <= b)
+  GROUP BY l_suppkey, moment HAVING sum(d) <> 0),
+stretches AS (
+  SELECT l_suppkey, lag(moment) OVER w AS a, moment, sum(d) OVER w - d AS depth FROM changes WINDOW w AS (PARTITION BY l_suppkey ORDER BY moment))
+SELECT l_suppkey, a AS DT_INICIO, moment - INTERVAL 1 MICROSECOND AS DT_FIM, depth::BIGINT AS PROFUNDIDADE FROM stretches WHERE a IS NOT NULL""")
+def shipments_under_way(spark, folder):
+    """How many shipments of a supplier are under way at any time."""
+    items, shipped = table(spark, folder, "lineitem"), F.col("l_shipdate").cast("timestamp_ntz")
+    return intervals.depths(
+        items.select(
+            "l_suppkey",
+            shipped.alias("DT_INICIO"),
+            (shipped + F.make_dt_interval((F.col("l_partkey") % 9).cast("int"), F.lit(6))).alias("DT_FIM"),
+        ),
+        ["l_suppkey"],
+    )

@@ -93,3 +93,52 @@ def in_intervals(
     """The rows whose moment lies in any of the closed intervals of their key, which may have several."""
     marked = assign_interval(df, at, intervals.withColumn("__in", F.lit(1)), "__held", "__in", keys, start, end)
     return marked.where("__held = 1").drop("__held")
+
+
+def _moment(df: DataFrame, name: str, number: Column) -> Column:
+    """The date, timestamp or whole number that `_number` made a number of."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(number.cast("int"))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_micros(number).cast(kind)
+    return number.cast(kind)
+
+
+def depths(intervals: DataFrame, keys: Sequence[str], start: str = "DT_INICIO", end: str = "DT_FIM") -> DataFrame:
+    """(keys, start, end, PROFUNDIDADE): for each key its time cut into the longest stretches that equally many closed intervals hold,
+    from its first interval to its last; 0 where none does.
+
+    Each interval counts one up at its start and one down after its end. These changes are summed per key and moment, and their sum
+    so far is the depth: no pairs of intervals are made, at any depth. Intervals without a bound or that end before they start are left out;
+    a null key is a key.
+    """
+    named = [quoted(k) for k in keys]
+    a, b = _number(intervals, start), _number(intervals, end) + 1
+    bounds = intervals.select(*named, a.alias("__a"), b.alias("__b")).where("__a < __b")
+    change = F.explode(F.array(*[F.struct(F.col(c).alias("at"), F.lit(d).cast("bigint").alias("by")) for c, d in (("__a", 1), ("__b", -1))]))
+    changes = bounds.select(*named, change.alias("c")).groupBy(*named, F.col("c.at").alias("__at")).agg(F.sum("c.by").alias("__by"))
+    counted = ordered.ordered(
+        changes.where("__by <> 0"), keys, ["__at"], {"__sum": ordered.running("__by"), "__from": ordered.lag("__at")}
+    )
+    return counted.where("__from IS NOT NULL").select(
+        *named,
+        _moment(intervals, start, F.col("__from")).alias(start),
+        _moment(intervals, end, F.col("__at") - 1).alias(end),
+        (F.col("__sum") - F.col("__by")).alias("PROFUNDIDADE"),
+    )
+
+
+def check_intervals(intervals: DataFrame, keys: Sequence[str], start: str = "DT_INICIO", end: str = "DT_FIM") -> DataFrame:
+    """(keys, start, end, PROFUNDIDADE, PROBLEMA): what is wrong with the intervals of each key.
+
+    LACUNA is a stretch between intervals, SOBREPOSTO one that two or more of them hold, with their number, INVERTIDO an interval that
+    ends before it starts and ABERTO one without a bound. Intervals that are repeated overlap themselves.
+    """
+    depth = F.col("PROFUNDIDADE")
+    kind = F.when(depth == 0, "LACUNA").when(depth > 1, "SOBREPOSTO")
+    stretches = depths(intervals, keys, start, end).withColumn("PROBLEMA", kind).where("PROBLEMA IS NOT NULL")
+    a, b = _number(intervals, start), _number(intervals, end)
+    wrong = F.when(a.isNull() | b.isNull(), "ABERTO").when(a > b, "INVERTIDO")
+    rows = intervals.select(*map(quoted, [*keys, start, end]), F.lit(None).cast("bigint").alias("PROFUNDIDADE"), wrong.alias("PROBLEMA"))
+    return stretches.unionAll(rows.where("PROBLEMA IS NOT NULL"))

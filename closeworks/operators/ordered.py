@@ -70,6 +70,11 @@ def total(column: str) -> Ordered:
     return Ordered("total", column)
 
 
+def running(column: str) -> Ordered:
+    """Sum so far, the row's own value included; null while all values are."""
+    return Ordered("running", column)
+
+
 def highest(column: str) -> Ordered:
     """Maximum over the key."""
     return Ordered("highest", column)
@@ -157,6 +162,8 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs:
             return F.first(quoted(spec.column)).over(so_far)
         if spec.kind == "known":
             return F.last(quoted(spec.column), ignorenulls=True).over(so_far)
+        if spec.kind == "running":
+            return F.sum(quoted(spec.column)).over(so_far)
         return (F.sum if spec.kind == "total" else F.max)(quoted(spec.column)).over(group)
 
     values = {f"__out_{n}": value(spec) for n, spec in outputs.items()}
@@ -180,6 +187,8 @@ def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], outputs
         if spec.kind == "known":
             filled = quoted(spec.column).isNotNull()
             return F.max_by(F.when(filled, quoted(spec.column)), F.when(filled, place))
+        if spec.kind == "running":
+            return F.sum(quoted(spec.column))
         return F.max(f"__out_{name}")
 
     every = Window.partitionBy(*map(quoted, keys))
@@ -194,6 +203,8 @@ def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], outputs
             return F.lag(one).over(upto)
         if spec.kind == "known":
             return F.last(one, ignorenulls=True).over(before)
+        if spec.kind == "running":
+            return F.sum(one).over(before)
         if spec.kind == "first":
             return F.first(one).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return (F.sum if spec.kind == "total" else F.max)(one).over(every)
@@ -210,4 +221,6 @@ def _joined(name: str, spec: Ordered) -> Column:
         return F.when(F.col("__hot") & F.col("__begins"), carried["v"]).otherwise(own)
     if spec.kind == "known":
         return F.coalesce(own, carried)
+    if spec.kind == "running":
+        return F.coalesce(own + carried, own, carried)
     return F.when(F.col("__hot"), carried["v"] if spec.kind == "first" else carried).otherwise(own)

@@ -64,3 +64,42 @@ def test_dates_empty_tables_and_wrong_types(spark):
     assert rows(I.assign_interval(days.limit(0), "d", months, "m", "m")) == []
     with pytest.raises(TypeError, match="different types"):
         I.assign_interval(days.withColumnRenamed("d", "x").selectExpr("cast(x as timestamp) as x"), "x", months, "m", "m")
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 20])
+def test_depths_and_problems_as_counted_day_by_day(spark, monkeypatch, hot):
+    monkeypatch.setattr(O, "HOT", hot)
+    r = random.Random(hot)
+    held = []
+    for _ in range(150):
+        start = date(2024, 1, 1) + timedelta(days=r.randrange(400))
+        held.append((r.choice(["a", "a", "b", None]), start, start + timedelta(days=r.choice([0, 1, 3, 20, -2]))))
+    held += held[:10] + [("a", None, date(2024, 1, 1)), ("b", date(2024, 1, 1), None), ("one", date(2024, 1, 1), date(2024, 1, 1))]
+    frame = spark.createDataFrame(held, "k string, DT_INICIO date, DT_FIM date")
+    good = [h for h in held if None not in h[1:] and h[1] <= h[2]]
+    want = []
+    for key in {h[0] for h in good}:
+        own = [h[1:] for h in good if h[0] == key]
+        at, last, end = min(a for a, _ in own), None, max(b for _, b in own)
+        while at <= end:
+            depth = sum(a <= at <= b for a, b in own)
+            if last and last[3] == depth:
+                last[2] = at
+            else:
+                last = [key, at, at, depth]
+                want.append(last)
+            at += timedelta(days=1)
+    assert sorted(rows(I.depths(frame, ["k"])), key=str) == sorted(map(tuple, want), key=str)
+    problems = [(*w, "LACUNA" if w[3] == 0 else "SOBREPOSTO") for w in want if w[3] != 1]
+    problems += [(*h, None, "ABERTO" if None in h[1:] else "INVERTIDO") for h in held if h not in good]
+    assert sorted(rows(I.check_intervals(frame, ["k"])), key=str) == sorted(problems, key=str)
+
+
+def test_depths_of_timestamps_and_numbers(spark):
+    t = [START + timedelta(minutes=m) for m in range(4)]
+    tick = timedelta(microseconds=1)
+    frame = spark.createDataFrame([(1, t[0], t[2]), (1, t[1], t[3])], "k int, DT_INICIO timestamp, DT_FIM timestamp")
+    assert rows(I.depths(frame, ["k"]).orderBy("DT_INICIO")) == [(1, t[0], t[1] - tick, 1), (1, t[1], t[2], 2), (1, t[2] + tick, t[3], 1)]
+    numbers = spark.createDataFrame([(1, 5), (7, 9), (10, 10)], "DT_INICIO int, DT_FIM int")
+    assert sorted(rows(I.depths(numbers, []))) == [(1, 5, 1), (6, 6, 0), (7, 10, 1)]
+    assert rows(I.check_intervals(numbers.limit(0), [])) == []
