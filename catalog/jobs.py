@@ -886,6 +886,40 @@ def open_tax_amount(spark, folder):
     return rounded(tax_status.open_amount(_rolled_status(spark, folder), "INSS_DECAIDO"), "INSS_DECAIDO")
 
 
+@query("""
+WITH seed AS (
+  SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'ATIVO' WHEN 'MACHINERY' THEN 'REATIVADO' WHEN 'FURNITURE' THEN 'ENCERRADO' END AS prev, c_acctbal FROM customer),
+cur AS (
+  SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS m, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 4 = 0 THEN 'ENCERRADO' END AS st,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN '4. Acordo/Vazio para Defesa' END AS motive, o_orderkey % 3 = 0 AS zero FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, date_trunc('month', o_orderdate) ORDER BY o_orderdate DESC, o_orderkey) = 1),
+ev AS (SELECT o_custkey, m, coalesce(motive, st) AS new, zero FROM cur WHERE m > DATE '1995-03-01'),
+asked AS (SELECT unnest([DATE '1996-12-01', DATE '1999-06-01', DATE '2001-08-01']) AS month)
+SELECT c_custkey AS ID_PROCESSO, c_acctbal AS INSS_DECAIDO, month AS MES_FECH,
+  coalesce(max_by(new, m) FILTER (new IS NOT NULL),
+    CASE WHEN prev IN ('ATIVO', 'REATIVADO') AND coalesce(bool_or(zero), FALSE) THEN prev || ' - BAIXA POR REVERSÃO DE PROVISÃO' ELSE prev END) AS STATUS
+FROM seed CROSS JOIN asked LEFT JOIN ev ON o_custkey = c_custkey AND m <= month
+GROUP BY c_custkey, c_acctbal, month, prev""")
+def status_history(spark, folder):
+    """Tax status at three dates, carried over closings with gaps of years, from one pass."""
+    segment, status, day = F.col("c_mktsegment"), F.col("o_orderstatus"), F.to_date("o_orderdate")
+    known = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("ID_PROCESSO"),
+        F.when(segment == "BUILDING", "ATIVO").when(segment == "MACHINERY", "REATIVADO").when(segment == "FURNITURE", "ENCERRADO").alias("STATUS"),
+        F.col("c_acctbal").alias("INSS_DECAIDO"),
+        F.lit("1995-03-01").cast("date").alias("MES_FECH"),
+    )
+    closings = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("ID_PROCESSO"),
+        F.trunc(day, "MM").alias("MES_FECH"),
+        F.when((status == "F") & (F.col("o_orderkey") % 4 == 0), "ENCERRADO").when(status == "O", "ATIVO").alias("STATUS_M"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", V.SETTLEMENT_MOTIVE).alias("MOTIVO_MOVIMENTACAO"),
+        F.when(F.col("o_orderkey") % 3 == 0, 0.0).otherwise(F.col("o_totalprice")).alias("PROVISAO_TOTAL_M"),
+        "o_orderdate", "o_orderkey",
+    )
+    return tax_status.roll_months(known, closings, ["1996-12-01", "1999-06-01", "2001-08-01"], [F.desc("o_orderdate"), "o_orderkey"])
+
+
 # ---- settlements and normalised tables --------------------------------------------------
 
 

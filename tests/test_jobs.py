@@ -1,9 +1,12 @@
 """Composite jobs on small invented tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from closeworks.functions import fixed_values as V
+from closeworks.operators import ordered
 from closeworks.plans import (
     agency,
     billing,
@@ -431,6 +434,34 @@ def test_tax_status_roll(spark):
     assert rows(wide)[0] == (1, "ATIVO", "ENCERRADO")
 
 
+@pytest.mark.parametrize("hot", [1_000_000, 6])
+def test_tax_status_of_many_months_as_rolled_month_by_month(spark, monkeypatch, hot):
+    monkeypatch.setattr(ordered, "HOT", hot)
+    r = random.Random(hot)
+    months = [day(f"2024-{m:02d}-01") for m in range(2, 10)]
+    first = [(i, r.choice(["ATIVO", "REATIVADO", "ENCERRADO", None]), float(i), day("2024-01-01")) for i in range(40)]
+    fields = "ID_PROCESSO int, STATUS string, INSS double, MES_FECH date"
+    closing_rows = [
+        (r.choice([i, None]) if k else i, m, r.choice([None, "ATIVO", "ATIVO", "ENCERRADO"]), r.choice([None, None, "x", V.SETTLEMENT_MOTIVE]), r.choice([None, 0.0, 5.0]), k)
+        for i in range(45) for m in [day("2023-12-01"), day("2024-01-01"), *months] for k in range(2) if r.random() < 0.3
+    ]
+    sheet = spark.createDataFrame(
+        closing_rows, "ID_PROCESSO int, MES_FECH date, STATUS_M string, MOTIVO_MOVIMENTACAO string, PROVISAO_TOTAL_M double, LINHA int"
+    )
+    got = tax_status.roll_months(spark.createDataFrame(first, fields), sheet, months, ["LINHA"])
+    assert got.columns == ["ID_PROCESSO", "STATUS", "INSS", "MES_FECH"]
+    state, want = [f[:3] for f in first], []
+    for month in months:
+        own = sheet.where(F.col("MES_FECH") == month).drop("MES_FECH")
+        previous = spark.createDataFrame(state, "ID_PROCESSO int, STATUS string, INSS double")
+        state = rows(tax_status.roll_status(previous, own, month, ["LINHA"]).select("ID_PROCESSO", "STATUS", "INSS"))
+        want += [(*row, month) for row in state]
+    assert sorted(rows(got), key=str) == sorted(want, key=str)
+    corrected = [(7, "ATIVO", 1.0, day("2024-05-01"))]
+    again = tax_status.roll_months(spark.createDataFrame(first[7:8] + corrected, fields), sheet.limit(0), ["2023-12-01", "2024-04-01", "2024-06-01"], ["LINHA"])
+    assert sorted(rows(again), key=str) == [(7, "ATIVO", 1.0, day("2024-06-01")), (7, first[7][1], 1.0, day("2024-04-01"))]
+
+
 def test_weekly_settlements(spark):
     sheet = spark.createDataFrame(
         [(1, "R$ 60.000,50", "A VISTA", "2", "05/01/2024", "S1"), (2, "-", None, "x", None, "S2")],
