@@ -77,7 +77,7 @@ closing_{name} AS (
          coalesce(STATUS_M, STATUS) AS STATUS_M, CASE WHEN FASE_M = '' THEN FASE_NOVO ELSE FASE_M END AS FASE_M,
          CASE WHEN FASE_NOVO IN ('', 'N/A') THEN 'DEMAIS' WHEN FASE_NOVO = 'EXECUÇÃO - TRT' THEN 'EXECUÇÃO'
               WHEN FASE_NOVO IN ('RECURSAL', 'RECURSAL TRT') THEN 'RECURSAL' ELSE FASE_NOVO END AS DP_FASE,
-         'NÃO' AS PROCESSO_COM_DOCUMENTO, CASE WHEN PROCESSO_ID IS NOT NULL THEN 'DEFESA' END AS ESTRATEGIA,
+         CASE WHEN ID_PROCESSO % 9 < 7 THEN 'SIM' ELSE 'NÃO' END AS PROCESSO_COM_DOCUMENTO, CASE WHEN PROCESSO_ID IS NOT NULL THEN 'DEFESA' END AS ESTRATEGIA,
          DATE '{month}' AS MES_FECH, DT_ULT_PGTO, {_round_sql([*AMOUNT_COLS, "TOTAL_PAGAMENTOS"])}
   FROM joined LEFT JOIN recognised_{name} r ON ID_PROCESSO = r.P AND ENCERRADOS = 1)"""
 
@@ -93,7 +93,8 @@ def _closing_inputs(spark, folder):
         F.when(key % 4 != 0, day).alias("DATACADASTRO"),
         F.when(key % 5 != 0, status).alias("STATUS_M"),
         phase.alias("FASE_M"),
-        F.lit(None).cast("string").alias("DOC"),
+        # Each listed analysis, one that is not listed, and none.
+        F.get(F.array(*map(F.lit, [*V.DOCUMENT_ANALYSES, "ACORDO"])), (key % (len(V.DOCUMENT_ANALYSES) + 2)).cast("int")).alias("DOC"),
         F.lit(None).cast("string").alias("INDICACAO_PROCESSO_ESTRATEGICO"),
         (status == "F").cast("int").alias("ENCERRADOS"),
         F.col("o_totalprice").alias("PROVISAO_MOV_M"),
@@ -542,6 +543,27 @@ SELECT lpad(MATRICULA::VARCHAR, 8, '0') AS MATRICULA, DESL AS DATA_DESLIGAMENTO,
   (row_number() OVER (PARTITION BY MATRICULA ORDER BY MES_FECH NULLS FIRST, o_orderkey, DESL) = 1)::INTEGER AS QTDE
 FROM m""")
 def termination_study(spark, folder):
+    """The last termination of each employee with the lawsuits of the person."""
+    return _study(spark, folder, last_only=True)
+
+
+@query("""
+WITH t AS (
+  SELECT c_custkey // 2 AS MATRICULA, c_custkey AS CPF, (DATE '1996-01-01' + (c_custkey % 2000)::INTEGER)::DATE AS DESL,
+    (DATE '1996-01-01' - (c_custkey % 3000)::INTEGER)::DATE AS ADM FROM customer),
+m AS (
+  SELECT MATRICULA, CPF, DESL, ADM, o_orderkey, date_trunc('month', o_orderdate)::DATE AS MES_FECH FROM t
+  LEFT JOIN orders ON o_custkey = CPF AND CPF % 10 <> 0)
+SELECT lpad(MATRICULA::VARCHAR, 8, '0') AS MATRICULA, DESL AS DATA_DESLIGAMENTO, o_orderkey AS ID_PROCESSO, MES_FECH,
+  CASE WHEN o_orderkey IS NULL THEN 0 ELSE 1 END AS NOVOS,
+  (row_number() OVER (PARTITION BY MATRICULA ORDER BY MES_FECH NULLS FIRST, o_orderkey NULLS FIRST, DESL) = 1)::INTEGER AS QTDE
+FROM m""")
+def termination_study_all(spark, folder):
+    """Every termination with every lawsuit of the person, as the study asks; an employee counts once."""
+    return _study(spark, folder, last_only=False)
+
+
+def _study(spark, folder, last_only):
     # Two customers stand for two terminations of one employee.
     customer = table(spark, folder, "customer")
     left = F.date_add(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") % 2000).cast("int"))
@@ -565,7 +587,7 @@ def termination_study(spark, folder):
         F.when(F.col("o_custkey") % 10 == 0, "0").otherwise(F.col("o_custkey").cast("string")).alias("PARTE_CONTRARIA_CPF"),
         F.lit(None).cast("string").alias("MATRICULA"),
     )
-    study = staff.termination_study(everyone, book, managerial, last_only=True)
+    study = staff.termination_study(everyone, book, managerial, last_only=last_only)
     return study.select("MATRICULA", "DATA_DESLIGAMENTO", "ID_PROCESSO", "MES_FECH", "NOVOS", "QTDE")
 
 

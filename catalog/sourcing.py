@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query, table
-from closeworks.sources import contracts, merges, sheets, snapshots
+from catalog.registry import query, rounded, table
+from closeworks.sources import contracts, merges, rollups, sheets, snapshots
 
 
 @query("""
@@ -109,3 +109,30 @@ UNION ALL SELECT 'NOTA', NULL, 'string', "MES_FECH"::VARCHAR FROM kind WHERE k =
 def drift_report(spark, folder):
     """Which months have a column in another type than it is read in, or not at all."""
     return contracts.widened(spark, _drifting(spark, folder))
+
+
+@query("""
+WITH book AS (SELECT o_orderpriority AS "PRIORIDADE", o_orderstatus AS "FASE", date_trunc('month', o_orderdate)::DATE AS "MES_FECH",
+  CASE WHEN date_trunc('month', o_orderdate)::DATE IN (DATE '1998-02-01', DATE '1998-07-01') THEN o_totalprice * 2 ELSE o_totalprice END AS "VALOR" FROM orders WHERE o_orderdate IS NOT NULL)
+SELECT "PRIORIDADE", count(*) AS "QTD", round(sum("VALOR"), 2) AS "SOMA", round(avg("VALOR"), 2) AS "MEDIA", min("VALOR") AS "MENOR", max("VALOR") AS "MAIOR"
+FROM book WHERE "MES_FECH" >= DATE '1996-01-01' GROUP BY 1""")
+def stored_totals(spark, folder):
+    """Totals from stored parts of months, two of which were corrected and read again."""
+    month = F.trunc(F.to_date("o_orderdate"), "MM").alias("MES_FECH")
+    orders = table(spark, folder, "orders").where("o_orderdate is not null")
+    book = orders.select(F.col("o_orderkey").alias("ID"), F.col("o_orderpriority").alias("PRIORIDADE"), F.col("o_orderstatus").alias("FASE"), F.col("o_totalprice").alias("VALOR"), month)
+    history, stored = merges.shared_folder(spark), merges.shared_folder(spark)
+    measures = {
+        "QTD": rollups.number_of_rows(),
+        "SOMA": rollups.total("VALOR"),
+        "MEDIA": rollups.average("VALOR"),
+        "MENOR": rollups.smallest("VALOR"),
+        "MAIOR": rollups.largest("VALOR"),
+    }
+    snapshots.write_period(book, history)
+    rollups.refresh(snapshots.read_table(spark, history), stored, ["PRIORIDADE", "FASE"], measures)
+    months = ["1998-02-01", "1998-07-01"]
+    corrected = book.where(F.col("MES_FECH").isin(*[F.lit(m).cast("date") for m in months])).withColumn("VALOR", F.col("VALOR") * 2)
+    merges.merge_periods(corrected, history, ["ID"])
+    rollups.refresh(snapshots.read_table(spark, history), stored, ["PRIORIDADE", "FASE"], measures, months)
+    return rounded(rollups.totals(spark, stored, ["PRIORIDADE"], measures, start="1996-01-01"), "SOMA", "MEDIA")
