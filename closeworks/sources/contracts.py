@@ -50,20 +50,22 @@ class Contract:
 
 
 def read_contract(spark: SparkSession, path: str) -> Contract:
-    """The contract of a history; one without any periods where nothing was written yet. It has a row per written period."""
+    """The contract of a history; one without any periods where nothing was written yet.
+
+    What reaches the driver is a row per period and shape that it ever had, which grows with the calendar, not with the rows.
+    """
     try:
         log = read_table(spark, f"{path}/contract", LOG)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return Contract({}, {}, 0)
-    last = log.groupBy("PERIODO").agg(F.max_by("VERSAO", "NUMERO").alias("VERSAO"))
-    shapes = log.select("VERSAO", "ESQUEMA").distinct().collect()
-    writes = log.agg(F.max("NUMERO")).first()[0] or 0
+    held = log.groupBy("VERSAO", "PERIODO").agg(F.max("NUMERO").alias("NUMERO"), F.max("ESQUEMA").alias("ESQUEMA")).collect()
+    held = sorted(held, key=lambda row: row["NUMERO"])
     return Contract(
-        {row["VERSAO"]: T.StructType.fromDDL(row["ESQUEMA"]) for row in shapes},
-        {row["PERIODO"]: row["VERSAO"] for row in last.orderBy("PERIODO").collect()},
-        writes,
+        {row["VERSAO"]: T.StructType.fromDDL(row["ESQUEMA"]) for row in held},
+        dict(sorted({row["PERIODO"]: row["VERSAO"] for row in held}.items())),
+        max((row["NUMERO"] for row in held), default=0),
     )
 
 
@@ -93,7 +95,8 @@ def write_drifting(df: DataFrame, path: str, period: str = "MES_FECH") -> Contra
     write_period(df, f"{path}/rows/v{number}", period)
     log = [(contract.writes + 1, number, ddl, p) for p in sorted(periods)]
     spark.createDataFrame(log, LOG).coalesce(1).write.mode("append").parquet(f"{path}/contract")
-    return read_contract(spark, path)
+    listed = dict(sorted((contract.periods | dict.fromkeys(periods, number)).items()))
+    return Contract(contract.shapes | {number: shape}, listed, contract.writes + 1)
 
 
 def read_drifting(
