@@ -563,7 +563,7 @@ def termination_study_all(spark, folder):
     return _study(spark, folder, last_only=False)
 
 
-def _study(spark, folder, last_only):
+def _study_inputs(spark, folder, registration):
     # Two customers stand for two terminations of one employee.
     customer = table(spark, folder, "customer")
     left = F.date_add(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") % 2000).cast("int"))
@@ -585,10 +585,42 @@ def _study(spark, folder, last_only):
     managerial = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("PROCESSO_ID"),
         F.when(F.col("o_custkey") % 10 == 0, "0").otherwise(F.col("o_custkey").cast("string")).alias("PARTE_CONTRARIA_CPF"),
-        F.lit(None).cast("string").alias("MATRICULA"),
+        registration.cast("string").alias("MATRICULA"),
     )
-    study = staff.termination_study(everyone, book, managerial, last_only=last_only)
-    return study.select("MATRICULA", "DATA_DESLIGAMENTO", "ID_PROCESSO", "MES_FECH", "NOVOS", "QTDE")
+    return everyone, book, managerial
+
+
+def _study(spark, folder, last_only):
+    inputs = _study_inputs(spark, folder, F.lit(None))
+    return staff.termination_study(*inputs, last_only=last_only).select(*_STUDY_COLUMNS)
+
+
+@query("""
+WITH t AS (
+  SELECT c_custkey // 2 AS MATRICULA, (DATE '1996-01-01' + (c_custkey % 2000)::INTEGER)::DATE AS DESL FROM customer),
+suits AS (
+  SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS MES_FECH, o_custkey % 10 <> 0 AS named, o_custkey // 2 AS own,
+    CASE WHEN o_orderkey % 97 = 0 THEN o_custkey // 2 + 1 END AS other FROM orders),
+-- a lawsuit that has the tax id of one and the registration of the next makes them one person, so persons are runs of registrations
+numbers AS (SELECT MATRICULA AS g FROM t UNION SELECT other FROM suits WHERE other IS NOT NULL),
+tied AS (SELECT DISTINCT own AS g FROM suits WHERE named AND other IS NOT NULL),
+persons AS (
+  SELECT g, coalesce(sum(CASE WHEN g IN (FROM tied) THEN 0 ELSE 1 END) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS person FROM numbers),
+cases AS (
+  SELECT o_orderkey, MES_FECH, person FROM suits JOIN persons ON g = CASE WHEN named THEN own ELSE other END),
+m AS (
+  SELECT MATRICULA, DESL, p.person, o_orderkey, MES_FECH FROM t JOIN persons p ON g = MATRICULA LEFT JOIN cases c ON c.person = p.person)
+SELECT lpad(MATRICULA::VARCHAR, 8, '0') AS MATRICULA, DESL AS DATA_DESLIGAMENTO, o_orderkey AS ID_PROCESSO, MES_FECH,
+  CASE WHEN o_orderkey IS NULL THEN 0 ELSE 1 END AS NOVOS,
+  (row_number() OVER (PARTITION BY person ORDER BY MES_FECH NULLS FIRST, o_orderkey NULLS FIRST, DESL) = 1)::INTEGER AS QTDE
+FROM m""")
+def termination_study_persons(spark, folder):
+    """The study by person: lawsuits that name a tax id and another registration tie employees together."""
+    registration = F.when(F.col("o_orderkey") % 97 == 0, F.floor(F.col("o_custkey") / 2) + 1)
+    return staff.termination_study_by_person(*_study_inputs(spark, folder, registration)).select(*_STUDY_COLUMNS)
+
+
+_STUDY_COLUMNS = ["MATRICULA", "DATA_DESLIGAMENTO", "ID_PROCESSO", "MES_FECH", "NOVOS", "QTDE"]
 
 
 @query("""

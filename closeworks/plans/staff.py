@@ -11,6 +11,7 @@ from closeworks.functions import dates, rules, text
 from closeworks.functions import fixed_values as V
 from closeworks.operators import aggregates, filters, periods, windows
 from closeworks.operators.joins import lookup, org_lookup
+from closeworks.operators.persons import identifiers, with_person
 from closeworks.operators.unions import union_distinct, union_harmonized
 
 Splits = Sequence[tuple[str, Sequence[str], str, str]]
@@ -173,6 +174,28 @@ def termination_study(
     return windows.count_once(matched, ["MATRICULA"], order)
 
 
+def termination_study_by_person(terminations: DataFrame, book: DataFrame, managerial: DataFrame) -> DataFrame:
+    """As `termination_study` with every termination, but matched and counted (QTDE) by PESSOA.
+
+    Tax ids and registrations that stand together in a termination or a lawsuit, in any spelling, belong to one person; so a person
+    with two registrations is counted once, and a lawsuit that names only one of them is found. Rows without either have no PESSOA,
+    match nothing and count as one.
+    """
+    def known(df: DataFrame, tax_id: Column, registration: Column) -> DataFrame:
+        return df.withColumns({"CPF": _person(tax_id), "MATRICULA": text.normalize_registration(registration)}).withColumn(
+            "__ids", identifiers({"CPF": F.col("CPF"), "MATRICULA": F.col("MATRICULA")})
+        )
+
+    extra = {"PARTE_CONTRARIA_CPF": "__cpf", "MATRICULA": "__registration"}
+    cases = lookup(book.drop("MATRICULA", "CPF"), managerial, {"ID_PROCESSO": "PROCESSO_ID"}, extra)
+    cases = known(cases, F.coalesce(F.col("PARTE_CONTRARIA_CPF"), F.col("__cpf")), F.col("__registration"))
+    people = known(terminations, F.col("CPF"), F.col("MATRICULA"))
+    people, cases = with_person([people, cases.select("__ids", "ID_PROCESSO", "MES_FECH", "NOVOS")], "__ids")
+    cases = filters.has_key(cases.drop("__ids"), "PESSOA")
+    matched = people.drop("__ids").join(cases, "PESSOA", "left").withColumn("NOVOS", F.coalesce("NOVOS", F.lit(0)))
+    return windows.count_once(matched, ["PESSOA"], ["MES_FECH", "ID_PROCESSO", "DATA_DESLIGAMENTO"])
+
+
 def active_headcount(
     files: DataFrame,
     units: DataFrame,

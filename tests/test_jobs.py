@@ -496,3 +496,24 @@ def test_normalised_tables(spark):
     )
     assert base.columns == ["DATA_DE_REGISTRO", "PERCENTUAL_SOCIO", "DISTRIBUICAO"]
     assert rows(base) == [(day("2024-01-05"), 0.5, day("2024-01-06"))]
+
+
+def test_study_counts_a_person_with_two_registrations_once(spark):
+    left = day("2024-01-05")
+    people = spark.createDataFrame(
+        [("1", "111.444.777-35", left), ("2", "11144477735", left), ("3", None, left), ("4", "000.000.000-00", left), (None, None, left), (None, "0", left)],
+        "MATRICULA string, CPF string, DATA_DESLIGAMENTO date",
+    )
+    book = spark.createDataFrame(
+        [(10, None, day("2024-02-01"), 1), (11, "111.444.777-35", day("2024-03-01"), 1), (12, None, left, 1), (13, "000.000.000-00", left, 1)],
+        "ID_PROCESSO int, PARTE_CONTRARIA_CPF string, MES_FECH date, NOVOS int",
+    )
+    managerial = spark.createDataFrame([(10, None, "00000002"), (12, None, "3"), (13, None, None)], "PROCESSO_ID int, PARTE_CONTRARIA_CPF string, MATRICULA string")
+    got = staff.termination_study_by_person(people, book, managerial)
+    found = sorted(rows(got.select("MATRICULA", "ID_PROCESSO", "NOVOS", "QTDE")), key=str)
+    both = [r for r in found if r[0] in ("00000001", "00000002")]
+    assert sorted(r[:2] for r in both) == [("00000001", 10), ("00000001", 11), ("00000002", 10), ("00000002", 11)] and sum(r[3] for r in both) == 1
+    assert ("00000003", 12, 1, 1) in found and ("00000004", None, 0, 1) in found
+    nobody = [r for r in found if r[0] is None]
+    assert [r[1:3] for r in nobody] == [(None, 0)] * 2 and sum(r[3] for r in nobody) == 1
+    assert got.select("PESSOA").distinct().count() == 4
