@@ -30,27 +30,60 @@ def _number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name} is neither a date, a timestamp nor a whole number")
 
 
+def _bounds(intervals: DataFrame, keys: Sequence[str], start: str, end: str, label: str) -> DataFrame:
+    """(keys, __a, __b, __label): the intervals that hold anything, as [a, b)."""
+    bounds = intervals.select(
+        *map(quoted, keys), _number(intervals, start).alias("__a"), (_number(intervals, end) + 1).alias("__b"), quoted(label).alias("__label")
+    )
+    return bounds.where("__a < __b").dropna(subset=[*keys, "__label"])
+
+
+def _lanes() -> list[tuple[Column, Column]]:
+    """Two ways to give [a, b) a lane and a middle in (a, b] so that intervals of one lane meet only if they share their middle.
+
+    The middle is the multiple of the highest power of two in (a, b], the lane that power: few lanes if lengths differ much. Or the
+    middle is the first multiple of the highest power of two that is no longer than the interval; such an interval ends before the next
+    but one, so each third middle shares a lane: three lanes for each power among the lengths.
+    """
+    bits = F.length(F.bin(F.col("__a").bitwiseXOR(F.col("__b"))))
+    highest = F.expr("shiftright(__b, __bits - 1)")
+    long = F.coalesce(F.length(F.bin(F.expr("try_subtract(__b, __a)"))), F.lit(64))
+    after = F.expr("shiftright(__a, __bits - 1)") + 1
+    return [(bits, F.struct(F.col("__bits").alias("lane"), highest.alias("nth"))),
+            (long, F.struct((F.col("__bits") * 3 + F.pmod(after, F.lit(3))).cast("int").alias("lane"), after.alias("nth")))]
+
+
 def segments(intervals: DataFrame, keys: Sequence[str], start: str, end: str, label: str) -> DataFrame:
     """(keys, __from, __to, __label): disjoint segments [from, to) with the smallest label of the closed intervals that hold them.
 
     Intervals without a bound, a key or a label, and those that end before they start, hold nothing.
+
+    Intervals of one lane that share their middle all hold what lies between their last start and their first end, so their smallest
+    label only falls from start to start and only rises from end to end: a running minimum from either side. Others of the lane
+    do not meet them, so a lane has one label at a time, and a segment has the smallest of all lanes. An interval is two
+    rows, however many others it overlaps.
     """
     named = [quoted(k) for k in keys]
-    bounds = intervals.select(
-        *named, _number(intervals, start).alias("__a"), (_number(intervals, end) + 1).alias("__b"), quoted(label).alias("__label")
+    bounds = _bounds(intervals, keys, start, end, label)
+    ways = [bounds.withColumn("__bits", bits).select("*", at.alias("__at")) for bits, at in _lanes()]
+    used = [sorted(r[0] for r in way.select("__at.lane").distinct().collect()) for way in ways]
+    lanes, bounds = min(zip(used, ways), key=lambda u: len(u[0]))
+    # Starts go up and ends go down, so that each sees the labels it needs before it.
+    opens = F.struct(F.lit(True).alias("__opens"), F.col("__a").alias("__place"))
+    closes = F.struct(F.lit(False).alias("__opens"), (-F.col("__b")).alias("__place"))
+    changes = bounds.select(*named, "__label", F.col("__at.lane").alias("__lane"), F.col("__at.nth").alias("__nth"), F.inline(F.array(opens, closes)))
+    moment = F.when(F.col("__opens"), F.col("__place")).otherwise(-F.col("__place")).alias("__to")
+    lowest = {"__lowest": ordered.lowest_before("__label"), "__past": ordered.lag("__place")}
+    steps = ordered.ordered(changes, [*keys, "__lane", "__nth", "__opens"], ["__place", "__label"], lowest)
+    since = F.struct(F.when(F.col("__opens"), F.least("__lowest", "__label")).otherwise(F.col("__lowest")).alias("label"))
+    states = steps.where("__past IS NULL OR __past <> __place").select(
+        *named, moment, *[F.when(F.col("__lane") == n, since).alias(f"__since_{n}") for n in lanes]
     )
-    bounds = bounds.where("__a < __b").dropna(subset=[*keys, "__label"])
-    cuts = bounds.select(*named, F.explode(F.array("__a", "__b")).alias("__to")).distinct()
-    placed = ordered.ordered(cuts, keys, ["__to"], {"__from": ordered.lag("__to"), "__place": ordered.row_number()})
-    place = placed.select(*named, F.col("__to").alias("__at"), "__place")
-
-    def placed_by(df: DataFrame, column: str, name: str) -> DataFrame:
-        return df.join(place.toDF(*keys, column, name), [*keys, column])
-
-    held = placed_by(placed_by(bounds, "__a", "__i"), "__b", "__j")
-    held = held.select(*named, "__label", F.explode(F.sequence(F.col("__i") + 1, F.col("__j"))).alias("__place"))
-    labels = held.groupBy(*named, "__place").agg(F.min("__label").alias("__label"))
-    return placed.join(labels, [*keys, "__place"]).select(*named, "__from", "__to", "__label")
+    held = {f"__held_{n}": ordered.known_before(f"__since_{n}") for n in lanes}
+    cut = ordered.ordered(states, keys, ["__to"], {"__from": ordered.lag("__to"), **held}, changes.select(*named, moment))
+    smallest = F.array_min(F.array(F.lit(None), *[F.col(f"{n}.label") for n in held])).alias("__label")
+    # Of changes at one moment, the first ends the segment before it.
+    return cut.where("__from < __to").select(*named, "__from", "__to", smallest).where("__label IS NOT NULL")
 
 
 def assign_interval(
@@ -78,11 +111,15 @@ def assign_interval(
         df_, own = df, keys
     found = segments(intervals, own, start, end, label)
     begin = found.select(
-        *[quoted(k) for k in own], F.col("__from").alias("__t"), F.lit(0).alias("__row"), F.struct("__to", "__label").alias("__segment")
+        *map(quoted, own), F.col("__from").alias("__t"), F.lit(0).alias("__row"), F.struct("__to", "__label").alias("__segment")
     )
     rows = df_.withColumns({"__t": _number(df_, at), "__row": F.lit(1)})
     both = rows.unionByName(begin, allowMissingColumns=True)
-    seen = ordered.ordered(both, own, ["__t", "__row"], {"__last": ordered.known("__segment")}).where("__row = 1")
+    named = [quoted(k) for k in own]
+    bound = F.explode(F.array("__a", "__b")).alias("__t")
+    bounds = _bounds(intervals, own, start, end, label).select(*named, bound, F.lit(0).alias("__row"))
+    counted = rows.select(*named, "__t", "__row").unionByName(bounds)
+    seen = ordered.ordered(both, own, ["__t", "__row"], {"__last": ordered.known("__segment")}, counted).where("__row = 1")
     inside = F.col("__t") < F.col("__last.__to")
     return seen.withColumn(name, F.when(inside, F.col("__last.__label"))).select(*map(quoted, [*df.columns, name]))
 

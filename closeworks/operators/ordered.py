@@ -60,6 +60,16 @@ def known(column: str) -> Ordered:
     return Ordered("known", column)
 
 
+def known_before(column: str) -> Ordered:
+    """Last value of the rows before that is not null."""
+    return Ordered("before", column)
+
+
+def lowest_before(column: str) -> Ordered:
+    """Minimum of the rows before."""
+    return Ordered("lowest", column)
+
+
 def first(column: str) -> Ordered:
     """Value of the first row of the key."""
     return Ordered("first", column)
@@ -105,6 +115,12 @@ def _cuts(counted: DataFrame, hot: DataFrame, keys: Sequence[str], by: Sequence[
     return sorted_.select(*map(quoted, keys), F.array_distinct(picked).alias("__cuts"))
 
 
+def _part(place: Column, most: int) -> Column:
+    """How many of the row's cuts, at most `most`, are not above its place: found by halves, with no look at each cut."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(most, 1).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get("__cuts", n + step - 1) <= place, n + step).otherwise(n))
+
+
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
@@ -126,7 +142,7 @@ def ordered(
             raise ValueError(f"a rank goes by the first columns of the order, not by {spec.by}")
     counted = base if counted is None else counted
     hot = _hot(counted, keys)
-    parts = hot.agg(F.sum("__parts")).first()[0]
+    parts, most = hot.agg(F.sum("__parts"), F.max("__parts")).first()
     if not parts:
         return _numbered(base, keys, order, outputs).select(*map(quoted, base.columns), *[F.col(f"__out_{n}").alias(n) for n in outputs])
 
@@ -135,8 +151,7 @@ def ordered(
 
     cuts = _cuts(counted, sized(hot), keys, order[:ranked])
     cut = lookup(base, sized(cuts), keys, ["__cuts"], null_safe=True)
-    place = _place(order[:ranked])
-    part = F.when(F.col("__cuts").isNotNull(), F.size(F.filter("__cuts", lambda c: c <= place))).otherwise(0)
+    part = _part(_place(order[:ranked]), most - 1)
     cut = cut.select(*map(quoted, base.columns), F.col("__cuts").isNotNull().alias("__hot"), part.alias("__part"))
     rows = _numbered(cut, [*keys, "__part"], order, outputs)
     carried = _carried(rows.where("__hot"), keys, order, outputs)
@@ -149,6 +164,7 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs:
     group = Window.partitionBy(*map(quoted, keys))
     rows = group.orderBy(*map(quoted, order))
     so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = rows.rowsBetween(Window.unboundedPreceding, -1)
 
     def value(spec: Ordered) -> Column:
         if spec.kind == "number":
@@ -162,6 +178,10 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], outputs:
             return F.first(quoted(spec.column)).over(so_far)
         if spec.kind == "known":
             return F.last(quoted(spec.column), ignorenulls=True).over(so_far)
+        if spec.kind == "before":
+            return F.last(quoted(spec.column), ignorenulls=True).over(before)
+        if spec.kind == "lowest":
+            return F.min(quoted(spec.column)).over(before)
         if spec.kind == "running":
             return F.sum(quoted(spec.column)).over(so_far)
         return (F.sum if spec.kind == "total" else F.max)(quoted(spec.column)).over(group)
@@ -184,11 +204,13 @@ def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], outputs
         if spec.kind in ("lag", "first"):
             pick = F.max_by if spec.kind == "lag" else F.min_by
             return pick(F.struct(quoted(spec.column).alias("v")), place)
-        if spec.kind == "known":
+        if spec.kind in ("known", "before"):
             filled = quoted(spec.column).isNotNull()
             return F.max_by(F.when(filled, quoted(spec.column)), F.when(filled, place))
         if spec.kind == "running":
             return F.sum(quoted(spec.column))
+        if spec.kind == "lowest":
+            return F.min(quoted(spec.column))
         return F.max(f"__out_{name}")
 
     every = Window.partitionBy(*map(quoted, keys))
@@ -201,10 +223,12 @@ def _carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], outputs
             return F.coalesce(F.sum(one).over(before), F.lit(0).cast("bigint"))
         if spec.kind == "lag":
             return F.lag(one).over(upto)
-        if spec.kind == "known":
+        if spec.kind in ("known", "before"):
             return F.last(one, ignorenulls=True).over(before)
         if spec.kind == "running":
             return F.sum(one).over(before)
+        if spec.kind == "lowest":
+            return F.min(one).over(before)
         if spec.kind == "first":
             return F.first(one).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return (F.sum if spec.kind == "total" else F.max)(one).over(every)
@@ -219,8 +243,10 @@ def _joined(name: str, spec: Ordered) -> Column:
         return own + F.coalesce(carried, F.lit(0).cast("bigint"))
     if spec.kind == "lag":
         return F.when(F.col("__hot") & F.col("__begins"), carried["v"]).otherwise(own)
-    if spec.kind == "known":
+    if spec.kind in ("known", "before"):
         return F.coalesce(own, carried)
+    if spec.kind == "lowest":
+        return F.least(own, carried)
     if spec.kind == "running":
         return F.coalesce(own + carried, own, carried)
     return F.when(F.col("__hot"), carried["v"] if spec.kind == "first" else carried).otherwise(own)

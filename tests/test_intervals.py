@@ -4,6 +4,7 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from closeworks.operators import intervals as I
 from closeworks.operators import ordered as O
@@ -56,6 +57,45 @@ def test_segments_are_disjoint(spark):
     assert sorted(found) == [("a", 1, 5, "m2"), ("a", 5, 11, "m1"), ("a", 11, 21, "m1"), ("a", 21, 22, "m3"), ("b", 1, 2, "m9")]
 
 
+def most_rows(df):
+    """Rows of the plan step that put out most of them."""
+
+    def below(plan):
+        metric = plan.metrics().get("numOutputRows")
+        yield metric.get().value() if metric.isDefined() else 0
+        for k in range(plan.children().size()):
+            yield from below(plan.children().apply(k))
+
+    return max(below(df._jdf.queryExecution().executedPlan()))
+
+
+@pytest.mark.parametrize("lengths", [[400], [1 << k for k in range(12)], [0, 1, 90, 1 << 20]], ids=["one", "powers", "few"])
+@pytest.mark.parametrize("hot", [1_000_000, 40])
+def test_deep_overlaps_cost_no_more_rows(spark, monkeypatch, lengths, hot):
+    monkeypatch.setattr(O, "HOT", hot)
+    r = random.Random(hot + len(lengths))
+    held = [(k, a, a + r.choice(lengths)) for k, a in enumerate(r.choices(range(-300, 300), k=300))]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = I.segments(spark.createDataFrame(held, "l int, s int, e int").withColumn("k", F.lit(1)), ["k"], "s", "e", "l")
+        made = rows(found)
+        assert most_rows(found) <= 4 * len(held)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    cuts = sorted({b for _, s, e in held for b in (s, e + 1)})
+    want = [(1, a, b, min((k for k, s, e in held if s <= a and b <= e + 1), default=None)) for a, b in zip(cuts, cuts[1:])]
+    assert sorted(made) == [w for w in want if w[3] is not None]
+
+
+def test_widest_numbers(spark):
+    low, high = -(1 << 63), (1 << 63) - 2
+    held = [(3, low, high), (2, low, low), (2, high, high), (1, -1, 0)]
+    found = I.segments(spark.createDataFrame(held, "l int, s long, e long").withColumn("k", F.lit(1)), ["k"], "s", "e", "l")
+    want = [(1, low, low + 1, 2), (1, low + 1, -1, 3), (1, -1, 1, 1), (1, 1, high, 3), (1, high, high + 1, 2)]
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
 def test_dates_empty_tables_and_wrong_types(spark):
     days = spark.createDataFrame([(date(2024, 1, 31),), (date(2024, 2, 1),), (None,)], "d date")
     months = spark.createDataFrame([(date(2024, 1, 1), date(2024, 1, 31), "jan")], "DT_INICIO date, DT_FIM date, m string")

@@ -91,3 +91,12 @@ def test_equal_rows_empty_tables_and_wrong_ranks(spark, monkeypatch):
     assert rows(O.ordered(same.limit(0), ["k"], ["t"], {"n": O.row_number()})) == []
     with pytest.raises(ValueError, match="first columns"):
         O.ordered(table(spark, 10), ["the key"], ["day", "id"], {"r": O.rank("id")})
+
+
+def test_part_is_the_number_of_cuts_not_above(spark):
+    frame = spark.createDataFrame([(n, v) for n in [*range(12), None] for v in [None, *range(-1, 25)]], "n int, v int")
+    cuts = F.when(F.col("n") == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), 2 * F.col("n") - 2, F.lit(2)))
+    cuts = F.when(F.col("n").isNotNull(), F.transform(cuts, lambda c: F.struct(c.alias("o0"))))
+    frame = frame.withColumn("__cuts", cuts)
+    found = frame.select("n", "v", O._part(O._place(["v"]), 11)).collect()
+    assert [(n, v, part) for n, v, part in found] == [(n, v, sum(2 * k <= v for k in range(n or 0)) if v is not None else 0) for n, v, _ in found]
